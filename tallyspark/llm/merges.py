@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 
 
 class PairTable:
@@ -120,3 +122,37 @@ def blocks(sizes, most: int):
             start, total = i + 1, 0
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def ascii_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Words `[^\\x20\\x09-\\x0D]+` of texts with A-Z in lower case (null: none).
+
+    Returns the words of each text (a count), the distinct words, and the index of each word among them.
+    """
+    texts = pc.ascii_lower(pc.fill_null(texts, ""))
+    for space in "\t\n\x0b\x0c\r":
+        texts = pc.replace_substring(texts, space, " ")
+    lists = pc.split_pattern(texts, " ")
+    found = lists.flatten().dictionary_encode()
+    index = found.indices.to_numpy()
+    words = found.dictionary
+    rows = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    blank = pc.index(words, pa.scalar("", words.type)).as_py()
+    if blank >= 0:
+        keep = index != blank
+        index, rows = index[keep], rows[keep]
+    return np.bincount(rows, minlength=len(texts)), words, index
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hash of each word."""
+    return np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in words.to_pylist()), np.uint64, len(words))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijective scrambling of 64-bit values."""
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pieces, sharding, url_filter
+from . import embeddings, language, lm, minhash, packing, pieces, sharding, tiff, toxicity, url_filter
 
 #: Folder of the public tokenizer files.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
@@ -31,6 +31,13 @@ def _bucket(divisor: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language.fit(docs.where(_bucket(4) != 2))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (_bucket(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
     docs = _read(spark, sf_dir, "documents", "doc_id", "text")
@@ -43,6 +50,18 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    model = lm.fit(docs.where(_bucket(7) != 2))
+    return lm.score(docs, model).select(
+        "doc_id", (_bucket(7) == 2).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents", "doc_id", "text")
     return sharding.shard(docs, 40).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -59,7 +78,39 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _read(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = toxicity.fit(docs.where(_bucket(3) != 1).join(labels, "doc_id", "left"))
+    return toxicity.score(docs, model).select("doc_id", (_bucket(3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op9_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    pages = tiff.tiff_pages(tiff.store_texts(docs))
+    return pages.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("pixels").cast("long").alias("payload_bytes"),
+        F.sha2("pixels", 256).alias("payload_sha256"),
+        F.crc32(F.substring("pixels", -64, 64)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_read(spark, sf_dir, "documents", "doc_id", "text"), words=4, percent=80)
+
+
 QUERIES = {
+    "op1_language": op1_language,
+    "op3_lm_scoring": op3_lm_scoring,
+    "op4_embedding_dedup": op4_embedding_dedup,
+    "op8_toxicity": op8_toxicity,
+    "op9_tiff": op9_tiff,
+    "op10_minhash": op10_minhash,
     "op2_sentencepiece": op2_sentencepiece,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
