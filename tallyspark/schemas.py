@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 KAFKA_SHAPE = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
 
-ENVELOPE = T.StructType.fromDDL(
+ENVELOPE = (
     "event_id string, event_type string, event_version int, occurred_at timestamp, produced_at timestamp, "
     "producer string, trace_id string, partition_key string, payload map<string,string>, producer_sequence long"
 )

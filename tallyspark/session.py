@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,3 +41,12 @@ def local_session(cores: int | None = None, **conf: str) -> SparkSession:
         master=f"local[{n}]",
         **({"spark.sql.shuffle.partitions": str(n), "spark.driver.memory": "8g", "spark.driver.host": "127.0.0.1"} | conf),
     )
+
+
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder for a job's tables, in the folder that spark.checkpoint.dir names (all machines share it).
+
+    Where the setting is absent, as in tests on one machine, a temporary folder is taken.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-work-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
