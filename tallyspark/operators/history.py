@@ -44,6 +44,6 @@ def overlaps(history: DataFrame, key: str, start: str = "valid_from", end: str =
     The greatest end among strictly earlier rows decides, so a hot key is read once, not joined with itself.
     """
     far = F.lit("9999-12-31").cast("timestamp")
-    earlier = Window.partitionBy(key).orderBy(F.col(start).cast("timestamp").cast("double")).rangeBetween(Window.unboundedPreceding, -1e-6)
+    earlier = Window.partitionBy(key).orderBy(F.unix_micros(F.col(start).cast("timestamp"))).rangeBetween(Window.unboundedPreceding, -1)
     latest_end = F.max(F.coalesce(F.col(end).cast("timestamp"), far)).over(earlier)
     return history.withColumn("_end", latest_end).where(F.col("_end") > F.col(start).cast("timestamp")).drop("_end")

@@ -12,7 +12,7 @@ _LINES = """ln AS (
   FROM lineitem)"""
 _ORDERS = """po AS (
   SELECT o_orderkey AS k, 'shop:' || o_orderkey AS order_key, CASE WHEN o_custkey % 50 <> 0 THEN 'shop:' || o_custkey END AS customer_key,
-    CASE WHEN o_orderkey % 5 = 0 THEN 'USD' ELSE 'EUR' END AS currency, n_name AS country, r_name AS region, o_orderdate AS at, o_orderstatus AS flag,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'USD' ELSE 'EUR' END AS currency, n_name AS country, r_name AS region, o_orderdate AS placed, o_orderstatus AS flag,
     CASE WHEN o_orderkey % 29 = 0 THEN 'CANCELLED' WHEN o_orderstatus = 'P' THEN 'REFUNDED' ELSE 'CONFIRMED' END AS status, o_custkey AS customer
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""
 # Each delivered version: 0 marks the clashing second payload of version 1.
@@ -28,7 +28,7 @@ rj AS (
   FROM (SELECT order_key, k, k % 97 = 0 OR (k % 101 = 0 AND k IN (SELECT l_orderkey FROM has)) AS bad, k % 103 = 0 AS clash FROM po)
   WHERE bad OR clash)"""
 _ITEMS = """it AS (
-  SELECT o.order_key, o.customer_key, o.currency, o.country, o.at AS purchased_at, CASE WHEN k % 7 = 0 THEN 2 ELSE 1 END AS version,
+  SELECT o.order_key, o.customer_key, o.currency, o.country, o.placed AS purchased_at, CASE WHEN k % 7 = 0 THEN 2 ELSE 1 END AS version,
     CAST(line_id AS VARCHAR) AS line_id, 'shop:' || l_partkey AS product_key, l_linestatus AS category, qty AS quantity, price AS gross_amount,
     CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS returned_quantity,
     CASE WHEN l_returnflag <> 'R' THEN 0 WHEN l_quantity = 1 THEN price ELSE 1 END::DECIMAL(20,2) AS returned_amount
@@ -82,15 +82,15 @@ _TOTALS = "tt AS (SELECT l_orderkey, sum(price) AS total, min(l_suppkey) AS sell
 _STATE = f"""WITH {_LINES}, {_ORDERS}, {_TOTALS},
 so AS (SELECT CAST(k AS VARCHAR) AS order_id, CAST(seller AS VARCHAR) AS seller_id, CAST(customer AS VARCHAR) AS customer_token, substr(region, 1, 2) AS market, currency,
     coalesce(total, 0)::DECIMAL(20,2) AS gross_amount, CASE WHEN flag = 'P' THEN 'REFUNDED' WHEN k % 29 = 0 THEN 'CANCELLED' ELSE 'CONFIRMED' END AS status,
-    at AS created_at, at + CASE WHEN flag = 'P' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS updated_at, CASE WHEN flag = 'P' THEN 3 ELSE 2 END AS producer_sequence
+    placed AS created_at, placed + CASE WHEN flag = 'P' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS updated_at, CASE WHEN flag = 'P' THEN 3 ELSE 2 END AS producer_sequence
   FROM po LEFT JOIN tt ON l_orderkey = k)"""
 _STEPS = f"""WITH {_ORDERS}, st AS (
-  SELECT k, at, 1 AS n, 'CREATED' AS status FROM po
-  UNION ALL SELECT k, at, 2, CASE WHEN k % 29 = 0 THEN 'CANCELLED' ELSE 'CONFIRMED' END FROM po
-  UNION ALL SELECT k, at, 3, 'REFUNDED' FROM po WHERE flag = 'P')"""
+  SELECT k, placed, 1 AS n, 'CREATED' AS status FROM po
+  UNION ALL SELECT k, placed, 2, CASE WHEN k % 29 = 0 THEN 'CANCELLED' ELSE 'CONFIRMED' END FROM po
+  UNION ALL SELECT k, placed, 3, 'REFUNDED' FROM po WHERE flag = 'P')"""
 _OLINES = f"""WITH {_LINES}, {_ORDERS},
 ol AS (SELECT 'order-' || k || '-1' AS event_id, CAST(k AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS sku, CAST(l_suppkey % 5 AS VARCHAR) AS location_id,
-    qty AS quantity, at AS created_at FROM po JOIN ln ON l_orderkey = k WHERE line_id = 1)"""
+    qty AS quantity, placed AS created_at FROM po JOIN ln ON l_orderkey = k WHERE line_id = 1)"""
 _STOCK = f"""{_OLINES},
 mv AS (SELECT l_partkey AS sku, l_suppkey % 5 AS location_id, CAST(l_shipdate AS DATE) AS date, CASE WHEN l_returnflag = 'R' THEN 0 ELSE -qty END AS d FROM ln
   UNION ALL SELECT l_partkey, l_suppkey % 5, CAST(min(l_shipdate) AS DATE), 100 FROM ln GROUP BY 1, 2),
@@ -109,12 +109,12 @@ _RAW = """WITH rw AS (
   UNION ALL SELECT event_id, event_type, user_id % 3, event_id * 2 + 1, ts FROM events WHERE event_id % 17 = 0),
 jd AS (SELECT *, CASE WHEN e % 41 = 0 THEN 'DESERIALIZATION_FAILED' WHEN e % 43 = 0 THEN 'OCCURRED_AT_INVALID' END AS err FROM rw)"""
 _RETAIL = f"""WITH {_LINES}, {_ORDERS},
-rl AS (SELECT k, line_id, customer, country AS home, CASE WHEN k % 53 = 0 AND line_id = 2 THEN 'Elsewhere' ELSE country END AS country, at, qty, l_partkey AS part,
+rl AS (SELECT k, line_id, customer, country AS home, CASE WHEN k % 53 = 0 AND line_id = 2 THEN 'Elsewhere' ELSE country END AS country, placed, qty, l_partkey AS part,
     CAST(p_retailprice AS DECIMAL(20,2)) AS price,
     CASE WHEN k % 19 = 0 THEN 'unlinked_cancellation' WHEN l_partkey % 23 = 0 THEN 'non_product_or_missing_invoice' WHEN l_partkey % 37 <> 0 AND l_partkey % 41 = 0 THEN 'invalid_value'
       WHEN k % 31 = 0 THEN 'invalid_quantity' WHEN l_partkey % 37 = 0 THEN 'non_positive_price' ELSE 'accepted' END AS reason
   FROM po JOIN ln ON l_orderkey = k LEFT JOIN part ON p_partkey = l_partkey),
-iv AS (SELECT k, count(*) AS lines, sum(CAST(price * qty AS DECIMAL(20,2))) AS amount, count(DISTINCT country) AS heads, min(country) AS country, min(customer) AS customer, min(at) AS at
+iv AS (SELECT k, count(*) AS lines, sum(CAST(price * qty AS DECIMAL(20,2))) AS amount, count(DISTINCT country) AS heads, min(country) AS country, min(customer) AS customer, min(placed) AS placed
   FROM rl WHERE reason = 'accepted' GROUP BY 1)"""
 
 ORACLE_SQL: dict[str, str] = {
@@ -126,14 +126,14 @@ ORACLE_SQL: dict[str, str] = {
     + ", ".join(f"max(CASE WHEN month_number = {i} THEN retention END) AS m{i}" for i in range(13)) + " FROM co GROUP BY cohort_month, currency",
     "latest_purchases": f"{_BASE} SELECT order_key, customer_key, CAST(CASE WHEN k % 7 = 0 THEN 2 ELSE 1 END AS BIGINT) AS version, CASE WHEN k % 97 = 0 THEN 'eur' ELSE currency END AS currency, "
     "CASE WHEN k % 103 = 0 AND k % 7 <> 0 AND sha256('shop:' || k || ':1:other') > sha256('shop:' || k || ':1') THEN country || ' (other)' ELSE country END AS country, "
-    f"{_time('at', 'purchased_at')}, status, (SELECT count(*) FROM ln WHERE l_orderkey = k AND NOT (k % 7 = 0 AND l_linenumber = 1)) AS lines, "
+    f"{_time('placed', 'purchased_at')}, status, (SELECT count(*) FROM ln WHERE l_orderkey = k AND NOT (k % 7 = 0 AND l_linenumber = 1)) AS lines, "
     "(SELECT count(*) FROM ln WHERE l_orderkey = k AND NOT (k % 7 = 0 AND l_linenumber = 1) AND l_returnflag = 'R') AS returned_lines FROM po",
     "purchase_items": f"{_BASE} SELECT order_key, customer_key, currency, country, {_time('purchased_at', 'purchased_at')}, {_long('version')}, line_id, product_key, category, quantity, {_long('returned_quantity')}, {_MONEY} FROM im",
     "rejected_purchases": f"{_BASE} SELECT order_key, {_long('version')}, country_sent AS country, reason FROM dl JOIN rj USING (order_key)",
     "accepted_purchases": f"{_BASE} SELECT order_key, {_long('version')}, status FROM dl WHERE k NOT IN (SELECT k FROM rj)",
     "rejection_evidence": f"{_BASE} SELECT order_key, {_long('version')}, country_sent AS country, reason, '3' AS source_snapshot FROM ch JOIN rj USING (order_key)",
     "newest_rejections": f"{_BASE} SELECT order_key, {_long('version')}, country_sent AS country, reason, strftime(known, '%Y-%m-%d %H:%M:%S') AS known_at FROM ("
-    "SELECT *, at + INTERVAL 2 DAY + CASE WHEN ch.k % 14 = 0 AND version = 2 THEN INTERVAL (-1) HOUR WHEN version = 2 THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS known FROM ch JOIN rj USING (order_key)) "
+    "SELECT *, placed + INTERVAL 2 DAY + CASE WHEN ch.k % 14 = 0 AND version = 2 THEN INTERVAL (-1) HOUR WHEN version = 2 THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS known FROM ch JOIN rj USING (order_key)) "
     "ORDER BY known DESC, order_key, version, country_sent LIMIT 50",
     "contract_violations": f"{_BASE} SELECT rule, count(*) AS snapshots FROM (SELECT 'CURRENCY' AS rule FROM dl WHERE k % 97 = 0 UNION ALL "
     "SELECT 'ITEM_VALUES' FROM dl WHERE k % 101 = 0 AND EXISTS (SELECT 1 FROM ln WHERE l_orderkey = k AND NOT (version = 2 AND l_linenumber = 1)) "
@@ -155,11 +155,11 @@ ORACLE_SQL: dict[str, str] = {
     "latest_cohorts": f"{_COHORTS} SELECT {_text('cohort_month', 'activity_month')}, currency, cohort_size, active_customers, month_number, retention FROM co "
     f"WHERE currency = 'EUR' AND co.cohort_month >= date_trunc('month', {AS_OF}) - INTERVAL 23 MONTH AND month_number <= 12 ORDER BY co.cohort_month, month_number LIMIT 313",
     "conform_orders": f"{_STATE} SELECT order_id, seller_id, customer_token, market, currency, {_double('gross_amount')}, status, {_time('created_at', 'created_at')}, {_time('updated_at', 'updated_at')}, {_long('producer_sequence')} FROM so",
-    "order_status_history": f"{_STEPS} SELECT 'order-' || k || '-' || n AS event_id, CAST(k AS VARCHAR) AS order_id, status, strftime(at + (n - 1) * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS occurred_at FROM st",
+    "order_status_history": f"{_STEPS} SELECT 'order-' || k || '-' || n AS event_id, CAST(k AS VARCHAR) AS order_id, status, strftime(placed + (n - 1) * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS occurred_at FROM st",
     "order_lines": f"{_OLINES} SELECT event_id, order_id, sku, location_id, quantity, {_time('created_at', 'created_at')} FROM ol",
     "conform_payments": f"WITH {_LINES}, {_ORDERS}, {_TOTALS} SELECT 'p' || k AS payment_id, CAST(k AS VARCHAR) AS order_id, CASE WHEN k % 47 = 0 THEN 'GBP' ELSE currency END AS currency, "
     "CAST(coalesce(total, 0) + CASE WHEN k % 41 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS amount, CASE WHEN flag = 'P' THEN 'REVERSED' WHEN k % 43 = 0 THEN 'AUTHORIZED' WHEN flag = 'O' THEN 'FAILED' ELSE 'CAPTURED' END AS status, "
-    "strftime(at + CASE WHEN flag = 'P' THEN INTERVAL 3 HOUR WHEN k % 43 = 0 THEN INTERVAL 1 HOUR ELSE INTERVAL 2 HOUR END, '%Y-%m-%d %H:%M:%S') AS updated_at FROM po LEFT JOIN tt ON l_orderkey = k",
+    "strftime(placed + CASE WHEN flag = 'P' THEN INTERVAL 3 HOUR WHEN k % 43 = 0 THEN INTERVAL 1 HOUR ELSE INTERVAL 2 HOUR END, '%Y-%m-%d %H:%M:%S') AS updated_at FROM po LEFT JOIN tt ON l_orderkey = k",
     "conform_shipments": "SELECT 's' || l_orderkey AS shipment_id, CAST(l_orderkey AS VARCHAR) AS order_id, CASE WHEN l_orderkey % 37 = 0 THEN 'EXCEPTION' ELSE 'DELIVERED' END AS status, "
     "strftime(any_value(o_orderdate) + INTERVAL 30 DAY, '%Y-%m-%d %H:%M:%S') AS promised_at, CASE WHEN l_orderkey % 37 <> 0 THEN strftime(min(l_shipdate) + INTERVAL 2 DAY, '%Y-%m-%d %H:%M:%S') END AS delivered_at, "
     "strftime(min(l_shipdate) + INTERVAL 2 DAY, '%Y-%m-%d %H:%M:%S') AS updated_at FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey",
@@ -185,7 +185,7 @@ ORACLE_SQL: dict[str, str] = {
     "quarantined_events": f"{_RAW} SELECT t AS source_topic, p AS source_partition, o AS source_offset, err AS error_code, CASE WHEN e % 41 = 0 THEN "
     "'DESERIALIZATION_FAILED,EVENT_ID_MISSING,EVENT_TYPE_MISSING,OCCURRED_AT_INVALID,PARTITION_KEY_MISSING,PAYLOAD_MISSING' ELSE 'OCCURRED_AT_INVALID' END AS error_details, 'PENDING' AS remediation_status FROM jd WHERE err IS NOT NULL",
     "quality_flags": f"{_RAW} SELECT 'event-' || lpad(CAST(e AS VARCHAR), 8, '0') AS event_id, o AS source_offset, unnest(list_filter([CASE WHEN e % 67 = 0 THEN 'INVALID_CURRENCY' END, CASE WHEN e % 59 = 0 THEN 'PRODUCED_BEFORE_OCCURRED' END, "
-    "CASE WHEN e % 61 = 0 THEN 'INVALID_AMOUNT' END, CASE WHEN e % 71 = 0 THEN 'INVALID_QUANTITY' END], x -> x IS NOT NULL)) AS flag FROM jd WHERE err IS NULL",
+    "CASE WHEN e % 61 = 0 THEN 'INVALID_AMOUNT' END, CASE WHEN e % 71 = 0 THEN 'INVALID_QUANTITY' END], lambda x: x IS NOT NULL)) AS flag FROM jd WHERE err IS NULL",
     "quality_report": f"{_STATE} SELECT 'orders' AS dataset, gate, CAST(n AS BIGINT) AS failures FROM (SELECT unnest(['order_id_not_null', 'currency_not_null', 'status_domain', 'gross_amount_non_negative', 'order_id_unique']) AS gate, unnest([0, "
     + ", ".join(f"(SELECT sum(CASE WHEN order_id::BIGINT % 73 = 0 THEN 2 ELSE 1 END) FROM so WHERE order_id::BIGINT % {m} = 0)" for m in (83, 89, 79))
     + ", (SELECT count(*) FROM so WHERE order_id::BIGINT % 73 = 0)]) AS n) UNION ALL SELECT 'shipments', unnest(['shipment_id_not_null', 'order_id_not_null', 'status_domain', 'shipment_id_unique']), 0 "
@@ -208,21 +208,39 @@ ORACLE_SQL: dict[str, str] = {
     "matching_stock": f"{_STOCK} SELECT count(*) AS matching, count(*) AS matching_using FROM sk",
     "run_reconciliation": f"{_RAW} SELECT count(*) AS events, count(err) AS quarantined, 0::BIGINT AS topics_off, 0::BIGINT AS datasets_off, count(err) / count(*) AS quarantine_rate, CASE WHEN count(err) / count(*) <= 0.05 THEN 'PASS' ELSE 'FAIL' END AS result FROM jd",
     "evidence_check": "SELECT event_id, finding FROM (SELECT event_id, unnest(list_filter([CASE WHEN event_id % 101 = 0 AND event_id % 113 <> 0 THEN 'MISSING' END, CASE WHEN event_id % 101 <> 0 AND event_id % 113 = 0 THEN 'UNEXPECTED' END, "
-    "CASE WHEN ok AND event_id % 109 = 0 THEN 'REPEATED' END, CASE WHEN ok AND event_id % 103 = 0 THEN 'CHANGED' END, CASE WHEN ok AND event_id % 107 = 0 AND event_id <> 0 THEN 'POSITION_UNKNOWN' END], x -> x IS NOT NULL)) AS finding "
+    "CASE WHEN ok AND event_id % 109 = 0 THEN 'REPEATED' END, CASE WHEN ok AND event_id % 103 = 0 THEN 'CHANGED' END, CASE WHEN ok AND event_id % 107 = 0 AND event_id <> 0 THEN 'POSITION_UNKNOWN' END], lambda x: x IS NOT NULL)) AS finding "
     "FROM (SELECT event_id, event_id % 101 <> 0 AND event_id % 113 <> 0 AS ok FROM events))",
     "retail_lines": f"{_RETAIL} SELECT reason, count(*) AS lines FROM rl GROUP BY 1",
     "retail_orders": f"{_RETAIL} SELECT lpad(CAST(k AS VARCHAR), 6, '0') AS order_id, CASE WHEN customer % 50 <> 0 THEN substr(sha256(CAST(customer AS VARCHAR)), 1, 20) END AS customer_id, country, "
-    "strftime(at - CASE WHEN at >= s AND at < e THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END, '%Y-%m-%d %H:%M:%S') AS purchased_at, lines, CAST(amount AS DOUBLE) AS amount FROM ("
-    "SELECT *, (date_trunc('month', make_date(year(at), 3, 31)) + INTERVAL 30 DAY - ((dayofweek(make_date(year(at), 3, 31))) * INTERVAL 1 DAY) + INTERVAL 1 HOUR) AS s, "
-    "(make_date(year(at), 10, 31)::TIMESTAMP - (dayofweek(make_date(year(at), 10, 31)) * INTERVAL 1 DAY) + INTERVAL 1 HOUR) AS e FROM iv WHERE heads = 1)",
+    "strftime(placed - CASE WHEN placed >= s AND placed < e THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END, '%Y-%m-%d %H:%M:%S') AS purchased_at, lines, CAST(amount AS DOUBLE) AS amount FROM ("
+    "SELECT *, (date_trunc('month', make_date(year(placed), 3, 31)) + INTERVAL 30 DAY - ((dayofweek(make_date(year(placed), 3, 31))) * INTERVAL 1 DAY) + INTERVAL 1 HOUR) AS s, "
+    "CASE WHEN year(placed) = 1995 THEN TIMESTAMP '1995-10-22 01:00:00' ELSE (make_date(year(placed), 10, 31)::TIMESTAMP - (dayofweek(make_date(year(placed), 10, 31)) * INTERVAL 1 DAY) + INTERVAL 1 HOUR) END AS e FROM iv WHERE heads = 1)",
     "retail_report": f"{_RETAIL} SELECT 'lines_' || reason AS measure, count(*) AS n FROM rl GROUP BY 1 UNION ALL SELECT CASE WHEN heads > 1 THEN 'invoices_conflicting_headers' ELSE 'invoices_published' END, count(*) FROM iv GROUP BY 1 "
     "UNION ALL SELECT 'lines_published', CAST(coalesce(sum(lines), 0) AS BIGINT) FROM iv WHERE heads = 1",
     "skew_join": "SELECT p_brand AS brand, count(*) AS rows, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total FROM lineitem JOIN part ON p_partkey = CASE WHEN (l_orderkey * 7 + l_linenumber) % 5 > 0 THEN 1 ELSE l_partkey END GROUP BY 1",
     "backfill_range": f"{_STATE} SELECT CASE WHEN updated_at::DATE BETWEEN DATE '2000-03-01' AND DATE '2000-03-31' THEN status ELSE 'CREATED' END AS status, count(*) AS orders FROM so GROUP BY 1",
     "incremental_equals_full": "SELECT unnest(['purchase_items', 'customer_daily', 'customer_profiles', 'product_daily', 'customer_cohorts']) AS \"table\", 0::BIGINT AS differences, 3::BIGINT AS publications",
+    "payload_violations": "SELECT rule, CAST(n AS BIGINT) AS events FROM (SELECT 'ORDER_CURRENCY' AS rule, (SELECT count(*) * 2 + count(*) FILTER (o_orderstatus = 'P') FROM orders WHERE o_orderkey % 97 = 0) AS n "
+    "UNION ALL SELECT 'ORDER_REQUIRED', (SELECT count(*) * 2 + count(*) FILTER (o_orderstatus = 'P') FROM orders WHERE o_orderkey % 89 = 0) "
+    "UNION ALL SELECT 'ORDER_AMOUNT', (SELECT count(*) * 2 + count(*) FILTER (o_orderstatus = 'P') FROM orders WHERE o_orderkey % 89 = 0) "
+    "UNION ALL SELECT 'CUSTOMER_EXTRA_KEYS', (SELECT count(*) FROM events WHERE event_id % 83 = 0))",
+    "compaction": "SELECT unnest([1, 2])::BIGINT AS version, unnest([(SELECT count(*) FROM orders), (SELECT count(*) FROM orders)])::BIGINT AS records",
+    "certified_kpis": f"{_STATE} SELECT CAST(CAST(created_at AS DATE) AS VARCHAR) AS metric_date, market, 'UNCLASSIFIED' AS seller_tier, currency, count(*) AS order_count, CAST(sum(gross_amount) AS DOUBLE) AS gmv, "
+    "CAST(sum(CASE WHEN status NOT IN ('CANCELLED', 'REFUNDED') THEN gross_amount ELSE 0 END) AS DOUBLE) AS net_revenue, count(*) FILTER (status = 'CANCELLED') AS cancelled_orders, "
+    "CAST(CAST(count(*) FILTER (status = 'CANCELLED') / count(*) AS DECIMAL(12,6)) AS DOUBLE) AS cancellation_rate FROM so GROUP BY 1, 2, 3, 4 ORDER BY 1 DESC, 2, 3, 4 LIMIT 100",
+    "product_page": f"{_DAILY} SELECT product_key, CAST(sum(orders) AS BIGINT) AS orders, CAST(sum(units) AS BIGINT) AS units, CAST(sum(returned_units) AS BIGINT) AS returned_units, CAST(sum(gross_amount) AS DOUBLE) AS gross_amount, CAST(sum(net_amount) AS DOUBLE) AS net_amount "
+    f"FROM pd WHERE currency = 'EUR' AND product_key > 'shop:1' AND metric_date BETWEEN {FIRST} AND {LAST} GROUP BY 1 ORDER BY 1 LIMIT 51",
+    "framed_events": "SELECT topic, framed, schema_id, events FROM (SELECT event_type AS topic, o % 13 <> 0 AS framed, CASE WHEN o % 13 <> 0 THEN o % 3 + 1 END AS schema_id, count(*) AS events FROM ("
+    "SELECT event_type, event_id * 2 AS o FROM events UNION ALL SELECT event_type, event_id * 2 + 1 FROM events WHERE event_id % 17 = 0) GROUP BY 1, 2, 3)",
+    "recent_events": "SELECT topic, partition, \"offset\", place FROM (SELECT event_type AS topic, user_id % 3 AS partition, o AS \"offset\", row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, o DESC, user_id % 3) AS place FROM ("
+    "SELECT *, event_id * 2 AS o FROM events UNION ALL SELECT *, event_id * 2 + 1 FROM events WHERE event_id % 17 = 0)) WHERE place <= 20",
+    "pipeline_health": "WITH r AS (SELECT 'pipeline-' || user_id % 5 AS pipeline, ts, event_type = 'error' AS f, event_type = 'error' AND event_id % 2 = 0 AS g, event_id % 3 AS j FROM events), "
+    "x AS (SELECT pipeline, max(ts) FILTER (NOT f) AS s, max(ts) FILTER (f) AS l, max(ts) FILTER (g) AS g, arg_max(j, ts) AS rejected_rows FROM r GROUP BY 1), n AS (SELECT TIMESTAMP '2024-01-30 23:59:00' - INTERVAL 30 MINUTE AS t) "
+    "SELECT pipeline, strftime(s, '%Y-%m-%d %H:%M:%S') AS last_success, strftime(l, '%Y-%m-%d %H:%M:%S') AS last_failure, strftime(g, '%Y-%m-%d %H:%M:%S') AS last_gate_failure, rejected_rows, "
+    "array_to_string(list_filter([CASE WHEN s IS NULL OR s < t THEN 'STALE' END, CASE WHEN l > coalesce(s, TIMESTAMP '1970-01-01') THEN 'FAILING' END, CASE WHEN g >= t THEN 'GATE_FAILED' END, CASE WHEN rejected_rows > 0 THEN 'REJECTED_ROWS' END], lambda v: v IS NOT NULL), ',') AS alerts FROM x, n",
     "stream_append": f"{_RAW} SELECT t AS source_topic, count(*) AS events FROM jd WHERE err IS NULL GROUP BY 1",
     "stream_quarantine": f"{_RAW} SELECT err AS error_code, count(*) AS records, count(*) AS positions FROM jd WHERE err IS NOT NULL GROUP BY 1",
     "stream_dedupe": f"{_RAW} SELECT t AS source_topic, count(DISTINCT e) AS events, count(DISTINCT e) AS ids FROM jd WHERE err IS NULL GROUP BY 1",
-    "retention_plan": f"WITH d AS (SELECT o_orderkey AS s, o_orderdate AS at FROM orders WHERE o_orderkey % 300 = 0), kp AS (SELECT s FROM d QUALIFY row_number() OVER (ORDER BY s DESC) <= 5 UNION SELECT s FROM d WHERE at >= {AS_OF} - INTERVAL 365 DAY), "
+    "retention_plan": f"WITH d AS (SELECT o_orderkey AS s, o_orderdate AS placed FROM orders WHERE o_orderkey % 300 = 0), kp AS (SELECT s FROM d QUALIFY row_number() OVER (ORDER BY s DESC) <= 5 UNION SELECT s FROM d WHERE placed >= {AS_OF} - INTERVAL 365 DAY), "
     "v AS (SELECT 'a' AS t, s AS version, s FROM d UNION ALL SELECT 'b', s // 600, s FROM d) SELECT DISTINCT t AS \"table\", version FROM v WHERE (t, version) NOT IN (SELECT t, version FROM v WHERE s IN (SELECT s FROM kp))",
 }
