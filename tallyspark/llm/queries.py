@@ -81,7 +81,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents", "doc_id", "text")
     labels = _read(spark, sf_dir, "labels", "doc_id", "toxic")
-    model = toxicity.fit(docs.where(_bucket(3) != 1).join(labels, "doc_id", "left"))
+    model = toxicity.fit(docs.where(_bucket(3) != 1), labels)
     return toxicity.score(docs, model).select("doc_id", (_bucket(3) == 1).alias("held_out"), "score", "predicted")
 
 

@@ -30,18 +30,22 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import table
 from .merges import blocks, mix, word_hashes
 
-POSITIVES = 2500
-UNLABELLED = 7500
-LONGEST = 12_000
+POSITIVES = 2000
+UNLABELLED = 6000
+LONGEST = 8000
 FEATURES = 2048
 #: Word beginnings of these lengths are features besides whole words.
 STARTS = (4, 5, 6)
-#: Least texts, share of the positives and ratio of rates of a feature, and the chance that any enters by accident.
-LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO, CHANCE = 3, 0.015, 3.0, 0.01
+#: Least texts and share of the positives with a feature, least share of toxic texts among all texts with it, and
+#: the chance that any feature enters by accident.
+LEAST_TEXTS, LEAST_SHARE, PURITY, CHANCE = 3, 0.015, 0.6, 0.01
 THRESHOLD = 0.7
 BLOCK = 8 << 20
+#: Texts whose words are held at a time.
+SLICE = 1000
 
 
 @dataclass
@@ -72,14 +76,15 @@ def features_of(words: pa.Array) -> list[pa.Array]:
 
 def presence(texts: pa.Array, features: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) pairs, each once, of the given features in the texts."""
-    rows, words, index = words_of(texts)
-    pairs = []
-    for values in features_of(words):
-        at = pc.fill_null(pc.index_in(values, features), -1).to_numpy(zero_copy_only=False)
-        hit = at[index]
-        keep = hit >= 0
-        pairs.append(rows[keep] * len(features) + hit[keep])
-    both = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+    pairs = [np.zeros(0, np.int64)]
+    for start in range(0, len(texts), SLICE):
+        rows, words, index = words_of(texts.slice(start, SLICE))
+        for values in features_of(words):
+            at = pc.fill_null(pc.index_in(values, features), -1).to_numpy(zero_copy_only=False)
+            hit = at[index]
+            keep = hit >= 0
+            pairs.append(np.unique((rows[keep] + start) * len(features) + hit[keep]))
+    both = np.unique(np.concatenate(pairs))
     return both // max(1, len(features)), both % max(1, len(features))
 
 
@@ -88,11 +93,12 @@ def without_copies(texts: pa.Array, hashes: int = 8, alike: int = 5) -> pa.Array
 
     The rare words of a text that was copied many times would else pass for signs of its label.
     """
-    rows, words, index = words_of(texts)
-    values = word_hashes(words)
     minima = np.full((hashes, len(texts)), ~np.uint64(0))
-    for k in range(hashes):
-        np.minimum.at(minima[k], rows, mix(values + np.uint64(k + 1))[index])
+    for start in range(0, len(texts), SLICE):
+        rows, words, index = words_of(texts.slice(start, SLICE))
+        values = word_hashes(words)
+        for k in range(hashes):
+            np.minimum.at(minima[k], rows + start, mix(values + np.uint64(k + 1))[index])
     seen: list[dict[int, list[int]]] = [{} for _ in range(hashes)]
     kept = []
     for i in range(len(texts)):
@@ -104,27 +110,29 @@ def without_copies(texts: pa.Array, hashes: int = 8, alike: int = 5) -> pa.Array
     return texts.take(pa.array(kept, pa.int64()))
 
 
-def choose_features(positive: pa.Array, unlabelled: pa.Array) -> list[str]:
+def choose_features(positive: pa.Array, unlabelled: pa.Array, prior: float) -> list[str]:
     """Features that occur in positives far more often than in unlabelled texts, the strongest first."""
-    counts = []
-    for texts in (positive, unlabelled):
-        rows, words, index = words_of(texts)
-        total: dict[str, int] = {}
-        for values in features_of(words):
-            coded = values.dictionary_encode()
-            at = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False)[index]
-            keep = at >= 0
-            seen = np.unique(rows[keep] * (len(coded.dictionary) + 1) + at[keep]) % (len(coded.dictionary) + 1)
-            n = np.bincount(seen, minlength=len(coded.dictionary))
-            total.update(zip(coded.dictionary.to_pylist(), n.tolist(), strict=True))
-        counts.append(total)
-    p, u = counts
-    names = [f for f, n in p.items() if n >= max(LEAST_TEXTS, LEAST_SHARE * len(positive))]
-    a = np.array([p[f] for f in names], float)
-    expected = len(positive) * (np.array([u.get(f, 0) for f in names], float) + 0.5) / max(1, len(unlabelled))
+    support = max(LEAST_TEXTS, LEAST_SHARE * len(positive))
+    rows, words, index = words_of(positive)
+    names, a, tried = [], [], 0
+    for values in features_of(words):
+        coded = values.dictionary_encode()
+        at = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False)[index]
+        keep = at >= 0
+        width = max(1, len(coded.dictionary))
+        n = np.bincount(np.unique(rows[keep] * width + at[keep]) % width, minlength=width)
+        tried += len(coded.dictionary)
+        often = np.flatnonzero(n >= support)
+        names += coded.dictionary.take(pa.array(often)).to_pylist()
+        a += n[often].tolist()
+    a = np.array(a, float)
+    if not names:
+        return []
+    _, column = presence(unlabelled, pa.array(names, pa.string()))
+    expected = len(positive) * (np.bincount(column, minlength=len(names)) + 0.5) / max(1, len(unlabelled))
     # Chance of so many positives with the feature if it were as common there as among unlabelled texts.
     log_chance = _log_poisson_tail(a, expected)
-    keep = (log_chance + np.log(max(1, len(p))) < np.log(CHANCE)) & (a >= LEAST_RATIO * expected)
+    keep = (log_chance + np.log(max(1, tried)) < np.log(CHANCE)) & (a >= PURITY / prior * expected)
     order = sorted(np.flatnonzero(keep).tolist(), key=lambda i: (log_chance[i], names[i]))[:FEATURES]
     return [names[i] for i in order]
 
@@ -146,7 +154,7 @@ def _sparse_dot(row: np.ndarray, column: np.ndarray, weights: np.ndarray, rows:
 def train(positive: pa.Array, unlabelled: pa.Array, prior: float, rounds: int = 400, rate: float = 0.3, penalty: float = 1e-4) -> Model:
     """Non-negative positive-unlabelled risk with the logistic loss, by gradient descent with momentum."""
     positive, unlabelled = without_copies(positive), without_copies(unlabelled)
-    features = choose_features(positive, unlabelled)
+    features = choose_features(positive, unlabelled, prior)
     values = pa.array(features, pa.string())
     data = [presence(x, values) for x in (positive, unlabelled)]
     sizes = [len(positive), len(unlabelled)]
@@ -175,21 +183,26 @@ def train(positive: pa.Array, unlabelled: pa.Array, prior: float, rounds: int =
     return Model(features, w, float(bias), prior)
 
 
-def fit(rows: DataFrame, text: str = "text", toxic: str = "toxic", prior: float | None = None) -> Model:
-    """Fit on training rows: toxic = 1 is a confirmed positive, anything else (null too) unlabelled."""
-    data = rows.select(F.col(text).alias("text"), (F.coalesce(F.col(toxic), F.lit(0)) == 1).alias("p"), F.col(toxic).isNotNull().alias("known")).where("text is not null")
-    short = F.octet_length("text") <= LONGEST
-    facts = data.agg(
-        F.avg(F.when(F.col("known"), F.col("p").cast("double"))), F.count(F.when(F.col("p") & short, 1)), F.count(F.when(~F.col("p") & short, 1))
-    ).first()
+def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", toxic: str = "toxic", prior: float | None = None) -> Model:
+    """Fit on training documents: those with toxic = 1 in ``labels`` are confirmed positives, all others unlabelled.
+
+    Labels are joined to ids and hashes of texts; only the texts of the sample leave their place.
+    """
+    hashed = docs.where(F.col(text).isNotNull()).select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    marks = labels.groupBy(F.col(id_column).alias("id")).agg(F.max(toxic).alias("toxic"))
+    keys = hashed.select("id", "h", (F.octet_length("text") <= LONGEST).alias("short")).join(marks, "id", "left")
+    keys = table(keys.select("h", "short", (F.coalesce("toxic", F.lit(0)) == 1).alias("p"), F.col("toxic").isNotNull().alias("known")), "text-keys")
+    facts = keys.agg(F.avg(F.when(F.col("known"), F.col("p").cast("double"))), F.count(F.when(F.col("p") & F.col("short"), 1)), F.count(F.when(~F.col("p") & F.col("short"), 1))).first()
     if prior is None:
         prior = min(0.9, max(0.001, facts[0] or 0.0))
     # The share of texts wanted is taken by the hash of the text, so copies count once and nothing is sorted.
-    data = data.where(short).withColumn("h", F.xxhash64("text"))
     share = F.pmod("h", F.lit(1_000_000)) < F.when(F.col("p"), F.lit(1e6 * POSITIVES / max(1, facts[1]))).otherwise(1e6 * UNLABELLED / max(1, facts[2]))
+    chosen = table(keys.where("short").where(share).select("h", "p").distinct(), "sample-keys")
+    texts = hashed.where(F.octet_length("text") <= LONGEST).join(F.broadcast(chosen.select("h").distinct()), "h").groupBy("h").agg(F.first("text").alias("text"))
+    of = {r["h"]: r["text"] for r in texts.collect()}
     found: list[list[str]] = [[], []]
-    for r in data.where(share).groupBy("p", "h").agg(F.first("text").alias("text")).orderBy("h").select("p", "text").collect():
-        found[not r["p"]].append(r["text"])
+    for r in chosen.orderBy("h").collect():
+        found[not r["p"]].append(of[r["h"]])
     positive, unlabelled = (pa.array(x, pa.string()) for x in found)
     if not len(positive) or not len(unlabelled):
         return Model([], np.zeros(0), -40.0, prior)
