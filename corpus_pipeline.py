@@ -26,7 +26,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not take for toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    model = toxicity.fit(_training(docs.select("doc_id", "text"), TOXICITY_HELD_OUT).join(labels, "doc_id", "left"))
+    model = toxicity.fit(_training(docs.select("doc_id", "text"), TOXICITY_HELD_OUT), labels)
     return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
 
 
