@@ -57,7 +57,7 @@ def filter_urls(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFram
     )
     rules = rules.withColumn("_key", F.substring("_digest", 1, 8))
     facts = rules.agg(F.count(F.lit(1)), F.collect_set(F.length("_rule_path"))).first()
-    lengths = sorted(facts[1])
+    lengths = sorted(facts[1]) or [0]
     if facts[0] <= BROADCAST_RULES:
         rules = F.broadcast(rules)
 
@@ -71,7 +71,7 @@ def filter_urls(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFram
     pairs = F.flatten(F.transform(suffixes, lambda h: F.transform(prefixes, lambda p: F.struct(h.alias("h"), p["p"].alias("p")))))
     # One URL's expressions are probed within its own row group: each distinct (host, path prefix) is
     # expanded once, and the verdict joins back on the URL, so a hot URL is judged once.
-    distinct = named.where("host <> ''").select("host", F.substring("path", 1, max(lengths, default=0)).alias("_lead")).distinct()
+    distinct = named.where("host <> ''").select("host", F.substring("path", 1, max(lengths)).alias("_lead")).distinct()
     spread = distinct.withColumn("path", F.col("_lead")).select("host", "_lead", F.explode(pairs).alias("_e"))
     spread = spread.withColumn("_full", _digest(F.col("_e.h"), F.col("_e.p"))).withColumn("_key", F.substring("_full", 1, 8))
     hits = spread.join(rules, "_key").where(F.col("_full") == F.col("_digest"))
@@ -79,7 +79,7 @@ def filter_urls(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFram
     best = hits.groupBy("host", "_lead").agg(
         F.max(F.struct(size.alias("size"), F.col("_action").alias("action"), F.col("_rule_host").alias("h"), F.col("_rule_path").alias("p"))).alias("_best")
     )
-    lead = F.substring("path", 1, max(lengths, default=0))
+    lead = F.substring("path", 1, max(lengths))
     return (
         named.withColumn("_lead", lead)
         .join(best, ["host", "_lead"], "left")
