@@ -6,9 +6,9 @@ bin of the round; a bin keeps its least (round, value), and a text is done once
 Documents that agree on all rows of a band meet in a bucket, and what meets is verified on full sets.
 
 Equal sets are one class, and only the smallest id of a class goes on. A bucket's members are first
-compared with the smallest and then with the largest member that is not yet connected to them; only
-pairs of a bucket that are still in different components after that are compared one with one. Pairs
-within a component need no comparison, so groups of many near copies stay linear, and no link that joins
+compared with the one that meets most others; then those that are still in different components are
+compared pair by pair within blocks of a bucket, and a block gives back only links that connect. Pairs
+within a component need no comparison, so groups of near copies cost little, and no link that joins
 two components is lost. The chance that a pair at the threshold shares no bucket is under 1e-5.
 
 Defined results: a null or empty text, or one without words, has an empty set, links with nothing and is
@@ -30,6 +30,8 @@ from .merges import ascii_words, blocks, mix, word_hashes
 
 BANDS, ROWS = 30, 5
 BLOCK = 6 << 20
+#: Members and set items of a cell of a bucket.
+CELL, ITEMS = 512, 1_000_000
 #: Bits of the filter by which rows that are no candidates are skipped when sets are made again.
 FILTER_BITS = 1 << 23
 _U = np.uint64
@@ -141,13 +143,108 @@ def _candidate_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, with sizes na, nb) whose sets overlap enough."""
-    pairs = pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("right"))
     both = F.size(F.array_intersect("left", "right"))
     return pairs.join(left, "a").join(right, "b").where(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
+def verify_block(ids, component, sizes, flat, bands, at, side_a, side_b, percent: int) -> list[tuple[int, int]]:
+    """Links between members of a block that lie in different components; only links that connect two of them.
+
+    A member's set is marked in the block's vocabulary, and one pass over all sets counts what each shares
+    with it. Pairs that meet in an earlier band are left to that band's bucket.
+    """
+    starts = np.cumsum(sizes) - sizes
+    words, codes = np.unique(flat, return_inverse=True)
+    root = {c: c for c in component.tolist()}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    links = []
+    mark = np.zeros(len(words), np.int64)
+    for i in range(len(ids) - 1):
+        rest = slice(i + 1, None)
+        other = (component[rest] != component[i]) & ((side_a[i] & side_b[rest]) | (side_b[i] & side_a[rest]))
+        other &= 100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])
+        if at and other.any():
+            other[other] = ~(bands[rest][other, :at] == bands[i, :at]).any(axis=1)
+        if not other.any():
+            continue
+        own = codes[starts[i] : starts[i] + sizes[i]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[codes[starts[i + 1] :]], starts[rest] - starts[i + 1])
+        mark[own] = 0
+        hit = other & (100 * both >= percent * (sizes[rest] + sizes[i] - both))
+        for j in (np.flatnonzero(hit) + i + 1).tolist():
+            x, y = find(int(component[i])), find(int(component[j]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                links.append((int(ids[i]), int(ids[j])))
+    return links
+
+
+def _block_links(now: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """src, dst of links between members of a bucket (bucket, id, n, component) in different components.
+
+    A bucket is cut by hash into cells of at most about CELL members and ITEMS set items, and each pair of
+    cells is one block, so no task gathers a large bucket and no pair leaves its task.
+    """
+    spark = now.sparkSession
+    size = now.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("items"), F.min("component").alias("low"), F.max("component").alias("high"))
+    cells = F.greatest(F.ceil(F.col("c") / CELL), F.ceil(F.col("items") / ITEMS)).cast("int")
+    size = size.where("low <> high").select("bucket", cells.alias("cells"))
+    own = F.pmod(F.xxhash64("id", F.lit(1)), F.col("cells")).cast("int")
+    dealt = now.join(size, "bucket").withColumn("own", own).select("bucket", "id", "component", "own", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other"))
+    dealt = dealt.select("bucket", "id", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    keys = ["bucket", "low", "high"]
+    placed = dealt.join(sets, "id").join(classes.select(F.col("rep").alias("id"), "bands"), "id").select(*keys, "own", "id", "component", "items", "bands")
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = placed.repartition(parts, *keys).sortWithinPartitions(*keys)
+
+    def block_numbers(t: pa.Table) -> np.ndarray:
+        change = np.zeros(len(t), bool)
+        for c in keys:
+            v = t.column(c).to_numpy()
+            change[1:] |= v[1:] != v[:-1]
+        return np.cumsum(change)
+
+    def judge(t: pa.Table, block: np.ndarray):
+        t = t.combine_chunks()
+        bucket, low, high, own, ids, component = (t.column(c).to_numpy() for c in (*keys, "own", "id", "component"))
+        items, bands = t.column("items").chunk(0), t.column("bands").chunk(0)
+        ends = items.offsets.to_numpy().astype(np.int64)
+        ends = ends - ends[0]
+        flat = items.flatten().to_numpy()
+        bands = bands.flatten().to_numpy().reshape(len(t), -1)
+        found = []
+        bounds = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(t)]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if b - a > 1:
+                at = int(np.argmax(bands[a] == bucket[a]))
+                found += verify_block(ids[a:b], component[a:b], np.diff(ends[a : b + 1]), flat[ends[a] : ends[b]], bands[a:b], at, own[a:b] == low[a:b], own[a:b] == high[a:b], percent)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(2)], ["src", "dst"])
+
+    def run(batches):
+        rest: pa.Table | None = None
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            rest = new if rest is None else pa.concat_tables([rest, new])
+            block = block_numbers(rest)
+            cut = int(np.searchsorted(block, block[-1])) if len(block) else 0
+            if cut:
+                yield from judge(rest.slice(0, cut), block[:cut])
+                rest = rest.slice(cut)
+        if rest is not None and len(rest):
+            yield from judge(rest, block_numbers(rest))
+
+    return placed.mapInArrow(run, "src long, dst long")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row; sets of ``percent`` % overlap or more are linked."""
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
@@ -156,33 +253,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
     classes = features.where("n > 0 and id is not null").groupBy(*key).agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
     classes = table(classes, "classes")
     members = classes.select(F.col("rep").alias("id"), "n", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
-    members = table(members.join(shared, "bucket"), "buckets")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    members = members.join(shared, "bucket")
+    degree = members.groupBy("id").agg(F.sum("c").alias("degree"))
+    members = table(members.drop("c").join(degree, "id"), "buckets")
     sets = table(_candidate_sets(source, members.select("id").distinct(), words), "sets")
-    links = None
-    labels = members.select(F.col("id").alias("node"), F.col("id").alias("component")).distinct()
-    me, edge = F.struct("component", "id", "n"), {}
-    for step in ("min", "max", "rest"):
-        now = members.join(labels, members["id"] == labels["node"], "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("component"))
-        sides = now.groupBy("bucket").agg(F.min(me).alias("first"), F.max(me).alias("last"))
-        open_ = now.join(sides.where(F.col("first.component") != F.col("last.component")), "bucket")
-        if step == "rest":
-            other = open_.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-            pairs = open_.select("bucket", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")).join(other, "bucket").where("a < b and ca <> cb")
-            pairs = pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-            pairs = pairs.select("a", "b", "na", "nb").distinct().join(edge["min"].unionByName(edge["max"]), ["a", "b"], "left_anti")
-        else:
-            pivot = F.col("first" if step == "min" else "last")
-            pairs = open_.where(F.col("component") != pivot["component"]).select(
-                F.least("id", pivot["id"]).alias("a"), F.greatest("id", pivot["id"]).alias("b"),
-                F.when(F.col("id") < pivot["id"], F.col("n")).otherwise(pivot["n"]).alias("na"),
-                F.when(F.col("id") < pivot["id"], pivot["n"]).otherwise(F.col("n")).alias("nb"),
-            ).distinct()
-            pairs = table(pairs, "pairs")
-            edge[step] = pairs.select("a", "b")
-        found = table(_verified(pairs, sets, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+    # First turn: each member with the one of its bucket that meets most others.
+    top = members.groupBy("bucket").agg(F.max(F.struct("degree", "id", "n")).alias("top"))
+    mine = F.col("id") < F.col("top.id")
+    pairs = members.join(top, "bucket").where("id <> top.id").select(
+        F.least("id", "top.id").alias("a"), F.greatest("id", "top.id").alias("b"), F.when(mine, F.col("n")).otherwise(F.col("top.n")).alias("na"), F.when(mine, F.col("top.n")).otherwise(F.col("n")).alias("nb")
+    ).where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).distinct()
+    links = table(_verified(pairs, sets, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")), "links")
+    labels = table(components(links), "labels")
+    # Second turn: all pairs of a bucket that are not connected yet, in blocks.
+    now = members.join(labels, members["id"] == labels["node"], "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("component"))
+    links = links.unionByName(table(_block_links(now, sets, classes, percent), "links"))
+    labels = table(components(links), "labels")
     found = classes.join(labels, classes["rep"] == labels["node"], "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
     return (
         features.drop("bands").join(found, key, "left")
