@@ -194,7 +194,7 @@ def test_toxicity_held_out(spark):
     got = queries.op8_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), "doc_id").where("held_out").collect()
     toxic, clean = ([r["score"] for r in got if r["toxic"] == k] for k in (1, 0))
     assert min(len(toxic), len(clean)) > 100
-    assert np.mean([s >= 0.7 for s in toxic]) > 0.8 and np.mean([s >= 0.7 for s in clean]) < 0.03
+    assert np.mean([s >= 0.7 for s in toxic]) > 0.8 and np.mean([s >= 0.7 for s in clean]) < 0.05
 
 
 def test_toxicity_edges(spark):
