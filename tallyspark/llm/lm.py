@@ -9,12 +9,13 @@ one unknown word:
     p(w)     = d(c(w)) c(w) / N                   if the word was seen,
                what is left                       for the unknown word.
 
-Pairs are counted where both words are frequent, that is, make up at least the share FREQUENT of the
-training tokens; after any other word the next word is scored by p(w). By arithmetic there are at most
-1 / FREQUENT such words, whatever the corpus, so their numbers can be broadcast; everything else, the
-words and the pairs, stays in tables that are dealt by hash into buckets, and is looked up there. A block
-of texts sends each bucket its distinct keys and which texts they stand in, and gets back one sum for
-each of those texts. All counts are over all training texts.
+All pairs of the training texts are counted, by the 64-bit hashes of both words. Words and pairs stay in
+tables that are dealt by hash into buckets, as many as the input needs, and are looked up there: a block of
+texts sends each bucket its distinct keys, each once, and gets back what is stored of them; its tokens wait
+for the answers in a row of their own. So neither a frequent word nor a frequent pair makes a bucket large.
+The words that make up at least the share COMMON of the training tokens are also broadcast, to save
+requests; by arithmetic there are at most 1 / COMMON. A pair is counted in the bucket of its second word
+where that is not common (such a word has few pairs), or else in the bucket of the pair.
 
 Tokens are the words `[^\\x20\\x09-\\x0D]+`, A-Z in lower case, and one end for each text.
 
@@ -25,7 +26,7 @@ unseen words is scaled to leave that. Repeated rows get equal scores. Extra colu
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -38,35 +39,46 @@ from .common import table
 from .merges import ascii_words, blocks, mix, word_hashes
 
 REACH = 5
-FREQUENT = 1e-5
+#: Pairs of words below this share of the training tokens are left out; 0 counts all pairs.
+FREQUENT = 0.0
+#: Share of the training tokens from which a word is broadcast.
+COMMON = 1e-5
 HALF = 0.5
 BLOCK = 8 << 20
+#: Bytes of text for each bucket.
+SHARE = 64 << 20
 #: Keys of one row of a stored table.
 CHUNK = 1 << 16
 #: The hash that stands for the end of a text.
 END = np.uint64(0x656E64206F662074)
+#: The hash that stands for the start of a text, which is a history only.
+START = np.uint64(0x7374617274206F66)
 #: Stands for a null id on the way.
 _NO_ID = -(2**63)
 _U = np.uint64
 
-_KEYED = "kind int, bucket int, block string, keys array<long>, docs array<int>, at array<int>, a array<double>, b array<double>"
+_NAMES = ["kind", "bucket", "block", "keys", "tokens", "sizes", "counts", "a", "b"]
+_KEYED = "kind int, bucket int, block string, keys array<long>, tokens array<int>, sizes array<int>, counts array<long>, a array<double>, b array<double>"
 
 
 @dataclass
 class Model:
     """Tables and the bounded part of a fitted model."""
 
-    words: DataFrame  # bucket, keys, counts
-    pairs: DataFrame  # bucket, keys, gain
+    words: DataFrame  # bucket, keys, counts, alpha, factor
+    pairs: DataFrame  # bucket, keys, counts
     buckets: int
     tokens: int
     distinct: int
     discount: np.ndarray  # of word counts 0 to REACH
     scale: float
     unknown: float
-    frequent: np.ndarray  # sorted hashes of the frequent words
-    frequent_counts: np.ndarray
-    alpha: np.ndarray  # log10 backoff weight after each frequent word, and after the start of a text
+    pair_discount: np.ndarray | None = None
+    frequent: np.ndarray | None = None  # sorted hashes of the words whose pairs are counted, empty for all
+    common: np.ndarray | None = None  # sorted hashes of the broadcast words, the start of a text among them
+    common_counts: np.ndarray | None = None
+    common_alpha: np.ndarray | None = None  # log10 backoff weight after each of them
+    common_factor: np.ndarray | None = None  # scale of the discounted counts after each of them
 
     def word_log(self, counts: np.ndarray) -> np.ndarray:
         """log10 p(w) of words by their counts."""
@@ -142,12 +154,32 @@ def _block_words(texts: pa.Array):
     return sizes, hashes, tokens
 
 
-def _frequent_index(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Number of each word among the frequent ones, -1 for the others."""
-    if not len(frequent):
+def _index(hashes: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Place of each hash among sorted ones, -1 for those not there."""
+    if not len(among):
         return np.full(len(hashes), -1)
-    at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-    return np.where(frequent[at] == hashes, at, -1)
+    at = np.minimum(np.searchsorted(among, hashes), len(among) - 1)
+    return np.where(among[at] == hashes, at, -1)
+
+
+def _pair_keys(histories: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(mix(histories) * _U(0x9E3779B97F4A7C15) + words)
+
+
+def _word_bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (hashes % _U(buckets)).astype(np.int64)
+
+
+def _block_pairs(sizes: np.ndarray, tokens: np.ndarray, width: int):
+    """Distinct pairs of a block: index of the history (``width`` for the start of a text) and of the word, and the pair at each token."""
+    before = np.r_[np.int64(width), tokens[:-1]]
+    before[np.cumsum(sizes) - sizes] = width
+    codes, inverse = np.unique(before[: len(tokens)] * width + tokens, return_inverse=True)
+    return codes // width, codes % width, inverse
+
+
+def _bytes(df: DataFrame) -> int:
+    return df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
 def _each_block(batches, column: int = 0):
@@ -157,18 +189,27 @@ def _each_block(batches, column: int = 0):
             yield batch.slice(a, b - a), texts.slice(a, b - a)
 
 
+def _at_least(words: DataFrame, least: float, columns: list[str]) -> list[np.ndarray]:
+    """Hashes (sorted) and columns of the words of a count of at least ``least``, and of the start of a text."""
+    zipped = F.filter(F.arrays_zip("keys", *columns), lambda x: (x["counts"] >= least) | (x["keys"] == F.lit(int(START.astype(np.int64)))))
+    found = words.select(F.explode(zipped).alias("x")).select("x.*").collect()
+    hashes = np.array([r[0] % (1 << 64) for r in found], np.uint64)
+    order = np.argsort(hashes)
+    return [hashes[order], *(np.array([r[k + 1] for r in found])[order] for k in range(len(columns)))]
+
+
 def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Model:
-    """Count words and pairs of frequent words of all training texts, and weigh them."""
+    """Count words and pairs of all training texts, and weigh them."""
     spark = train.sparkSession
-    buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     source = train.select(F.col(text).alias("text"))
+    buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-_bytes(source) // SHARE))
 
     def count_words(batches):
         for _, texts in _each_block(batches):
             _, hashes, tokens = _block_words(texts)
             counts = np.bincount(tokens, minlength=len(hashes))
             hashes, counts = hashes[counts > 0], counts[counts > 0]
-            yield _count_rows(hashes, counts, (hashes % _U(buckets)).astype(np.int64), buckets)
+            yield _count_rows(hashes, counts, _word_bucket(hashes, buckets), buckets)
 
     counted = "bucket int, keys array<long>, counts array<int>"
     words = table(_summed(source.mapInArrow(count_words, counted)), "lm-words")
@@ -181,175 +222,221 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
     unknown = max(taken / tokens, 1 / (tokens + distinct + 1)) if tokens else 1.0
     scale = (1 - unknown) / (1 - taken / tokens) if tokens > taken else 1.0
 
-    # By arithmetic at most 1 / FREQUENT words reach this share.
-    least = max(1, FREQUENT * tokens)
-    found = words.select(F.explode(F.arrays_zip("keys", "counts")).alias("x")).where(F.col("x.counts") >= least).select("x.keys", "x.counts").collect()
-    found.sort(key=lambda r: r[0] % (1 << 64))
-    frequent = np.array([r[0] % (1 << 64) for r in found], np.uint64)
-    frequent_counts = np.array([r[1] for r in found], np.int64)
-    model = Model(words, words, buckets, tokens, distinct, discount, scale, unknown, frequent, frequent_counts, np.zeros(len(frequent) + 1))
-
-    width = len(frequent) + 1
-    known = spark.sparkContext.broadcast(frequent)
+    # By arithmetic at most 1 / COMMON words reach this share.
+    least = max(1, COMMON * tokens)
+    common, common_counts = _at_least(words, least, ["counts"])
+    frequent = _at_least(words, max(1, FREQUENT * tokens), ["counts"])[0] if FREQUENT else np.zeros(0, np.uint64)
+    model = Model(words, words, buckets, tokens, distinct, discount, scale, unknown, frequent=frequent)
+    word_log = _alone(model).word_log
+    chosen = bool(FREQUENT)
+    known = spark.sparkContext.broadcast((frequent, common, common_counts))
 
     def count_pairs(batches):
+        frequent, common, _ = known.value
         for _, texts in _each_block(batches):
             sizes, hashes, tokens = _block_words(texts)
-            numbers = _frequent_index(hashes, known.value)[tokens]
-            before = _before(numbers, sizes, width - 1)
-            both = (numbers >= 0) & (before >= 0)
-            keys, counts = np.unique(before[both] * width + numbers[both], return_counts=True)
-            yield _count_rows(keys, counts, _pair_bucket(keys, width, buckets), buckets)
-
-    pairs = table(_summed(source.mapInArrow(count_pairs, counted)), "lm-pair-counts")
-    facts = pairs.agg(*seen).first()
+            history, word, inverse = _block_pairs(sizes, tokens, len(hashes))
+            counts = np.bincount(inverse, minlength=len(word))
+            hashes = np.r_[hashes, START]
+            if chosen:
+                may = _index(hashes, frequent) >= 0
+                may[-1] = True
+                keep = may[history] & may[word]
+                history, word, counts = history[keep], word[keep], counts[keep]
+            history, word = hashes[history], hashes[word]
+            bucket = np.where(_index(word, common) < 0, _word_bucket(word, buckets), _word_bucket(_pair_keys(history, word), buckets))
+            # By history within a bucket, which packs well.
+            order = np.lexsort((history, bucket))
+            starts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            full = np.flatnonzero(np.diff(starts))
+            bounds = np.r_[starts[full], starts[-1]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full.astype(np.int32)), _lists(history[order].view(np.int64), bounds, pa.int64()), _lists(word[order].view(np.int64), bounds, pa.int64()), _lists(counts[order], bounds, pa.int64())],
+                ["bucket", "histories", "keys", "counts"],
+            )
+
+    def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        """Totals of the pairs of a bucket (part 1), and what each history has in it (part 2)."""
+        _, common, common_counts = known.value
+        stored = frame["histories"].isna()
+        columns = ["part", "bucket", "keys", "counts", "seen", "lower"]
+        if stored.all():
+            return pd.DataFrame([], columns=columns)
+        here = np.concatenate([*frame.loc[stored, "keys"], np.zeros(0, np.int64)]).view(np.uint64)
+        here_counts = np.concatenate([*frame.loc[stored, "counts"], np.zeros(0, np.int64)])
+        order = np.argsort(here)
+        here, here_counts = here[order], here_counts[order]
+        history = np.concatenate(frame.loc[~stored, "histories"].to_list()).view(np.uint64)
+        word = np.concatenate(frame.loc[~stored, "keys"].to_list()).view(np.uint64)
+        keys, first, inverse = np.unique(_pair_keys(history, word), return_index=True, return_inverse=True)
+        counts = np.bincount(inverse, np.concatenate(frame.loc[~stored, "counts"].to_list()), minlength=len(keys)).astype(np.int64)
+        history, word = history[first], word[first]
+        at, rare = _index(word, common), _index(word, here)
+        of = np.zeros(len(word), np.int64)
+        of[at >= 0] = common_counts[at[at >= 0]]
+        of[at < 0] = here_counts[rare[at < 0]]
+        out = []
+        order, starts, _ = _deal(_word_bucket(keys, buckets), buckets, keys)
+        for b in np.flatnonzero(np.diff(starts)):
+            for i in range(starts[b], starts[b + 1], CHUNK):
+                span = order[i : min(i + CHUNK, starts[b + 1])]
+                c = counts[span]
+                out.append((1, int(b), keys[span].view(np.int64), c, np.bincount(np.minimum(c, REACH + 2), minlength=REACH + 3)[1 : REACH + 2], None))
+        # Of each history: pairs seen 1 to REACH times, occurrences in the others, and the sum of p(w).
+        owners, owner = np.unique(history, return_inverse=True)
+        low = counts <= REACH
+        several = np.bincount(owner[low] * (REACH + 1) + counts[low] - 1, minlength=len(owners) * (REACH + 1)).reshape(-1, REACH + 1).astype(np.int64)
+        several[:, REACH] = np.bincount(owner[~low], counts[~low], minlength=len(owners))
+        lower = np.bincount(owner, 10 ** word_log(of), minlength=len(owners))
+        order, starts, _ = _deal(_word_bucket(owners, buckets), buckets, owners)
+        for b in np.flatnonzero(np.diff(starts)):
+            span = order[starts[b] : starts[b + 1]]
+            out.append((2, int(b), owners[span].view(np.int64), several[span].ravel(), None, lower[span]))
+        return pd.DataFrame(out, columns=columns)
+
+    none = F.lit(None)
+    listed = words.select("bucket", none.cast("array<long>").alias("histories"), "keys", "counts")
+    both = source.mapInArrow(count_pairs, "bucket int, histories array<long>, keys array<long>, counts array<long>").unionByName(listed)
+    merged = table(both.groupBy("bucket").applyInPandas(merge, "part int, bucket int, keys array<long>, counts array<long>, seen array<long>, lower array<double>"), "lm-pairs")
+    facts = merged.where("part = 1").agg(*seen).first()
     pair_discount = good_turing(np.array([facts[f"n{r}"] or 0 for r in range(1, REACH + 2)], float))
     # After a word come as many tokens as the word has; after the start, as many as there are texts.
-    starts = int(frequent_counts[np.flatnonzero(frequent == END)].sum())
-    if not starts and tokens:
-        starts = words.select(F.explode(F.arrays_zip("keys", "counts")).alias("x")).where(F.col("x.keys") == int(END.astype(np.int64))).agg(F.sum("x.counts")).first()[0] or 0
-    history = spark.sparkContext.broadcast((np.r_[frequent_counts, starts], model.word_log(frequent_counts)))
+    ends = words.where(F.col("bucket") == int(END % _U(buckets))).select(F.explode(F.arrays_zip("keys", "counts")).alias("x"))
+    starts = (ends.where(F.col("x.keys") == int(END.astype(np.int64))).agg(F.sum("x.counts")).first()[0] or 0) if tokens else 0
 
     def weigh(frame: pd.DataFrame) -> pd.DataFrame:
-        totals, logs = history.value
-        keys = np.concatenate(frame["keys"].to_list())
-        counts = np.concatenate(frame["counts"].to_list())
-        context, word = keys // width, keys % width
-        kept = counts * np.where(counts <= REACH, pair_discount[np.minimum(counts, REACH)], 1.0)
-        mass = np.bincount(context, kept, minlength=width)
+        """Words of a bucket with the log10 backoff weight after each and the scale of its discounted pairs."""
+        own = frame["lower"].isna()
+        bucket = int(frame["bucket"].iloc[0])
+        keys = np.concatenate([*frame.loc[own, "keys"], np.zeros(0, np.int64)])
+        totals = np.concatenate([*frame.loc[own, "counts"], np.zeros(0, np.int64)])
+        if bucket == int(START % _U(buckets)):
+            keys, totals = np.r_[keys, START.astype(np.int64)], np.r_[totals, starts]
+        order = np.argsort(keys)
+        keys, totals = keys[order], totals[order]
+        history = np.concatenate([*frame.loc[~own, "keys"], np.zeros(0, np.int64)])
+        kept = np.concatenate([*frame.loc[~own, "counts"], np.zeros(0, np.int64)]).reshape(-1, REACH + 1)
+        at = np.searchsorted(keys, history)
+        mass = np.bincount(at, kept @ np.r_[np.arange(1, REACH + 1) * pair_discount[1:], 1.0], minlength=len(keys))
+        lower = np.bincount(at, np.concatenate([*frame.loc[~own, "lower"], np.zeros(0)]), minlength=len(keys))
         most = np.maximum(totals - HALF, 0)
         factor = np.where(mass > most, most / np.maximum(mass, 1e-300), 1.0)
-        left = 1 - mass * factor / np.maximum(totals, 1)
-        lower = 1 - np.bincount(context, 10 ** logs[word], minlength=width)
-        alpha = np.log10(left / lower)
-        gain = np.log10(kept * factor[context] / totals[context]) - alpha[context] - logs[word]
-        here = np.unique(context)
-        out = [(1, int(frame["bucket"].iloc[0]), keys[i : i + CHUNK], gain[i : i + CHUNK]) for i in range(0, len(keys), CHUNK)]
-        out += [(2, int(frame["bucket"].iloc[0]), here, alpha[here])]
-        return pd.DataFrame(out, columns=["part", "bucket", "keys", "value"])
-
-    weighed = table(pairs.groupBy("bucket").applyInPandas(weigh, "part int, bucket int, keys array<long>, value array<double>"), "lm-pairs")
-    for r in weighed.where("part = 2").select("keys", "value").collect():  # at most 1 / FREQUENT numbers in all
-        model.alpha[np.array(r["keys"], np.int64)] = r["value"]
-    model.pairs = weighed.where("part = 1").select("bucket", "keys", F.col("value").alias("gain"))
+        alpha = np.where(mass > 0, np.log10((1 - mass * factor / np.maximum(totals, 1)) / (1 - lower)), 0.0)
+        out = [(bucket, keys[i : i + CHUNK], totals[i : i + CHUNK], alpha[i : i + CHUNK], factor[i : i + CHUNK]) for i in range(0, len(keys), CHUNK)]
+        return pd.DataFrame(out, columns=["bucket", "keys", "counts", "alpha", "factor"])
+
+    parts = words.select("bucket", "keys", "counts", none.cast("array<double>").alias("lower")).unionByName(merged.where("part = 2").select("bucket", "keys", "counts", "lower"))
+    model.words = table(parts.groupBy("bucket").applyInPandas(weigh, "bucket int, keys array<long>, counts array<long>, alpha array<double>, factor array<double>"), "lm-weights")
+    model.pairs, model.pair_discount = merged.where("part = 1").select("bucket", "keys", "counts"), pair_discount
+    model.common, model.common_counts, model.common_alpha, model.common_factor = _at_least(model.words, least, ["counts", "alpha", "factor"])
     return model
 
 
-def _before(numbers: np.ndarray, sizes: np.ndarray, start: int) -> np.ndarray:
-    """Number of the token before each token; ``start`` for the first token of a text."""
-    before = np.r_[np.int64(-1), numbers[:-1]]
-    before[np.cumsum(sizes) - sizes] = start
-    return before
-
-
-def _pair_bucket(keys: np.ndarray, width: int, buckets: int) -> np.ndarray:
-    return (mix((keys // width).astype(np.uint64)) % _U(buckets)).astype(np.int64)
+def _alone(model: Model) -> Model:
+    """The model without its tables, which can be sent to tasks."""
+    return replace(model, words=None, pairs=None)
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, base_score (add-one words) and score (the model) of each text, in log10."""
     spark = docs.sparkSession
-    buckets, width = model.buckets, len(model.frequent) + 1
+    buckets = model.buckets
     total = model.tokens + model.distinct + 1
-    plain = {k: getattr(model, k) for k in ("buckets", "tokens", "distinct", "discount", "scale", "unknown", "frequent", "frequent_counts", "alpha")}
-    shared = spark.sparkContext.broadcast(plain)
-    names = ["kind", "bucket", "block", "keys", "docs", "at", "a", "b"]
+    shared = spark.sparkContext.broadcast(_alone(model))
+    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+    def requests(kind, block, keys):
+        """One row for each bucket: its keys."""
+        order, starts, _ = _deal(_word_bucket(keys, buckets), buckets, keys)
+        full = np.flatnonzero(np.diff(starts))
+        n = len(full)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, kind, np.int32)), pa.array(full.astype(np.int32)), pa.array([block] * n, pa.string()), _lists(keys[order].view(np.int64), np.r_[starts[full], starts[-1]], pa.int64())]
+            + [pa.nulls(n, pa.list_(t)) for t in (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64())],
+            _NAMES,
+        )
 
     def ask(batches):
         from pyspark import TaskContext
 
-        m = Model(words=None, pairs=None, **shared.value)
-        logs, bases = m.word_log(m.frequent_counts), np.log10((m.frequent_counts + 1) / total)
+        common = shared.value.common
         part = TaskContext.get().partitionId()
         for number, (rows, texts) in enumerate(_each_block(batches, 1)):
             block = f"{part}-{number}"
             sizes, hashes, tokens = _block_words(texts)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            of = _frequent_index(hashes, m.frequent)
-            numbers = of[tokens]
-            before = _before(numbers, sizes, width - 1)
-            common = numbers >= 0
-            weight = np.where(before >= 0, m.alpha[before], 0.0)
-            weight[common] += logs[numbers[common]]
-            local = np.bincount(owner, weight, minlength=len(sizes))
-            base = np.bincount(owner[common], bases[numbers[common]], minlength=len(sizes))
-            known = np.bincount(owner[common], minlength=len(sizes))
-            # What this block knows of its texts itself: kind 0, in the order of its rows.
-            ids = pc.fill_null(rows.column(0), _NO_ID)
+            history, word, _ = _block_pairs(sizes, tokens, len(hashes))
+            # What waits for the answers: kind 0, the ids and then the hashes.
+            ids = pc.fill_null(rows.column(0), _NO_ID).to_numpy()
             one = lambda values, kind: pa.array([values], pa.list_(kind))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([0], pa.int32()), pa.array([number], pa.int32()), pa.array([block]), one(ids.to_numpy(), pa.int64()), one(known.astype(np.int32), pa.int32()), one(sizes.astype(np.int32), pa.int32()), one(local, pa.float64()), one(base, pa.float64())],
-                names,
-            )
-            rare = np.flatnonzero((of < 0) & (np.bincount(tokens, minlength=len(hashes)) > 0))
-            where = np.full(len(hashes), -1)
-            where[rare] = np.arange(len(rare))
-            spots = np.flatnonzero(~common)
-            yield _requests(1, block, hashes[rare].view(np.int64), (hashes[rare] % _U(buckets)).astype(np.int64), owner[spots], where[tokens[spots]])
-            both = np.flatnonzero(common & (before >= 0))
-            keys, inverse = np.unique(before[both] * width + numbers[both], return_inverse=True)
-            yield _requests(2, block, keys, _pair_bucket(keys, width, buckets), owner[both], inverse)
-
-    def _requests(kind, block, keys, bucket, owner, index):
-        """One row for each bucket: its keys, and the text and key of each place where one stands."""
-        order, starts, place = _deal(bucket, buckets, keys)
-        full = np.flatnonzero(np.diff(starts))
-        spot = np.argsort(bucket[index], kind="stable")
-        stops = np.searchsorted(bucket[index][spot], np.arange(buckets + 1))
-        bounds, spans = np.r_[starts[full], starts[-1]], np.r_[stops[full], stops[-1]]
-        n = len(full)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(n, kind, np.int32)), pa.array(full.astype(np.int32)), pa.array([block] * n, pa.string()), _lists(keys[order], bounds, pa.int64()),
-                _lists(owner[spot].astype(np.int32), spans, pa.int32()), _lists(place[index[spot]].astype(np.int32), spans, pa.int32()), pa.nulls(n, pa.list_(pa.float64())), pa.nulls(n, pa.list_(pa.float64())),
-            ],
-            names,
-        )
+                [pa.array([0], pa.int32()), pa.array([number], pa.int32()), pa.array([block]), one(np.r_[ids, hashes.view(np.int64)], pa.int64()), one(tokens.astype(np.int32), pa.int32()), one(sizes.astype(np.int32), pa.int32())]
+                + [pa.nulls(1, pa.list_(t)) for t in (pa.int64(), pa.float64(), pa.float64())],
+                _NAMES,
+            )
+            yield requests(1, block, hashes[_index(hashes, common) < 0])
+            named = np.r_[hashes, START]
+            yield requests(2, block, _pair_keys(named[history], named[word]))
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         kind = frame["kind"].iloc[0]
         if kind == 0:
-            return frame
+            return frame[_NAMES]
         stored = frame["block"].isna()
         keys = np.concatenate([*frame.loc[stored, "keys"], np.zeros(0, np.int64)])
-        values = np.concatenate([*frame.loc[stored, "a"], np.zeros(0)])
         order = np.argsort(keys)
-        keys, values = keys[order], values[order]
-        m = Model(words=None, pairs=None, **shared.value)
+        keys = keys[order]
+        columns = ["counts", "a", "b"] if kind == 1 else ["counts"]
+        values = [np.r_[np.concatenate([*frame.loc[stored, c], np.zeros(0)])[order], 0.0] for c in columns]
         out = []
         for r in frame[~stored].itertuples(index=False):
-            at = np.minimum(np.searchsorted(keys, r.keys), max(0, len(keys) - 1))
-            hit = keys[at] == r.keys if len(keys) else np.zeros(len(r.keys), bool)
-            got = values[at] * hit if len(keys) else np.zeros(len(r.keys))
-            texts, place = np.unique(r.docs, return_inverse=True)
-            if kind == 1:
-                gain = np.bincount(place, m.word_log(got.astype(np.int64))[r.at], minlength=len(texts))
-                base = np.bincount(place, np.log10((got + 1) / total)[r.at], minlength=len(texts))
-                known = np.bincount(place, hit[r.at], minlength=len(texts)).astype(np.int32)
-            else:
-                gain = np.bincount(place, got[r.at], minlength=len(texts))
-                keep = gain != 0
-                texts, gain = texts[keep], gain[keep]
-                base, known = np.zeros(0), np.zeros(0, np.int32)
-            out.append((kind, r.bucket, r.block, np.zeros(0, np.int64), texts.astype(np.int32), known, gain, base))
-        return pd.DataFrame(out, columns=names)
+            at = _index(np.asarray(r.keys), keys)  # -1 takes the 0 at the end
+            got = [v[at] for v in values]
+            out.append((kind, r.bucket, r.block, None, None, None, got[0].astype(np.int64), *(got[1:] or (None, None))))
+        return pd.DataFrame(out, columns=_NAMES)
 
     def finish(frame: pd.DataFrame) -> pd.DataFrame:
+        m = shared.value
         own = frame[frame["kind"] == 0].iloc[0]
-        score, base, known = np.array(own["a"]), np.array(own["b"]), np.array(own["docs"], np.int64)
-        for r in frame[frame["kind"] > 0].itertuples(index=False):
-            score[r.docs] += r.a
-            if r.kind == 1:
-                base[r.docs] += r.b
-                known[r.docs] += r.at
-        ids = pd.array(own["keys"], dtype="Int64")
-        ids[np.array(own["keys"]) == _NO_ID] = pd.NA
-        return pd.DataFrame({"doc_id": ids, "n_tokens": np.array(own["at"], np.int64), "n_known": known, "base_score": base, "score": score})
+        sizes, tokens = np.asarray(own["sizes"], np.int64), np.asarray(own["tokens"], np.int64)
+        ids, hashes = np.asarray(own["keys"])[: len(sizes)], np.asarray(own["keys"])[len(sizes) :].view(np.uint64)
+        history, word, inverse = _block_pairs(sizes, tokens, len(hashes))
+        replies = {kind: frame[frame["kind"] == kind].sort_values("bucket") for kind in (1, 2)}
+
+        def replied(kind, column, keys):
+            """Answers in the order of the keys."""
+            out = np.zeros(len(keys))
+            if len(keys):
+                out[_deal(_word_bucket(keys, buckets), buckets, keys)[0]] = np.concatenate(replies[kind][column].to_list())
+            return out
+
+        named = np.r_[hashes, START]
+        at = _index(named, m.common)
+        rare = np.flatnonzero(at[:-1] < 0)
+        facts = []
+        for column, mine in (("counts", m.common_counts), ("a", m.common_alpha), ("b", m.common_factor)):
+            values = np.zeros(len(named))
+            values[at >= 0] = mine[at[at >= 0]]
+            values[rare] = replied(1, column, hashes[rare])
+            facts.append(values)
+        counts, alpha, factor = facts
+        pair = replied(2, "counts", _pair_keys(named[history], named[word]))
+        discounted = pair * np.where(pair <= REACH, m.pair_discount[np.minimum(pair, REACH).astype(np.int64)], 1.0)
+        logs = m.word_log(counts.astype(np.int64))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            of_pair = np.where(pair > 0, np.log10(discounted * factor[history] / counts[history]), alpha[history] + logs[word])
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        score = np.bincount(owner, of_pair[inverse], minlength=len(sizes))
+        base = np.bincount(owner, np.log10((counts + 1) / total)[tokens], minlength=len(sizes))
+        n_known = np.bincount(owner, (counts > 0)[tokens], minlength=len(sizes)).astype(np.int64)
+        shown = pd.array(ids, dtype="Int64")
+        shown[ids == _NO_ID] = pd.NA
+        return pd.DataFrame({"doc_id": shown, "n_tokens": sizes, "n_known": n_known, "base_score": base, "score": score})
 
     none = F.lit(None)
-    stored = model.words.select(F.lit(1).alias("kind"), "bucket", none.cast("string").alias("block"), "keys", none.cast("array<int>").alias("docs"), none.cast("array<int>").alias("at"), F.col("counts").cast("array<double>").alias("a"), none.cast("array<double>").alias("b"))
-    stored = stored.unionByName(model.pairs.select(F.lit(2).alias("kind"), "bucket", none.cast("string").alias("block"), "keys", none.cast("array<int>").alias("docs"), none.cast("array<int>").alias("at"), F.col("gain").alias("a"), none.cast("array<double>").alias("b")))
-    asked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(ask, _KEYED)
+    blank = [none.cast("string").alias("block"), none.cast("array<int>").alias("tokens"), none.cast("array<int>").alias("sizes")]
+    stored = model.words.select(F.lit(1).alias("kind"), "bucket", *blank, "keys", "counts", F.col("alpha").alias("a"), F.col("factor").alias("b"))
+    stored = stored.unionByName(model.pairs.select(F.lit(2).alias("kind"), "bucket", *blank, "keys", "counts", none.cast("array<double>").alias("a"), none.cast("array<double>").alias("b")))
+    asked = source.mapInArrow(ask, _KEYED)
     # Kind 0 rows go by their block, the others by their bucket.
     dealt = F.when(F.col("kind") == 0, F.col("block")).otherwise(F.col("bucket").cast("string"))
     answered = stored.unionByName(asked).groupBy("kind", dealt.alias("dealt")).applyInPandas(answer, _KEYED)

@@ -181,6 +181,21 @@ def test_language_model_brute_force(spark, monkeypatch):
         assert sum(p2.get((h, w), alpha[h] * p1[w]) for w in p1) + alpha[h] * unknown == pytest.approx(1)
 
 
+def test_language_model_counts_all_pairs(spark, monkeypatch):
+    """Pairs of words that are rare in a training table of over 100,000 tokens count like any other; words that are not broadcast too."""
+    monkeypatch.setattr(lm, "COMMON", 1e-3, raising=False)
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 900) % 20_000) + (f" ada{i // 9} lovelace{i // 9}" * 2)) for i in range(140)]
+    model, got = _scores(spark, rows)
+    monkeypatch.setattr(lm, "FREQUENT", 0.0)
+    ones, n, v, p1, unknown, p2, alpha = _brute_model([t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2])
+    assert n > 100_000 and model.pairs.agg(F.sum(F.size("keys"))).first()[0] == len(p2)
+    for i, t in rows:
+        tokens = [*_words(t), None]
+        score = sum(math.log10(p2[h, w] if (h, w) in p2 else alpha.get(h, 1.0) * p1.get(w, unknown)) for h, w in zip(["<s>", *tokens[:-1]], tokens, strict=True))
+        assert got[i]["score"] == pytest.approx(score, rel=1e-9)
+
+
 def test_language_model_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     model = lm.fit(empty, buckets=3)
