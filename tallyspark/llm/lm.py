@@ -12,7 +12,8 @@ one unknown word:
 All pairs of the training texts are counted, by the 64-bit hashes of both words. Words and pairs stay in
 tables that are dealt by hash into buckets, as many as the input needs, and are looked up there: a block of
 texts sends each bucket its distinct keys, each once, and gets back what is stored of them; its tokens wait
-for the answers in a row of their own. So neither a frequent word nor a frequent pair makes a bucket large.
+for the answers in a row of their own. So neither a frequent word nor a frequent pair makes a bucket large;
+where more texts are scored than were learned from, the blocks that ask one bucket are salted.
 The words that make up at least the share COMMON of the training tokens are also broadcast, to save
 requests; by arithmetic there are at most 1 / COMMON. A pair is counted in the bucket of its second word
 where that is not common (such a word has few pairs), or else in the bucket of the pair.
@@ -436,8 +437,10 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
     blank = [none.cast("string").alias("block"), none.cast("array<int>").alias("tokens"), none.cast("array<int>").alias("sizes")]
     stored = model.words.select(F.lit(1).alias("kind"), "bucket", *blank, "keys", "counts", F.col("alpha").alias("a"), F.col("factor").alias("b"))
     stored = stored.unionByName(model.pairs.select(F.lit(2).alias("kind"), "bucket", *blank, "keys", "counts", none.cast("array<double>").alias("a"), none.cast("array<double>").alias("b")))
-    asked = source.mapInArrow(ask, _KEYED)
-    # Kind 0 rows go by their block, the others by their bucket.
-    dealt = F.when(F.col("kind") == 0, F.col("block")).otherwise(F.col("bucket").cast("string"))
+    salts = max(1, -(-_bytes(source) // (buckets * SHARE)))
+    stored = stored.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    asked = source.mapInArrow(ask, _KEYED).withColumn("salt", (F.crc32(F.col("block").cast("binary")) % salts).cast("int"))
+    # Kind 0 rows go by their block, the others by their bucket and the salt of the block.
+    dealt = F.when(F.col("kind") == 0, F.col("block")).otherwise(F.concat_ws("-", "bucket", "salt"))
     answered = stored.unionByName(asked).groupBy("kind", dealt.alias("dealt")).applyInPandas(answer, _KEYED)
     return answered.groupBy("block").applyInPandas(finish, "doc_id long, n_tokens long, n_known long, base_score double, score double")

@@ -196,6 +196,28 @@ def test_language_model_counts_all_pairs(spark, monkeypatch):
         assert got[i]["score"] == pytest.approx(score, rel=1e-9)
 
 
+def test_language_model_spreads_a_hot_word(spark, monkeypatch):
+    """A word that is a third of all tokens makes no group of requests large, and groups do not grow with the texts."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(lm, "BLOCK", 1 << 15)
+    monkeypatch.setattr(lm, "SHARE", 1 << 15, raising=False)
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"hot w{a} w{b}" for a, b in rng.integers(0, 3000, (150, 2)))) for i in range(200)]
+    grouped, group_by = [], DataFrame.groupBy
+    monkeypatch.setattr(DataFrame, "groupBy", lambda df, *keys: (grouped.append((df, keys)) if "kind" in df.columns and "kind" in keys else None) or group_by(df, *keys))
+    _, got = _scores(spark, rows)
+    df, keys = grouped[-1]
+    sent = sum((F.greatest(F.size(c), F.lit(0)) for c, kind in df.dtypes if kind.startswith("array")), F.lit(0))
+    sizes = [r["n"] for r in group_by(df.where("kind = 2 and block is not null"), *keys).agg(F.sum(sent).alias("n")).collect()]
+    assert max(sizes) < 2.5 * np.mean(sizes) and max(sizes) < 20_000
+    ones, n, v, p1, unknown, p2, alpha = _brute_model([t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2])
+    for i, t in rows[:40]:
+        tokens = [*_words(t), None]
+        score = sum(math.log10(p2[h, w] if (h, w) in p2 else alpha.get(h, 1.0) * p1.get(w, unknown)) for h, w in zip(["<s>", *tokens[:-1]], tokens, strict=True))
+        assert got[i]["score"] == pytest.approx(score, rel=1e-9)
+
+
 def test_language_model_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     model = lm.fit(empty, buckets=3)
