@@ -157,10 +157,13 @@ def droppable_versions(versions: DataFrame, publications: DataFrame, now: Column
     """Versions (table, version) that no protected publication names.
 
     Protected are, per pipeline, the head, the last ``last`` publications and those of the last ``days`` days.
-    ``publications`` has pipeline, sequence, published_at, table and version.
+    ``publications`` has pipeline, sequence, published_at, table and version. Ranks are a filter of their own,
+    so that each task sends only its last publications of a pipeline (up to the session's
+    windowGroupLimitThreshold of 1,000), however many the pipeline has.
     """
     documents = publications.select("pipeline", "sequence", "published_at").distinct()
-    recent = F.row_number().over(Window.partitionBy("pipeline").orderBy(F.col("sequence").desc())) <= last
-    kept = documents.withColumn("keep", recent | (F.col("published_at") >= now - F.make_dt_interval(days=F.lit(days)))).where("keep")
+    place = F.row_number().over(Window.partitionBy("pipeline").orderBy(F.col("sequence").desc()))
+    recent = documents.withColumn("_place", place).where(F.col("_place") <= last).drop("_place")
+    kept = recent.unionByName(documents.where(F.col("published_at") >= now - F.make_dt_interval(days=F.lit(days))))
     named = publications.join(kept.select("pipeline", "sequence"), ["pipeline", "sequence"], "left_semi").select("table", "version").distinct()
     return versions.join(named, ["table", "version"], "left_anti")
