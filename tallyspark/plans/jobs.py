@@ -102,10 +102,26 @@ class PurchaseAnalytics:
         return self.publications.frames(self.publications.head(PIPELINE))
 
 
+def accepted_by_range(bronze: DataFrame, bounds: list[int]) -> DataFrame:
+    """The state of each order when batches arrive in ranges that end at ``bounds``: faults withhold an order in their range only.
+
+    A later range replaces an order by a higher version only, so of equal versions the earliest range stays.
+    """
+    found = None
+    for low, high in zip([0, *bounds[:-1]], bounds, strict=True):
+        changes = purchases.purchase_changes(bronze.where((F.col("batch_id") > low) & (F.col("batch_id") <= high)))
+        newest = purchases.latest_purchases(purchases.accepted_purchases(changes)).withColumn("_range", F.lit(high))
+        found = newest if found is None else found.unionByName(newest)
+    return purchases.latest(found, ["order_key"], [F.col("version"), -F.col("_range")]).drop("_range")
+
+
 def full_marts(bronze: DataFrame, as_of: date) -> dict[str, DataFrame]:
     """The marts recomputed from all snapshot events."""
-    changes = purchases.purchase_changes(bronze)
-    orders = purchases.latest_purchases(purchases.accepted_purchases(changes))
+    return marts_of(purchases.latest_purchases(purchases.accepted_purchases(purchases.purchase_changes(bronze))), as_of)
+
+
+def marts_of(orders: DataFrame, as_of: date) -> dict[str, DataFrame]:
+    """The marts of the accepted state of all orders."""
     items = purchases.purchase_items(orders)
     daily = marts.customer_daily(items)
     return {

@@ -161,6 +161,23 @@ def test_incremental_runs(spark, tmp_path):
         assert versions.same_rows(full[name], frames[name]), name
 
 
+def test_incremental_equals_full_by_range(spark, tmp_path):
+    """An order that is faulty or clashing in one range and right in another is compared too."""
+    rows = [snapshot("1"), snapshot("2", currency="x"), snapshot("3"), snapshot("3", event="other", country="FR"), snapshot("4"), snapshot("5")]
+    rows += [snapshot("1", version=2, batch=2, currency="x"), snapshot("2", version=2, batch=2), snapshot("3", version=2, batch=2), snapshot("4", event="late", batch=2, country="FR")]
+    store = Store(spark, str(tmp_path))
+    bronze = store.write(spark.createDataFrame(rows, BRONZE), "raw", 1)
+    work = jobs.PurchaseAnalytics(store, bronze, spark.createDataFrame([(1, "append"), (2, "append")], "batch_id long, op string"))
+    work.build(date(2024, 1, 20), 1)
+    work.build(date(2024, 1, 21), 2)
+    full, frames = jobs.marts_of(jobs.accepted_by_range(bronze, [1, 2]), date(2024, 1, 21)), work.frames()
+    assert sorted((r["order_key"], r["version"], r["country"] == "FR") for r in full["purchase_orders"].collect()) == [
+        ("shop:1", 1, False), ("shop:2", 2, False), ("shop:3", 2, False), ("shop:4", 1, False), ("shop:5", 1, False)
+    ]
+    for name in ("purchase_items", "customer_daily", "customer_profiles", "product_daily", "customer_cohorts"):
+        assert versions.same_rows(full[name], frames[name]), name
+
+
 def test_write_audit_publish(spark, tmp_path):
     store, seen = Store(spark, str(tmp_path)), []
     good = spark.createDataFrame([("a", 1)], "id string, amount long")
