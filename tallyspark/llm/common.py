@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all machines share, from spark.checkpoint.dir.
 
-    Only where the setting is absent (tests on one machine) a folder of our own is made and set.
+    Only where the setting is absent on a local master (tests on one machine) a folder of our own is made and set.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -29,13 +31,19 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def gapless_rank(df: DataFrame, keys: list[str], spread: Column, order: list[Column], name: str, buckets: int = 256) -> DataFrame:
+#: Rows of a key in one bucket of gapless_rank.
+RANKED = 100_000
+
+
+def gapless_rank(df: DataFrame, keys: list[str], spread: Column, order: list[Column], name: str, buckets: int | None = None) -> DataFrame:
     """Number the rows of each key from 0 without gaps, without one task per key.
 
-    A key's rows are dealt by ``spread`` over ``buckets``; the rank is the number of the key's rows in
-    earlier buckets plus the row number within the bucket, so a key that holds a third of all rows is
-    split. Keys must not be null. ``df`` is read twice and must give the same rows both times.
+    A key's rows are dealt by ``spread`` over buckets, as many as the rows need; the rank is the number of
+    the key's rows in earlier buckets plus the row number within the bucket, so a key that holds a third of
+    all rows is split. Keys must not be null. ``df`` is read more than once and must give the same rows each
+    time; rows that agree in ``spread`` share a bucket.
     """
+    buckets = buckets or max(64, -(-df.count() // RANKED))
     dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(spread), F.lit(buckets)).cast("int"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

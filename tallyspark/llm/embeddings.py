@@ -8,11 +8,16 @@ bucket larger than a block is dealt over pairs of its blocks. A pair that meets
 in the first. What leaves a block is one row per vector (its links there, and the smallest vector that it
 is connected to in the block), never the pairs.
 
-Equal vectors are one class and enter once, with their number as weight, so copies are not compared.
+Equal vectors are one class and enter once, with their number as weight, so copies are not compared. The
+buckets are found on class numbers and codes alone. Of buckets with the same members only the first is
+verified, and only then do vectors travel, packed. Vectors of each length are hashed and compared among
+themselves (a cosine needs equal lengths).
 
 Defined results: vectors that are null, empty, all zero, or that hold null or non-finite components link
-with nothing and are kept; so do vectors of a length other than the commonest one in the table. Rows with
-a null id have null component_id, n_links as others, and are kept. An empty table gives an empty result.
+with nothing and are kept. Rows with a null id have null component_id, n_links as others, and are kept;
+they connect others. Rows that repeat an id are rows of their own: each counts the others it links with,
+and component_id is the smallest id of all that are reachable. An empty table gives an empty result.
+Extra columns are not kept.
 """
 
 from __future__ import annotations
@@ -30,8 +35,8 @@ THRESHOLD = 0.95
 MISS = 1e-5
 BLOCK = 1024
 SEED = 20_240_229
-#: Rows of buckets that are verified at a time.
-CHUNK = 16_384
+#: Bits beyond log2 of the number of vectors.
+SPARE = 3
 
 
 def table_count(bits: int, threshold: float = THRESHOLD, miss: float = MISS) -> int:
@@ -91,6 +96,49 @@ def verify_block(ids, weights, vectors, codes, at, side_a, side_b, threshold: fl
     return ids[has], links[has], ids[label[has]]
 
 
+def _classes(source: DataFrame, bits: int, tables: int) -> tuple[DataFrame, str]:
+    """One row for each distinct vector: its keys, a unique number, smallest id, weight, length, and vector and codes packed."""
+    grouped = source.where("ok").groupBy("k1", "k2").agg(F.min("id").alias("low_id"), F.count(F.lit(1)).alias("w"), F.first("v").alias("v"))
+    named = grouped.select(F.monotonically_increasing_id().alias("rep"), "k1", "k2", "low_id", "w", "v")
+    packed = "<u2" if bits <= 16 else "<u4" if bits <= 32 else "<u8"
+
+    def hashed(batches):
+        for batch in batches:
+            lists = batch.column(5)
+            sizes = np.diff(lists.offsets.to_numpy())
+            for width in np.unique(sizes).tolist():
+                at = pa.array(np.flatnonzero(sizes == width))
+                part = batch.take(at)
+                vectors = part.column(5).flatten().to_numpy().reshape(-1, width)
+                codes = sign_codes(vectors, bits, tables)
+                # Values that single precision holds exactly travel as such.
+                single = (vectors.astype("<f4").astype("<f8") == vectors).all(axis=1).tolist()
+                raw = [v.astype("<f4" if s else "<f8").tobytes() for v, s in zip(vectors, single, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(k) for k in range(5)), pa.array(np.full(len(vectors), width, np.int32)), pa.array(raw, pa.binary()), pa.array([c.tobytes() for c in codes.astype(packed)], pa.binary())],
+                    ["rep", "k1", "k2", "low_id", "w", "d", "v", "codes"],
+                )
+
+    return named.mapInArrow(hashed, "rep long, k1 long, k2 long, low_id long, w long, d int, v binary, codes binary"), packed
+
+
+def _met(classes: DataFrame, packed: str) -> DataFrame:
+    """rep, d, t and code of each vector and table."""
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, len(batch), 2048):
+                part = batch.slice(start, 2048)
+                codes = np.frombuffer(b"".join(part.column(2).to_pylist()), packed).astype(np.int64)
+                tables = len(codes) // max(1, len(part))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(part.column(k).to_numpy(), tables)) for k in range(2)] + [pa.array(np.tile(np.arange(tables, dtype=np.int32), len(part))), pa.array(codes)],
+                    ["rep", "d", "t", "code"],
+                )
+
+    return classes.select("rep", "d", "codes").mapInArrow(run, "rep long, d int, t int, code long")
+
+
 def near_duplicates(rows: DataFrame, id_column: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id and kept for each row."""
     spark = rows.sparkSession
@@ -98,38 +146,26 @@ def near_duplicates(rows: DataFrame, id_column: str = "vec_id", vector: str = "e
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = F.col("v").isNotNull() & (F.size("v") > 0) & ~bad & F.exists("v", lambda x: x != 0)
     source = source.withColumn("ok", F.coalesce(good, F.lit(False)))
-    # Equal vectors have equal keys; 0.0 and -0.0 are equal.
-    source = source.withColumn("key", F.when(F.col("ok"), F.sha2(F.concat_ws(",", F.transform("v", lambda x: (x + F.lit(0.0)).cast("string"))), 256)))
-    source = table(source, "vectors")
-    shape = source.where("ok").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if shape is None:
-        return source.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    width = shape["d"]
-    classes = source.where(F.col("ok") & (F.size("v") == width)).groupBy("key").agg(
-        F.coalesce(F.min("id"), F.lit(-(2**63)).cast("long")).alias("rep"), F.count(F.lit(1)).alias("w"), F.first("v").alias("v")
-    )
+    # Equal vectors have equal keys; 0.0 and -0.0 are equal. Others are dealt by their id.
+    source = source.withColumn("v", F.when(F.col("ok"), F.transform("v", lambda x: x + F.lit(0.0))))
+    source = source.withColumn("k1", F.when(F.col("ok"), F.xxhash64("v")).otherwise(F.xxhash64("id")))
+    source = table(source.withColumn("k2", F.when(F.col("ok"), F.xxhash64(F.lit("second"), "v", F.reverse("v"))).otherwise(0)), "vectors")
     count = source.where("ok").count()
-    bits = max(4, min(60, ceil(log2(max(2, count))) + 2))
-    tables = table_count(bits, threshold)
-
-    def hashed(batches):
-        for batch in batches:
-            vectors = batch.column(3).flatten().to_numpy().reshape(-1, width)
-            codes = sign_codes(vectors, bits, tables)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(codes.reshape(-1)), tables).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["key", "rep", "w", "v", "codes"])
-
-    classes = table(classes.mapInArrow(hashed, "key string, rep long, w long, v array<double>, codes array<long>"), "classes")
-    met = classes.select("rep", F.posexplode("codes").alias("t", "code"))
-    sizes = met.groupBy("t", "code").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    bits = max(4, min(60, ceil(log2(max(2, count))) + SPARE))
+    classes, packed = _classes(source, bits, table_count(bits, threshold))
+    classes = table(classes, "classes")
+    met = _met(classes, packed)
+    # Buckets with the same members are known by the mixed hashes of these; the first of them is verified.
+    sizes = met.groupBy("d", "t", "code").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y")).where("c > 1")
+    first = F.min(F.struct("t", "code"))
+    sizes = sizes.groupBy("d", "c", "x", "y").agg(first.alias("at")).select("d", "c", "at.*")
     cells = F.ceil(F.col("c") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("cells")).cast("int")
-    members = met.join(sizes, ["t", "code"]).withColumn("cells", cells).withColumn("own", own).select(
-        "rep", "t", "code", "own", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other")
-    )
-    members = members.select("rep", "t", "code", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    block_key = ["t", "code", "low", "high"]
-    placed = members.join(classes.select("rep", "w", "v", "codes"), "rep").select(F.xxhash64(*block_key).alias("block"), *block_key, "own", "rep", "w", "v", "codes")
+    members = met.join(sizes, ["d", "t", "code"]).withColumn("cells", cells).withColumn("own", own)
+    members = members.select("rep", "d", "t", "code", "own", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other"))
+    members = members.select("rep", "d", "t", "code", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    block_key = ["d", "t", "code", "low", "high"]
+    placed = members.join(classes.select("rep", "w", "v", "codes"), "rep").select(*block_key, "own", "rep", "w", "v", "codes")
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     placed = placed.repartition(parts, *block_key).sortWithinPartitions(*block_key)
 
@@ -152,26 +188,38 @@ def near_duplicates(rows: DataFrame, id_column: str = "vec_id", vector: str = "e
             change[1:] |= c[1:] != c[:-1]
         return np.cumsum(change)
 
+    def _unpacked(raw: list[bytes], width: int) -> np.ndarray:
+        out = np.empty((len(raw), width))
+        single = np.array([len(x) == 4 * width for x in raw])
+        for mask, kind in ((single, "<f4"), (~single, "<f8")):
+            if mask.any():
+                out[mask] = np.frombuffer(b"".join([raw[i] for i in np.flatnonzero(mask).tolist()]), kind).reshape(-1, width)
+        return out
+
     def _verify(t: pa.Table, key: np.ndarray):
-        t = t.combine_chunks()
-        at, low, high, own, rep, w = (t.column(c).to_numpy() for c in ("t", "low", "high", "own", "rep", "w"))
-        flat = lambda c, n: t.column(c).chunk(0).flatten().to_numpy().reshape(-1, n)
-        vectors, codes = flat("v", width), flat("codes", tables)
+        width, at, low, high, own, rep, w = (t.column(c).to_numpy() for c in ("d", "t", "low", "high", "own", "rep", "w"))
         bounds = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
-        found = [verify_block(rep[a:b], w[a:b], vectors[a:b], codes[a:b], int(at[a]), own[a:b] == low[a:b], own[a:b] == high[a:b], threshold) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        found = []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            part = t.slice(a, b - a)
+            vectors = _unpacked(part.column("v").to_pylist(), int(width[a]))
+            codes = np.frombuffer(b"".join(part.column("codes").to_pylist()), packed).reshape(b - a, -1)
+            found.append(verify_block(rep[a:b], w[a:b], vectors, codes, int(at[a]), own[a:b] == low[a:b], own[a:b] == high[a:b], threshold))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[k] for f in found])) for k in range(3)], ["rep", "links", "low"])
 
     links = table(placed.mapInArrow(verified, "rep long, links long, low long"), "links")
     degree = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    label = components(links.select(F.col("rep").alias("src"), F.col("low").alias("dst")))
-    found = classes.select("key", "rep", "w").join(degree, "rep", "left").join(label, F.col("rep") == F.col("node"), "left").select(
-        "key", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("component_id")
-    )
+    label = components(links.select(F.col("rep").alias("src"), F.col("low").alias("dst"))).withColumnRenamed("node", "rep")
+    found = classes.select("k1", "k2", "rep", "w", "low_id").join(degree, "rep", "left").join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    found = table(found.select("k1", "k2", "component", "low_id", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "found")
+    # Classes are numbered, so the smallest id of a component is looked up.
+    lowest = found.groupBy("component").agg(F.min("low_id").alias("component_id"))
+    found = found.join(lowest, "component").select("k1", "k2", "links", "component_id")
     return (
-        source.select("id", "key").join(found, "key", "left")
+        source.select("id", "ok", "k1", "k2").join(found, ["k1", "k2"], "left")
         .select(
-            F.col("id").alias("vec_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-            F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
+            F.col("id").alias("vec_id"), F.when(F.col("ok"), F.col("links")).otherwise(0).cast("long").alias("n_links"),
+            F.when(F.col("id").isNotNull(), F.when(F.col("ok"), F.col("component_id")).otherwise(F.col("id"))).alias("component_id"),
         )
         .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
     )

@@ -5,16 +5,17 @@ every element is hashed to one of T bins with a value, and in T further rounds e
 bin of the round; a bin keeps its least (round, value), and a text is done once all its bins are filled.
 Documents that agree on all rows of a band meet in a bucket, and what meets is verified on full sets.
 
-Equal sets are one class, and only the smallest id of a class goes on. A bucket's members are first
-compared with the one that meets most others; then those that are still in different components are
-compared pair by pair within blocks of a bucket, and a block gives back only links that connect. Pairs
-within a component need no comparison, so groups of near copies cost little, and no link that joins
-two components is lost. The chance that a pair at the threshold shares no bucket is under 1e-5.
+Equal sets are one class, named by a number of its own. A bucket's members are first compared with the one
+that meets most others; then those outside the bucket's largest component are compared with all members,
+in blocks, and a block gives back only links that connect. Pairs within a component need no comparison,
+so groups of near copies cost little, and no link that joins two components is lost. The chance that a
+pair at the threshold shares no bucket is under 1e-5.
 
 Defined results: a null or empty text, or one without words, has an empty set, links with nothing and is
 kept; a text of fewer words than a shingle has its whole sequence as its one shingle. Texts with equal
-sets are linked. Rows with a null id take no part: their component_id is null and they are kept.
-Repeated rows are copies of each other. Extra columns are not kept.
+sets are linked. Rows with a null id take no part: their component_id is null and they are kept. Rows that
+repeat an id are rows of their own, each with the links of its text; component_id is the smallest id of all
+that are reachable. Ids may be of any type that can be ordered. Extra columns are not kept.
 """
 
 from __future__ import annotations
@@ -32,8 +33,11 @@ BANDS, ROWS = 30, 5
 BLOCK = 6 << 20
 #: Members and set items of a cell of a bucket.
 CELL, ITEMS = 512, 1_000_000
-#: Bits of the filter by which rows that are no candidates are skipped when sets are made again.
-FILTER_BITS = 1 << 23
+#: Bits for each candidate, and least and most bits, of the filter by which other rows are skipped when sets are
+#: made again. The most are 128 MB; beyond that the filter lets more rows through, which the join then drops.
+FILTER_BITS, FILTER_LEAST, FILTER_MOST = 8, 1 << 20, 1 << 30
+#: Comparisons with one member that a task makes with one copy of its set.
+HUB = 20_000
 _U = np.uint64
 
 
@@ -96,6 +100,14 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
+def _digests(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """Sizes and two 64-bit halves of a digest of each set."""
+    n = np.fromiter(map(len, sets), np.int64, len(sets))
+    high = np.array([mix(s + _U(0x51ED270B)).sum(dtype=np.uint64) for s in sets], np.uint64).astype(np.int64)
+    low = np.array([mix(s ^ _U(0x2545F4914F6CDD1D)).sum(dtype=np.uint64) for s in sets], np.uint64).astype(np.int64)
+    return [n, high, low]
+
+
 def _features(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     """id, n (set size), two halves of a 128-bit digest of the set, and its band keys (null for an empty set)."""
 
@@ -104,49 +116,56 @@ def _features(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
             texts = batch.column(1)
             for a, b in blocks(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), BLOCK):
                 sets = shingle_sets(texts.slice(a, b - a), words)
-                n = np.fromiter(map(len, sets), np.int64, len(sets))
-                high = np.array([mix(s + _U(0x51ED270B)).sum(dtype=np.uint64) for s in sets], np.uint64).astype(np.int64)
-                low = np.array([mix(s ^ _U(0x2545F4914F6CDD1D)).sum(dtype=np.uint64) for s in sets], np.uint64).astype(np.int64)
                 keys = band_keys(sketches(sets, bands * rows), bands, rows).astype(np.int64)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), bands).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n), pa.array(high), pa.array(low), lists], ["id", "n", "high", "low", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *map(pa.array, _digests(sets)), lists], ["id", "n", "high", "low", "bands"])
 
-    return docs.mapInArrow(run, "id long, n long, high long, low long, bands array<long>")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, n long, high long, low long, bands array<long>")
 
 
 def _candidate_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """id and set of the documents named by ``nodes``; a bitmap of fixed size skips most others unread."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    marked = nodes.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number(F.col("slot") + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot") + 1)).alias("bits"))
-    bits = np.zeros(FILTER_BITS, bool)
-    for r in marked.collect():  # at most FILTER_BITS / 8 bytes
-        part = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+    """rep and set of the classes in ``nodes`` (rep, h: hash of an id that has the set, n, high, low).
+
+    The sets are made again from the texts; a bitmap of bounded size skips most other texts.
+    """
+    size = FILTER_LEAST
+    while size < min(FILTER_MOST, FILTER_BITS * nodes.count()):
+        size *= 2
+    slot = lambda h: F.pmod(h, F.lit(size))
+    marked = nodes.select(slot(F.col("h")).alias("slot")).groupBy(F.bitmap_bucket_number(F.col("slot") + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot") + 1)).alias("bits"))
+    bits = np.zeros(size // 8, np.uint8)
+    for r in marked.toLocalIterator():  # at most ``size`` bits
+        part = np.frombuffer(r["bits"], np.uint8)
         start = (r["bucket"] - 1) * len(part)
         here = bits[start : start + len(part)]
-        here |= part[: len(here)].astype(bool)
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
-    source = docs.where("id is not null").withColumn("slot", slot)
+        here |= part[: len(here)]
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    source = docs.where("id is not null").select(F.xxhash64("id").alias("h"), "text").withColumn("slot", slot(F.col("h")))
 
     def run(batches):
-        wanted = np.unpackbits(shared.value)
+        wanted = shared.value
         for batch in batches:
-            batch = batch.filter(pa.array(wanted[batch.column(2).to_numpy()].astype(bool)))
+            at = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((wanted[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
             texts = batch.column(1)
             for a, b in blocks(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), BLOCK):
                 sets = shingle_sets(texts.slice(a, b - a), words)
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], ["id", "items"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *map(pa.array, _digests(sets)), lists], ["h", "n", "high", "low", "items"])
 
-    return source.mapInArrow(run, "id long, items array<long>").join(nodes, "id", "left_semi").dropDuplicates(["id"])
+    made = source.mapInArrow(run, "h long, n long, high long, low long, items array<long>")
+    return made.join(nodes, ["h", "n", "high", "low"]).select("rep", "items").dropDuplicates(["rep"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, with sizes na, nb) whose sets overlap enough."""
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("right"))
+    """The pairs (hub, other, with sizes nh, no) whose sets overlap enough; the set of a busy hub is dealt in copies."""
+    busy = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("c")).select(F.col("hub"), F.ceil(F.col("c") / HUB).cast("int").alias("copies"))
+    hubs = sets.join(busy, sets["rep"] == busy["hub"]).select("hub", F.col("items").alias("left"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    others = pairs.join(sets.select(F.col("rep").alias("other"), F.col("items").alias("right")), "other").join(F.broadcast(busy.where("copies > 1")), "hub", "left")
+    others = others.withColumn("copy", F.pmod(F.xxhash64("other"), F.coalesce("copies", F.lit(1))).cast("int"))
     both = F.size(F.array_intersect("left", "right"))
-    return pairs.join(left, "a").join(right, "b").where(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
+    return others.join(hubs, ["hub", "copy"]).where(100 * both >= percent * (F.col("nh") + F.col("no") - both)).select("hub", "other")
 
 
 def verify_block(ids, component, sizes, flat, bands, at, side_a, side_b, percent: int) -> list[tuple[int, int]]:
@@ -189,20 +208,27 @@ def verify_block(ids, component, sizes, flat, bands, at, side_a, side_b, percent
 
 
 def _block_links(now: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """src, dst of links between members of a bucket (bucket, id, n, component) in different components.
+    """src, dst of links between members of a bucket (bucket, rep, n, component) in different components.
 
-    A bucket is cut by hash into cells of at most about CELL members and ITEMS set items, and each pair of
-    cells is one block, so no task gathers a large bucket and no pair leaves its task.
+    Members outside the bucket's largest component (side 0) meet all members (side 1). Both sides are cut by
+    hash into cells of at most about CELL members and ITEMS set items, and each pair of cells is one block, so
+    no task gathers a large bucket and no pair leaves its task.
     """
     spark = now.sparkSession
-    size = now.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("items"), F.min("component").alias("low"), F.max("component").alias("high"))
-    cells = F.greatest(F.ceil(F.col("c") / CELL), F.ceil(F.col("items") / ITEMS)).cast("int")
-    size = size.where("low <> high").select("bucket", cells.alias("cells"))
-    own = F.pmod(F.xxhash64("id", F.lit(1)), F.col("cells")).cast("int")
-    dealt = now.join(size, "bucket").withColumn("own", own).select("bucket", "id", "component", "own", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other"))
-    dealt = dealt.select("bucket", "id", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    parts = now.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("items"))
+    size = parts.groupBy("bucket").agg(
+        F.sum("c").alias("c"), F.sum("items").alias("items"), F.count(F.lit(1)).alias("components"), F.max(F.struct(F.col("c").alias("most"), F.col("component").alias("largest"), F.col("items").alias("inner"))).alias("top"),
+    ).where("components > 1").select("*", "top.*")
+    cells = lambda count, items: F.greatest(F.ceil(count / CELL), F.ceil(items / ITEMS), F.lit(1)).cast("int")
+    size = size.select("bucket", "largest", cells(F.col("c"), F.col("items")).alias("all"), cells(F.col("c") - F.col("most"), F.col("items") - F.col("inner")).alias("outer"))
+    dealt = now.join(size, "bucket").withColumn("h", F.xxhash64("rep", F.lit(1)))
+    mine = lambda n: F.pmod("h", F.col(n)).cast("int")
+    each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    across = F.transform(each("outer"), lambda i: F.struct(i.alias("low"), mine("all").alias("high"), F.lit(1).alias("side")))
+    down = F.when(F.col("component") != F.col("largest"), F.transform(each("all"), lambda i: F.struct(mine("outer").alias("low"), i.alias("high"), F.lit(0).alias("side"))))
+    dealt = dealt.select("bucket", "rep", "component", F.explode(F.concat(across, F.coalesce(down, F.array().cast("array<struct<low:int,high:int,side:int>>")))).alias("at"))
     keys = ["bucket", "low", "high"]
-    placed = dealt.join(sets, "id").join(classes.select(F.col("rep").alias("id"), "bands"), "id").select(*keys, "own", "id", "component", "items", "bands")
+    placed = dealt.select("bucket", "rep", "component", "at.*").join(sets, "rep").join(classes.select("rep", "bands"), "rep").select(*keys, "side", "rep", "component", "items", "bands")
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     placed = placed.repartition(parts, *keys).sortWithinPartitions(*keys)
 
@@ -215,7 +241,7 @@ def _block_links(now: DataFrame, sets: DataFrame, classes: DataFrame, percent: i
 
     def judge(t: pa.Table, block: np.ndarray):
         t = t.combine_chunks()
-        bucket, low, high, own, ids, component = (t.column(c).to_numpy() for c in (*keys, "own", "id", "component"))
+        bucket, side, ids, component = (t.column(c).to_numpy() for c in ("bucket", "side", "rep", "component"))
         items, bands = t.column("items").chunk(0), t.column("bands").chunk(0)
         ends = items.offsets.to_numpy().astype(np.int64)
         ends = ends - ends[0]
@@ -226,7 +252,7 @@ def _block_links(now: DataFrame, sets: DataFrame, classes: DataFrame, percent: i
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             if b - a > 1:
                 at = int(np.argmax(bands[a] == bucket[a]))
-                found += verify_block(ids[a:b], component[a:b], np.diff(ends[a : b + 1]), flat[ends[a] : ends[b]], bands[a:b], at, own[a:b] == low[a:b], own[a:b] == high[a:b], percent)
+                found += verify_block(ids[a:b], component[a:b], np.diff(ends[a : b + 1]), flat[ends[a] : ends[b]], bands[a:b], at, side[a:b] == 0, side[a:b] == 1, percent)
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(2)], ["src", "dst"])
 
     def run(batches):
@@ -247,30 +273,31 @@ def _block_links(now: DataFrame, sets: DataFrame, classes: DataFrame, percent: i
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row; sets of ``percent`` % overlap or more are linked."""
-    source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
+    source = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     features = table(_features(source, words, bands, rows), "sketches")
     key = ["n", "high", "low"]
-    classes = features.where("n > 0 and id is not null").groupBy(*key).agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
-    classes = table(classes, "classes")
-    members = classes.select(F.col("rep").alias("id"), "n", F.explode("bands").alias("bucket"))
+    classes = features.where("n > 0 and id is not null").groupBy(*key).agg(F.min("id").alias("low_id"), F.first("bands").alias("bands"))
+    classes = table(classes.select(F.monotonically_increasing_id().alias("rep"), "*"), "classes")
+    members = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     members = members.join(shared, "bucket")
-    degree = members.groupBy("id").agg(F.sum("c").alias("degree"))
-    members = table(members.drop("c").join(degree, "id"), "buckets")
-    sets = table(_candidate_sets(source, members.select("id").distinct(), words), "sets")
+    degree = members.groupBy("rep").agg(F.sum("c").alias("degree"))
+    members = table(members.drop("c").join(degree, "rep"), "buckets")
+    nodes = classes.select("rep", F.xxhash64("low_id").alias("h"), *key).join(members.select("rep").distinct(), "rep", "left_semi")
+    sets = table(_candidate_sets(source, nodes, words), "sets")
     # First turn: each member with the one of its bucket that meets most others.
-    top = members.groupBy("bucket").agg(F.max(F.struct("degree", "id", "n")).alias("top"))
-    mine = F.col("id") < F.col("top.id")
-    pairs = members.join(top, "bucket").where("id <> top.id").select(
-        F.least("id", "top.id").alias("a"), F.greatest("id", "top.id").alias("b"), F.when(mine, F.col("n")).otherwise(F.col("top.n")).alias("na"), F.when(mine, F.col("top.n")).otherwise(F.col("n")).alias("nb")
-    ).where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).distinct()
-    links = table(_verified(pairs, sets, percent).select(F.col("a").alias("src"), F.col("b").alias("dst")), "links")
+    top = members.groupBy("bucket").agg(F.max(F.struct("degree", "rep", "n")).alias("top"))
+    pairs = members.join(top, "bucket").where("rep <> top.rep and 100 * least(n, top.n) >= %d * greatest(n, top.n)" % percent)
+    pairs = table(pairs.select(F.col("top.rep").alias("hub"), F.col("rep").alias("other"), F.col("top.n").alias("nh"), F.col("n").alias("no")).distinct(), "pairs")
+    links = table(_verified(pairs, sets, percent).select(F.col("hub").alias("src"), F.col("other").alias("dst")), "links")
     labels = table(components(links), "labels")
-    # Second turn: all pairs of a bucket that are not connected yet, in blocks.
-    now = members.join(labels, members["id"] == labels["node"], "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("component"))
+    # Second turn: what is outside the largest component of a bucket, in blocks.
+    now = members.join(labels, members["rep"] == labels["node"], "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
     links = links.unionByName(table(_block_links(now, sets, classes, percent), "links"))
-    labels = table(components(links), "labels")
-    found = classes.join(labels, classes["rep"] == labels["node"], "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
+    labels = components(links).withColumnRenamed("node", "rep")
+    found = table(classes.drop("bands").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")).drop("rep"), "found")
+    lowest = found.groupBy("component").agg(F.min("low_id").alias("component_id"))
+    found = found.join(lowest, "component").select(*key, "component_id")
     return (
         features.drop("bands").join(found, key, "left")
         .select(

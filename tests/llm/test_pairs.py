@@ -80,6 +80,54 @@ def test_minhash_empty_and_null_ids(spark):
     assert got == [(0, None, True), (5, 5, True), (5, 5, True), (9, 5, False)]
 
 
+def _by_row(rows, links, extra):
+    """(id, extra, smallest id reachable, kept) of rows (id, ...) with links between row numbers; sorted."""
+    comp = _components(len(rows), links)
+    least = {}
+    for i, row in enumerate(rows):
+        if row[0] is not None:
+            least[comp[i]] = min(least.get(comp[i], row[0]), row[0])
+    out = []
+    for i, row in enumerate(rows):
+        want = least.get(comp[i]) if row[0] is not None else None
+        out.append((-1 if row[0] is None else row[0], extra[i], -1 if want is None else want, row[0] == want))
+    return sorted(out)
+
+
+def test_minhash_repeated_ids_keep_links(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for g in range(12):
+        words = [f"g{g}w{x}" for x in range(60)]
+        for k in range(6):
+            changed = list(words)
+            changed[int(rng.integers(0, 60))] = f"x{k}"
+            rows.append((int(rng.integers(1, 25)), " ".join(changed)))
+    rows += [(1, "a b c d e f g"), (1, "h i j k l m n"), (2, "a b c d e f g"), (3, "h i j k l m n"), (4, None), (4, ""), (None, "a b c d e f g")]
+    rows += rows[:9]
+    sets = [_shingles(t, 5) for _, t in rows]
+    near = lambda x, y: x and y and 100 * len(x & y) >= 80 * len(x | y)
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if rows[i][0] is not None and rows[j][0] is not None and near(sets[i], sets[j])]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_shingles"], -1 if r["component_id"] is None else r["component_id"], r["kept"]) for r in got) == _by_row(rows, links, list(map(len, sets)))
+
+
+def test_minhash_busy_bucket(spark, monkeypatch):
+    """Hubs, cells and copies of sets far below the sizes of a bucket."""
+    monkeypatch.setattr(minhash, "HUB", 3)
+    monkeypatch.setattr(minhash, "CELL", 4)
+    rng = np.random.default_rng(9)
+    rows = []
+    base = [f"b{x}" for x in range(40)]
+    for _ in range(120):
+        words = list(base)
+        for at in rng.integers(0, 40, 2):
+            words[int(at)] = f"v{rng.integers(0, 3)}"
+        rows.append((len(rows), " ".join(words), 0))
+    _check_minhash(spark, rows, 2)
+    _check_minhash(spark, rows, 4)
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(1)
     base = np.unique(rng.integers(0, 2**63, 400, dtype=np.uint64))
@@ -122,6 +170,25 @@ def test_embeddings_hot_groups_and_bad_vectors(spark):
     assert embeddings.near_duplicates(empty).count() == 0
 
 
+def test_embeddings_lengths_repeated_and_null_ids(spark):
+    """Each length is compared among itself; rows that repeat an id or have none are rows of their own."""
+    rng = np.random.default_rng(7)
+    rows = [(None, [1.0, 0.0, 0.0]), (None, [0.0, 1.0, 0.0]), (None, [1.0, 0.001, 0.0]), (1, [3.0, 4.0]), (2, [3.0, 4.001]), (3, [6.0, 8.0]), (None, None)]
+    rows += [(1, [0.0, 0.0, 1.0]), (1, [0.0, 0.01, 1.0]), (5, [0.0, 0.0, 2.0]), (4, [0.0, 1.0, 0.01])]
+    centre = rng.standard_normal((8, 5))
+    for _ in range(120):
+        v = centre[int(rng.integers(0, 8))] + 0.15 * rng.standard_normal(5)
+        rows.append((int(rng.integers(10, 60)), [float(np.float32(x)) for x in v]))
+    rows += rows[-20:]
+    good = [i for i, (_, v) in enumerate(rows) if v]
+    cosine = lambda a, b: float(np.dot(a, b) / math.sqrt(np.dot(a, a) * np.dot(b, b)))
+    links = [(i, j) for i in good for j in good if j < i and len(rows[i][1]) == len(rows[j][1]) and cosine(rows[i][1], rows[j][1]) >= 0.95]
+    n = Counter(x for pair in links for x in pair)
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, rep string").repartition(3)
+    got = embeddings.near_duplicates(df).collect()
+    assert sorted((-1 if r["vec_id"] is None else r["vec_id"], r["n_links"], -1 if r["component_id"] is None else r["component_id"], r["kept"]) for r in got) == _by_row(rows, links, [n[i] for i in range(len(rows))])
+
+
 def _scores(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
