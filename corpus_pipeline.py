@@ -31,17 +31,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, 0.8): the one with the smallest id."""
-    found = minhash.near_duplicates(docs.select("doc_id", "text"), words=5, percent=80)
-    gone = found.where("not kept").select("doc_id").distinct()
-    # Rows that repeat a doc_id are copies or clashes of one document: one of them stays.
-    again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    again = table(again, "repeated-ids")
-    kept = docs.join(gone, "doc_id", "left_anti")
+    """One document of each group of near duplicates (five-word shingles, 0.8): the one with the smallest id.
+
+    Rows are known by doc_id and a hash of all columns, so rows that share an id, or have none, are documents
+    of their own. Rows that agree in every column are one document if their text has words; without words they
+    belong to no group and all stay.
+    """
+    named = docs.withColumn("_row", F.struct("doc_id", F.xxhash64(*docs.columns).alias("hash")))
+    found = table(minhash.near_duplicates(named.select("_row", "text"), words=5, percent=80, id_column="_row"), "near")
+    gone = found.where("not kept").select(F.col("doc_id.doc_id").alias("id"), F.col("doc_id.hash").alias("hash")).distinct()
+    again = found.where("kept and n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id.doc_id").alias("id"), F.col("doc_id.hash").alias("hash"))
+    same = lambda x: named["_row.doc_id"].eqNullSafe(x["id"]) & (named["_row.hash"] == x["hash"])
+    kept = named.join(gone, same(gone), "left_anti")
+    again = table(again, "repeated-rows")
     if again.isEmpty():
         return kept.select(docs.columns)
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    once = kept.join(again, same(again), "left_semi").groupBy("_row").agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return kept.join(again, same(again), "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
