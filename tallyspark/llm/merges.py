@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import heapq
 from collections.abc import Callable
 
 import numpy as np
@@ -19,6 +20,11 @@ class PairTable:
         order = np.argsort(keys)
         values = np.array(list(pairs.values()), np.int64).reshape(-1, 2)[order]
         self.width, self.keys, self.made, self.rank = width, keys[order], values[:, 0], np.r_[values[:, 1], np.iinfo(np.int64).max]
+        # Ranks whose pairs can't all merge at once: a pair with a symbol that they make may come before them.
+        soonest = np.full(width, self.rank[-1])
+        for part in (self.keys // width, self.keys % width):
+            np.minimum.at(soonest, part, values[:, 1])
+        self.early = set(np.unique(values[soonest[values[:, 0]] <= values[:, 1], 1]).tolist())
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Row of each pair in the table, -1 if the pair does not merge. Negative symbols never merge."""
@@ -27,14 +33,86 @@ class PairTable:
         return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), at, -1)
 
 
+#: Symbols from which a segment is merged on its own.
+LONG = 2000
+
+
+def merge_long(symbols: np.ndarray, table: PairTable) -> np.ndarray:
+    """Merge one long segment: a round merges all non-overlapping pairs of the least rank, from the left.
+
+    Places wait by rank and symbols are linked, so a round costs what it merges and not the whole segment.
+    Where a merge brings forth a pair that comes before the rest, the round ends with it.
+    """
+    n = len(symbols)
+    symbols = np.r_[symbols, -1]  # the end, which never merges
+    after, before = np.arange(1, n + 2), np.arange(-1, n)
+    row = np.full(n + 1, -1, np.int64)
+    row[: n - 1] = table.find(symbols[: n - 1], symbols[1:n])
+    waiting: dict[int, list[np.ndarray]] = {}
+    ranks: list[int] = []
+
+    def add(places: np.ndarray) -> None:
+        places = places[row[places] >= 0]
+        rank = table.rank[row[places]]
+        order = np.argsort(rank, kind="stable")
+        rank, places = rank[order], places[order]
+        starts = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]]) if len(rank) else []
+        for r, part in zip(rank[starts].tolist() if len(rank) else (), np.split(places, starts[1:]) if len(rank) else (), strict=True):
+            if r not in waiting:
+                waiting[r] = []
+                heapq.heappush(ranks, r)
+            waiting[r].append(part)
+
+    add(np.arange(n))
+    alive = np.ones(n + 1, bool)
+    while ranks:
+        r = heapq.heappop(ranks)
+        at = np.unique(np.concatenate(waiting.pop(r)))
+        at = at[alive[at] & (table.rank[row[at]] == r)]
+        if not len(at):
+            continue
+        # Of pairs that overlap in a run, every other one from its left.
+        rest, place = at[:0], np.arange(len(at))
+        begins = np.r_[True, after[at[:-1]] != at[1:]]
+        at = at[(place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0]
+        gone = after[at]
+        if r in table.early:
+            # Up to the first that brings forth a pair that comes before the rest.
+            made, left = table.made[row[at]], before[at]
+            beside = np.r_[False, gone[:-1] == left[1:]]
+            sym = np.where(beside, np.r_[-1, made[:-1]], np.where(left >= 0, symbols[left], -1))
+            sooner = np.minimum(table.rank[table.find(sym, made)], table.rank[table.find(made, symbols[after[gone]])]) <= r
+            if sooner.any():
+                n = int(np.argmax(sooner)) + 1
+                at, gone, rest = at[:n], gone[:n], at[n:]
+        symbols[at] = table.made[row[at]]
+        alive[gone] = False
+        row[gone] = -1
+        after[at] = after[gone]
+        before[after[at]] = at
+        left = before[at]
+        changed = np.unique(np.r_[at, left[left >= 0]])
+        row[changed] = table.find(symbols[changed], symbols[after[changed]])
+        add(np.r_[changed, rest])
+    return symbols[:-1][alive[:-1]]
+
+
 def merge_rounds(symbols: np.ndarray, sizes: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
     """Merge segments that lie one after the other in ``symbols``; returns their symbols and owners.
 
     Each round takes the least rank among the pairs of every segment, merges the leftmost such pair in all
-    segments at once, and compacts the arrays; segments without a pair leave.
+    segments at once, and compacts the arrays; segments without a pair leave. Segments of LONG symbols or
+    more are merged apart.
     """
     owner = np.repeat(np.arange(len(sizes)), sizes)
     done_symbols, done_owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in np.flatnonzero(sizes >= LONG).tolist():
+        made = merge_long(symbols[owner == i], table)
+        done_symbols.append(made)
+        done_owner.append(np.full(len(made), i))
+    if len(done_owner) > 1:
+        short = sizes[owner] < LONG
+        symbols, owner = symbols[short], owner[short]
     pair = np.full(len(symbols), -1, np.int64)
     if len(symbols) > 1:
         same = np.flatnonzero(owner[1:] == owner[:-1])
@@ -79,29 +157,41 @@ def cut_bytes(symbols: np.ndarray, owner: np.ndarray, segments: int) -> list[byt
 
 
 class SegmentCoder:
-    """Ids of rows of segments. A block's distinct segments are coded once; the first ``keep`` ones met are kept."""
+    """Ids of rows of segments. A block's distinct segments are coded once, and those first met are kept for later blocks.
+
+    Kept are at most ``keep`` segments of at most SHORT characters, so what a worker holds is bounded in bytes.
+    """
+
+    SHORT = 48
 
     def __init__(self, code: Callable[[list[str]], list[bytes]], keep: int):
         self.code, self.keep, self.known = code, keep, {}
-        # Nothing here makes reference cycles, and a pass over many small objects costs more than it frees.
-        gc.disable()
 
     def rows(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after the other, and the number of ids of each row."""
+        # Nothing here makes reference cycles, and passes over many small objects cost more than they free.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._rows(lists)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _rows(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         offsets = lists.offsets.to_numpy()
         found = lists.flatten().dictionary_encode()
         words = found.dictionary.to_pylist()
         coded = list(map(self.known.get, words))
         missing = [i for i, c in enumerate(coded) if c is None]
-        room = self.keep - len(self.known)
         for start in range(0, len(missing), 50_000):
             part = missing[start : start + 50_000]
             new = [words[i] for i in part]
             made = self.code(new)
             for i, ids in zip(part, made, strict=True):
                 coded[i] = ids
-            if room > start:
-                self.known.update(zip(new, made, strict=True))
+            if len(self.known) < self.keep:
+                self.known.update((w, ids) for w, ids in zip(new, made, strict=True) if len(w) <= self.SHORT)
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         ids = np.frombuffer(b"".join(coded), "<i4")
         index = found.indices.to_numpy()

@@ -16,6 +16,7 @@ from __future__ import annotations
 import bisect
 import json
 import os
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -33,7 +34,7 @@ END = 0
 #: Patterns that the least squares may use.
 PATTERNS = 6000
 #: Words whose ids a worker keeps.
-CACHE = 500_000
+CACHE = 300_000
 #: Bytes of text that are coded at a time.
 BLOCK = 8 << 20
 
@@ -44,19 +45,20 @@ class WordTokenizer:
     A text is cut at white space, where the file's pre-tokenizer always cuts too and drops the white
     space. So the ids of a text are those of its words one after the other. The file lowers case, so A to
     Z are lowered first. Words of Latin letters, with or without ASCII marks after them, are merged in
-    vectorised rounds; all others go through the library.
+    vectorised rounds; all others go through the library, and so do whole texts that quote one of the file's
+    added tokens, which the library finds anywhere in a text, before any other step.
     """
 
     plain = "^[a-zß-öø-ÿÀ-ÖØ-Þ]+[!-&(-/:-@\\[-`{-~]*$"
 
-    def __init__(self, path: str):
+    def __init__(self, raw: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+        self.tokenizer = Tokenizer.from_buffer(raw)
+        stated = json.loads(raw)
+        model = stated["model"]
+        self.added = "|".join(re.escape(t["content"]) for t in stated["added_tokens"])
         ids, self.suffix = model["vocab"], model["end_of_word_suffix"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         pairs = {}
@@ -89,7 +91,23 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each (null: none)."""
-        texts = pc.ascii_lower(pc.fill_null(texts, ""))
+        texts = pc.fill_null(texts, "")
+        quoted = np.zeros(len(texts), bool)
+        if self.added:
+            quoted = pc.match_substring_regex(texts, self.added, ignore_case=True).to_numpy(zero_copy_only=False)
+        if not quoted.any():
+            return self._encode(texts)
+        whole = [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch(texts.filter(pa.array(quoted)).to_pylist(), add_special_tokens=False)]
+        ids, sizes = self._encode(texts.filter(pa.array(~quoted)))
+        order = np.argsort(np.r_[np.flatnonzero(~quoted), np.flatnonzero(quoted)])
+        flat, sizes = np.concatenate([ids, *whole]), np.r_[sizes, list(map(len, whole))].astype(np.int64)
+        starts = (np.cumsum(sizes) - sizes)[order]
+        sizes = sizes[order]
+        take = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+        return flat[take].astype("<i4"), sizes
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = pc.ascii_lower(texts)
         for space in "\n\t\r":
             texts = pc.replace_substring(texts, space, " ")
         return self.coder.rows(pc.split_pattern(texts, " "))
@@ -105,13 +123,15 @@ def _shown_bytes() -> list[str]:
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_column: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, if wanted, ids (little-endian binary)."""
     kind = docs.schema[id_column].dataType.simpleString()
+    with open(tokenizer, "rb") as f:  # a few megabytes, sent to the workers
+        shared = docs.sparkSession.sparkContext.broadcast(f.read())
     end = np.array([END], "<u4").tobytes()
     wide = 4 * capacity
 
     def run(batches):
         coder = None
         for batch in batches:
-            coder = coder or WordTokenizer(tokenizer)
+            coder = coder or WordTokenizer(shared.value)
             texts = batch.column(1)
             for a, b in blocks(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), BLOCK):
                 at, piece, start, length, crc, ids = [], [], [], [], [], []

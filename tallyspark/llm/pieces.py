@@ -3,7 +3,9 @@
 A text is cut before each run of spaces, where no piece of the model can cross (this is checked when the
 model is loaded). The distinct segments of a block of texts are then merged together on
 flat numpy arrays: each round finds the best pair of every segment, merges its leftmost occurrence in all
-segments at once, and drops the segments that have no pair left. Ids of a text are those of its segments.
+segments at once, and drops the segments that have no pair left; very long segments are merged apart, all
+occurrences of their best pair in a round. Ids of a text are those of its segments. The model file is read
+on the driver and its bytes go to the workers.
 
 Defined results: a null or empty text has no ids and decodes to the empty string; characters that the
 model lacks become byte pieces. Rows are independent, so repeated rows give equal results; extra columns
@@ -12,6 +14,7 @@ are kept, those with the names of the results are replaced.
 
 from __future__ import annotations
 
+import codecs
 import re
 
 import numpy as np
@@ -24,7 +27,7 @@ from .merges import PairTable, SegmentCoder, blocks, cut_bytes, merge_rounds
 
 SPACE = "▁"
 #: Segments whose ids a worker keeps.
-CACHE = 500_000
+CACHE = 300_000
 #: Bytes of text that are coded at a time.
 BLOCK = 8 << 20
 
@@ -34,12 +37,11 @@ _NORMAL, _BYTE, _CONTROL, _UNKNOWN, _USER, _UNUSED = 1, 6, 3, 2, 4, 5
 class PieceModel:
     """The tables of a byte-fallback BPE model: symbols, pair merges and the bytes of each piece."""
 
-    def __init__(self, path: str):
+    def __init__(self, raw: bytes):
         from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece_model_pb2.ModelProto()
-        with open(path, "rb") as f:
-            model.ParseFromString(f.read())
+        model.ParseFromString(raw)
         spec, norm = model.trainer_spec, model.normalizer_spec
         if spec.model_type != 2 or not spec.byte_fallback or norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.add_dummy_prefix:
             raise ValueError("expected a BPE model with byte fallback and no normalisation")
@@ -96,8 +98,8 @@ class PieceCoder:
 
     cut = staticmethod(re.compile(" *[^ ]+| +").findall)
 
-    def __init__(self, path: str):
-        self.model = PieceModel(path)
+    def __init__(self, raw: bytes):
+        self.model = PieceModel(raw)
         self.coder = SegmentCoder(self._code, CACHE)
         lengths = np.fromiter(map(len, self.model.bytes_of), np.int64, len(self.model.bytes_of))
         self.piece_size, self.piece_start = lengths, np.cumsum(lengths) - lengths
@@ -140,19 +142,12 @@ class PieceCoder:
         return [_text(raw[a + d : b]) for a, b, d in zip(cuts[:-1], cuts[1:], drop.tolist(), strict=True)]
 
 
+# A byte that is no part of a character becomes one mark, and decoding goes on with the next byte.
+codecs.register_error("one-mark-a-byte", lambda e: ("\ufffd", e.start + 1))
+
+
 def _text(raw: bytes) -> str:
-    try:
-        return raw.decode()
-    except UnicodeDecodeError:
-        out, at = [], 0
-        while at < len(raw):
-            try:
-                out.append(raw[at:].decode())
-                break
-            except UnicodeDecodeError as e:
-                out.append(raw[at : at + e.start].decode() + "�")
-                at += e.start + 1
-        return "".join(out)
+    return raw.decode("utf-8", "one-mark-a-byte")
 
 
 def _lists(ids: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
@@ -168,14 +163,21 @@ def _mapped(df: DataFrame, results: str, make) -> DataFrame:
     return kept.mapInArrow(make(names, [f.name for f in plain]), schema)
 
 
+def _shared(df: DataFrame, path: str):
+    """The bytes of a model file (about half a megabyte), broadcast."""
+    with open(path, "rb") as f:
+        return df.sparkSession.sparkContext.broadcast(f.read())
+
+
 def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add the ids of each text as array<int>."""
+    """Add the ids of each text as array<int>; ``model`` is the path of the model file."""
+    shared = _shared(df, model)
 
     def make(names, plain):
         def run(batches):
             coder = None
             for batch in batches:
-                coder = coder or PieceCoder(model)
+                coder = coder or PieceCoder(shared.value)
                 texts = batch.column(batch.schema.get_field_index(text))
                 for a, b in blocks(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), BLOCK):
                     part = batch.slice(a, b - a)
@@ -188,12 +190,13 @@ def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> D
 
 def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the text that each list of ids stands for (null ids: the empty string)."""
+    shared = _shared(df, model)
 
     def make(names, plain):
         def run(batches):
             coder = None
             for batch in batches:
-                coder = coder or PieceCoder(model)
+                coder = coder or PieceCoder(shared.value)
                 lists = batch.column(batch.schema.get_field_index(ids))
                 sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64) if lists.null_count == 0 else np.array([len(x or ()) for x in lists.to_pylist()], np.int64)
                 for a, b in blocks((sizes * 4).tolist(), BLOCK):

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import embeddings, language, lm, minhash, packing, pieces, sharding, tiff, toxicity, url_filter
 
-#: Folder of the public tokenizer files.
-TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
+#: Paths of the public tokenizer files.
+PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
 
 #: (host, path, action) of the URL rules.
 URL_RULES = [
@@ -39,10 +38,9 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = f"{TOKENIZERS}/piece_bpe_32k.model"
     docs = _read(spark, sf_dir, "documents", "doc_id", "text")
-    coded = pieces.encode(docs, model).drop("text")
-    return pieces.decode(coded, model).select(
+    coded = pieces.encode(docs, PIECES).drop("text")
+    return pieces.decode(coded, PIECES).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
@@ -69,7 +67,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents", "doc_id", "text")
-    return packing.pack_documents(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+    return packing.pack_documents(docs, WORDS)
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

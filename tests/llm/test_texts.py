@@ -11,10 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.llm import language, merges, packing, pieces, queries, sharding, tiff, toxicity, url_filter
-from tallyspark.llm.queries import TOKENIZERS
+from tallyspark.llm.queries import PIECES, WORDS
 
 SF = "/root/testdata/sf0.001"
-ODD = [None, "", " ", "  a  b ", "\n", "a\nb\t c", "▁x▁", "é漢字😀 <s> </s> <0x0A> <unk> <|endoftext|>", "word.,!!  'tis don't 1999", "Ünïcode ÉCOLE", "x" * 5000, "a " * 3000, "\x00\x0b\x1c"]
+ODD = [None, "", " ", "  a  b ", "\n", "a\nb\t c", "▁x▁", "é漢字😀 <s> </s> <0x0A> <unk> <|endoftext|>", "word.,!!  'tis don't 1999", "Ünïcode ÉCOLE", "x" * 5000, "hello <|endoftext|> world", "a<|startoftext|>b<|EndOfText|>c", "<|endoftext|>", "a " * 3000, "\x00\x0b\x1c"]
 
 
 def _docs(spark, extra=()):
@@ -25,7 +25,7 @@ def _docs(spark, extra=()):
 def test_sentencepiece_equals_library(spark):
     import sentencepiece
 
-    path = f"{TOKENIZERS}/piece_bpe_32k.model"
+    path = PIECES
     library = sentencepiece.SentencePieceProcessor(model_file=path)
     got = pieces.decode(pieces.encode(_docs(spark), path), path).collect()
     assert len(got) == 200 + len(ODD)
@@ -36,10 +36,31 @@ def test_sentencepiece_equals_library(spark):
     assert pieces.decode(pieces.encode(empty, path), path).count() == 0
 
 
+def test_long_words_equal_the_libraries(spark):
+    """Words far beyond LONG characters, with runs, repeats and characters that the model lacks."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    r = random.Random(5)
+    long = ["a" * 60_001, "ab" * 30_000, "".join(r.choices("etaoinshrdlu", k=80_000)), "".join(r.choices("abcé漢😀-.,0", k=20_000)), "the" * 9000 + "\u2581" * 50, "x" * 2000, "=-" * 2500]
+    sp, library = sentencepiece.SentencePieceProcessor(model_file=PIECES), Tokenizer.from_file(WORDS)
+    coder, words = pieces.PieceCoder(open(PIECES, "rb").read()), packing.WordTokenizer(open(WORDS, "rb").read())
+    import pyarrow as pa
+
+    ids, sizes = coder.encode(pa.array(long))
+    assert coder.decode(ids.astype(np.int64), sizes) == [sp.decode(sp.encode(t)) for t in long]
+    other, others = words.encode(pa.array(long))
+    at = np.r_[0, np.cumsum(sizes)], np.r_[0, np.cumsum(others)]
+    for k, text in enumerate(long):
+        assert ids[at[0][k] : at[0][k + 1]].tolist() == sp.encode(text)
+        assert other[at[1][k] : at[1][k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert coder.coder.known.keys().isdisjoint(long)
+
+
 def test_sentencepiece_decodes_any_ids(spark):
     import sentencepiece
 
-    path = f"{TOKENIZERS}/piece_bpe_32k.model"
+    path = PIECES
     library = sentencepiece.SentencePieceProcessor(model_file=path)
     r = random.Random(4)
     lists = [[r.randrange(3, 32_000) if r.random() < 0.5 else r.randrange(3, 259) for _ in range(r.randrange(9))] for _ in range(400)] + [None]
@@ -50,9 +71,8 @@ def test_sentencepiece_decodes_any_ids(spark):
 def test_packing_places_every_piece_once(spark):
     from tokenizers import Tokenizer
 
-    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    path = WORDS
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     docs = _docs(spark)
     rows = packing.pack_documents(docs, path).collect()
     ids = {r["doc_id"]: [*library.encode(r["text"] or "", add_special_tokens=False).ids, 0] for r in docs.collect()}
