@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm import language, minhash, packing, toxicity
 from tallyspark.llm.common import table
-from tallyspark.llm.queries import TOKENIZERS
+from tallyspark.llm.queries import WORDS
 
 #: Models learn from documents whose crc32(doc_id) has another remainder than the second number by the first.
 LANGUAGE_HELD_OUT, TOXICITY_HELD_OUT = (4, 2), (3, 1)
@@ -52,7 +52,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sequences that hold the remaining documents."""
-    return packing.pack_documents(docs.select("doc_id", "text"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return packing.pack_documents(docs.select("doc_id", "text"), WORDS)
 
 
 STAGES = [
