@@ -6,12 +6,15 @@ every dictionary, and the sums are compared; pieces keep a dictionary's help the
 text as at its start. The whole text counts. A
 text whose best sum is not smaller than the second by MIN_MARGIN of it is rejected as uncertain.
 
-The training sample is bounded: of each language about SAMPLE texts of at most LONGEST bytes, a share of
-the texts by their hash; copies of a text count once. The languages are taken to be a few hundred at most.
-
-Defined results: a null text, or one without any letter, is ``und`` with score 0 and rejected. Ties go
-to the language that sorts first. Training rows with null text or language are left out; without any
-training rows every text is ``und``. Extra columns are kept, those with the names of the results replaced.
+The training sample is bounded: of each language about SAMPLE texts, a share of the texts by their hash, and
+of a text longer than LONGEST characters a passage of that length, from a place that its hash picks; copies of
+a text count once. The languages are taken to be a few hundred at most.
+
+Defined results: a null text, or one without any letter, is ``und`` with score 0 and rejected; without any
+labelled training row every text is. Ties go to the language that sorts first. Training rows with null text or
+language are left out. A language none of whose sentences is clean keeps those it has; one without any
+letter has no dictionary and competes with plain compression. Equal texts get equal results. Extra columns
+are kept, those with the names of the results replaced.
 """
 
 from __future__ import annotations
@@ -45,12 +48,14 @@ BLOCK = 8 << 20
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """The dictionary of each language, from a bounded sample of labelled texts."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    rows = rows.where((F.octet_length("text") <= LONGEST) & (F.octet_length("text") > 0))
+    rows = rows.where("text <> ''")
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     # The share of texts wanted is taken by the hash of the text, so copies count once and nothing is sorted.
     share = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(1e6 * SAMPLE) / F.col("n")
+    over = F.length("text") - LONGEST
+    passage = F.when(over <= 0, F.col("text")).otherwise(F.substring("text", F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(over, F.lit(1))).cast("int") + 1, F.lit(LONGEST)))
     texts: dict[str, dict[int, str]] = {}
-    for r in rows.join(F.broadcast(counts), "lang").where(share).groupBy("lang", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")).collect():
+    for r in rows.join(F.broadcast(counts), "lang").where(share).select("lang", F.xxhash64("text").alias("h"), passage.alias("text")).groupBy("lang", "h").agg(F.min("text").alias("text")).collect():
         texts.setdefault(r["lang"], {})[r["h"]] = r["text"]
     return build(texts)
 
@@ -59,20 +64,24 @@ def build(texts: dict[str, dict[int, str]]) -> dict[str, bytes]:
     """Dictionaries from sample texts by language and hash.
 
     Sentences that occur twice in the sample (boilerplate, quoted passages) are left out; then, with
-    dictionaries of what remains, sentences that another language's dictionary shortens more are too.
+    dictionaries of what remains, sentences that another language's dictionary shortens more are too. A
+    language that would be left without any keeps what it had.
     """
-    pieces = {name: [s for _, t in sorted(texts[name].items()) for s in _SENTENCE.split(t.lower()) if s] for name in sorted(texts)}
-    times = Counter(s for found in pieces.values() for s in found)
-    pieces = {name: [s for s in found if times[s] == 1 or len(s) < SHORT] for name, found in pieces.items()}
-    first = _joined(pieces)
-    if len(first) > 1:
-        judge = Compressors(first)
-        for name, found in pieces.items():
-            own = judge.names.index(name) if name in judge.names else None
-            pieces[name] = [s for s in found if own is None or len(s) < SHORT or _own_is_least(judge.sizes(s), own)]
+    given = {name: [s for _, t in sorted(texts[name].items()) for s in _SENTENCE.split(t.lower()) if s] for name in sorted(texts)}
+    times = Counter(s for found in given.values() for s in found)
+    pieces = {name: _some([s for s in found if times[s] == 1 or len(s) < SHORT], found) for name, found in given.items()}
+    if len(pieces) > 1:
+        judge = Compressors(_joined(pieces))
+        for own, name in enumerate(judge.names):
+            pieces[name] = _some([s for s in pieces[name] if len(s) < SHORT or _own_is_least(judge.sizes(s), own)], pieces[name])
     return _joined(pieces)
 
 
+def _some(clean: list[str], all_of_them: list[str]) -> list[str]:
+    """The clean sentences, or all where none of the clean ones has a letter."""
+    return clean if any(map(plain_bytes, clean)) else all_of_them
+
+
 def _own_is_least(sizes: list[int], own: int) -> bool:
     return sizes[own] <= min(sizes)
 
@@ -87,7 +96,7 @@ def _joined(pieces: dict[str, list[str]]) -> dict[str, bytes]:
                 joined.append(raw)
                 size += len(raw) + 1
         made[name] = b" ".join(joined)
-    return {k: v for k, v in made.items() if v}
+    return made
 
 
 def plain_bytes(text: str) -> bytes:
@@ -105,6 +114,9 @@ class Compressors:
             window_log=18, hash_log=17, chain_log=17, search_log=4, min_match=3, strategy=zstandard.STRATEGY_GREEDY, write_content_size=0, write_checksum=0, write_dict_id=0
         )
         for name in self.names:
+            if not dictionaries[name]:
+                self.coders.append(zstandard.ZstdCompressor(compression_params=how))
+                continue
             d = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(compression_params=how)
             self.coders.append(zstandard.ZstdCompressor(dict_data=d, compression_params=how))

@@ -1,12 +1,16 @@
 """TIFF columns: image directories are walked, strips and tiles decoded, predictors undone, one row per page.
 
-Decodes PackBits, LZW, deflate and uncompressed data, both byte orders, strips and tiles, chunky and
-planar samples of 8, 16 or 32 bits, and the horizontal and floating-point predictors. A small writer
+Decodes PackBits, LZW, deflate and uncompressed data, both byte orders and fill orders, strips and tiles,
+chunky and planar samples of 1, 2, 4, 8, 16, 32 or 64 bits, and the horizontal and floating-point predictors.
+Samples below 8 bits come out one to a byte, as stored (whichever of black and white is 0). A small writer
 stores rows of 8-bit samples (deflate, horizontal predictor), so that a column can make the round trip.
 
 Defined results: a null medium gives no rows. A medium that is no TIFF, is cut short, uses something not
-listed above, or declares more than MAX_BYTES of samples gives one row with ``error`` and null pixels; an
-error on a later page ends the medium's pages. Repeated rows give equal rows. Extra columns are kept.
+listed above, or declares more samples than its bytes can unpack to gives one row with ``error`` and null
+pixels; an error on a later page ends the medium's pages, and so does a directory that was seen before. A
+page is one cell of the result, so it holds 2 GiB at most, as Spark's cells do. Nothing is unpacked beyond
+what a page declares. Repeated rows give equal rows. Extra columns are kept, those with the names of the
+results are replaced.
 """
 
 from __future__ import annotations
@@ -22,23 +26,23 @@ from pyspark.sql import functions as F
 
 from .merges import blocks
 
-#: Most bytes of samples that one page may declare.
-MAX_BYTES = 1 << 28
+#: Most bytes that a byte of the medium can unpack to: deflate's bound, the largest of all compressions.
+EXPANSION = 1032
 #: Bytes of a column that are coded at a time.
 BLOCK = 8 << 20
 
 # Fixed values of the TIFF 6.0 format: bytes and struct code of each field type, and tag numbers.
 FIELD_TYPES = {1: (1, "B"), 2: (1, "B"), 3: (2, "H"), 4: (4, "I"), 6: (1, "b"), 7: (1, "B"), 8: (2, "h"), 9: (4, "i")}
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC = 256, 257, 258, 259, 262
-STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PLANAR, PREDICTOR = 273, 277, 278, 279, 284, 317
+FILL_ORDER, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PLANAR, PREDICTOR = 266, 273, 277, 278, 279, 284, 317
 TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS, SAMPLE_FORMAT = 322, 323, 324, 325, 339
 NONE, LZW, ADOBE_DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 
 
-def unpack_bits(data: bytes) -> bytes:
-    """PackBits: a count of up to 128 literal bytes, or a byte to repeat."""
+def unpack_bits(data: bytes, need: int | None = None) -> bytes:
+    """PackBits: a count of up to 128 literal bytes, or a byte to repeat; ends after ``need`` bytes if given."""
     out, i = bytearray(), 0
-    while i < len(data):
+    while i < len(data) and (need is None or len(out) < need):
         n = data[i]
         if n < 128:
             out += data[i + 1 : i + 2 + n]
@@ -50,10 +54,10 @@ def unpack_bits(data: bytes) -> bytes:
     return bytes(out)
 
 
-def unpack_lzw(data: bytes) -> bytes:
-    """LZW with codes of 9 to 12 bits, highest bit first, widened one code early."""
+def unpack_lzw(data: bytes, need: int | None = None) -> bytes:
+    """LZW with codes of 9 to 12 bits, highest bit first, widened one code early; ends after ``need`` bytes if given."""
     first = [bytes([i]) for i in range(256)] + [b"", b""]
-    table, out, bits, held, width, last = list(first), [], 0, 0, 9, None
+    table, out, bits, held, width, last, size = list(first), [], 0, 0, 9, None, 0
     for byte in data:
         held, bits = held << 8 | byte, bits + 8
         if bits < width:
@@ -74,20 +78,24 @@ def unpack_lzw(data: bytes) -> bytes:
                 raise ValueError("bad LZW code")
             table.append(last + entry[:1])
         out.append(entry)
+        size += len(entry)
+        if need is not None and size >= need:
+            break
         last = entry
         width = 9 if len(table) < 511 else 10 if len(table) < 1023 else 11 if len(table) < 2047 else 12
     return b"".join(out)
 
 
-def _unpack(data: bytes, compression: int) -> bytes:
+def _unpack(data: bytes, compression: int, need: int) -> bytes:
+    """At least ``need`` bytes of a strip or tile, if it holds them, and little more."""
     if compression == NONE:
-        return data
+        return data[:need]
     if compression in (ADOBE_DEFLATE, OLD_DEFLATE):
-        return zlib.decompress(data)
+        return zlib.decompressobj().decompress(data, need)
     if compression == PACKBITS:
-        return unpack_bits(data)
+        return unpack_bits(data, need)
     if compression == LZW:
-        return unpack_lzw(data)
+        return unpack_lzw(data, need)
     raise ValueError(f"compression {compression} is not supported")
 
 
@@ -122,46 +130,69 @@ def _undo_predictor(block: np.ndarray, predictor: int, order: str) -> np.ndarray
     raise ValueError(f"predictor {predictor} is not supported")
 
 
+# Fixed values of the format: bits and kind of the samples that are read.
+SAMPLE_TYPES = {(1, "u"), (2, "u"), (4, "u"), (8, "u"), (8, "i"), (16, "u"), (16, "i"), (32, "u"), (32, "i"), (32, "f"), (64, "f")}
+
+
+def _small_samples(raw: bytes, bits: int, rows: int, row_bytes: int) -> np.ndarray:
+    """Samples of 1, 2 or 4 bits, highest first, one to a byte; each row begins with a byte of its own."""
+    flat = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(rows, row_bytes), axis=1).reshape(rows, -1, bits)
+    return flat @ (1 << np.arange(bits - 1, -1, -1)).astype(np.uint8)
+
+
 def read_page(data: bytes, order: str, tags: dict[int, tuple]) -> tuple[np.ndarray, int]:
     """Pixels (rows x columns x samples) and compression of one page."""
-    one = lambda tag, default=None: tags[tag][0] if tag in tags else default
+    one = lambda tag, default=None: tags[tag][0] if tags.get(tag) else default
     width, height, samples = one(WIDTH), one(HEIGHT), one(SAMPLES, 1)
-    bits, kind = tags.get(BITS, (1,)), {1: "u", 2: "i", 3: "f"}.get(one(SAMPLE_FORMAT, 1))
-    if not width or not height or not samples or len(set(bits)) > 1 or kind is None or (bits[0], kind) not in {(8, "u"), (8, "i"), (16, "u"), (16, "i"), (32, "u"), (32, "i"), (32, "f"), (64, "f")}:
+    bits, form = tags.get(BITS) or (1,), {1: "u", 2: "i", 3: "f"}.get(one(SAMPLE_FORMAT, 1))
+    if not width or not height or not samples or min(width, height, samples) < 0 or len(set(bits)) > 1 or (bits[0], form) not in SAMPLE_TYPES:
         raise ValueError("dimensions or sample type are missing or not supported")
-    kind = np.dtype(f"{order}{kind}{bits[0] // 8}")
-    if width * height * samples * kind.itemsize > MAX_BYTES:
-        raise ValueError("the page declares too many samples")
+    bits = bits[0]
+    kind = np.dtype("u1" if bits < 8 else f"{order}{form}{bits // 8}")
     planes = samples if one(PLANAR, 1) == 2 else 1
     each = samples // planes
     compression, predictor = one(COMPRESSION, NONE), one(PREDICTOR, 1)
-    if TILE_OFFSETS in tags:
-        across, down = one(TILE_WIDTH), one(TILE_HEIGHT)
-        offsets, counts = tags[TILE_OFFSETS], tags[TILE_COUNTS]
-    else:
-        across, down = width, min(one(ROWS_PER_STRIP, height), height)
-        offsets, counts = tags[STRIP_OFFSETS], tags[STRIP_COUNTS]
+    if width * height * samples * bits > 8 * EXPANSION * len(data):
+        raise ValueError("the page declares more samples than its bytes can hold")
+    if width * height * samples * kind.itemsize >= 1 << 31:
+        raise ValueError("the page is larger than a cell can be")
+    if bits < 8 and predictor != 1:
+        raise ValueError("a predictor needs samples of whole bytes")
+    tiled = TILE_OFFSETS in tags
+    across, down = (one(TILE_WIDTH), one(TILE_HEIGHT)) if tiled else (width, min(one(ROWS_PER_STRIP) or height, height))
+    if not across or not down or across < 0 or down < 0:
+        raise ValueError("tiles have no size")
+    offsets, counts = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiled else (tags[STRIP_OFFSETS], tags[STRIP_COUNTS])
     columns, rows = -(-width // across), -(-height // down)
-    if len(offsets) < columns * rows * planes or len(counts) < len(offsets):
+    if len(offsets) < columns * rows * planes or len(counts) < columns * rows * planes:
         raise ValueError("strips or tiles are missing")
+    row_bytes = -(-across * each * bits // 8)
+    if row_bytes * down > EXPANSION * len(data):
+        raise ValueError("a tile declares more samples than its bytes can hold")
     page = np.zeros((height, width, samples), kind.newbyteorder("<"))
     for plane in range(planes):
         for i in range(columns * rows):
             k = plane * columns * rows + i
             top, left = i // columns * down, i % columns * across
-            high = down if TILE_OFFSETS in tags else min(down, height - top)
-            raw = _unpack(data[offsets[k] : offsets[k] + counts[k]], compression)
-            need = high * across * each * kind.itemsize
+            high = down if tiled else min(down, height - top)
+            part = data[offsets[k] : offsets[k] + counts[k]]
+            if one(FILL_ORDER, 1) == 2:
+                part = np.packbits(np.unpackbits(np.frombuffer(part, np.uint8), bitorder="little")).tobytes()
+            need = high * row_bytes
+            raw = _unpack(part, compression, need)
             if len(raw) < need:
                 raise ValueError("a strip or tile is cut short")
-            block = np.frombuffer(raw[:need], kind).reshape(high, across, each)
-            block = _undo_predictor(block, predictor, order)[: height - top, : width - left]
+            if bits < 8:
+                block = _small_samples(raw[:need], bits, high, row_bytes)[:, : across * each].reshape(high, across, each)
+            else:
+                block = _undo_predictor(np.frombuffer(raw[:need], kind).reshape(high, across, each), predictor, order)
+            block = block[: height - top, : width - left]
             page[top : top + block.shape[0], left : left + block.shape[1], plane * each : plane * each + each] = block
     return page, compression
 
 
 def read_tiff(data: bytes):
-    """Yields (pixels, compression) of each page; raises ValueError for what can't be read."""
+    """Yields (pixels, compression) of each page; raises ValueError for what can't be read, whatever the bytes."""
     order = {b"II*\0": "<", b"MM\0*": ">"}.get(data[:4])
     if order is None:
         raise ValueError("not a TIFF")
@@ -172,7 +203,7 @@ def read_tiff(data: bytes):
             seen.add(at)
             tags, at = _directory(data, order, at)
             yield read_page(data, order, tags)
-    except (struct.error, zlib.error, KeyError, IndexError) as e:
+    except (struct.error, zlib.error, LookupError, ArithmeticError, TypeError, MemoryError) as e:
         raise ValueError(f"damaged TIFF: {e}") from e
 
 

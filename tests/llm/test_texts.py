@@ -209,6 +209,44 @@ def test_language_edges(spark):
     assert language.fit(frame.limit(0).select("doc_id", "text", F.col("score").alias("lang"))) == {}
 
 
+def test_language_brute_force(spark):
+    """Each text judged again on its own, straight from the fitted dictionaries."""
+    import zstandard
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    extra = [(10**6, "Le chat " * 60_000, None), (10**6 + 1, "LE CHAT", None), (10**6 + 1, "LE CHAT", None), (10**6 + 2, None, "en"), (10**6 + 3, "12!", "en"), (10**6 + 4, "\u00e9", None)]
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema)).withColumn("lang_pred", F.lit("x"))
+    model = language.fit(docs.where("doc_id % 4 <> 2"))
+    assert set(model) == {r["lang"] for r in docs.collect() if r["lang"]}
+    how = zstandard.ZstdCompressionParameters(window_log=18, hash_log=17, chain_log=17, search_log=4, min_match=3, strategy=zstandard.STRATEGY_GREEDY, write_content_size=0, write_checksum=0, write_dict_id=0)
+    coders = {n: zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=how) for n, d in model.items()}
+    want = {}
+    for r in docs.collect():
+        text = r["text"] or ""
+        if not any(c.isalpha() for c in text):
+            want[r["doc_id"]] = ("und", 0.0, True)
+            continue
+        raw = "".join(c if ord(c) >= 128 or c.isalpha() else " " for c in text.lower())
+        raw = b" ".join(x for x in raw.encode().split(b" ") if x)
+        sizes = sorted((sum(len(c.compress(raw[i : i + language.PIECE])) for i in range(0, len(raw), language.PIECE)), n) for n, c in coders.items())
+        margin = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+        want[r["doc_id"]] = (sizes[0][1], margin, margin < language.MIN_MARGIN)
+    rows = language.identify(docs, model).collect()
+    assert len(rows) == 206 and all((r["lang_pred"], r["score"], r["rejected"]) == want[r["doc_id"]] for r in rows)
+
+
+def test_language_model_is_never_empty(spark):
+    """One text under two languages, languages of long texts alone, and a language without letters still have a prediction."""
+    same = spark.createDataFrame([(1, "the cat sat here", "en"), (2, "the cat sat here", "fr")], "doc_id long, text string, lang string")
+    assert {r["lang_pred"] for r in language.identify(same, language.fit(same)).collect()} == {"en"}
+    long = spark.createDataFrame([(1, "un deux trois quatre cinq. " * 900, "fr"), (2, "one two three four five. " * 900, "en"), (3, "1 2 3", "xx")], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(long, language.fit(long)).collect()}
+    assert got == {1: "fr", 2: "en", 3: "und"}
+    only = spark.createDataFrame([(1, "1 2 3", "xx"), (2, "abc", None)], "doc_id long, text string, lang string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language.identify(only, language.fit(only)).collect()} == {1: "und", 2: "xx"}
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     got = queries.op8_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), "doc_id").where("held_out").collect()
@@ -338,6 +376,72 @@ def test_tiff_decodes_what_it_lists(spark):
         assert np.allclose(np.frombuffer(bytes(got[8]["pixels"]), "<f4").reshape(8, 10), floats)
 
 
+def test_tiff_bilevel_and_small_samples(spark):
+    """Samples of 1, 2 and 4 bits in strips and tiles, packed and not, with both fill orders."""
+    rng = np.random.default_rng(3)
+    pages, want = [], []
+
+    def packed(image, bits):
+        spread = np.unpackbits(image[:, :, None].astype(np.uint8), axis=2)[:, :, 8 - bits :]
+        return np.packbits(spread.reshape(len(image), -1), axis=1).tobytes()
+
+    for bits in (1, 2, 4):
+        image = rng.integers(0, 1 << bits, (21, 37), dtype=np.uint8)
+        image[3:9] = 0
+        head = {256: (3, [37]), 257: (3, [21]), 258: (3, [bits]), 262: (3, [0])}
+        if bits == 1:
+            del head[258]  # the format's default
+        strips = [packed(image[i : i + 8], bits) for i in range(0, 21, 8)]
+        pages.append(({**head, 259: (3, [32773]), 278: (3, [8])}, [_pack_bits(x) for x in strips]))
+        turned = [np.packbits(np.unpackbits(np.frombuffer(x, np.uint8), bitorder="little")).tobytes() for x in strips]
+        pages.append(({**head, 259: (3, [1]), 266: (3, [2]), 278: (3, [8])}, turned))
+        padded = np.zeros((32, 48), np.uint8)
+        padded[:21, :37] = image
+        tiles = [zlib.compress(packed(padded[y : y + 16, x : x + 16], bits)) for y in range(0, 32, 16) for x in range(0, 48, 16)]
+        pages.append(({**head, 259: (3, [8]), 322: (3, [16]), 323: (3, [16]), 324: (4, [])}, tiles))
+        want += [image.tobytes()] * 3
+    got = sorted(tiff.tiff_pages(spark.createDataFrame([(bytearray(_tiff(pages, ">")),)], "media binary")).collect(), key=lambda r: r["page"])
+    assert [r["error"] for r in got] == [None] * 9 and [bytes(r["pixels"]) for r in got] == want
+
+
+def test_tiff_any_damage_is_an_error_row(spark):
+    """Sizes of 0, sizes beyond the data, a deflate bomb, repeated directories and random damage: rows, never a crash."""
+    head = {256: (3, [8]), 257: (3, [4]), 258: (3, [8]), 259: (3, [1])}
+    raw = bytes(range(32))
+    bad = [
+        _tiff([({**head, 278: (3, [4]), 256: (3, [0])}, [raw])]),
+        _tiff([({**head, 322: (3, [0]), 323: (3, [16]), 324: (4, [])}, [raw])]),
+        _tiff([({**head, 323: (3, [16]), 324: (4, [])}, [raw])]),
+        _tiff([({**head, 278: (3, [4]), 256: (4, [2**31]), 257: (4, [2**31])}, [raw])]),
+        _tiff([({**head, 322: (4, [2**30]), 323: (4, [2**30]), 324: (4, [])}, [raw])]),
+        _tiff([({**head, 278: (3, [4]), 258: (3, [3])}, [raw])]),
+    ]
+    rows = tiff.tiff_pages(spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(bad)], "id long, media binary")).collect()
+    assert len(rows) == len(bad) and all(r["error"] and r["pixels"] is None for r in rows)
+    whole = _tiff([({**head, 278: (3, [0])}, [raw])])
+    assert next(tiff.read_tiff(whole))[0].tobytes() == raw
+    bomb = _tiff([({**head, 259: (3, [8]), 278: (3, [4])}, [zlib.compress(b"\0" * (64 << 20))])])
+    assert next(tiff.read_tiff(bomb))[0].tobytes() == b"\0" * 32
+    r = random.Random(6)
+    good = _tiff([({**head, 278: (3, [2])}, [raw[:16], raw[16:]]), ({**head, 259: (3, [5]), 278: (3, [4])}, [_pack_lzw(raw)])])
+    for _ in range(3000):
+        data = bytearray(good)
+        for _ in range(r.randrange(1, 4)):
+            data[r.randrange(len(data))] = r.randrange(256)
+        try:
+            list(tiff.read_tiff(bytes(data[: r.randrange(8, len(data) + 1)])))
+        except ValueError:
+            pass
+
+
+def test_tiff_long_texts_repeats_and_clashing_columns(spark):
+    text = "long text \u00e9 " * 400_000
+    frame = spark.createDataFrame([(1, text, 5, "p"), (2, "x", 6, "q"), (2, "x", 6, "q")], "doc_id long, text string, n_bytes int, pixels string")
+    got = sorted(tiff.tiff_pages(tiff.store_texts(frame)).collect(), key=lambda r: r["doc_id"])
+    assert [r["n_bytes"] for r in got] == [len(text.encode()), 1, 1] and got[1] == got[2]
+    assert bytes(got[0]["pixels"])[: got[0]["n_bytes"]] == text.encode() and {r["error"] for r in got} == {None}
+
+
 def test_tiff_long_lzw_and_packbits():
     rng = np.random.default_rng(9)
     data = rng.integers(0, 40, 60_000, dtype=np.uint8).tobytes() + b"\0" * 5000
