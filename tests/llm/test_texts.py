@@ -174,19 +174,26 @@ def _judge(url, rules):
     return host, path, name, action
 
 
-def test_url_rules_brute_force(spark):
+@pytest.mark.parametrize("shapes", [16, 0])
+def test_url_rules_brute_force(spark, monkeypatch, shapes):
+    monkeypatch.setattr(url_filter, "SHAPES", shapes)
     r = random.Random(8)
-    hosts = ["com", "Example.COM", "a.b.example.com", "notexample.com", "net", "x.net", "example.net", "org", "Ö.org", ""]
+    hosts = ["com", "Example.COM", "a.b.example.com", "notexample.com", "net", "x.net", "example.net", "org", "\u00d6.org", "", "a" * 5000 + ".com"]
     paths = ["", "/", "/en/", "/en/7", "/en/77?x", "/de/8#t", "/de/", "/es/1", "/e", "?q=/en/7", "#/en/"]
-    urls = [f"http{r.choice(['', 's'])}://{r.choice(hosts)}{r.choice(paths)}" for _ in range(400)] + [None, "", "com/en/", "x://y://com/en/", "://com/en/7", "http://.com/en/", "http://COM\n/en/"]
-    frame = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(urls)], "page_id long, url string, html string, _best2 string")
-    rules = queries.URL_RULES + [("com", "/en/", "allow"), ("example.com", None, "allow"), (None, "/x", "block")]
+    urls = [f"http{r.choice(['', 's'])}://{r.choice(hosts)}{r.choice(paths)}" for _ in range(400)] + [None, "", "com/en/", "x://y://com/en/", "://com/en/7", "http://.com/en/", "http://COM\n/en/", "http://com./en/"]
+    urls += urls[:20]
+    extra = ["_best", "_lead", "rule", "lead", "full", "key", "digest", "size", "full_0", "row", "best", "action"]
+    frame = spark.createDataFrame([(i, u, *extra) for i, u in enumerate(urls)], ", ".join(["page_id long", "url string", *(f"{x} string" for x in extra)]))
+    rules = queries.URL_RULES + [("com", "/en/", "allow"), ("example.com", None, "allow"), (None, "/x", "block"), ("", "/en/", "block")]
     given = spark.createDataFrame(rules, "host string, path string, action string")
     want = [(h, p or "", a) for h, p, a in rules if h]
-    got = {x["page_id"]: x for x in url_filter.filter_urls(frame, given).collect()}
+    judged = url_filter.filter_urls(frame, given)
+    got = {x["page_id"]: x for x in judged.collect()}
+    assert set(judged.columns) == {"page_id", "url", *extra, "host", "path", "rule", "verdict"}
     for i, u in enumerate(urls):
         x = got[i]
         assert (x["host"], x["path"], x["rule"], x["verdict"]) == _judge(u, want), u
+        assert all(x[c] == c for c in extra if c != "rule")
     assert url_filter.filter_urls(frame.limit(0), given).count() == 0
     assert {x["verdict"] for x in url_filter.filter_urls(frame, given.limit(0)).collect()} == {"allow"}
 
