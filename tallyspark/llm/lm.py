@@ -17,6 +17,8 @@ where more texts are scored than were learned from, the blocks that ask one buck
 The words that make up at least the share COMMON of the training tokens are also broadcast, to save
 requests; by arithmetic there are at most 1 / COMMON. A pair is counted in the bucket of its second word
 where that is not common (such a word has few pairs), or else in the bucket of the pair.
+Keys, counts and tokens travel and are stored packed: differences of sorted keys and byte planes of numbers,
+compressed, without loss.
 
 Tokens are the words `[^\\x20\\x09-\\x0D]+`, A-Z in lower case, and one end for each text.
 
@@ -40,8 +42,6 @@ from .common import table
 from .merges import ascii_words, blocks, mix, word_hashes
 
 REACH = 5
-#: Pairs of words below this share of the training tokens are left out; 0 counts all pairs.
-FREQUENT = 0.0
 #: Share of the training tokens from which a word is broadcast.
 COMMON = 1e-5
 HALF = 0.5
@@ -59,7 +59,40 @@ _NO_ID = -(2**63)
 _U = np.uint64
 
 _NAMES = ["kind", "bucket", "block", "keys", "tokens", "sizes", "counts", "a", "b"]
-_KEYED = "kind int, bucket int, block string, keys array<long>, tokens array<int>, sizes array<int>, counts array<long>, a array<double>, b array<double>"
+_KEYED = "kind int, bucket int, block string, keys binary, tokens binary, sizes binary, counts binary, a binary, b binary"
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, or floats: their byte planes, compressed."""
+    import zstandard
+
+    if values.dtype.kind == "f":
+        planes = np.ascontiguousarray(values, "<f8").view(np.uint8).reshape(-1, 8)
+        width = 9  # marks floats
+    else:
+        most = int(values.max(initial=0))
+        width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+        planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes.T).tobytes())
+
+
+def unpack(data: bytes) -> np.ndarray:
+    """What ``pack`` was given, as uint64, int64 or float64 by its width."""
+    import zstandard
+
+    width = min(8, data[0])
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
+    values = np.ascontiguousarray(raw.reshape(width, -1).T).reshape(-1).view("<f8" if data[0] == 9 else f"<u{width}")
+    return values if data[0] == 9 or width == 8 else values.astype(np.int64)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys by their differences."""
+    return pack(np.diff(keys, prepend=np.zeros(1, np.uint64)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data).astype(np.uint64), dtype=np.uint64)
 
 
 @dataclass
@@ -75,7 +108,6 @@ class Model:
     scale: float
     unknown: float
     pair_discount: np.ndarray | None = None
-    frequent: np.ndarray | None = None  # sorted hashes of the words whose pairs are counted, empty for all
     common: np.ndarray | None = None  # sorted hashes of the broadcast words, the start of a text among them
     common_counts: np.ndarray | None = None
     common_alpha: np.ndarray | None = None  # log10 backoff weight after each of them
@@ -105,54 +137,58 @@ def good_turing(frequencies: np.ndarray, reach: int = REACH) -> np.ndarray:
 
 
 def _deal(bucket: np.ndarray, buckets: int, keys: np.ndarray):
-    """Keys sorted by bucket; yields (bucket, keys, numbers of the keys) and the place of each key in its bucket."""
-    order = np.argsort(bucket, kind="stable")
-    starts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    place = np.empty(len(keys), np.int64)
-    place[order] = np.arange(len(keys)) - starts[bucket[order]]
-    return order, starts, place
+    """Order of the keys by bucket and value, and where each bucket starts in it."""
+    order = np.lexsort((keys, bucket))
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
 
+def _count_rows(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray, buckets: int) -> pa.RecordBatch:
+    order, starts = _deal(bucket, buckets, keys)
+    full = np.flatnonzero(np.diff(starts)).tolist()
+    spans = [order[starts[b] : starts[b + 1]] for b in full]
+    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([pack_keys(keys[x]) for x in spans], pa.binary()), pa.array([pack(counts[x]) for x in spans], pa.binary())], ["bucket", "keys", "counts"])
 
-def _lists(values: np.ndarray, bounds: np.ndarray, kind) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values, kind))
 
+def _joined(column, how=unpack, kind=np.int64) -> np.ndarray:
+    """The packed arrays of a column one after the other."""
+    return np.concatenate([np.zeros(0, kind), *map(how, column)])
 
-def _count_rows(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray, buckets: int) -> pa.RecordBatch:
-    order, starts, _ = _deal(bucket, buckets, keys)
-    full = np.flatnonzero(np.diff(starts))
-    bounds = np.r_[starts[full], starts[-1]]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(full.astype(np.int32)), _lists(keys[order].view(np.int64), bounds, pa.int64()), _lists(counts[order].astype(np.int32), bounds, pa.int32())],
-        ["bucket", "keys", "counts"],
-    )
+
+def _seen(counts: np.ndarray) -> np.ndarray:
+    """How many of the counts are 1, 2, ... REACH + 1."""
+    return np.bincount(np.minimum(counts, REACH + 2), minlength=REACH + 3)[1 : REACH + 2]
 
 
 def _summed(rows: DataFrame) -> DataFrame:
     """Total count of each key by bucket, in rows of at most CHUNK keys, with the numbers of keys seen 1, 2, ... times."""
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, inverse = np.unique(np.concatenate(frame["keys"].to_list()), return_inverse=True)
-        counts = np.bincount(inverse, np.concatenate(frame["counts"].to_list()), minlength=len(keys)).astype(np.int64)
+        keys, inverse = np.unique(_joined(frame["keys"], unpack_keys, np.uint64), return_inverse=True)
+        counts = np.bincount(inverse, _joined(frame["counts"]), minlength=len(keys)).astype(np.int64)
         out = []
         for i in range(0, len(keys), CHUNK):
             c = counts[i : i + CHUNK]
-            out.append((int(frame["bucket"].iloc[0]), keys[i : i + CHUNK], c, int(c.sum()), np.bincount(np.minimum(c, REACH + 2), minlength=REACH + 3)[1 : REACH + 2]))
-        return pd.DataFrame(out, columns=["bucket", "keys", "counts", "total", "seen"])
+            out.append((int(frame["bucket"].iloc[0]), pack_keys(keys[i : i + CHUNK]), pack(c), len(c), int(c.sum()), _seen(c)))
+        return pd.DataFrame(out, columns=["bucket", "keys", "counts", "n", "total", "seen"])
 
-    return rows.groupBy("bucket").applyInPandas(merge, "bucket int, keys array<long>, counts array<long>, total long, seen array<long>")
+    return rows.groupBy("bucket").applyInPandas(merge, "bucket int, keys binary, counts binary, n long, total long, seen array<long>")
 
 
 def _block_words(texts: pa.Array):
     """Tokens of a block, the end of each text among them: sizes, hash of each distinct token, index of each token."""
     counts, distinct, index = ascii_words(texts)
-    hashes = np.r_[word_hashes(distinct), END]
     sizes = counts + 1
     ends = np.cumsum(sizes)
-    tokens = np.full(ends[-1] if len(ends) else 0, len(hashes) - 1)
+    tokens = np.full(ends[-1] if len(ends) else 0, len(distinct))
     inner = np.ones(len(tokens), bool)
     inner[ends - 1] = False
     tokens[inner] = index
-    return sizes, hashes, tokens
+    # The commonest first, so that most tokens are small numbers.
+    hashes = np.r_[word_hashes(distinct), END]
+    order = np.argsort(-np.bincount(tokens, minlength=len(hashes)), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return sizes, hashes[order], place[tokens]
 
 
 def _index(hashes: np.ndarray, among: np.ndarray) -> np.ndarray:
@@ -175,12 +211,14 @@ def _block_pairs(sizes: np.ndarray, tokens: np.ndarray, width: int):
     """Distinct pairs of a block: index of the history (``width`` for the start of a text) and of the word, and the pair at each token."""
     before = np.r_[np.int64(width), tokens[:-1]]
     before[np.cumsum(sizes) - sizes] = width
-    codes, inverse = np.unique(before[: len(tokens)] * width + tokens, return_inverse=True)
+    inverse, codes = pd.factorize(before[: len(tokens)] * width + tokens)
     return codes // width, codes % width, inverse
 
 
-def _bytes(df: DataFrame) -> int:
-    return df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def _bytes(df: DataFrame) -> tuple[int, int]:
+    """Bytes of all texts, and their number."""
+    found = df.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    return found[0] or 0, found[1]
 
 
 def _each_block(batches, column: int = 0):
@@ -192,18 +230,29 @@ def _each_block(batches, column: int = 0):
 
 def _at_least(words: DataFrame, least: float, columns: list[str]) -> list[np.ndarray]:
     """Hashes (sorted) and columns of the words of a count of at least ``least``, and of the start of a text."""
-    zipped = F.filter(F.arrays_zip("keys", *columns), lambda x: (x["counts"] >= least) | (x["keys"] == F.lit(int(START.astype(np.int64)))))
-    found = words.select(F.explode(zipped).alias("x")).select("x.*").collect()
+
+    def find(batches):
+        for batch in batches:
+            for i in range(len(batch)):
+                keys = unpack_keys(batch.column(0)[i].as_py())
+                values = [unpack(batch.column(k + 1)[i].as_py()) for k in range(len(columns))]
+                at = np.flatnonzero((values[0] >= least) | (keys == START))
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), *(pa.array(v[at].astype(np.float64)) for v in values)], ["keys", *columns])
+
+    found = words.select("keys", *columns).mapInArrow(find, ", ".join(["keys long", *(f"{c} double" for c in columns)])).collect()
     hashes = np.array([r[0] % (1 << 64) for r in found], np.uint64)
     order = np.argsort(hashes)
-    return [hashes[order], *(np.array([r[k + 1] for r in found])[order] for k in range(len(columns)))]
+    return [hashes[order], *(np.array([r[k + 1] for r in found], float)[order] for k in range(len(columns)))]
 
 
 def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Model:
     """Count words and pairs of all training texts, and weigh them."""
     spark = train.sparkSession
     source = train.select(F.col(text).alias("text"))
-    buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-_bytes(source) // SHARE))
+    # After the start of a text come as many tokens as there are texts.
+    size, texts_all = _bytes(source)
+    buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARE))
 
     def count_words(batches):
         for _, texts in _each_block(batches):
@@ -212,10 +261,9 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
             hashes, counts = hashes[counts > 0], counts[counts > 0]
             yield _count_rows(hashes, counts, _word_bucket(hashes, buckets), buckets)
 
-    counted = "bucket int, keys array<long>, counts array<int>"
-    words = table(_summed(source.mapInArrow(count_words, counted)), "lm-words")
+    words = table(_summed(source.mapInArrow(count_words, "bucket int, keys binary, counts binary")), "lm-words")
     seen = [F.sum(F.element_at("seen", r)).alias(f"n{r}") for r in range(1, REACH + 2)]
-    facts = words.agg(F.sum("total").alias("N"), F.sum(F.size("keys").cast("long")).alias("V"), *seen).first()
+    facts = words.agg(F.sum("total").alias("N"), F.sum("n").alias("V"), *seen).first()
     tokens, distinct = facts["N"] or 0, facts["V"] or 0
     types = np.array([facts[f"n{r}"] or 0 for r in range(1, REACH + 2)], float)
     discount = good_turing(types)
@@ -226,108 +274,104 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
     # By arithmetic at most 1 / COMMON words reach this share.
     least = max(1, COMMON * tokens)
     common, common_counts = _at_least(words, least, ["counts"])
-    frequent = _at_least(words, max(1, FREQUENT * tokens), ["counts"])[0] if FREQUENT else np.zeros(0, np.uint64)
-    model = Model(words, words, buckets, tokens, distinct, discount, scale, unknown, frequent=frequent)
+    common_counts = common_counts.astype(np.int64)
+    model = Model(words, words, buckets, tokens, distinct, discount, scale, unknown)
     word_log = _alone(model).word_log
-    chosen = bool(FREQUENT)
-    known = spark.sparkContext.broadcast((frequent, common, common_counts))
+    known = spark.sparkContext.broadcast((common, common_counts))
+    pair_columns = "bucket int, histories binary, keys binary, history binary, word binary, counts binary"
 
     def count_pairs(batches):
-        frequent, common, _ = known.value
+        common, _ = known.value
         for _, texts in _each_block(batches):
             sizes, hashes, tokens = _block_words(texts)
             history, word, inverse = _block_pairs(sizes, tokens, len(hashes))
             counts = np.bincount(inverse, minlength=len(word))
-            hashes = np.r_[hashes, START]
-            if chosen:
-                may = _index(hashes, frequent) >= 0
-                may[-1] = True
-                keep = may[history] & may[word]
-                history, word, counts = history[keep], word[keep], counts[keep]
-            history, word = hashes[history], hashes[word]
-            bucket = np.where(_index(word, common) < 0, _word_bucket(word, buckets), _word_bucket(_pair_keys(history, word), buckets))
-            # By history within a bucket, which packs well.
-            order = np.lexsort((history, bucket))
+            named = np.r_[hashes, START]
+            bucket = np.where(_index(hashes, common)[word] < 0, _word_bucket(hashes, buckets)[word], _word_bucket(_pair_keys(named[history], hashes[word]), buckets))
+            order = np.lexsort((history, word, bucket))
             starts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            full = np.flatnonzero(np.diff(starts))
-            bounds = np.r_[starts[full], starts[-1]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full.astype(np.int32)), _lists(history[order].view(np.int64), bounds, pa.int64()), _lists(word[order].view(np.int64), bounds, pa.int64()), _lists(counts[order], bounds, pa.int64())],
-                ["bucket", "histories", "keys", "counts"],
-            )
+            full = np.flatnonzero(np.diff(starts)).tolist()
+            rows: list[list[bytes]] = [[], [], [], [], []]
+            for b in full:
+                # The words of the bucket's pairs once each, and the pairs by their places among them.
+                span = order[starts[b] : starts[b + 1]]
+                h, hp = np.unique(named[history[span]], return_inverse=True)
+                w, wp = np.unique(hashes[word[span]], return_inverse=True)
+                again = np.lexsort((hp, wp))
+                for out, made in zip(rows, (pack_keys(h), pack_keys(w), pack(hp[again]), pack(np.diff(wp[again], prepend=0)), pack(counts[span][again])), strict=True):
+                    out.append(made)
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(x, pa.binary()) for x in rows)], [c.split()[0] for c in pair_columns.split(", ")])
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         """Totals of the pairs of a bucket (part 1), and what each history has in it (part 2)."""
-        _, common, common_counts = known.value
+        common, common_counts = known.value
         stored = frame["histories"].isna()
         columns = ["part", "bucket", "keys", "counts", "seen", "lower"]
         if stored.all():
             return pd.DataFrame([], columns=columns)
-        here = np.concatenate([*frame.loc[stored, "keys"], np.zeros(0, np.int64)]).view(np.uint64)
-        here_counts = np.concatenate([*frame.loc[stored, "counts"], np.zeros(0, np.int64)])
+        here, here_counts = _joined(frame.loc[stored, "keys"], unpack_keys, np.uint64), _joined(frame.loc[stored, "counts"])
         order = np.argsort(here)
         here, here_counts = here[order], here_counts[order]
-        history = np.concatenate(frame.loc[~stored, "histories"].to_list()).view(np.uint64)
-        word = np.concatenate(frame.loc[~stored, "keys"].to_list()).view(np.uint64)
-        keys, first, inverse = np.unique(_pair_keys(history, word), return_index=True, return_inverse=True)
-        counts = np.bincount(inverse, np.concatenate(frame.loc[~stored, "counts"].to_list()), minlength=len(keys)).astype(np.int64)
+        sent = frame[~stored]
+        history = np.concatenate([unpack_keys(k)[unpack(p)] for k, p in zip(sent["histories"], sent["history"], strict=True)])
+        word = np.concatenate([unpack_keys(k)[np.cumsum(unpack(p))] for k, p in zip(sent["keys"], sent["word"], strict=True)])
+        inverse, keys = pd.factorize(_pair_keys(history, word))
+        first = np.empty(len(keys), np.int64)
+        first[inverse[::-1]] = np.arange(len(inverse))[::-1]
+        counts = np.bincount(inverse, _joined(sent["counts"]), minlength=len(keys)).astype(np.int64)
         history, word = history[first], word[first]
         at, rare = _index(word, common), _index(word, here)
         of = np.zeros(len(word), np.int64)
         of[at >= 0] = common_counts[at[at >= 0]]
         of[at < 0] = here_counts[rare[at < 0]]
         out = []
-        order, starts, _ = _deal(_word_bucket(keys, buckets), buckets, keys)
+        order, starts = _deal(_word_bucket(keys, buckets), buckets, keys)
         for b in np.flatnonzero(np.diff(starts)):
             for i in range(starts[b], starts[b + 1], CHUNK):
                 span = order[i : min(i + CHUNK, starts[b + 1])]
-                c = counts[span]
-                out.append((1, int(b), keys[span].view(np.int64), c, np.bincount(np.minimum(c, REACH + 2), minlength=REACH + 3)[1 : REACH + 2], None))
+                out.append((1, int(b), pack_keys(keys[span]), pack(counts[span]), _seen(counts[span]), None))
         # Of each history: pairs seen 1 to REACH times, occurrences in the others, and the sum of p(w).
-        owners, owner = np.unique(history, return_inverse=True)
+        owner, owners = pd.factorize(history)
         low = counts <= REACH
         several = np.bincount(owner[low] * (REACH + 1) + counts[low] - 1, minlength=len(owners) * (REACH + 1)).reshape(-1, REACH + 1).astype(np.int64)
         several[:, REACH] = np.bincount(owner[~low], counts[~low], minlength=len(owners))
         lower = np.bincount(owner, 10 ** word_log(of), minlength=len(owners))
-        order, starts, _ = _deal(_word_bucket(owners, buckets), buckets, owners)
+        order, starts = _deal(_word_bucket(owners, buckets), buckets, owners)
         for b in np.flatnonzero(np.diff(starts)):
             span = order[starts[b] : starts[b + 1]]
-            out.append((2, int(b), owners[span].view(np.int64), several[span].ravel(), None, lower[span]))
+            out.append((2, int(b), pack_keys(owners[span]), pack(several[span].T.ravel()), None, pack(lower[span])))
         return pd.DataFrame(out, columns=columns)
 
-    none = F.lit(None)
-    listed = words.select("bucket", none.cast("array<long>").alias("histories"), "keys", "counts")
-    both = source.mapInArrow(count_pairs, "bucket int, histories array<long>, keys array<long>, counts array<long>").unionByName(listed)
-    merged = table(both.groupBy("bucket").applyInPandas(merge, "part int, bucket int, keys array<long>, counts array<long>, seen array<long>, lower array<double>"), "lm-pairs")
+    none = F.lit(None).cast("binary")
+    listed = words.select("bucket", none.alias("histories"), "keys", none.alias("history"), none.alias("word"), "counts")
+    both = source.mapInArrow(count_pairs, pair_columns).unionByName(listed)
+    merged = table(both.groupBy("bucket").applyInPandas(merge, "part int, bucket int, keys binary, counts binary, seen array<long>, lower binary"), "lm-pairs")
     facts = merged.where("part = 1").agg(*seen).first()
     pair_discount = good_turing(np.array([facts[f"n{r}"] or 0 for r in range(1, REACH + 2)], float))
-    # After a word come as many tokens as the word has; after the start, as many as there are texts.
-    ends = words.where(F.col("bucket") == int(END % _U(buckets))).select(F.explode(F.arrays_zip("keys", "counts")).alias("x"))
-    starts = (ends.where(F.col("x.keys") == int(END.astype(np.int64))).agg(F.sum("x.counts")).first()[0] or 0) if tokens else 0
+    starts_all = texts_all if tokens else 0
 
     def weigh(frame: pd.DataFrame) -> pd.DataFrame:
         """Words of a bucket with the log10 backoff weight after each and the scale of its discounted pairs."""
         own = frame["lower"].isna()
         bucket = int(frame["bucket"].iloc[0])
-        keys = np.concatenate([*frame.loc[own, "keys"], np.zeros(0, np.int64)])
-        totals = np.concatenate([*frame.loc[own, "counts"], np.zeros(0, np.int64)])
+        keys, totals = _joined(frame.loc[own, "keys"], unpack_keys, np.uint64), _joined(frame.loc[own, "counts"])
         if bucket == int(START % _U(buckets)):
-            keys, totals = np.r_[keys, START.astype(np.int64)], np.r_[totals, starts]
+            keys, totals = np.r_[keys, START], np.r_[totals, starts_all]
         order = np.argsort(keys)
         keys, totals = keys[order], totals[order]
-        history = np.concatenate([*frame.loc[~own, "keys"], np.zeros(0, np.int64)])
-        kept = np.concatenate([*frame.loc[~own, "counts"], np.zeros(0, np.int64)]).reshape(-1, REACH + 1)
+        history = _joined(frame.loc[~own, "keys"], unpack_keys, np.uint64)
+        kept = np.concatenate([np.zeros((0, REACH + 1), np.int64), *(unpack(x).reshape(REACH + 1, -1).T for x in frame.loc[~own, "counts"])])
         at = np.searchsorted(keys, history)
         mass = np.bincount(at, kept @ np.r_[np.arange(1, REACH + 1) * pair_discount[1:], 1.0], minlength=len(keys))
-        lower = np.bincount(at, np.concatenate([*frame.loc[~own, "lower"], np.zeros(0)]), minlength=len(keys))
+        lower = np.bincount(at, _joined(frame.loc[~own, "lower"], kind=float), minlength=len(keys))
         most = np.maximum(totals - HALF, 0)
         factor = np.where(mass > most, most / np.maximum(mass, 1e-300), 1.0)
         alpha = np.where(mass > 0, np.log10((1 - mass * factor / np.maximum(totals, 1)) / (1 - lower)), 0.0)
-        out = [(bucket, keys[i : i + CHUNK], totals[i : i + CHUNK], alpha[i : i + CHUNK], factor[i : i + CHUNK]) for i in range(0, len(keys), CHUNK)]
+        out = [(bucket, *(how(x[i : i + CHUNK]) for how, x in ((pack_keys, keys), (pack, totals), (pack, alpha), (pack, factor)))) for i in range(0, len(keys), CHUNK)]
         return pd.DataFrame(out, columns=["bucket", "keys", "counts", "alpha", "factor"])
 
-    parts = words.select("bucket", "keys", "counts", none.cast("array<double>").alias("lower")).unionByName(merged.where("part = 2").select("bucket", "keys", "counts", "lower"))
-    model.words = table(parts.groupBy("bucket").applyInPandas(weigh, "bucket int, keys array<long>, counts array<long>, alpha array<double>, factor array<double>"), "lm-weights")
+    parts = words.select("bucket", "keys", "counts", none.alias("lower")).unionByName(merged.where("part = 2").select("bucket", "keys", "counts", "lower"))
+    model.words = table(parts.groupBy("bucket").applyInPandas(weigh, "bucket int, keys binary, counts binary, alpha binary, factor binary"), "lm-weights")
     model.pairs, model.pair_discount = merged.where("part = 1").select("bucket", "keys", "counts"), pair_discount
     model.common, model.common_counts, model.common_alpha, model.common_factor = _at_least(model.words, least, ["counts", "alpha", "factor"])
     return model
@@ -348,12 +392,12 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
 
     def requests(kind, block, keys):
         """One row for each bucket: its keys."""
-        order, starts, _ = _deal(_word_bucket(keys, buckets), buckets, keys)
-        full = np.flatnonzero(np.diff(starts))
+        order, starts = _deal(_word_bucket(keys, buckets), buckets, keys)
+        full = np.flatnonzero(np.diff(starts)).tolist()
         n = len(full)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, kind, np.int32)), pa.array(full.astype(np.int32)), pa.array([block] * n, pa.string()), _lists(keys[order].view(np.int64), np.r_[starts[full], starts[-1]], pa.int64())]
-            + [pa.nulls(n, pa.list_(t)) for t in (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64())],
+            [pa.array(np.full(n, kind, np.int32)), pa.array(full, pa.int32()), pa.array([block] * n, pa.string()), pa.array([pack_keys(keys[order[starts[b] : starts[b + 1]]]) for b in full], pa.binary())]
+            + [pa.nulls(n, pa.binary())] * 5,
             _NAMES,
         )
 
@@ -368,12 +412,10 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
             history, word, _ = _block_pairs(sizes, tokens, len(hashes))
             # What waits for the answers: kind 0, the ids and then the hashes.
             ids = pc.fill_null(rows.column(0), _NO_ID).to_numpy()
-            one = lambda values, kind: pa.array([values], pa.list_(kind))
+            one = lambda values: pa.array([pack(values)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([0], pa.int32()), pa.array([number], pa.int32()), pa.array([block]), one(np.r_[ids, hashes.view(np.int64)], pa.int64()), one(tokens.astype(np.int32), pa.int32()), one(sizes.astype(np.int32), pa.int32())]
-                + [pa.nulls(1, pa.list_(t)) for t in (pa.int64(), pa.float64(), pa.float64())],
-                _NAMES,
-            )
+                [pa.array([0], pa.int32()), pa.array([number], pa.int32()), pa.array([block]), one(np.r_[ids.view(np.uint64), hashes]), one(tokens), one(sizes)] + [pa.nulls(1, pa.binary())] * 3, _NAMES
+            )
             yield requests(1, block, hashes[_index(hashes, common) < 0])
             named = np.r_[hashes, START]
             yield requests(2, block, _pair_keys(named[history], named[word]))
@@ -383,23 +425,24 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
         if kind == 0:
             return frame[_NAMES]
         stored = frame["block"].isna()
-        keys = np.concatenate([*frame.loc[stored, "keys"], np.zeros(0, np.int64)])
+        keys = _joined(frame.loc[stored, "keys"], unpack_keys, np.uint64)
         order = np.argsort(keys)
         keys = keys[order]
         columns = ["counts", "a", "b"] if kind == 1 else ["counts"]
-        values = [np.r_[np.concatenate([*frame.loc[stored, c], np.zeros(0)])[order], 0.0] for c in columns]
+        values = [np.r_[_joined(frame.loc[stored, c], kind=float if c in "ab" else np.int64)[order], 0] for c in columns]
         out = []
         for r in frame[~stored].itertuples(index=False):
-            at = _index(np.asarray(r.keys), keys)  # -1 takes the 0 at the end
-            got = [v[at] for v in values]
-            out.append((kind, r.bucket, r.block, None, None, None, got[0].astype(np.int64), *(got[1:] or (None, None))))
+            at = _index(unpack_keys(r.keys), keys)  # -1 takes the 0 at the end
+            got = [pack(v[at]) for v in values]
+            out.append((kind, r.bucket, r.block, None, None, None, got[0], *(got[1:] or (None, None))))
         return pd.DataFrame(out, columns=_NAMES)
 
     def finish(frame: pd.DataFrame) -> pd.DataFrame:
         m = shared.value
         own = frame[frame["kind"] == 0].iloc[0]
-        sizes, tokens = np.asarray(own["sizes"], np.int64), np.asarray(own["tokens"], np.int64)
-        ids, hashes = np.asarray(own["keys"])[: len(sizes)], np.asarray(own["keys"])[len(sizes) :].view(np.uint64)
+        sizes, tokens = unpack(own["sizes"]).astype(np.int64), unpack(own["tokens"]).astype(np.int64)
+        both = unpack(own["keys"]).astype(np.uint64)
+        ids, hashes = both[: len(sizes)].view(np.int64), both[len(sizes) :]
         history, word, inverse = _block_pairs(sizes, tokens, len(hashes))
         replies = {kind: frame[frame["kind"] == kind].sort_values("bucket") for kind in (1, 2)}
 
@@ -407,7 +450,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
             """Answers in the order of the keys."""
             out = np.zeros(len(keys))
             if len(keys):
-                out[_deal(_word_bucket(keys, buckets), buckets, keys)[0]] = np.concatenate(replies[kind][column].to_list())
+                out[_deal(_word_bucket(keys, buckets), buckets, keys)[0]] = _joined(replies[kind][column], kind=float)
             return out
 
         named = np.r_[hashes, START]
@@ -433,11 +476,11 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
         shown[ids == _NO_ID] = pd.NA
         return pd.DataFrame({"doc_id": shown, "n_tokens": sizes, "n_known": n_known, "base_score": base, "score": score})
 
-    none = F.lit(None)
-    blank = [none.cast("string").alias("block"), none.cast("array<int>").alias("tokens"), none.cast("array<int>").alias("sizes")]
+    none = F.lit(None).cast("binary")
+    blank = [F.lit(None).cast("string").alias("block"), none.alias("tokens"), none.alias("sizes")]
     stored = model.words.select(F.lit(1).alias("kind"), "bucket", *blank, "keys", "counts", F.col("alpha").alias("a"), F.col("factor").alias("b"))
-    stored = stored.unionByName(model.pairs.select(F.lit(2).alias("kind"), "bucket", *blank, "keys", "counts", none.cast("array<double>").alias("a"), none.cast("array<double>").alias("b")))
-    salts = max(1, -(-_bytes(source) // (buckets * SHARE)))
+    stored = stored.unionByName(model.pairs.select(F.lit(2).alias("kind"), "bucket", *blank, "keys", "counts", none.alias("a"), none.alias("b")))
+    salts = max(1, -(-_bytes(source)[0] // (buckets * SHARE)))
     stored = stored.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     asked = source.mapInArrow(ask, _KEYED).withColumn("salt", (F.crc32(F.col("block").cast("binary")) % salts).cast("int"))
     # Kind 0 rows go by their block, the others by their bucket and the salt of the block.

@@ -203,8 +203,6 @@ def _brute_model(train):
         ones.update(tokens)
         twos.update(zip(["<s>", *tokens[:-1]], tokens, strict=True))
     n, v = sum(ones.values()), len(ones)
-    frequent = {w for w, c in ones.items() if c >= max(1, lm.FREQUENT * n)}
-    twos = {(h, w): c for (h, w), c in twos.items() if (h == "<s>" or h in frequent) and w in frequent}
     seen = lambda counts: lm.good_turing(np.array([sum(c == r for c in counts.values()) for r in range(1, lm.REACH + 2)], float))
     d1, d2 = seen(ones), seen(twos)
     disc = lambda c, d: c * (d[c] if c <= lm.REACH else 1.0)
@@ -212,7 +210,7 @@ def _brute_model(train):
     unknown = max(taken / n, 1 / (n + v + 1))
     scale = (1 - unknown) / (1 - taken / n)
     p1 = {w: disc(c, d1) * scale / n for w, c in ones.items()}
-    total = {h: (len(train) if h == "<s>" else ones[h]) for h in [*frequent, "<s>"]}
+    total = {h: (len(train) if h == "<s>" else ones[h]) for h in [*ones, "<s>"]}
     by = defaultdict(dict)
     for (h, w), c in twos.items():
         by[h][w] = disc(c, d2)
@@ -226,13 +224,21 @@ def _brute_model(train):
     return ones, n, v, p1, unknown, p2, alpha
 
 
-def test_language_model_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(lm, "FREQUENT", 1e-3)
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(1)
+    for most in (1, 255, 256, 2**16, 2**32, 2**63):
+        values = rng.integers(0, most, 1000, dtype=np.uint64)
+        assert (lm.unpack(lm.pack(values)).astype(np.uint64) == values).all() and (lm.unpack_keys(lm.pack_keys(np.sort(values))) == np.sort(values)).all()
+    assert (lm.unpack(lm.pack(np.array([0.5, -1e300, 0.0]))) == [0.5, -1e300, 0.0]).all()
+    assert len(lm.unpack(lm.pack(np.zeros(0, np.int64)))) == 0 == len(lm.unpack_keys(lm.pack_keys(np.zeros(0, np.uint64))))
+
+
+def test_language_model_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "zzz qqq zzz")]
     model, got = _scores(spark, rows)
     train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
     ones, n, v, p1, unknown, p2, alpha = _brute_model(train)
-    assert (model.tokens, model.distinct) == (n, v) and len(model.frequent) < v
+    assert (model.tokens, model.distinct) == (n, v)
     for i, t in rows:
         tokens = [*_words(t), None]
         base = sum(math.log10((ones[w] + 1) / (n + v + 1)) for w in tokens)
@@ -254,9 +260,8 @@ def test_language_model_counts_all_pairs(spark, monkeypatch):
     rng = np.random.default_rng(4)
     rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 900) % 20_000) + (f" ada{i // 9} lovelace{i // 9}" * 2)) for i in range(140)]
     model, got = _scores(spark, rows)
-    monkeypatch.setattr(lm, "FREQUENT", 0.0)
     ones, n, v, p1, unknown, p2, alpha = _brute_model([t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2])
-    assert n > 100_000 and model.pairs.agg(F.sum(F.size("keys"))).first()[0] == len(p2)
+    assert n > 100_000 and sum(len(lm.unpack(r["counts"])) for r in model.pairs.collect()) == len(p2)
     for i, t in rows:
         tokens = [*_words(t), None]
         score = sum(math.log10(p2[h, w] if (h, w) in p2 else alpha.get(h, 1.0) * p1.get(w, unknown)) for h, w in zip(["<s>", *tokens[:-1]], tokens, strict=True))
@@ -275,8 +280,10 @@ def test_language_model_spreads_a_hot_word(spark, monkeypatch):
     monkeypatch.setattr(DataFrame, "groupBy", lambda df, *keys: (grouped.append((df, keys)) if "kind" in df.columns and "kind" in keys else None) or group_by(df, *keys))
     _, got = _scores(spark, rows)
     df, keys = grouped[-1]
-    sent = sum((F.greatest(F.size(c), F.lit(0)) for c, kind in df.dtypes if kind.startswith("array")), F.lit(0))
-    sizes = [r["n"] for r in group_by(df.where("kind = 2 and block is not null"), *keys).agg(F.sum(sent).alias("n")).collect()]
+    sizes = Counter()
+    for r in df.where("kind = 2 and block is not null").select(F.struct(*keys).alias("at"), "keys").collect():
+        sizes[r["at"]] += len(lm.unpack(r["keys"]))
+    sizes = list(sizes.values())
     assert max(sizes) < 2.5 * np.mean(sizes) and max(sizes) < 20_000
     ones, n, v, p1, unknown, p2, alpha = _brute_model([t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2])
     for i, t in rows[:40]:
