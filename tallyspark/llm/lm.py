@@ -18,7 +18,8 @@ The words that make up at least the share COMMON of the training tokens are also
 requests; by arithmetic there are at most 1 / COMMON. A pair is counted in the bucket of its second word
 where that is not common (such a word has few pairs), or else in the bucket of the pair.
 Keys, counts and tokens travel and are stored packed: differences of sorted keys and byte planes of numbers,
-compressed, without loss.
+compressed. A stored pair is named by log2(training tokens) + SURE bits of its hash (64 at most), so an unseen
+pair is taken for a seen one with a chance of 2^-SURE at most, whatever the size of the corpus.
 
 Tokens are the words `[^\\x20\\x09-\\x0D]+`, A-Z in lower case, and one end for each text.
 
@@ -45,7 +46,9 @@ REACH = 5
 #: Share of the training tokens from which a word is broadcast.
 COMMON = 1e-5
 HALF = 0.5
-BLOCK = 8 << 20
+#: Bytes of text that are counted or scored at a time.
+BLOCK = 24 << 20
+SURE = 24
 #: Bytes of text for each bucket.
 SHARE = 64 << 20
 #: Keys of one row of a stored table.
@@ -107,6 +110,7 @@ class Model:
     discount: np.ndarray  # of word counts 0 to REACH
     scale: float
     unknown: float
+    key_bits: int
     pair_discount: np.ndarray | None = None
     common: np.ndarray | None = None  # sorted hashes of the broadcast words, the start of a text among them
     common_counts: np.ndarray | None = None
@@ -199,8 +203,24 @@ def _index(hashes: np.ndarray, among: np.ndarray) -> np.ndarray:
     return np.where(among[at] == hashes, at, -1)
 
 
-def _pair_keys(histories: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return mix(mix(histories) * _U(0x9E3779B97F4A7C15) + words)
+def _pair_keys(histories: np.ndarray, words: np.ndarray, bits: int = 64) -> np.ndarray:
+    return mix(mix(histories) * _U(0x9E3779B97F4A7C15) + words) >> _U(64 - bits)
+
+
+def pack_names(values: np.ndarray, common: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The distinct hashes of ``values``, common words by their numbers, and the place of each value among them."""
+    names, place = np.unique(values, return_inverse=True)
+    at = _index(names, common)
+    order = np.argsort(at < 0, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    numbers = pack(np.diff(at[at >= 0], prepend=0))
+    return len(numbers).to_bytes(4, "little") + numbers + pack_keys(names[at < 0]), rank[place]
+
+
+def unpack_names(data: bytes, common: np.ndarray) -> np.ndarray:
+    cut = 4 + int.from_bytes(data[:4], "little")
+    return np.r_[common[np.cumsum(unpack(data[4:cut]))], unpack_keys(data[cut:])]
 
 
 def _word_bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -275,7 +295,8 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
     least = max(1, COMMON * tokens)
     common, common_counts = _at_least(words, least, ["counts"])
     common_counts = common_counts.astype(np.int64)
-    model = Model(words, words, buckets, tokens, distinct, discount, scale, unknown)
+    bits = min(64, tokens.bit_length() + SURE)
+    model = Model(words, words, buckets, tokens, distinct, discount, scale, unknown, bits)
     word_log = _alone(model).word_log
     known = spark.sparkContext.broadcast((common, common_counts))
     pair_columns = "bucket int, histories binary, keys binary, history binary, word binary, counts binary"
@@ -295,10 +316,9 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
             for b in full:
                 # The words of the bucket's pairs once each, and the pairs by their places among them.
                 span = order[starts[b] : starts[b + 1]]
-                h, hp = np.unique(named[history[span]], return_inverse=True)
-                w, wp = np.unique(hashes[word[span]], return_inverse=True)
+                (h, hp), (w, wp) = pack_names(named[history[span]], common), pack_names(hashes[word[span]], common)
                 again = np.lexsort((hp, wp))
-                for out, made in zip(rows, (pack_keys(h), pack_keys(w), pack(hp[again]), pack(np.diff(wp[again], prepend=0)), pack(counts[span][again])), strict=True):
+                for out, made in zip(rows, (h, w, pack(hp[again]), pack(np.diff(wp[again], prepend=0)), pack(counts[span][again])), strict=True):
                     out.append(made)
             yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(x, pa.binary()) for x in rows)], [c.split()[0] for c in pair_columns.split(", ")])
 
@@ -313,8 +333,8 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
         order = np.argsort(here)
         here, here_counts = here[order], here_counts[order]
         sent = frame[~stored]
-        history = np.concatenate([unpack_keys(k)[unpack(p)] for k, p in zip(sent["histories"], sent["history"], strict=True)])
-        word = np.concatenate([unpack_keys(k)[np.cumsum(unpack(p))] for k, p in zip(sent["keys"], sent["word"], strict=True)])
+        history = np.concatenate([unpack_names(k, common)[unpack(p)] for k, p in zip(sent["histories"], sent["history"], strict=True)])
+        word = np.concatenate([unpack_names(k, common)[np.cumsum(unpack(p))] for k, p in zip(sent["keys"], sent["word"], strict=True)])
         inverse, keys = pd.factorize(_pair_keys(history, word))
         first = np.empty(len(keys), np.int64)
         first[inverse[::-1]] = np.arange(len(inverse))[::-1]
@@ -325,6 +345,7 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
         of[at >= 0] = common_counts[at[at >= 0]]
         of[at < 0] = here_counts[rare[at < 0]]
         out = []
+        keys = keys >> _U(64 - bits)
         order, starts = _deal(_word_bucket(keys, buckets), buckets, keys)
         for b in np.flatnonzero(np.diff(starts)):
             for i in range(starts[b], starts[b + 1], CHUNK):
@@ -385,7 +406,7 @@ def _alone(model: Model) -> Model:
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, base_score (add-one words) and score (the model) of each text, in log10."""
     spark = docs.sparkSession
-    buckets = model.buckets
+    buckets, bits = model.buckets, model.key_bits
     total = model.tokens + model.distinct + 1
     shared = spark.sparkContext.broadcast(_alone(model))
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -418,7 +439,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
             )
             yield requests(1, block, hashes[_index(hashes, common) < 0])
             named = np.r_[hashes, START]
-            yield requests(2, block, _pair_keys(named[history], named[word]))
+            yield requests(2, block, _pair_keys(named[history], named[word], bits))
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         kind = frame["kind"].iloc[0]
@@ -463,7 +484,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
             values[rare] = replied(1, column, hashes[rare])
             facts.append(values)
         counts, alpha, factor = facts
-        pair = replied(2, "counts", _pair_keys(named[history], named[word]))
+        pair = replied(2, "counts", _pair_keys(named[history], named[word], bits))
         discounted = pair * np.where(pair <= REACH, m.pair_discount[np.minimum(pair, REACH).astype(np.int64)], 1.0)
         logs = m.word_log(counts.astype(np.int64))
         with np.errstate(divide="ignore", invalid="ignore"):
