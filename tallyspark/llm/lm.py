@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
-from .merges import ascii_words, blocks, mix, word_hashes
+from .merges import blocks, mix, word_codes
 
 REACH = 5
 #: Share of the training tokens from which a word is broadcast.
@@ -140,14 +140,14 @@ def good_turing(frequencies: np.ndarray, reach: int = REACH) -> np.ndarray:
     return np.r_[1.0, (r - min(off, 0.99)) / r]
 
 
-def _deal(bucket: np.ndarray, buckets: int, keys: np.ndarray):
-    """Order of the keys by bucket and value, and where each bucket starts in it."""
-    order = np.lexsort((keys, bucket))
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+def _deal(keys: np.ndarray, buckets: int, bits: int = 64):
+    """Order of the keys, and where each bucket starts in it: buckets are ranges of keys, which are hashes."""
+    order = np.argsort(keys)
+    return order, np.searchsorted(_bucket(keys, buckets, bits)[order], np.arange(buckets + 1))
 
 
-def _count_rows(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray, buckets: int) -> pa.RecordBatch:
-    order, starts = _deal(bucket, buckets, keys)
+def _count_rows(keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    order, starts = _deal(keys, buckets)
     full = np.flatnonzero(np.diff(starts)).tolist()
     spans = [order[starts[b] : starts[b + 1]] for b in full]
     return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([pack_keys(keys[x]) for x in spans], pa.binary()), pa.array([pack(counts[x]) for x in spans], pa.binary())], ["bucket", "keys", "counts"])
@@ -180,15 +180,16 @@ def _summed(rows: DataFrame) -> DataFrame:
 
 def _block_words(texts: pa.Array):
     """Tokens of a block, the end of each text among them: sizes, hash of each distinct token, index of each token."""
-    counts, distinct, index = ascii_words(texts)
+    counts, words = word_codes(texts)
+    index, distinct = pd.factorize(words)
     sizes = counts + 1
     ends = np.cumsum(sizes)
     tokens = np.full(ends[-1] if len(ends) else 0, len(distinct))
     inner = np.ones(len(tokens), bool)
     inner[ends - 1] = False
     tokens[inner] = index
+    hashes = np.r_[distinct, END]
     # The commonest first, so that most tokens are small numbers.
-    hashes = np.r_[word_hashes(distinct), END]
     order = np.argsort(-np.bincount(tokens, minlength=len(hashes)), kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
@@ -207,15 +208,11 @@ def _pair_keys(histories: np.ndarray, words: np.ndarray, bits: int = 64) -> np.n
     return mix(mix(histories) * _U(0x9E3779B97F4A7C15) + words) >> _U(64 - bits)
 
 
-def pack_names(values: np.ndarray, common: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The distinct hashes of ``values``, common words by their numbers, and the place of each value among them."""
-    names, place = np.unique(values, return_inverse=True)
+def pack_names(names: np.ndarray, common: np.ndarray) -> bytes:
+    """Hashes of words, first common ones and then others, each sorted; common ones by their numbers."""
     at = _index(names, common)
-    order = np.argsort(at < 0, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
     numbers = pack(np.diff(at[at >= 0], prepend=0))
-    return len(numbers).to_bytes(4, "little") + numbers + pack_keys(names[at < 0]), rank[place]
+    return len(numbers).to_bytes(4, "little") + numbers + pack_keys(names[at < 0])
 
 
 def unpack_names(data: bytes, common: np.ndarray) -> np.ndarray:
@@ -223,8 +220,9 @@ def unpack_names(data: bytes, common: np.ndarray) -> np.ndarray:
     return np.r_[common[np.cumsum(unpack(data[4:cut]))], unpack_keys(data[cut:])]
 
 
-def _word_bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return (hashes % _U(buckets)).astype(np.int64)
+def _bucket(keys: np.ndarray, buckets: int, bits: int = 64) -> np.ndarray:
+    """The bucket of keys of ``bits`` bits: equal ranges of them, in order."""
+    return ((keys << _U(64 - bits) >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
 
 
 def _block_pairs(sizes: np.ndarray, tokens: np.ndarray, width: int):
@@ -279,7 +277,7 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
             _, hashes, tokens = _block_words(texts)
             counts = np.bincount(tokens, minlength=len(hashes))
             hashes, counts = hashes[counts > 0], counts[counts > 0]
-            yield _count_rows(hashes, counts, _word_bucket(hashes, buckets), buckets)
+            yield _count_rows(hashes, counts, buckets)
 
     words = table(_summed(source.mapInArrow(count_words, "bucket int, keys binary, counts binary")), "lm-words")
     seen = [F.sum(F.element_at("seen", r)).alias(f"n{r}") for r in range(1, REACH + 2)]
@@ -308,18 +306,27 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
             history, word, inverse = _block_pairs(sizes, tokens, len(hashes))
             counts = np.bincount(inverse, minlength=len(word))
             named = np.r_[hashes, START]
-            bucket = np.where(_index(hashes, common)[word] < 0, _word_bucket(hashes, buckets)[word], _word_bucket(_pair_keys(named[history], hashes[word]), buckets))
-            order = np.lexsort((history, word, bucket))
-            starts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            # Common words first and the rest after them, each by hash: the order in which names are packed.
+            rare = _index(named, common) < 0
+            order = np.lexsort((named, rare))
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            bucket = np.where(rare[word], _bucket(named, buckets)[word], _bucket(_pair_keys(named[history], named[word]), buckets))
+            named, history, word = named[order], rank[history], rank[word]
+            by = np.argsort((bucket * len(named) + word) * len(named) + history) if buckets * len(named) ** 2 < 1 << 62 else np.lexsort((history, word, bucket))
+            starts = np.searchsorted(bucket[by], np.arange(buckets + 1))
             full = np.flatnonzero(np.diff(starts)).tolist()
             rows: list[list[bytes]] = [[], [], [], [], []]
             for b in full:
                 # The words of the bucket's pairs once each, and the pairs by their places among them.
-                span = order[starts[b] : starts[b + 1]]
-                (h, hp), (w, wp) = pack_names(named[history[span]], common), pack_names(hashes[word[span]], common)
-                again = np.lexsort((hp, wp))
-                for out, made in zip(rows, (h, w, pack(hp[again]), pack(np.diff(wp[again], prepend=0)), pack(counts[span][again])), strict=True):
-                    out.append(made)
+                span = by[starts[b] : starts[b + 1]]
+                made = []
+                for values in (history[span], word[span]):
+                    present = np.zeros(len(named), bool)
+                    present[values] = True
+                    made += [pack_names(named[present], common), (np.cumsum(present) - 1)[values]]
+                for out, x in zip(rows, (made[0], made[2], pack(made[1]), pack(np.diff(made[3], prepend=0)), pack(counts[span])), strict=True):
+                    out.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(x, pa.binary()) for x in rows)], [c.split()[0] for c in pair_columns.split(", ")])
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
@@ -346,7 +353,7 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
         of[at < 0] = here_counts[rare[at < 0]]
         out = []
         keys = keys >> _U(64 - bits)
-        order, starts = _deal(_word_bucket(keys, buckets), buckets, keys)
+        order, starts = _deal(keys, buckets, bits)
         for b in np.flatnonzero(np.diff(starts)):
             for i in range(starts[b], starts[b + 1], CHUNK):
                 span = order[i : min(i + CHUNK, starts[b + 1])]
@@ -357,7 +364,7 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
         several = np.bincount(owner[low] * (REACH + 1) + counts[low] - 1, minlength=len(owners) * (REACH + 1)).reshape(-1, REACH + 1).astype(np.int64)
         several[:, REACH] = np.bincount(owner[~low], counts[~low], minlength=len(owners))
         lower = np.bincount(owner, 10 ** word_log(of), minlength=len(owners))
-        order, starts = _deal(_word_bucket(owners, buckets), buckets, owners)
+        order, starts = _deal(owners, buckets)
         for b in np.flatnonzero(np.diff(starts)):
             span = order[starts[b] : starts[b + 1]]
             out.append((2, int(b), pack_keys(owners[span]), pack(several[span].T.ravel()), None, pack(lower[span])))
@@ -376,7 +383,7 @@ def fit(train: DataFrame, text: str = "text", buckets: int | None = None) -> Mod
         own = frame["lower"].isna()
         bucket = int(frame["bucket"].iloc[0])
         keys, totals = _joined(frame.loc[own, "keys"], unpack_keys, np.uint64), _joined(frame.loc[own, "counts"])
-        if bucket == int(START % _U(buckets)):
+        if bucket == _bucket(np.array([START]), buckets)[0]:
             keys, totals = np.r_[keys, START], np.r_[totals, starts_all]
         order = np.argsort(keys)
         keys, totals = keys[order], totals[order]
@@ -411,9 +418,9 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
     shared = spark.sparkContext.broadcast(_alone(model))
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    def requests(kind, block, keys):
+    def requests(kind, block, keys, bits=64):
         """One row for each bucket: its keys."""
-        order, starts = _deal(_word_bucket(keys, buckets), buckets, keys)
+        order, starts = _deal(keys, buckets, bits)
         full = np.flatnonzero(np.diff(starts)).tolist()
         n = len(full)
         return pa.RecordBatch.from_arrays(
@@ -439,7 +446,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
             )
             yield requests(1, block, hashes[_index(hashes, common) < 0])
             named = np.r_[hashes, START]
-            yield requests(2, block, _pair_keys(named[history], named[word], bits))
+            yield requests(2, block, _pair_keys(named[history], named[word], bits), bits)
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         kind = frame["kind"].iloc[0]
@@ -471,7 +478,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
             """Answers in the order of the keys."""
             out = np.zeros(len(keys))
             if len(keys):
-                out[_deal(_word_bucket(keys, buckets), buckets, keys)[0]] = _joined(replies[kind][column], kind=float)
+                out[np.argsort(keys)] = _joined(replies[kind][column], kind=float)
             return out
 
         named = np.r_[hashes, START]

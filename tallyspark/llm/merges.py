@@ -214,29 +214,62 @@ def blocks(sizes, most: int):
         yield start, len(sizes)
 
 
-def ascii_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Words `[^\\x20\\x09-\\x0D]+` of texts with A-Z in lower case (null: none).
-
-    Returns the words of each text (a count), the distinct words, and the index of each word among them.
+#: Bytes of text whose words are hashed at a time.
+SPAN = 1 << 20
+_FACTOR = 0x9E3779B97F4A7C15F39CC0605CEDC835 % (1 << 64)  # odd, so it has an inverse
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)])
+_OF_BYTE = np.random.default_rng(20_241_128).integers(0, 1 << 64, 256, dtype=np.uint64)[_LOWER]
+_IS_SPACE = np.isin(np.arange(256), (32, *range(9, 14)))
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the factor and of its inverse modulo 2^64; those of the usual size are kept."""
+    if size not in _powers:
+        made = tuple(np.cumprod(np.r_[np.uint64(1), np.full(size, f, np.uint64)]) for f in (np.uint64(_FACTOR), np.uint64(pow(_FACTOR, -1, 1 << 64))))
+        if size != SPAN:
+            return made
+        _powers[size] = made
+    return _powers[size]
+
+
+def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The number of words `[^\\x20\\x09-\\x0D]+` of each text (null: none), and the 64-bit hash of each word, A-Z as a-z.
+
+    A word's hash is a sum of random values of its bytes times powers of a factor, taken as a difference of
+    running sums over the text, and scrambled.
     """
-    texts = pc.ascii_lower(pc.fill_null(texts, ""))
-    for space in "\t\n\x0b\x0c\r":
-        texts = pc.replace_substring(texts, space, " ")
-    lists = pc.split_pattern(texts, " ")
-    found = lists.flatten().dictionary_encode()
-    index = found.indices.to_numpy()
-    words = found.dictionary
-    rows = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
-    blank = pc.index(words, pa.scalar("", words.type)).as_py()
-    if blank >= 0:
-        keep = index != blank
-        index, rows = index[keep], rows[keep]
-    return np.bincount(rows, minlength=len(texts)), words, index
+    texts = pc.fill_null(texts, "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    held = texts.buffers()[2]
+    data = np.frombuffer(held, np.uint8)[offsets[0] : offsets[-1]] if held is not None and offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    offsets -= offsets[0]
+    apart = np.ones(len(data) + 1, bool)  # whether a word can't go on at a byte
+    apart[1:-1] = _IS_SPACE[data[:-1]]
+    apart[offsets] = True
+    inside = ~_IS_SPACE[data]
+    starts = np.flatnonzero(inside & apart[:-1])
+    stop = np.r_[_IS_SPACE[data[1:]], True] if len(data) else np.zeros(0, bool)
+    stop |= apart[1:]
+    ends = np.flatnonzero(inside & stop) + 1
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        begin = starts[at]
+        upto = max(at + 1, int(np.searchsorted(ends, begin + SPAN, side="right")))
+        size = int(ends[upto - 1] - begin)
+        up, down = _power_table(SPAN if size <= SPAN else size)
+        total = np.zeros(size + 1, np.uint64)
+        np.cumsum(_OF_BYTE[data[begin : begin + size]] * up[:size], out=total[1:])
+        s, e = starts[at:upto] - begin, ends[at:upto] - begin
+        out[at:upto] = mix((total[e] - total[s]) * down[s])
+        at = upto
+    return np.diff(np.searchsorted(starts, offsets)), out
 
 
 def word_hashes(words: pa.Array) -> np.ndarray:
     """64-bit hash of each word."""
-    return np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in words.to_pylist()), np.uint64, len(words))
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

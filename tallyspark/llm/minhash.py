@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, table
-from .merges import ascii_words, blocks, mix, word_hashes
+from .merges import blocks, mix, word_codes
 
 BANDS, ROWS = 30, 5
 BLOCK = 6 << 20
@@ -43,8 +43,7 @@ _U = np.uint64
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     """The sorted distinct 64-bit shingle hashes of each text."""
-    counts, distinct, index = ascii_words(texts)
-    hashes = word_hashes(distinct)[index]
+    counts, hashes = word_codes(texts)
     ends = np.cumsum(counts)
     total = len(hashes)
     rolled = np.zeros(max(0, total - words + 1), np.uint64)

@@ -224,6 +224,26 @@ def _brute_model(train):
     return ones, n, v, p1, unknown, p2, alpha
 
 
+def test_word_codes_name_words(monkeypatch):
+    """Equal words have equal hashes and different ones different hashes, wherever texts and spans are cut."""
+    import pyarrow as pa
+
+    from tallyspark.llm import merges
+
+    r = np.random.default_rng(2)
+    letters = list("abAB\u00e9\u6f22 \t\n\x0b\x0c\r\x1c\u00a0.") + [" "] * 6
+    texts = ["".join(r.choice(letters, int(n))) for n in r.integers(0, 90, 300)] + [None, "", " ", "x" * 5000, "y" * 5000 + " z", "\x00", "a", "A"]
+    whole = pa.array(["left out", *texts, "too"])
+    for span in (1 << 20, 16):
+        monkeypatch.setattr(merges, "SPAN", span)
+        counts, hashes = merges.word_codes(whole.slice(1, len(texts)))
+        words = [w for t in texts for w in _words(t)]
+        assert counts.tolist() == [len(_words(t)) for t in texts]
+        of = dict(zip(words, hashes.tolist(), strict=True))
+        assert [of[w] for w in words] == hashes.tolist() and len(set(of.values())) == len(of)
+    assert [len(x) for x in merges.word_codes(pa.array([], pa.string()))] == [0, 0]
+
+
 def test_packed_numbers_come_back():
     rng = np.random.default_rng(1)
     for most in (1, 255, 256, 2**16, 2**32, 2**63):
