@@ -49,6 +49,8 @@ HALF = 0.5
 #: Bytes of text that are counted or scored at a time.
 BLOCK = 24 << 20
 SURE = 24
+#: Times that a word occurs in a block to be numbered by its frequency.
+OFTEN = 4
 #: Bytes of text for each bucket.
 SHARE = 64 << 20
 #: Keys of one row of a stored table.
@@ -189,8 +191,9 @@ def _block_words(texts: pa.Array):
     inner[ends - 1] = False
     tokens[inner] = index
     hashes = np.r_[distinct, END]
-    # The commonest first, so that most tokens are small numbers.
-    order = np.argsort(-np.bincount(tokens, minlength=len(hashes)), kind="stable")
+    # Frequent words first, the commonest before, so that most tokens are small numbers; the others by their hash.
+    times = np.bincount(tokens, minlength=len(hashes))
+    order = np.lexsort((hashes, -times * (times >= OFTEN)))
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     return sizes, hashes[order], place[tokens]
@@ -440,9 +443,10 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
             history, word, _ = _block_pairs(sizes, tokens, len(hashes))
             # What waits for the answers: kind 0, the ids and then the hashes.
             ids = pc.fill_null(rows.column(0), _NO_ID).to_numpy()
-            one = lambda values: pa.array([pack(values)], pa.binary())
+            often = int((np.bincount(tokens, minlength=len(hashes)) >= OFTEN).sum())
+            held = (pack(np.r_[ids.view(np.uint64), hashes[:often]]), pack(tokens), pack(sizes), pack_keys(hashes[often:]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([0], pa.int32()), pa.array([number], pa.int32()), pa.array([block]), one(np.r_[ids.view(np.uint64), hashes]), one(tokens), one(sizes)] + [pa.nulls(1, pa.binary())] * 3, _NAMES
+                [pa.array([0], pa.int32()), pa.array([number], pa.int32()), pa.array([block]), *(pa.array([x], pa.binary()) for x in held)] + [pa.nulls(1, pa.binary())] * 2, _NAMES
             )
             yield requests(1, block, hashes[_index(hashes, common) < 0])
             named = np.r_[hashes, START]
@@ -470,7 +474,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
         own = frame[frame["kind"] == 0].iloc[0]
         sizes, tokens = unpack(own["sizes"]).astype(np.int64), unpack(own["tokens"]).astype(np.int64)
         both = unpack(own["keys"]).astype(np.uint64)
-        ids, hashes = both[: len(sizes)].view(np.int64), both[len(sizes) :]
+        ids, hashes = both[: len(sizes)].view(np.int64), np.r_[both[len(sizes) :], unpack_keys(own["counts"])]
         history, word, inverse = _block_pairs(sizes, tokens, len(hashes))
         replies = {kind: frame[frame["kind"] == kind].sort_values("bucket") for kind in (1, 2)}
 
