@@ -48,16 +48,28 @@ def ingest_latency(bronze: DataFrame, exact: bool = False) -> DataFrame:
     return p.select(F.col("p")[0].cast("double").alias("p50_ms"), F.col("p")[1].cast("double").alias("p95_ms"))
 
 
-def nearest_rank(samples: DataFrame, value: str, shares: list[float]) -> DataFrame:
+def nearest_rank(samples: DataFrame, value: str, shares: list[float], ranges: int = 64) -> DataFrame:
     """Percentiles of samples by nearest rank: the value at place ceil(share x count).
 
-    Values are counted first, so only distinct values are ordered.
+    Values are counted first. Approximate quantiles cut them into ranges, whose totals tell in which range a
+    place lies; only the values of such a range are ordered, each range apart. The result is exact however
+    good the cuts are.
     """
-    counts = samples.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    ranked = counts.withColumns({"upto": F.sum("n").over(Window.orderBy(value)), "total": F.sum("n").over(Window.partitionBy())})
-    wanted = ranked.select("*", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"))
-    wanted = wanted.where(F.col("upto") >= F.greatest(F.ceil(F.col("share") * F.col("total")), F.lit(1)))
-    return wanted.groupBy("share").agg(F.min(value).alias("value"))
+    counts = samples.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    cuts = samples.agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)]).alias("cuts"))
+    # One row of cuts, sent along with every value.
+    placed = counts.join(F.broadcast(cuts)).select("value", "n", F.size(F.filter("cuts", lambda x: x <= F.col("value"))).alias("range"))
+    totals = placed.groupBy("range").agg(F.sum("n").alias("held")).groupBy().agg(F.sort_array(F.collect_list(F.struct("range", "held"))).alias("ranges"))
+    zero = F.lit(0).cast("long")
+    total = F.aggregate("ranges", zero, lambda a, x: a + x["held"])
+    before = lambda r: F.aggregate(F.filter("ranges", lambda x: x["range"] < r["range"]), zero, lambda a, x: a + x["held"])
+    # At most ``ranges`` rows tell of each range the places that lie before and in it.
+    bounds = totals.select(total.alias("total"), F.explode(F.transform("ranges", lambda r: F.struct(r["range"].alias("range"), before(r).alias("before"), r["held"].alias("held")))).alias("r"))
+    wanted = bounds.select("total", "r.*", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"))
+    wanted = wanted.withColumn("place", F.greatest(F.ceil(F.col("share") * F.col("total")), F.lit(1))).where("place > before and place <= before + held")
+    near = placed.join(F.broadcast(wanted.select("range", "before", "share", "place")), "range")
+    upto = F.sum("n").over(Window.partitionBy("share", "range").orderBy("value")) + F.col("before")
+    return near.withColumn("upto", upto).where("upto >= place").groupBy("share").agg(F.min("value").alias("value"))
 
 
 def run_report(accepted: DataFrame, quarantined: DataFrame, expected: DataFrame, datasets: DataFrame, most_quarantined: float = 0.05) -> DataFrame:
@@ -103,22 +115,35 @@ def evidence_findings(acknowledged: DataFrame, bronze: DataFrame) -> DataFrame:
     return both.select("event_id", F.explode(found).alias("finding"))
 
 
-def payment_findings(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """At most one finding per order that should have been paid: missing capture, then currency, then amount mismatch.
+#: A finding's age and amount limits: minutes before a capture is missed, and what makes a finding urgent.
+MISSED_AFTER, URGENT_AFTER, URGENT_AMOUNT = 30, 120, 100
 
-    The latest captured or reversed state of each payment counts; captures are summed per order and currency.
+
+def payment_findings(orders: DataFrame, payments: DataFrame, cutoff: Column) -> DataFrame:
+    """At most one finding per confirmed order, as of ``cutoff``: currency mismatch, then missing capture, then amount mismatch.
+
+    ``orders`` are current states, ``payments`` the events of payments (entity_events). Events after the cutoff
+    are not looked at. Of each payment the latest capture or reversal counts, whatever authorisations follow;
+    active captures are summed by currency. An order without amount needs no capture.
     """
-    due = orders.where(F.col("status").isin("CONFIRMED", "REFUNDED")).select("order_id", "currency", "gross_amount")
-    settled = payments.where(F.col("status").isin("CAPTURED", "REVERSED"))
-    sums = settled.groupBy("order_id", "currency").agg(F.sum("amount").cast("decimal(38,2)").alias("paid"))
+    moved = payments.where(F.col("status").isin("CAPTURED", "REVERSED") & (F.col("updated_at") <= cutoff))
+    last = latest(moved.select("payment_id", "order_id", "currency", "amount", "status", "updated_at", "source_offset", "last_event_id"), ["payment_id"], [F.col(c) for c in ("updated_at", "source_offset", "last_event_id")])
+    sums = last.where("status = 'CAPTURED'").groupBy("order_id", "currency").agg(F.sum("amount").cast("decimal(38,2)").alias("paid"))
     of_order = sums.groupBy("order_id").agg(F.map_from_entries(F.collect_list(F.struct("currency", "paid"))).alias("paid"))
-    joined = due.join(of_order, "order_id", "left").withColumn("in_currency", F.col("paid")[F.col("currency")])
+    due = orders.where((F.col("status") == "CONFIRMED") & (F.col("updated_at") <= cutoff)).select("order_id", "currency", "gross_amount", "updated_at")
+    joined = due.join(of_order, "order_id", "left").withColumns({
+        "paid_amount": F.col("paid")[F.col("currency")],
+        "foreign": F.exists(F.map_keys("paid"), lambda x: x != F.col("currency")),
+        "age": F.timestamp_diff("MINUTE", F.col("updated_at"), cutoff),
+    })
     finding = (
-        F.when(F.col("paid").isNull(), "MISSING_CAPTURE")
-        .when(F.col("in_currency").isNull(), "CURRENCY_MISMATCH")
-        .when(F.col("in_currency") != F.col("gross_amount"), "AMOUNT_MISMATCH")
+        F.when(F.col("foreign"), "CURRENCY_MISMATCH")
+        .when(F.col("paid").isNull() & (F.col("gross_amount") > 0) & (F.col("age") >= MISSED_AFTER), "MISSING_CAPTURE")
+        .when(F.col("paid_amount") != F.col("gross_amount"), "AMOUNT_MISMATCH")
     )
-    return joined.withColumn("finding", finding).where("finding is not null").select("order_id", "currency", "gross_amount", F.col("in_currency").alias("paid_amount"), "finding")
+    urgent = F.when(F.col("finding") == "MISSING_CAPTURE", F.col("age") >= URGENT_AFTER).when(F.col("finding") == "AMOUNT_MISMATCH", F.abs(F.col("paid_amount") - F.col("gross_amount")) >= URGENT_AMOUNT).otherwise(True)
+    found = joined.withColumn("finding", finding).where("finding is not null")
+    return found.select("order_id", "currency", "gross_amount", "paid_amount", "finding", F.when(urgent, "HIGH").otherwise("NORMAL").alias("priority"))
 
 
 def pipeline_health(runs: DataFrame, now: Column, stale_minutes: int = 30) -> DataFrame:

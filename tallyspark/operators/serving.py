@@ -130,9 +130,9 @@ def layer_counts(**layers: DataFrame) -> DataFrame:
 
 
 def capped(rows: DataFrame, most: int = MOST_ROWS) -> Capped:
-    """At most ``most`` rows, and whether there were more."""
-    more = rows.limit(most + 1)
-    return Capped(rows.limit(most), more.count() > most)
+    """At most ``most`` rows, and whether there were more. The input runs once: only its first rows are fetched."""
+    fetched = rows.limit(most + 1).collect()
+    return Capped(rows.sparkSession.createDataFrame(fetched[:most], rows.schema), len(fetched) > most)
 
 
 def certified_kpis(kpis: DataFrame, limit: int = 100) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from ..sources import events, fixtures, versions
 from ..sources.versions import Store
 from ..streaming import ingest
 from . import jobs
+from .publication import Publications
 
 #: The last order date at all scales.
 AS_OF = date(2001, 8, 1)
@@ -69,6 +71,17 @@ def bronze(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(_WRITTEN[key])
 
 
+def published(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The marts as the latest publication names them; built and published once per session and tables."""
+    key = (spark.sparkContext.applicationId, sf, "marts")
+    if key not in _WRITTEN:
+        root = workspace(spark, "marts")
+        jobs.publish_marts(Store(spark, root), orders(spark, sf), AS_OF, 3)
+        _WRITTEN[key] = root
+    publications = Publications(Store(spark, _WRITTEN[key]))
+    return publications.frames(publications.head(jobs.PIPELINE))
+
+
 def changes(spark, sf):
     return purchases.purchase_changes(bronze(spark, sf, "purchase_bronze"))
 
@@ -195,48 +208,48 @@ def purchase_round_trip(spark, sf):
 
 @query
 def segment_sizes(spark, sf):
-    return serving.segment_sizes(profiles(spark, sf), CURRENCY)
+    return serving.segment_sizes(published(spark, sf)["customer_profiles"], CURRENCY)
 
 
 @query
 def summary_90d(spark, sf):
-    return serving.summary(profiles(spark, sf), CURRENCY)
+    return serving.summary(published(spark, sf)["customer_profiles"], CURRENCY)
 
 
 @query
 def summary_window(spark, sf):
-    return serving.window_summary(daily(spark, sf), *WINDOW, CURRENCY)
+    return serving.window_summary(published(spark, sf)["customer_daily"], *WINDOW, CURRENCY)
 
 
 @query
 def customer_page(spark, sf):
-    return serving.customer_page(profiles(spark, sf), CURRENCY, after="shop:2").select("customer_key", "lifetime_orders", "net_amount_365d", "segment")
+    return serving.customer_page(published(spark, sf)["customer_profiles"], CURRENCY, after="shop:2")
 
 
 @query
 def customer_page_window(spark, sf):
-    found = daily(spark, sf)
-    return serving.customer_page_window(marts.customer_profiles(found, AS_OF), found, *WINDOW, CURRENCY, after="shop:2")
+    frames = published(spark, sf)
+    return serving.customer_page_window(frames["customer_profiles"], frames["customer_daily"], *WINDOW, CURRENCY, after="shop:2")
 
 
 @query
 def product_page(spark, sf):
-    return serving.product_page(marts.product_daily(items(spark, sf)), *WINDOW, CURRENCY, after="shop:1")
+    return serving.product_page(published(spark, sf)["product_daily"], *WINDOW, CURRENCY, after="shop:1")
 
 
 @query
 def product_totals(spark, sf):
-    return serving.product_totals(marts.product_daily(items(spark, sf)), *WINDOW, CURRENCY)
+    return serving.product_totals(published(spark, sf)["product_daily"], *WINDOW, CURRENCY)
 
 
 @query
 def customer_detail(spark, sf):
-    return serving.entity_detail(daily(spark, sf), "customer_key", "shop:7", date(1995, 1, 1), AS_OF, CURRENCY)
+    return serving.entity_detail(published(spark, sf)["customer_daily"], "customer_key", "shop:7", date(1995, 1, 1), AS_OF, CURRENCY)
 
 
 @query
 def latest_cohorts(spark, sf):
-    return serving.latest_cohorts(marts.customer_cohorts(daily(spark, sf), AS_OF), AS_OF, CURRENCY).drop("complete")
+    return serving.latest_cohorts(published(spark, sf)["customer_cohorts"], AS_OF, CURRENCY)
 
 
 @query
@@ -409,8 +422,27 @@ def group_changes(spark, sf):
 
 @query
 def payment_findings(spark, sf):
+    """Findings shortly after the last orders, with split captures, reversals, late authorisations and another currency."""
     state = conform.conform_orders(bronze(spark, sf, "order_events"))
-    return reconcile.payment_findings(state, conform.conform_payments(bronze(spark, sf, "payment_events")))
+    rows = conform.entity_events(bronze(spark, sf, "payment_events"), "payments")
+    k = F.col("order_id").cast("long")
+    hours = lambda n: F.col("updated_at") + F.make_dt_interval(hours=F.lit(n))
+    captured = rows.where("status = 'CAPTURED'")
+    whole = rows.withColumn("amount", F.when((k % 37 == 0) & (F.col("status") == "CAPTURED"), F.col("amount") - 1).otherwise(F.col("amount")).cast("decimal(20,2)"))
+    parts = captured.where(k % 37 == 0).withColumns({"payment_id": F.concat("payment_id", F.lit("-b")), "amount": F.lit(1).cast("decimal(20,2)"), "currency": F.when(k % 74 == 0, "CHF").otherwise(F.col("currency"))})
+    reversals = captured.where(k % 31 == 0).withColumns({"status": F.lit("REVERSED"), "updated_at": hours(2)})
+    again = captured.where(k % 23 == 0).withColumns({"status": F.lit("AUTHORIZED"), "updated_at": hours(3)})
+    events_of = whole.unionByName(parts).unionByName(reversals).unionByName(again)
+    return reconcile.payment_findings(state, events_of, F.lit("2001-08-01 01:20:00").cast("timestamp"))
+
+
+@query
+def payment_state_mismatches(spark, sf):
+    """Payments whose conformed state is not that of their last event, after every 53rd state was lost and every 59th changed."""
+    rows = conform.entity_events(bronze(spark, sf, "payment_events"), "payments")
+    k = F.col("order_id").cast("long")
+    held = conform.conform_payments(bronze(spark, sf, "payment_events")).where(k % 53 != 0).withColumn("status", F.when(k % 59 == 0, "LOST").otherwise(F.col("status")))
+    return reconcile.event_state_mismatches(rows, held, "payment_id", [F.col(c) for c in conform.ENTITIES["payments"].rank])
 
 
 @query
@@ -424,6 +456,13 @@ def recent_events(spark, sf):
     return rows.select("topic", "partition", "offset", "place")
 
 
+@query
+def newest_errors(spark, sf):
+    """The newest records of one topic with their values, long ones cut and marked. A report of fifty."""
+    rows = events.recent_events(bronze(spark, sf, "raw_event_stream"), "error", 50, 25)
+    return rows.select("topic", "partition", "offset", "timestamp", F.octet_length("value").alias("bytes"), "truncated")
+
+
 @query
 def events_per_topic(spark, sf):
     return reconcile.events_per_topic(conform.route(conform.decode_json(bronze(spark, sf, "raw_event_stream")), "run").accepted)
@@ -435,6 +474,16 @@ def ingest_latency(spark, sf):
     return reconcile.ingest_latency(bronze(spark, sf, "purchase_bronze"), exact=True)
 
 
+@query
+def ingest_latency_approximate(spark, sf):
+    """Whether the approximate percentiles of the delay lie within a thousandth of the rows of the exact places."""
+    delays = bronze(spark, sf, "purchase_bronze").select(reconcile.latency_ms().alias("ms"))
+    p = reconcile.ingest_latency(bronze(spark, sf, "purchase_bronze"))
+    ranks = delays.join(F.broadcast(p)).agg(*[(F.avg((F.col("ms") < F.col(c)).cast("int"))).alias(f"{c}_below") for c in ("p50_ms", "p95_ms")], *[F.avg((F.col("ms") <= F.col(c)).cast("int")).alias(f"{c}_upto") for c in ("p50_ms", "p95_ms")])
+    near = lambda c, share: ((F.col(f"{c}_below") <= share + 0.001) & (F.col(f"{c}_upto") >= share - 0.001)).alias(c)
+    return ranks.select(near("p50_ms", 0.5), near("p95_ms", 0.95))
+
+
 @query
 def nearest_rank(spark, sf):
     return reconcile.nearest_rank(fixtures.table(spark, sf, "events"), "value", [0.5, 0.95, 0.99])
@@ -512,17 +561,33 @@ def skew_join(spark, sf):
 
 @query
 def dashboard_segments(spark, sf):
-    """The dashboard's frames for one set of marts; its retention matrix is returned."""
-    found = daily(spark, sf)
-    frames = {"customer_daily": found, "customer_profiles": marts.customer_profiles(found, AS_OF), "product_daily": marts.product_daily(items(spark, sf)), "customer_cohorts": marts.customer_cohorts(found, AS_OF)}
-    return serving.dashboard(frames, AS_OF, CURRENCY)["segments"]
+    """The customer segments of the dashboard."""
+    return serving.dashboard(published(spark, sf), AS_OF, CURRENCY)["segments"]
+
+
+@query
+def dashboard_frames(spark, sf):
+    """All six frames of the dashboard for a window: rows and, where there is one, the total of a measure."""
+    found = serving.dashboard(published(spark, sf), AS_OF, CURRENCY, *WINDOW)
+    measures = {"summary": "net_amount", "segments": "customers", "customers": "net_amount", "products": "net_amount", "cohorts": "active_customers", "retention": "cohort_size"}
+    out = None
+    for name, measure in measures.items():
+        one = found[name].agg(F.lit(name).alias("frame"), F.count(F.lit(1)).alias("rows"), F.sum(measure).cast("decimal(38,2)").alias("total"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def dashboard_retention(spark, sf):
+    """The retention matrix of the dashboard's cohorts."""
+    return serving.dashboard(published(spark, sf), AS_OF, CURRENCY)["retention"].withColumn("all_complete", F.col("all_complete").cast("int"))
 
 
 @query
 def retention_plan(spark, sf):
-    """Which versions may go when every 300th order is a publication of two tables."""
-    base = fixtures.table(spark, sf, "orders").where("o_orderkey % 300 = 0")
-    docs = base.select(F.lit("p").alias("pipeline"), F.col("o_orderkey").alias("sequence"), F.col("o_orderdate").alias("published_at"))
+    """Which versions may go when every order is a publication of two tables by the pipeline of its priority."""
+    base = fixtures.table(spark, sf, "orders")
+    docs = base.select(F.col("o_orderpriority").alias("pipeline"), F.col("o_orderkey").alias("sequence"), F.col("o_orderdate").alias("published_at"))
     named = docs.withColumn("table", F.explode(F.array(F.lit("a"), F.lit("b")))).withColumn("version", F.when(F.col("table") == "a", F.col("sequence")).otherwise(F.floor(F.col("sequence") / 600)))
     all_versions = named.select("table", "version").distinct()
     return versions.droppable_versions(all_versions, named, F.lit(AS_OF).cast("timestamp"), last=5, days=365)
@@ -572,6 +637,76 @@ def backfill_range(spark, sf):
     return out.groupBy("status").agg(F.count(F.lit(1)).alias("orders"))
 
 
+@query
+def customers_rebuilt(spark, sf):
+    """The history of every third customer rebuilt into a new version; the others keep their rows."""
+    store = Store(spark, workspace(spark, "customers"))
+    rows = bronze(spark, sf, "customer_changes")
+    jobs.customer_history_job(store, rows.where("cast(partition_key as long) % 3 <> 0 or occurred_at < '2024-01-10'"), 1)
+    changed = rows.where("cast(partition_key as long) % 3 = 0").select(F.col("partition_key").alias("customer_id"))
+    return jobs.customer_history_job(store, rows, 2, 1, changed).drop("attribute_hash")
+
+
+@query
+def kpis_published(spark, sf):
+    """KPIs written as a candidate, gated, and read under the version that was published."""
+    store, names = Store(spark, workspace(spark, "kpis")), []
+    jobs.kpi_job(store, conform.conform_orders(bronze(spark, sf, "order_events")), 1, publish=names.append)
+    return store.read("daily_kpis", names[0])
+
+
+@query
+def demand_published(spark, sf):
+    """Demand features written as a candidate, gated, and read under the version that was published."""
+    store, names = Store(spark, workspace(spark, "demand")), []
+    lines = conform.order_lines(bronze(spark, sf, "order_events"))
+    jobs.demand_job(store, lines, conform.inventory_daily(bronze(spark, sf, "inventory_events")), 1, publish=names.append)
+    return store.read("demand_features", names[0])
+
+
+@query
+def conformed_twice(spark, sf):
+    """All entity tables conformed from the earlier events, then from all into a second version: rows of each."""
+    store = Store(spark, workspace(spark, "conformed"))
+    names = ("order_events", "payment_events", "shipment_events", "inventory_events")
+    rows = reduce(DataFrame.unionByName, [bronze(spark, sf, n) for n in names])
+    jobs.conform_into(store, rows.where("producer_sequence <= 1 or event_type like 'inventory.%'"), 1)
+    found = jobs.conform_into(store, rows, 2, 1)
+    counts = [found[n].agg(F.lit(n).alias("table"), F.count(F.lit(1)).alias("rows")) for n in sorted(found)]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def partitions_replaced(spark, sf):
+    """A table by order status in which only the partition of open orders is written again, priced anew."""
+    path = workspace(spark, "partitions")
+    rows = fixtures.table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(20,2)").alias("price"), F.col("o_orderstatus").alias("status"))
+    versions.overwrite_partitions(rows, path, ["status"])
+    versions.overwrite_partitions(rows.where("status = 'O'").withColumn("price", F.lit(1).cast("decimal(20,2)")), path, ["status"])
+    return spark.read.parquet(path).groupBy("status").agg(F.count(F.lit(1)).alias("orders"), F.sum("price").alias("total"))
+
+
+@query
+def batch_written_twice(spark, sf):
+    """Batches of orders appended under their numbers, one of them twice, with a column that came later."""
+    path = workspace(spark, "batches")
+    rows = fixtures.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for batch in (1, 2, 2, 3):
+        part = rows.where((F.col("o_orderkey") % 3 + 1) == batch)
+        versions.append_batch(versions.with_columns_of(part.drop("o_orderstatus") if batch == 1 else part, rows.schema), path, batch)
+    return spark.read.parquet(path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("orders"), F.count("o_orderstatus").alias("with_status"))
+
+
+@query
+def physical_evidence(spark, sf):
+    """Records of table versions as their files tell them, with a setting of the session."""
+    store = Store(spark, workspace(spark, "evidence"))
+    for name in ("orders", "customer"):
+        store.write(fixtures.table(spark, sf, name).repartition(4), name, 1)
+    found = jobs.physical_evidence(store, {"orders": 1, "customer": 1}, ["spark.sql.session.timeZone"])
+    return found.select("table", "records", "files", (F.col("bytes") > 0).alias("sized"), F.col("settings")["spark.sql.session.timeZone"].alias("zone"))
+
+
 @query
 def compaction(spark, sf):
     """Small files of a table rewritten into larger ones with equal rows: records before and after."""

@@ -194,10 +194,20 @@ ORACLE_SQL: dict[str, str] = {
     "insert_absent": f"{_STATE} SELECT CASE WHEN order_id::BIGINT % 2 = 0 THEN status ELSE 'ADDED' END AS status, count(*) AS orders FROM so GROUP BY 1",
     "replace_groups": f"{_BASE} SELECT currency, {_long('version')}, count(*) AS lines, count(DISTINCT order_key) AS orders, CAST(sum(gross_amount) AS DOUBLE) AS gross_amount FROM im GROUP BY ALL",
     "group_changes": f"{_BASE} SELECT CAST(l_linenumber = 1 AS BIGINT) AS removed, count(*) AS lines FROM po JOIN ln ON l_orderkey = k WHERE k % 7 = 0 AND status IN ('CONFIRMED', 'REFUNDED') AND k NOT IN (SELECT k FROM rj) GROUP BY 1",
-    "payment_findings": f"WITH {_LINES}, {_ORDERS}, {_TOTALS}, f AS (SELECT CAST(k AS VARCHAR) AS order_id, currency, CAST(coalesce(total, 0) AS DOUBLE) AS gross_amount, "
-    "CASE WHEN flag <> 'P' AND (k % 43 = 0 OR flag = 'O') THEN 'MISSING_CAPTURE' WHEN k % 47 = 0 THEN 'CURRENCY_MISMATCH' WHEN k % 41 = 0 THEN 'AMOUNT_MISMATCH' END AS finding, "
-    "CASE WHEN (flag <> 'P' AND (k % 43 = 0 OR flag = 'O')) OR k % 47 = 0 THEN NULL ELSE CAST(coalesce(total, 0) + CASE WHEN k % 41 = 0 THEN 1 ELSE 0 END AS DOUBLE) END AS paid_amount FROM po LEFT JOIN tt ON l_orderkey = k WHERE flag = 'P' OR k % 29 <> 0) "
-    "SELECT order_id, currency, gross_amount, paid_amount, finding FROM f WHERE finding IS NOT NULL",
+    "payment_findings": f"WITH {_LINES}, {_ORDERS}, {_TOTALS}, ct AS (SELECT TIMESTAMP '2001-08-01 01:20:00' AS cut), "
+    "c AS (SELECT k, currency, placed, cut, coalesce(total, 0)::DECIMAL(20,2) AS total, k % 43 <> 0 AND flag <> 'O' AND placed + INTERVAL 2 HOUR <= cut AS cap, CASE WHEN k % 47 = 0 THEN 'GBP' ELSE currency END AS pc "
+    "FROM po CROSS JOIN ct LEFT JOIN tt ON l_orderkey = k WHERE flag <> 'P' AND k % 29 <> 0 AND placed + INTERVAL 1 HOUR <= cut), "
+    "ac AS (SELECT k, pc AS cur, total + CASE WHEN k % 41 = 0 THEN 1 ELSE 0 END - CASE WHEN k % 37 = 0 THEN 1 ELSE 0 END AS amount FROM c WHERE cap AND NOT (k % 31 = 0 AND placed + INTERVAL 4 HOUR <= cut) "
+    "UNION ALL SELECT k, CASE WHEN k % 74 = 0 THEN 'CHF' ELSE pc END, 1 FROM c WHERE cap AND k % 37 = 0), "
+    "g AS (SELECT k, cur, sum(amount) AS s FROM ac GROUP BY 1, 2), "
+    "h AS (SELECT c.k, c.currency, c.total, any_value(date_diff('minute', placed + INTERVAL 1 HOUR, cut)) AS age, count(g.k) AS n, max(CASE WHEN g.cur = c.currency THEN s END) AS paid, coalesce(bool_or(g.cur <> c.currency), false) AS other FROM c LEFT JOIN g ON g.k = c.k GROUP BY 1, 2, 3), "
+    "f AS (SELECT *, CASE WHEN other THEN 'CURRENCY_MISMATCH' WHEN n = 0 AND total > 0 AND age >= 30 THEN 'MISSING_CAPTURE' WHEN paid <> total THEN 'AMOUNT_MISMATCH' END AS finding FROM h) "
+    "SELECT CAST(k AS VARCHAR) AS order_id, currency, CAST(total AS DOUBLE) AS gross_amount, CAST(paid AS DOUBLE) AS paid_amount, finding, "
+    "CASE WHEN finding = 'CURRENCY_MISMATCH' OR (finding = 'MISSING_CAPTURE' AND age >= 120) OR (finding = 'AMOUNT_MISMATCH' AND abs(paid - total) >= 100) THEN 'HIGH' ELSE 'NORMAL' END AS priority FROM f WHERE finding IS NOT NULL",
+    "payment_state_mismatches": f"WITH {_ORDERS} SELECT 'p' || k AS payment_id, CASE WHEN flag = 'P' THEN 'REVERSED' WHEN k % 43 = 0 THEN 'AUTHORIZED' WHEN flag = 'O' THEN 'FAILED' ELSE 'CAPTURED' END AS event_status, "
+    "CASE WHEN k % 53 <> 0 THEN 'LOST' END AS status FROM po WHERE k % 53 = 0 OR k % 59 = 0",
+    "newest_errors": f"{_RAW} SELECT t AS topic, p AS partition, o AS \"offset\", strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, CASE WHEN e % 41 = 0 THEN 20 ELSE 25 END::BIGINT AS bytes, e % 41 <> 0 AS truncated FROM rw WHERE t = 'error' ORDER BY ts DESC, o DESC, p LIMIT 50",
+    "ingest_latency_approximate": "SELECT true AS p50_ms, true AS p95_ms",
     "topic_positions": f"{_RAW} SELECT t AS topic, count(*) AS partitions, CAST(sum(h - l) AS BIGINT) AS messages FROM (SELECT t, p, min(o) AS l, max(o) + 1 AS h FROM rw GROUP BY 1, 2) GROUP BY 1",
     "events_per_topic": f"{_RAW} SELECT t AS source_topic, count(*) AS events FROM jd WHERE err IS NULL GROUP BY 1",
     "ingest_latency": f"{_BASE}, d AS (SELECT 172800000 + CASE WHEN k % 14 = 0 AND version = 2 THEN -3600000 ELSE version * 3600000 END + (delivery - 1) * 3600000 AS ms FROM dl) SELECT quantile_cont(ms, 0.5)::DOUBLE AS p50_ms, quantile_cont(ms, 0.95)::DOUBLE AS p95_ms FROM d",
@@ -241,6 +251,27 @@ ORACLE_SQL: dict[str, str] = {
     "stream_append": f"{_RAW} SELECT t AS source_topic, count(*) AS events FROM jd WHERE err IS NULL GROUP BY 1",
     "stream_quarantine": f"{_RAW} SELECT err AS error_code, count(*) AS records, count(*) AS positions FROM jd WHERE err IS NOT NULL GROUP BY 1",
     "stream_dedupe": f"{_RAW} SELECT t AS source_topic, count(DISTINCT e) AS events, count(DISTINCT e) AS ids FROM jd WHERE err IS NULL GROUP BY 1",
-    "retention_plan": f"WITH d AS (SELECT o_orderkey AS s, o_orderdate AS placed FROM orders WHERE o_orderkey % 300 = 0), kp AS (SELECT s FROM d QUALIFY row_number() OVER (ORDER BY s DESC) <= 5 UNION SELECT s FROM d WHERE placed >= {AS_OF} - INTERVAL 365 DAY), "
-    "v AS (SELECT 'a' AS t, s AS version, s FROM d UNION ALL SELECT 'b', s // 600, s FROM d) SELECT DISTINCT t AS \"table\", version FROM v WHERE (t, version) NOT IN (SELECT t, version FROM v WHERE s IN (SELECT s FROM kp))",
+    "retention_plan": f"WITH d AS (SELECT o_orderpriority AS pl, o_orderkey AS s, o_orderdate AS placed FROM orders), kp AS (SELECT s FROM d QUALIFY row_number() OVER (PARTITION BY pl ORDER BY s DESC) <= 5 UNION SELECT s FROM d WHERE placed >= {AS_OF} - INTERVAL 365 DAY), "
+    "v AS (SELECT 'a' AS t, s AS version, s FROM d UNION ALL SELECT 'b', s // 600, s FROM d), ke AS (SELECT DISTINCT t, version FROM v WHERE s IN (SELECT s FROM kp)) SELECT DISTINCT t AS \"table\", version FROM v ANTI JOIN ke USING (t, version)",
+    "partitions_replaced": "SELECT o_orderstatus AS status, count(*) AS orders, CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE CAST(o_totalprice AS DECIMAL(20,2)) END) AS DOUBLE) AS total FROM orders GROUP BY 1",
+    "batch_written_twice": "SELECT o_orderkey % 3 + 1 AS batch_id, count(*) AS orders, count(*) FILTER (o_orderkey % 3 <> 0) AS with_status FROM orders GROUP BY 1",
+    "physical_evidence": "SELECT 'orders' AS \"table\", count(*) AS records, 4::BIGINT AS files, true AS sized, 'UTC' AS zone FROM orders UNION ALL SELECT 'customer', count(*), 4, true, 'UTC' FROM customer",
+    "conformed_twice": f"{_STOCK} SELECT unnest(['inventory_daily', 'order_lines', 'order_status_history', 'orders', 'payments', 'shipments']) AS \"table\", unnest([(SELECT count(*) FROM sk), (SELECT count(*) FROM ol), "
+    "(SELECT count(*) * 2 + count(*) FILTER (o_orderstatus = 'P') FROM orders), (SELECT count(*) FROM orders), (SELECT count(*) FROM orders), (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON o_orderkey = l_orderkey)])::BIGINT AS rows",
+}
+_LATEST = f"lc AS (SELECT * FROM co WHERE currency = 'EUR' AND co.cohort_month >= date_trunc('month', {AS_OF}) - INTERVAL 23 MONTH AND month_number <= 12)"
+_OF_WINDOW = f"WHERE currency = 'EUR' AND metric_date BETWEEN {FIRST} AND {LAST} GROUP BY 1"
+ORACLE_SQL |= {
+    "customers_rebuilt": ORACLE_SQL["customer_history"],
+    "kpis_published": ORACLE_SQL["daily_kpis"],
+    "demand_published": ORACLE_SQL["demand_features"],
+    "customer_page": ORACLE_SQL["customer_profiles"] + " WHERE currency = 'EUR' AND customer_key > 'shop:2' ORDER BY customer_key LIMIT 51",
+    "latest_cohorts": f"{_COHORTS}, {_LATEST} SELECT {_text('cohort_month', 'activity_month')}, currency, cohort_size, active_customers, month_number, retention, complete FROM lc",
+    "dashboard_retention": f"{_COHORTS}, {_LATEST} SELECT {_text('cohort_month')}, currency, max(cohort_size) AS cohort_size, CAST(min(CAST(complete AS INT)) AS BIGINT) AS all_complete, "
+    + ", ".join(f"max(CASE WHEN month_number = {i} THEN retention END) AS m{i}" for i in range(13)) + " FROM lc GROUP BY cohort_month, currency",
+    "dashboard_frames": f"{_PROFILES}{_COHORTS[len(_DAILY):]}, {_LATEST}, wc AS (SELECT customer_key, sum(net_amount) AS n FROM cd {_OF_WINDOW}), wp AS (SELECT product_key, sum(net_amount) AS n FROM pd {_OF_WINDOW}), "
+    "cp AS (SELECT n FROM pr JOIN wc USING (customer_key) WHERE currency = 'EUR' ORDER BY customer_key LIMIT 51), pp AS (SELECT n FROM wp ORDER BY product_key LIMIT 51), "
+    "sg AS (SELECT segment, count(*) AS n FROM pr WHERE currency = 'EUR' GROUP BY 1), cz AS (SELECT cohort_month, max(cohort_size) AS n FROM lc GROUP BY 1) "
+    "SELECT frame, CAST(r AS BIGINT) AS rows, CAST(t AS DOUBLE) AS total FROM (SELECT 'summary' AS frame, 1 AS r, sum(n) AS t FROM wc UNION ALL SELECT 'segments', count(*), sum(n) FROM sg UNION ALL SELECT 'customers', count(*), sum(n) FROM cp "
+    "UNION ALL SELECT 'products', count(*), sum(n) FROM pp UNION ALL SELECT 'cohorts', count(*), sum(active_customers) FROM lc UNION ALL SELECT 'retention', count(*), sum(n) FROM cz)",
 }

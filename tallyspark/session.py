@@ -46,7 +46,11 @@ def local_session(cores: int | None = None, **conf: str) -> SparkSession:
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder for a job's tables, in the folder that spark.checkpoint.dir names (all machines share it).
 
-    Where the setting is absent, as in tests on one machine, a temporary folder is taken.
+    Where the setting is absent on a local master, as in tests on one machine, a temporary folder is taken.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-work-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        folder = "file://" + tempfile.mkdtemp(prefix="spark-work-")
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
