@@ -1,6 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positives; every other training text is unlabelled, whatever its label. A
+Confirmed toxic texts are the positives; the unlabelled texts are a sample of all training texts, whatever
+their labels, as the risk supposes. A
 linear classifier on the presence of words and word beginnings is fitted with numpy so as to minimise
 the non-negative corrected risk
 
@@ -9,12 +10,12 @@ the non-negative corrected risk
 where the second term's gradient is reversed whenever it would fall under zero. Only features that occur
 in positives far more often than in unlabelled texts enter; they are chosen on the training sample.
 
-The training sample is bounded: about POSITIVES toxic and UNLABELLED other texts of at most LONGEST bytes
+The training sample is bounded: about POSITIVES toxic and UNLABELLED texts of at most LONGEST bytes
 each, a share of the texts by their hash; copies of a text count once. The class prior, if not given, is the share of
 toxic rows among the labelled training rows.
 
 Defined results: null and empty texts, and texts without known features, get the score of the intercept.
-Without positives every score is 0. Repeated rows get equal scores. Extra columns are kept, those with
+Without positives, or without training rows, every score is that of an intercept of -40, under 1e-17. Repeated rows get equal scores. Extra columns are kept, those with
 the names of the results are replaced.
 """
 
@@ -41,7 +42,7 @@ FEATURES = 2048
 STARTS = (4, 5, 6)
 #: Least texts and share of the positives with a feature, least share of toxic texts among all texts with it, and
 #: the chance that any feature enters by accident.
-LEAST_TEXTS, LEAST_SHARE, PURITY, CHANCE = 3, 0.015, 0.6, 0.01
+LEAST_TEXTS, LEAST_SHARE, PURITY, CHANCE = 3, 0.015, 0.5, 0.01
 THRESHOLD = 0.7
 BLOCK = 8 << 20
 #: Texts whose words are held at a time.
@@ -192,17 +193,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     marks = labels.groupBy(F.col(id_column).alias("id")).agg(F.max(toxic).alias("toxic"))
     keys = hashed.select("id", "h", (F.octet_length("text") <= LONGEST).alias("short")).join(marks, "id", "left")
     keys = table(keys.select("h", "short", (F.coalesce("toxic", F.lit(0)) == 1).alias("p"), F.col("toxic").isNotNull().alias("known")), "text-keys")
-    facts = keys.agg(F.avg(F.when(F.col("known"), F.col("p").cast("double"))), F.count(F.when(F.col("p") & F.col("short"), 1)), F.count(F.when(~F.col("p") & F.col("short"), 1))).first()
+    facts = keys.agg(F.avg(F.when(F.col("known"), F.col("p").cast("double"))), F.count(F.when(F.col("p") & F.col("short"), 1)), F.count(F.when(F.col("short"), 1))).first()
     if prior is None:
         prior = min(0.9, max(0.001, facts[0] or 0.0))
-    # The share of texts wanted is taken by the hash of the text, so copies count once and nothing is sorted.
-    share = F.pmod("h", F.lit(1_000_000)) < F.when(F.col("p"), F.lit(1e6 * POSITIVES / max(1, facts[1]))).otherwise(1e6 * UNLABELLED / max(1, facts[2]))
-    chosen = table(keys.where("short").where(share).select("h", "p").distinct(), "sample-keys")
-    texts = hashed.where(F.octet_length("text") <= LONGEST).join(F.broadcast(chosen.select("h").distinct()), "h").groupBy("h").agg(F.first("text").alias("text"))
+    # The shares of texts wanted are taken by hashes of the text, so copies count once and nothing is sorted.
+    part = lambda h, most, n: F.pmod(h, F.lit(1_000_000)) < F.lit(1e6 * most / max(1, n))
+    roles = F.array(F.when(F.col("p") & part(F.col("h"), POSITIVES, facts[1]), 0), F.when(part(F.xxhash64("h"), UNLABELLED, facts[2]), 1))
+    chosen = keys.where("short").select("h", F.explode(F.filter(roles, lambda x: x.isNotNull())).alias("role"))
+    chosen = table(chosen.distinct(), "sample-keys")
+    texts = hashed.where(F.octet_length("text") <= LONGEST).join(F.broadcast(chosen.select("h").distinct()), "h").groupBy("h").agg(F.min("text").alias("text"))
     of = {r["h"]: r["text"] for r in texts.collect()}
     found: list[list[str]] = [[], []]
     for r in chosen.orderBy("h").collect():
-        found[not r["p"]].append(of[r["h"]])
+        found[r["role"]].append(of[r["h"]])
     positive, unlabelled = (pa.array(x, pa.string()) for x in found)
     if not len(positive) or not len(unlabelled):
         return Model([], np.zeros(0), -40.0, prior)
