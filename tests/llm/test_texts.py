@@ -146,15 +146,40 @@ def test_sharding_keeps_groups_and_balances(spark):
     assert sharding.shard(spark.createDataFrame([], "doc_id long, text string"), 8).count() == 0
 
 
+def test_sharding_takes_null_and_repeated_ids_and_clashing_columns(spark):
+    rows = [(None, "a b", "x", "y"), (None, "a b", "x", "y"), (1, "c", "p", "q"), (1, "d", "r", "s"), (2, None, "t", "u"), (3, "", "v", "w")] * 30
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, group string, shard string"), 4).collect()
+    assert Counter((r["doc_id"], r["size"], r["group"]) for r in got) == Counter((i, len((t or "").encode()) + 16, g) for i, t, g, _ in rows)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(4))
+
+
+def test_runs_are_packed_as_single_items():
+    r = random.Random(3)
+    runs = sorted(((r.randrange(1, 90), r.randrange(1, 40)) for _ in range(60)), reverse=True)
+    one = sharding.best_fit_decreasing([s for s, n in runs for _ in range(n)], 200)
+    by_run = [Counter(), Counter()]
+    at = 0
+    for k, (_, n) in enumerate(runs):
+        for b in one[at : at + n]:
+            by_run[0][k, b] += 1
+        at += n
+    for k, b, n in sharding.best_fit_runs(runs, 200):
+        by_run[1][k, b] += n
+    assert by_run[0] == by_run[1]
+
+
 def test_best_fit_takes_the_tightest_bin():
     assert sharding.best_fit_decreasing([6, 5, 4, 3, 2], 10) == [0, 1, 0, 1, 1]
     assert sharding.best_fit_decreasing([6, 6], 10, most=1) is None
     r = random.Random(2)
     sizes = sorted((r.randrange(1, 1000) for _ in range(3000)), reverse=True)
-    places = sharding.pack_bins(sizes, 40)
+    places = sharding.pack_bins([(s, 1) for s in sizes], 40)
     load = Counter()
-    for s, p in zip(sizes, places, strict=True):
-        load[p] += s
+    for number, p, _ in places:
+        load[p] += sizes[number]
     assert len(load) == 40 and max(load.values()) <= 1.002 * sum(sizes) / 40
 
 
