@@ -42,7 +42,7 @@ MIN_MARGIN = 0.002
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 _SENTENCE = re.compile(r"(?<=[.!?]) |\n")
 UNKNOWN = "und"
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:

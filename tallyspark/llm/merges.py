@@ -203,19 +203,21 @@ class SegmentCoder:
 
 
 def blocks(sizes, most: int):
-    """(start, end) of runs of rows whose sizes sum to about ``most``."""
+    """(start, end) of runs of rows whose sizes sum to about ``most``; what a run took is given back before the next."""
     start, total = 0, 0
     for i, n in enumerate(sizes):
         total += n
         if total >= most:
             yield start, i + 1
             start, total = i + 1, 0
+            pa.default_memory_pool().release_unused()
     if start < len(sizes):
         yield start, len(sizes)
+        pa.default_memory_pool().release_unused()
 
 
 #: Bytes of text whose words are hashed at a time.
-SPAN = 1 << 20
+SPAN = 1 << 18
 _FACTOR = 0x9E3779B97F4A7C15F39CC0605CEDC835 % (1 << 64)  # odd, so it has an inverse
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)])
 _OF_BYTE = np.random.default_rng(20_241_128).integers(0, 1 << 64, 256, dtype=np.uint64)[_LOWER]

@@ -30,7 +30,7 @@ from .common import components, table
 from .merges import blocks, mix, word_codes
 
 BANDS, ROWS = 30, 5
-BLOCK = 6 << 20
+BLOCK = 4 << 20
 #: Members and set items of a cell of a bucket.
 CELL, ITEMS = 512, 1_000_000
 #: Bits for each candidate, and least and most bits, of the filter by which other rows are skipped when sets are

@@ -44,7 +44,7 @@ STARTS = (4, 5, 6)
 #: the chance that any feature enters by accident.
 LEAST_TEXTS, LEAST_SHARE, PURITY, CHANCE = 3, 0.015, 0.5, 0.01
 THRESHOLD = 0.7
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Texts whose words are held at a time.
 SLICE = 1000
 
