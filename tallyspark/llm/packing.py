@@ -34,9 +34,9 @@ END = 0
 #: Patterns that the least squares may use.
 PATTERNS = 6000
 #: Words whose ids a worker keeps.
-CACHE = 120_000
+CACHE = 200_000
 #: Bytes of text that are coded at a time.
-BLOCK = 3 << 20
+BLOCK = 5 << 20
 
 
 class WordTokenizer:

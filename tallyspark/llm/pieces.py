@@ -27,9 +27,9 @@ from .merges import PairTable, SegmentCoder, blocks, cut_bytes, merge_rounds
 
 SPACE = "▁"
 #: Segments whose ids a worker keeps.
-CACHE = 120_000
+CACHE = 200_000
 #: Bytes of text that are coded at a time.
-BLOCK = 3 << 20
+BLOCK = 5 << 20
 
 _NORMAL, _BYTE, _CONTROL, _UNKNOWN, _USER, _UNUSED = 1, 6, 3, 2, 4, 5
 
