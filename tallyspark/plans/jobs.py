@@ -4,41 +4,50 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..operators import conform, history, marts, purchases, quality
-from ..sources.versions import Store, batch_range, date_range, insert_absent, replace_groups, upsert_newer
+from ..sources.versions import Store, batch_range, date_range, replace_groups, upsert_newer
 from .publication import Publications, write_audit_publish
 
 PIPELINE = "customer_analytics_v1"
 STATE = ("purchase_orders", "purchase_items", "customer_daily", "customer_profiles", "product_daily", "customer_cohorts", "purchase_rejections")
 
 
+#: Kinds of published orders, the later one stronger.
+KINDS = ("generated", "public dataset", "source")
+#: The partition column of facts: the month of the purchase.
+MONTH = "month"
+
+
 def publication_kind(orders: DataFrame, generated: str = "generated", public: str = "uci-retail") -> str:
-    """Whether the published orders are generated, a public dataset, or source data. One aggregated row."""
-    kinds = orders.agg(
-        F.max((~F.col("source").startswith(generated) & (F.col("source") != public)).cast("int")).alias("own"), F.max((F.col("source") == public).cast("int")).alias("public")
-    ).first()
-    return "source" if kinds["own"] else "public dataset" if kinds["public"] else "generated"
+    """Whether the orders are generated, a public dataset, or source data. One aggregated row."""
+    place = F.when(F.col("source") == public, 1).when(F.col("source").startswith(generated), 0).otherwise(2)
+    return KINDS[orders.agg(F.max(place)).first()[0] or 0]
 
 
-def affected(updates: DataFrame, published: DataFrame, key: str) -> DataFrame:
-    """Keys that own updated orders now or owned them before, so a reassigned order refreshes both."""
-    before = published.join(updates.select("order_key").distinct(), "order_key", "left_semi").select(key)
-    return updates.select(key).unionByName(before).where(F.col(key).isNotNull()).distinct()
+def in_month(day: str) -> Column:
+    return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none")).alias(MONTH)
 
 
 def compare_with_published(latest: DataFrame, published: DataFrame) -> DataFrame:
-    """Latest accepted changes with what they are to the published state: update, conflict or known."""
-    old = published.select("order_key", F.col("version").alias("_version"), F.col("content_hash").alias("_hash"))
+    """Latest accepted changes with what they are to the published state: update, conflict or known.
+
+    Published orders are first cut to the keys at hand, so that few changes can be sent to where the orders lie.
+    """
+    old = published.select("order_key", F.col("version").alias("_version"), F.col("content_hash").alias("_hash")).join(latest.select("order_key"), "order_key", "left_semi")
     newer = F.col("_version").isNull() | (F.col("version") > F.col("_version"))
     clash = (F.col("version") == F.col("_version")) & (F.col("content_hash") != F.col("_hash"))
     return latest.join(old, "order_key", "left").withColumn("change", F.when(newer, "update").when(clash, "conflict").otherwise("known")).drop("_version", "_hash")
 
 
 class PurchaseAnalytics:
-    """Incremental purchase marts over appended batches of snapshot events."""
+    """Incremental purchase marts over appended batches of snapshot events.
+
+    Orders, lines and daily facts are kept by month of purchase; a run writes the months that its changes touch
+    and names the other months where they lie.
+    """
 
     def __init__(self, store: Store, bronze: DataFrame, manifest: DataFrame):
         self.store, self.bronze, self.manifest = store, bronze, manifest
@@ -63,39 +72,57 @@ class PurchaseAnalytics:
         newest = purchases.latest_purchases(purchases.accepted_purchases(changes, reasons))
         old = self.publications.frames(head) if head else {}
 
-        orders_before = old.get("purchase_orders", newest.limit(0))
+        orders_before = old.get("purchase_orders", newest.limit(0).withColumn(MONTH, F.lit("")))
         compared = write(compare_with_published(newest, orders_before), "work_compared")
         updates = compared.where("change = 'update'").drop("change")
         conflicts = compared.where("change = 'conflict'").drop("change").withColumn("reason", F.lit(purchases.CONFLICT))
         rejected = purchases.rejected_purchases(changes, reasons).unionByName(conflicts)
         evidence = purchases.rejection_evidence(rejected, str(bound))
-        rejections = write(insert_absent(old["purchase_rejections"], evidence, ["rejection_id"]) if old else evidence, "purchase_rejections")
+        if old:
+            evidence = evidence.join(old["purchase_rejections"].select("rejection_id"), "rejection_id", "left_anti")
 
-        orders = write(upsert_newer(orders_before, updates, ["order_key"], ["version"]), "purchase_orders")
+        # What the updates replace, and the months of both: no row of another month changes.
+        keys = updates.select("order_key")
+        replaced = write(orders_before.drop(MONTH).join(keys, "order_key", "left_semi"), "work_replaced")
+        both = updates.unionByName(replaced)
         fresh = purchases.purchase_items(updates)
-        items_before = old.get("purchase_items", fresh.limit(0))
-        items = write(replace_groups(items_before, fresh, updates.select("order_key"), ["order_key"]), "purchase_items")
-
-        customers = write(affected(updates, orders_before, "customer_key"), "work_customers")
-        touched = fresh.select("product_key").unionByName(items_before.join(updates.select("order_key"), "order_key", "left_semi").select("product_key")).distinct()
-        products = write(touched, "work_products")
-
+        months = [r[0] for r in both.select(in_month("purchased_at")).distinct().collect()]  # bounded by the calendar
+        customers = write(both.select("customer_key").where("customer_key is not null").distinct(), "work_customers")
+        products = write(fresh.select("product_key").unionByName(purchases.purchase_items(replaced).select("product_key")).distinct(), "work_products")
+        versions = {t: str(sequence) for t in STATE}
+
+        def refresh(name: str, new: DataFrame, gone: DataFrame, key: str, day: str) -> DataFrame:
+            """The touched months of a table, without the rows of ``gone`` and with the new ones."""
+            new = new.withColumn(MONTH, in_month(day))
+            if old:
+                new = replace_groups(old[name].where(F.col(MONTH).isin(months)), new, gone, [key])
+            versions[name] = f"{sequence}@{MONTH}"
+            return self.store.write_parts(new, name, sequence, MONTH, head["sequence"] if head else None, months)
+
+        refresh("purchase_orders", updates, keys, "order_key", "purchased_at")
+        items = refresh("purchase_items", fresh, keys, "order_key", "purchased_at").where(F.col(MONTH).isin(months))
         daily = marts.customer_daily(items.join(customers, "customer_key", "left_semi"))
-        daily = write(replace_groups(old["customer_daily"], daily, customers, ["customer_key"]) if old else daily, "customer_daily")
-        aged = head is None or as_of > head["as_of"]
-        if aged:  # windows moved: every profile is another one
+        daily = refresh("customer_daily", daily, customers, "customer_key", "metric_date").drop(MONTH)
+        refresh("product_daily", marts.product_daily(items.join(products, "product_key", "left_semi")), products, "product_key", "metric_date")
+        # Rejections are only added: those of a run are a partition of their own.
+        run = str(sequence)
+        self.store.write_parts(evidence.withColumn("run", F.lit(run)), "purchase_rejections", sequence, "run", head["sequence"] if head else None, [run])
+        versions["purchase_rejections"] = f"{sequence}@run"
+
+        if head is None or as_of > head["as_of"]:  # windows moved: every profile is another one
             profiles = marts.customer_profiles(daily, as_of)
         else:
             some = marts.customer_profiles(daily.join(customers, "customer_key", "left_semi"), as_of)
             profiles = replace_groups(old["customer_profiles"], some, customers, ["customer_key"])
-        profiles = write(profiles, "customer_profiles")
-        by_product = marts.product_daily(items.join(products, "product_key", "left_semi"))
-        by_product = write(replace_groups(old["product_daily"], by_product, products, ["product_key"]) if old else by_product, "product_daily")
-        cohorts = write(marts.customer_cohorts(daily, as_of), "customer_cohorts")
-        del rejections, cohorts, by_product, profiles
+        write(profiles, "customer_profiles")
+        write(marts.customer_cohorts(daily, as_of), "customer_cohorts")
         if not publish:
             return head
-        self.publications.publish(PIPELINE, sequence, as_of, bound, visibility, {t: str(sequence) for t in STATE}, publication_kind(orders))
+        # Orders are never taken out, so a kind that was published holds on unless a stronger one comes.
+        kind = publication_kind(updates)
+        if head:
+            kind = max(kind, head["created_by"], key=KINDS.index)
+        self.publications.publish(PIPELINE, sequence, as_of, bound, visibility, versions, kind)
         return self.publications.head(PIPELINE)
 
     def frames(self) -> dict[str, DataFrame]:

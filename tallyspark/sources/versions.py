@@ -6,10 +6,13 @@ One writer per table is assumed.
 
 from __future__ import annotations
 
+import json
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 class Store:
@@ -29,8 +32,46 @@ class Store:
         writer.parquet(self.path(table, version))
         return self.read(table, version, df.schema)
 
+    def write_parts(self, df: DataFrame, table: str, version: int | str, by: str, before: int | str | None = None, touched: list[str] | None = None) -> DataFrame:
+        """Write the partitions of a table that change, by the text column ``by``, and read the new version.
+
+        ``df`` has all rows of the partitions ``touched``, or of the whole table if there is no version before.
+        The other partitions stay in the folders of earlier versions; a row per partition in ``<table>.parts``
+        says in which, so a version's folder may go only when no version that is kept names it. Adaptive
+        execution splits a large partition over tasks and puts small ones together.
+        """
+        df.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(by).parquet(self.path(table, version))
+        named = self.spark.read.schema(df.schema).parquet(self.path(table, version)).select(F.col(by).alias("part")).distinct().withColumn("version", F.lit(str(version)))
+        if before is not None:
+            named = named.unionByName(self.parts(table, before).where(~F.col("part").isin(touched)).select("part", "version"))
+        # A row without a partition keeps the types of a table that has no rows.
+        types = self.spark.createDataFrame([(None, None)], "part string, version string").unionByName(named).withColumn("schema", F.lit(df.schema.json()))
+        types.coalesce(1).write.mode("overwrite").parquet(self.path(f"{table}.parts", version))
+        return self.read(table, f"{version}@{by}")
+
+    def parts(self, table: str, version: int | str) -> DataFrame:
+        """The partitions of a version and the versions whose folders hold them."""
+        return self.spark.read.schema("part string, version string, schema string").parquet(self.path(f"{table}.parts", str(version).split("@")[0]))
+
+    def _read_parts(self, table: str, version: str, by: str) -> DataFrame:
+        """A version in parts: the folders it names, filtered by partition columns, which the scan prunes."""
+        named = self.parts(table, version).collect()  # a row per partition
+        schema = StructType.fromJson(json.loads(named[0]["schema"]))
+        folders: dict[str, list[str]] = {}
+        for row in named:
+            if row["version"] is not None:
+                folders.setdefault(row["version"], []).append(row["part"])
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(StructType([*schema, StructField("v", StringType())])).option("basePath", f"{self.root}/{table}")
+        rows = rows.parquet(*[self.path(table, v) for v in folders])
+        held = [(F.col("v") == v) & F.col(by).isin(values) for v, values in folders.items()]
+        return rows.where(reduce(Column.__or__, held)).select(*schema.names)
+
     def read(self, table: str, version: int | str, schema=None) -> DataFrame:
-        """A table at a pinned version; columns that the version lacks are null."""
+        """A table at a pinned version; columns that the version lacks are null. ``n@by`` is version n in parts by a column."""
+        if "@" in str(version):
+            return self._read_parts(table, *str(version).split("@"))
         reader = self.spark.read.option("mergeSchema", "true")
         if schema is not None:
             reader = self.spark.read.schema(schema)

@@ -178,6 +178,34 @@ def test_incremental_equals_full_by_range(spark, tmp_path):
         assert versions.same_rows(full[name], frames[name]), name
 
 
+def test_runs_write_only_touched_months(spark, tmp_path):
+    """An order that moves to another month changes both; the other months stay in the folder of the first run."""
+    rows = [snapshot(str(m), purchased_at=f"2023-{m:02d}-05T10:00:00Z", returns=None) for m in range(1, 7)]
+    rows += [snapshot("2", version=2, batch=2, purchased_at="2023-04-09T10:00:00Z", returns=None), snapshot("8", version=0, batch=3)]
+    store = Store(spark, str(tmp_path))
+    bronze = store.write(spark.createDataFrame(rows, BRONZE), "raw", 1)
+    work = jobs.PurchaseAnalytics(store, bronze, spark.createDataFrame([(1, "append"), (2, "append"), (3, "append")], "batch_id long, op string"))
+    for bound in (1, 2, 3):
+        work.build(date(2023, 7, 1), bound)
+    for name in ("purchase_orders", "purchase_items", "customer_daily", "product_daily"):
+        held = {r["part"]: r["version"] for r in store.parts(name, 3).where("part is not null").collect()}
+        assert held == {"2023-01": "1", "2023-03": "1", "2023-04": "2", "2023-05": "1", "2023-06": "1"}, name
+    full, frames = jobs.marts_of(jobs.accepted_by_range(bronze, [1, 2, 3]), date(2023, 7, 1)), work.frames()
+    for name, frame in full.items():
+        assert versions.same_rows(frame, frames[name]), name
+    assert frames["purchase_rejections"].count() == 1
+
+
+def test_tables_without_rows_keep_their_types(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    bronze = store.write(spark.createDataFrame([snapshot(currency="x"), snapshot("2", batch=2)], BRONZE), "raw", 1)
+    work = jobs.PurchaseAnalytics(store, bronze, spark.createDataFrame([(1, "append"), (2, "append")], "batch_id long, op string"))
+    work.build(date(2024, 1, 20), 1)
+    assert [work.frames()[t].count() for t in ("purchase_orders", "purchase_items", "customer_daily")] == [0, 0, 0]
+    work.build(date(2024, 1, 20), 2)
+    assert [work.frames()[t].count() for t in ("purchase_orders", "purchase_items", "customer_daily")] == [1, 2, 1]
+
+
 def test_write_audit_publish(spark, tmp_path):
     store, seen = Store(spark, str(tmp_path)), []
     good = spark.createDataFrame([("a", 1)], "id string, amount long")
