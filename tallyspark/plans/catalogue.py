@@ -620,7 +620,7 @@ def incremental_equals_full(spark, sf):
     work.build(date(2001, 7, 1), 2)
     work.build(AS_OF, 3)
     orders = store.write(jobs.accepted_by_range(rows, [1, 2, 3]), "full_orders", 1)
-    published, full = work.frames(), jobs.marts_of(orders, AS_OF)
+    published, full = work.frames(), jobs.written_marts(store, orders, AS_OF, "full")
     out = None
     for name in ("purchase_items", "customer_daily", "customer_profiles", "product_daily", "customer_cohorts"):
         one = versions.difference_count(full[name], published[name]).withColumn("table", F.lit(name))

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+PARTS = "part string, version string, schema string"
+
+
 class Store:
     """A folder of versioned tables."""
 
@@ -32,26 +35,25 @@ class Store:
         writer.parquet(self.path(table, version))
         return self.read(table, version, df.schema)
 
-    def write_parts(self, df: DataFrame, table: str, version: int | str, by: str, before: int | str | None = None, touched: list[str] | None = None) -> DataFrame:
+    def write_parts(self, df: DataFrame, table: str, version: int | str, by: str, before: int | str | None, touched: list[str]) -> DataFrame:
         """Write the partitions of a table that change, by the text column ``by``, and read the new version.
 
-        ``df`` has all rows of the partitions ``touched``, or of the whole table if there is no version before.
-        The other partitions stay in the folders of earlier versions; a row per partition in ``<table>.parts``
-        says in which, so a version's folder may go only when no version that is kept names it. Adaptive
-        execution splits a large partition over tasks and puts small ones together.
+        ``df`` has all rows of the partitions ``touched``, and no others. The other partitions stay in the folders
+        of earlier versions; a row per partition in ``<table>.parts`` says in which, so a version's folder may go
+        only when no version that is kept names it. Adaptive execution splits a large partition over tasks and
+        puts small ones together.
         """
         df.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(by).parquet(self.path(table, version))
-        named = self.spark.read.schema(df.schema).parquet(self.path(table, version)).select(F.col(by).alias("part")).distinct().withColumn("version", F.lit(str(version)))
-        if before is not None:
-            named = named.unionByName(self.parts(table, before).where(~F.col("part").isin(touched)).select("part", "version"))
+        held = {r["part"]: r["version"] for r in self.parts(table, before).collect()} if before is not None else {}
+        held |= dict.fromkeys(touched, str(version))
         # A row without a partition keeps the types of a table that has no rows.
-        types = self.spark.createDataFrame([(None, None)], "part string, version string").unionByName(named).withColumn("schema", F.lit(df.schema.json()))
-        types.coalesce(1).write.mode("overwrite").parquet(self.path(f"{table}.parts", version))
+        rows = [(part, of, df.schema.json()) for part, of in [(None, None), *((k, v) for k, v in sorted(held.items(), key=str) if k is not None)]]
+        self.spark.createDataFrame(rows, PARTS).coalesce(1).write.mode("overwrite").parquet(self.path(f"{table}.parts", version))
         return self.read(table, f"{version}@{by}")
 
     def parts(self, table: str, version: int | str) -> DataFrame:
         """The partitions of a version and the versions whose folders hold them."""
-        return self.spark.read.schema("part string, version string, schema string").parquet(self.path(f"{table}.parts", str(version).split("@")[0]))
+        return self.spark.read.schema(PARTS).parquet(self.path(f"{table}.parts", str(version).split("@")[0]))
 
     def _read_parts(self, table: str, version: str, by: str) -> DataFrame:
         """A version in parts: the folders it names, filtered by partition columns, which the scan prunes."""
@@ -191,9 +193,10 @@ def same_rows(a: DataFrame, b: DataFrame) -> bool:
 
 
 def difference_count(a: DataFrame, b: DataFrame) -> DataFrame:
-    """One row: how many distinct rows are in one frame only."""
-    b = b.select(*a.columns)
-    return a.subtract(b).unionByName(b.subtract(a)).agg(F.count(F.lit(1)).alias("differences"))
+    """One row: how many distinct rows are in one frame only. Each frame is read once; equal rows meet in one group."""
+    sides = a.withColumn("_side", F.lit(1)).unionByName(b.select(*a.columns).withColumn("_side", F.lit(2)))
+    found = sides.groupBy(*[F.col(f"`{c}`") for c in a.columns]).agg(F.min("_side").alias("_low"), F.max("_side").alias("_high"))
+    return found.where("_low = _high").agg(F.count(F.lit(1)).alias("differences"))
 
 
 def droppable_versions(versions: DataFrame, publications: DataFrame, now: Column, last: int = 10, days: int = 30) -> DataFrame:
