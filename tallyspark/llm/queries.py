@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, language, lm, minhash, packing, pieces, sharding, tiff, toxicity, url_filter
+from . import embeddings, language, lm, minhash, negatives, packing, periodic, pieces, sharding, tiff, toxicity, url_filter
 
 #: Paths of the public tokenizer files.
 PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
@@ -102,6 +102,41 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents", "doc_id", "text"), words=4, percent=80)
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents get a periodic end: from word a on, word i becomes word a + (i - a) % p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    found = docs.withColumn("h", h).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    g, n = F.floor(F.col("h") / 10).cast("long"), F.size("words").cast("long")
+    found = found.withColumn("a", F.when(n > 0, g % n)).withColumn("left", n - F.col("a"))
+    p = (1 + F.floor(F.col("left") / (3 + g % 8))).cast("int")
+    a, left = F.col("a").cast("int"), F.col("left").cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil(left / p).cast("int"))), F.lit(1), left)
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), a), tail), " ")
+    return found.select("doc_id", F.when(n > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_with_periods(_read(spark, sf_dir, "documents", "doc_id", "text"))).drop("text")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"strongest.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(F.col("strongest.length") * 1000 / F.col("strongest.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    whole = F.when(~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), whole)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, label=label, vector=whole)
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op3_lm_scoring": op3_lm_scoring,
@@ -113,11 +148,33 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
     "op7_url_filter": op7_url_filter,
+    "op12_periodic": op12_periodic,
+    "op13_negatives": op13_negatives,
 }
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)
 
 ORACLE_SQL = {
+    "op13_negatives": """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM valid a JOIN valid r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+  SELECT anchor_id, id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) <= 10
+""",
     "op7_url_filter": f"""
 WITH rules(rule_host, rule_path, action) AS (VALUES {_RULE_ROWS}),
 cut AS (
