@@ -30,6 +30,8 @@ from .merges import blocks
 EXPANSION = 1032
 #: Bytes of a column that are coded at a time.
 BLOCK = 8 << 20
+#: Bytes of pixels from which a result is given out, unless a page alone has more; samples of a page that features take at a time.
+PIXELS, SLICE = 32 << 20, 1 << 22
 
 # Fixed values of the TIFF 6.0 format: bytes and struct code of each field type, and tag numbers.
 FIELD_TYPES = {1: (1, "B"), 2: (1, "B"), 3: (2, "H"), 4: (4, "I"), 6: (1, "b"), 7: (1, "B"), 8: (2, "h"), 9: (4, "i")}
@@ -252,13 +254,28 @@ def store_texts(df: DataFrame, text: str = "text", media: str = "media") -> Data
     return source.mapInArrow(run, schema)
 
 
+def _value_counts(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct samples and how often they occur, by slices."""
+    if flat.dtype.itemsize > 1:
+        parts = [np.unique(flat[i : i + SLICE], return_counts=True) for i in range(0, len(flat), SLICE)]
+        values, place = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
+        return values, np.bincount(place, np.concatenate([c for _, c in parts])).astype(np.int64)
+    return np.arange(256), sum(np.bincount(flat[i : i + SLICE].view(np.uint8), minlength=256) for i in range(0, len(flat), SLICE))
+
+
 def page_feature(pixels: np.ndarray) -> str:
     """Mean, deviation, entropy and mean horizontal step of the samples."""
     flat = pixels.reshape(-1)
-    values, counts = np.unique(flat, return_counts=True) if flat.dtype.itemsize > 1 else (np.arange(256), np.bincount(flat.view(np.uint8), minlength=256))
+    values, counts = _value_counts(flat)
     share = counts[counts > 0] / len(flat)
     entropy = float(-(share * np.log2(share)).sum())
-    step = float(np.abs(np.diff(pixels.astype(np.float32), axis=1)).mean()) if pixels.shape[1] > 1 else 0.0
+    height, width, samples = pixels.shape
+    rows, places = max(1, SLICE // (width * samples)), max(1, SLICE // samples)
+    total = 0.0
+    for y in range(0, height, rows):
+        for x in range(0, width - 1, places):  # a slice and the first sample after it
+            total += float(np.abs(np.diff(pixels[y : y + rows, x : x + places + 1].astype(np.float64), axis=1)).sum())
+    step = total / (height * (width - 1) * samples) if width > 1 else 0.0
     mean = float((values * (counts / len(flat))).sum())
     deviation = float(np.sqrt(max(0.0, (np.square(values - mean) * (counts / len(flat))).sum())))
     return f"mean={mean:.6f};deviation={deviation:.6f};entropy={entropy:.6f};step={step:.6f}"
@@ -272,26 +289,33 @@ def tiff_pages(df: DataFrame, media: str = "media") -> DataFrame:
     source = df.select(*kept)
     at = kept.index(media)
 
+    def result(batch, rows, out):
+        kinds = [pa.int32()] * 5 + [pa.binary(), pa.string(), pa.string()]
+        made = [pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(rows, pa.int64())) for i in range(len(kept))), *made], [*kept, *names])
+
     def run(batches):
         for batch in batches:
             column = batch.column(at)
             for a, b in blocks(pc.fill_null(pc.binary_length(column), 0).to_pylist(), BLOCK):
-                rows, out = [], []
+                rows, out, held = [], [], 0
                 for i in range(a, b):
                     data, page = column[i].as_py(), 0
                     if data is None:
                         continue
                     try:
                         for pixels, compression in read_tiff(data):
+                            if held and held + pixels.nbytes > PIXELS:
+                                yield result(batch, rows, out)
+                                rows, out, held = [], [], 0
+                            held += pixels.nbytes
                             out.append((page, pixels.shape[1], pixels.shape[0], pixels.shape[2], compression, pixels.tobytes(), page_feature(pixels), None))
                             rows.append(i)
                             page += 1
                     except ValueError as e:
                         out.append((page, None, None, None, None, None, None, str(e)[:200]))
                         rows.append(i)
-                kinds = [pa.int32()] * 5 + [pa.binary(), pa.string(), pa.string()]
-                made = [pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(rows, pa.int64())) for i in range(len(kept))), *made], [*kept, *names])
+                yield result(batch, rows, out)
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema), results])
     return source.mapInArrow(run, schema)
