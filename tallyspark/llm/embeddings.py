@@ -15,7 +15,8 @@ themselves (a cosine needs equal lengths).
 
 Defined results: vectors that are null, empty, all zero, or that hold null or non-finite components link
 with nothing and are kept. Rows with a null id have null component_id, n_links as others, and are kept;
-they connect others. Rows that repeat an id are rows of their own: each counts the others it links with,
+they connect others. Ids are cast to long. Vectors of any finite size are compared, and those that differ
+by a power of two alone are equal here. Rows that repeat an id are rows of their own: each counts the others it links with,
 and component_id is the smallest id of all that are reachable. An empty table gives an empty result.
 Extra columns are not kept.
 """
@@ -146,8 +147,13 @@ def near_duplicates(rows: DataFrame, id_column: str = "vec_id", vector: str = "e
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = F.col("v").isNotNull() & (F.size("v") > 0) & ~bad & F.exists("v", lambda x: x != 0)
     source = source.withColumn("ok", F.coalesce(good, F.lit(False)))
+    # Vectors are scaled by a power of two (in two steps, as it can be out of range), so that squares neither vanish nor overflow.
+    power = F.floor(F.log2(F.array_max(F.transform("v", F.abs))))
+    source = source.withColumn("up", F.when(F.col("ok"), F.floor(-power / 2))).withColumn("rest", F.when(F.col("ok"), -power - F.col("up")))
+    one, two = F.pow(F.lit(2.0), F.col("up")), F.pow(F.lit(2.0), F.col("rest"))
+    source = source.withColumn("one", one).withColumn("two", two)
     # Equal vectors have equal keys; 0.0 and -0.0 are equal. Others are dealt by their id.
-    source = source.withColumn("v", F.when(F.col("ok"), F.transform("v", lambda x: x + F.lit(0.0))))
+    source = source.withColumn("v", F.when(F.col("ok"), F.transform("v", lambda x: x * F.col("one") * F.col("two") + F.lit(0.0)))).drop("up", "rest", "one", "two")
     source = source.withColumn("k1", F.when(F.col("ok"), F.xxhash64("v")).otherwise(F.xxhash64("id")))
     source = table(source.withColumn("k2", F.when(F.col("ok"), F.xxhash64(F.lit("second"), "v", F.reverse("v"))).otherwise(0)), "vectors")
     count = source.where("ok").count()
