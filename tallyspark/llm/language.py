@@ -6,7 +6,7 @@ every dictionary, and the sums are compared; pieces keep a dictionary's help the
 text as at its start. The whole text counts. A
 text whose best sum is not smaller than the second by MIN_MARGIN of it is rejected as uncertain.
 
-The training sample is bounded: of each language about SAMPLE texts, a share of the texts by their hash, and
+The training sample is bounded: of each language about SAMPLE texts, a share of its distinct texts by their hash, and
 of a text longer than LONGEST characters a passage of that length, from a place that its hash picks; copies of
 a text count once. The languages are taken to be a few hundred at most.
 
@@ -49,13 +49,13 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str
     """The dictionary of each language, from a bounded sample of labelled texts."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     rows = rows.where("text <> ''")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # The share of texts wanted is taken by the hash of the text, so copies count once and nothing is sorted.
+    # Distinct texts are counted, and the share of them that is wanted is taken by their hash, so copies count once.
+    counts = rows.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(1e6 * SAMPLE) / F.col("n")
     over = F.length("text") - LONGEST
     passage = F.when(over <= 0, F.col("text")).otherwise(F.substring("text", F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(over, F.lit(1))).cast("int") + 1, F.lit(LONGEST)))
     texts: dict[str, dict[int, str]] = {}
-    for r in rows.join(F.broadcast(counts), "lang").where(share).select("lang", F.xxhash64("text").alias("h"), passage.alias("text")).groupBy("lang", "h").agg(F.min("text").alias("text")).collect():
+    for r in rows.join(counts, "lang").where(share).select("lang", F.xxhash64("text").alias("h"), passage.alias("text")).groupBy("lang", "h").agg(F.min("text").alias("text")).collect():
         texts.setdefault(r["lang"], {})[r["h"]] = r["text"]
     return build(texts)
 
