@@ -10,8 +10,8 @@ the non-negative corrected risk
 where the second term's gradient is reversed whenever it would fall under zero. Only features that occur
 in positives far more often than in unlabelled texts enter; they are chosen on the training sample.
 
-The training sample is bounded: about POSITIVES toxic and UNLABELLED texts of at most LONGEST bytes
-each, a share of the texts by their hash; copies of a text count once. The class prior, if not given, is the share of
+The training sample is bounded: about POSITIVES toxic and UNLABELLED texts, a share of the distinct texts by
+their hash, and of a text longer than LONGEST characters a passage of that length, from a place that its hash picks. The class prior, if not given, is the share of
 toxic rows among the labelled training rows.
 
 Defined results: null and empty texts, and texts without known features, get the score of the intercept.
@@ -191,17 +191,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     """
     hashed = docs.where(F.col(text).isNotNull()).select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
     marks = labels.groupBy(F.col(id_column).alias("id")).agg(F.max(toxic).alias("toxic"))
-    keys = hashed.select("id", "h", (F.octet_length("text") <= LONGEST).alias("short")).join(marks, "id", "left")
-    keys = table(keys.select("h", "short", (F.coalesce("toxic", F.lit(0)) == 1).alias("p"), F.col("toxic").isNotNull().alias("known")), "text-keys")
-    facts = keys.agg(F.avg(F.when(F.col("known"), F.col("p").cast("double"))), F.count(F.when(F.col("p") & F.col("short"), 1)), F.count(F.when(F.col("short"), 1))).first()
+    keys = hashed.select("id", "h").join(marks, "id", "left")
+    keys = keys.select("h", (F.coalesce("toxic", F.lit(0)) == 1).alias("p"), F.col("toxic").isNotNull().alias("known"))
+    # One row of a text: whether any copy is toxic, and how many labelled and toxic rows it has.
+    keys = table(keys.groupBy("h").agg(F.max("p").alias("p"), F.count_if("known").alias("known"), F.count_if("p").alias("marked")), "text-keys")
+    facts = keys.agg(F.sum("marked") / F.expr("nullif(sum(known), 0)"), F.count_if("p"), F.count(F.lit(1))).first()
     if prior is None:
         prior = min(0.9, max(0.001, facts[0] or 0.0))
-    # The shares of texts wanted are taken by hashes of the text, so copies count once and nothing is sorted.
+    # The shares of distinct texts wanted are taken by hashes of the text, so copies count once and nothing is sorted.
     part = lambda h, most, n: F.pmod(h, F.lit(1_000_000)) < F.lit(1e6 * most / max(1, n))
     roles = F.array(F.when(F.col("p") & part(F.col("h"), POSITIVES, facts[1]), 0), F.when(part(F.xxhash64("h"), UNLABELLED, facts[2]), 1))
-    chosen = keys.where("short").select("h", F.explode(F.filter(roles, lambda x: x.isNotNull())).alias("role"))
+    chosen = keys.select("h", F.explode(F.filter(roles, lambda x: x.isNotNull())).alias("role"))
     chosen = table(chosen.distinct(), "sample-keys")
-    texts = hashed.where(F.octet_length("text") <= LONGEST).join(F.broadcast(chosen.select("h").distinct()), "h").groupBy("h").agg(F.min("text").alias("text"))
+    over = F.length("text") - LONGEST
+    passage = F.when(over <= 0, F.col("text")).otherwise(F.substring("text", F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(over, F.lit(1))).cast("int") + 1, F.lit(LONGEST)))
+    texts = hashed.join(F.broadcast(chosen.select("h").distinct()), "h").select("h", passage.alias("text")).groupBy("h").agg(F.min("text").alias("text"))
     of = {r["h"]: r["text"] for r in texts.collect()}
     found: list[list[str]] = [[], []]
     for r in chosen.orderBy("h").collect():
