@@ -515,7 +515,8 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
     blank = [F.lit(None).cast("string").alias("block"), none.alias("tokens"), none.alias("sizes")]
     stored = model.words.select(F.lit(1).alias("kind"), "bucket", *blank, "keys", "counts", F.col("alpha").alias("a"), F.col("factor").alias("b"))
     stored = stored.unionByName(model.pairs.select(F.lit(2).alias("kind"), "bucket", *blank, "keys", "counts", none.alias("a"), none.alias("b")))
-    salts = max(1, -(-_bytes(source)[0] // (buckets * SHARE)))
+    # To the nearest: the texts to score are a little more than those that set the buckets, which needs no second copy of the model.
+    salts = max(1, round(_bytes(source)[0] / (buckets * SHARE)))
     stored = stored.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     asked = source.mapInArrow(ask, _KEYED).withColumn("salt", (F.crc32(F.col("block").cast("binary")) % salts).cast("int"))
     # Kind 0 rows go by their block, the others by their bucket and the salt of the block.
