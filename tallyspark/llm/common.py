@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +32,31 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits for each key, and least and most bits, of a bitmap. The most are 128 MB; beyond that a bitmap lets more through.
+KEY_BITS, LEAST_BITS, MOST_BITS = 8, 1 << 20, 1 << 30
+
+
+def bitmap(keys: DataFrame, column: str) -> tuple[np.ndarray, int]:
+    """Bits and size of a bitmap of the long keys in ``column``, of bounded size: a first sieve whose passes a join confirms."""
+    size = LEAST_BITS
+    while size < min(MOST_BITS, KEY_BITS * keys.count()):
+        size *= 2
+    slot = F.pmod(F.col(column), F.lit(size)) + 1
+    marked = keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    bits = np.zeros(size // 8, np.uint8)
+    for r in marked.toLocalIterator():  # at most ``size`` bits
+        part = np.frombuffer(r["bits"], np.uint8)
+        here = bits[(r["bucket"] - 1) * len(part) :][: len(part)]
+        here |= part[: len(here)]
+    return bits, size
+
+
+def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the long keys a bitmap lets through."""
+    slot = np.mod(keys, len(bits) * 8)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+
 #: Rows of a key in one bucket of gapless_rank.
 RANKED = 100_000
 

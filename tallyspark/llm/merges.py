@@ -104,10 +104,10 @@ def merge_rounds(symbols: np.ndarray, sizes: np.ndarray, table: PairTable) -> tu
     segments at once, and compacts the arrays; segments without a pair leave. Segments of LONG symbols or
     more are merged apart.
     """
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+    owner, ends = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes)
     done_symbols, done_owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in np.flatnonzero(sizes >= LONG).tolist():
-        made = merge_long(symbols[owner == i], table)
+        made = merge_long(symbols[ends[i] - sizes[i] : ends[i]], table)
         done_symbols.append(made)
         done_owner.append(np.full(len(made), i))
     if len(done_owner) > 1:
@@ -220,7 +220,8 @@ def blocks(sizes, most: int):
 SPAN = 1 << 18
 _FACTOR = 0x9E3779B97F4A7C15F39CC0605CEDC835 % (1 << 64)  # odd, so it has an inverse
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)])
-_OF_BYTE = np.random.default_rng(20_241_128).integers(0, 1 << 64, 256, dtype=np.uint64)[_LOWER]
+_EACH_BYTE = np.random.default_rng(20_241_128).integers(0, 1 << 64, 256, dtype=np.uint64)
+_OF_BYTE = _EACH_BYTE[_LOWER]
 _IS_SPACE = np.isin(np.arange(256), (32, *range(9, 14)))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -235,12 +236,13 @@ def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_codes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """The number of words `[^\\x20\\x09-\\x0D]+` of each text (null: none), and the 64-bit hash of each word, A-Z as a-z.
 
     A word's hash is a sum of random values of its bytes times powers of a factor, taken as a difference of
-    running sums over the text, and scrambled.
+    running sums over the text, and scrambled. Without ``lower``, A-Z and a-z differ.
     """
+    values = _OF_BYTE if lower else _EACH_BYTE
     texts = pc.fill_null(texts, "")
     offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     held = texts.buffers()[2]
@@ -262,7 +264,7 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         size = int(ends[upto - 1] - begin)
         up, down = _power_table(SPAN if size <= SPAN else size)
         total = np.zeros(size + 1, np.uint64)
-        np.cumsum(_OF_BYTE[data[begin : begin + size]] * up[:size], out=total[1:])
+        np.cumsum(values[data[begin : begin + size]] * up[:size], out=total[1:])
         s, e = starts[at:upto] - begin, ends[at:upto] - begin
         out[at:upto] = mix((total[e] - total[s]) * down[s])
         at = upto

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, language, lm, minhash, negatives, packing, periodic, pieces, sharding, tiff, toxicity, url_filter
+from . import embeddings, language, lm, minhash, negatives, packing, periodic, pieces, repeats, sharding, tiff, toxicity, url_filter
 
 #: Paths of the public tokenizer files.
 PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
@@ -116,6 +116,11 @@ def _with_periods(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.when(n > 0, made).otherwise(F.col("text")).alias("text"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_read(spark, sf_dir, "documents", "doc_id", "text"), words=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic.periodic_runs(_with_periods(_read(spark, sf_dir, "documents", "doc_id", "text"))).drop("text")
     lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
@@ -148,6 +153,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
     "op7_url_filter": op7_url_filter,
+    "op11_repeats": op11_repeats,
     "op12_periodic": op12_periodic,
     "op13_negatives": op13_negatives,
 }
