@@ -3,7 +3,7 @@
 Scores are inner products of whole-numbered vectors. An anchor's positives are its best rows of the same label; for
 each positive, a window of scores is a share of the positive's, and its best rows of other labels within the
 window are the hard negatives. Both are searches for the first K of a window, done in blocks: a block of rows
-is indexed without the leading dimensions that alone can't reach the least threshold of its anchors; partial
+is indexed without the leading dimensions that alone reach a tenth of the least threshold at most; partial
 scores over the rest are summed, and rows whose partial score plus the product of the remaining norms stays
 below an anchor's threshold are pruned; what is left is scored in full. A window that holds its K rows
 already asks for no less than the K-th; one that does not begins high and lowers its threshold until the block
@@ -33,6 +33,8 @@ from .common import table
 #: Anchors of a chunk, rows of a span, and anchors and rows of a block.
 CHUNK, SPAN = 1 << 16, 1 << 22
 ANCHORS, ROWS = 256, 4096
+#: Share of the least threshold that the dimensions left out of an index can reach.
+OMITTED = 0.1
 #: Shares of a window at which thresholds start and go on.
 LEVELS = (0.6, 0.3, 0.0)
 _MIN, _MAX = np.iinfo(np.int64).min, np.iinfo(np.int64).max
@@ -87,7 +89,8 @@ class Search:
         reach = norms * np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max(initial=0.0)) * (1 + 1e-9) + 1
         reach = np.clip(reach, 0, 2.0**62).astype(np.int64)[:, None]
         low, high = np.maximum(self.low[at], -reach), np.minimum(self.high[at], reach)
-        begin = np.maximum(low, (low + (high - low).astype(np.float64) * level).astype(np.int64))
+        # A level lies between the ends of a window; the last is its low end itself.
+        begin = np.maximum(low, (low * (1 - level) + np.maximum(low, high) * level).astype(np.int64)) if level else low
         full = self.found[at, :, -1] != _MAX
         begin = np.where(full, np.maximum(self.score[at, :, -1], self.low[at]), begin)
         asked = begin.min(axis=1)
@@ -110,7 +113,7 @@ class Search:
     @staticmethod
     def _candidates(anchors: np.ndarray, vectors: np.ndarray, asked: np.ndarray) -> np.ndarray:
         """Rows that may reach the threshold of an anchor, by partial scores and remaining norms."""
-        least = float(asked.min(initial=0))
+        least = float(asked.min())
         if least <= 0 or not len(vectors):
             return np.arange(len(vectors))
         dims = np.argsort(np.einsum("ij,ij->j", vectors, vectors), kind="stable")
@@ -118,8 +121,8 @@ class Search:
         na = np.sqrt(np.c_[np.zeros(len(a)), np.cumsum(a * a, axis=1)])
         nx = np.sqrt(np.c_[np.zeros(len(x)), np.cumsum(x * x, axis=1)])
         slack = 1 + 1e-9
-        # The leading dimensions of a row that reach no threshold by themselves are left out of its index.
-        omitted = (nx * na.max(axis=0)[None, :] * slack < least).sum(axis=1) - 1
+        # The leading dimensions of a row that reach a small share of the least threshold at most are left out of its index.
+        omitted = (nx * na.max(axis=0)[None, :] * slack < OMITTED * least).sum(axis=1) - 1
         indexed = np.where(np.arange(x.shape[1])[None, :] >= omitted[:, None], x, 0.0)
         partial = a @ indexed.T
         rest = na[:, omitted] * nx[np.arange(len(x)), omitted][None, :]
@@ -184,7 +187,7 @@ def _search(rows: DataFrame, anchors: DataFrame, key: list[str], keep: int, same
     spark = rows.sparkSession
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     n, count = sizes
-    chunks, spans = max(1, ceil(count / CHUNK)), max(ceil(n / SPAN), parts)
+    chunks, spans = max(1, ceil(count / CHUNK)), max(1, ceil(n / SPAN), min(parts, ceil(n / ROWS)))
     own = lambda number, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(number)).cast("int")
     every = lambda number: F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
     columns = ["id", "label", "d", "v"]

@@ -2,8 +2,8 @@
 
 An edge is a window of ``words`` words; it leads from its first to its last words - 1. Only edges that occur
 more than once matter. So that not every edge is shuffled, a document's edges are cut into chunks: runs of
-windows with the same minimizer, the least hash of their ``mini``-word parts. Equal windows have equal
-minimizers, so
+windows with the same minimizer at the same place, the first of the least hashes of their ``mini``-word parts. Equal windows have equal
+minimizers, and those of a chunk differ, so
 
 1. minimizers that occur once in the corpus hold unique edges only, and a bitmap drops their chunks;
 2. of the other chunks, occurrences of the same words are counted, with the first of them (least id, then start);
@@ -62,7 +62,7 @@ def find_chunks(counts: np.ndarray, hashes: np.ndarray, words: int, mini: int):
         if number <= 0:
             continue
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * up[: len(own)])])
-        least = mix((sums[mini:] - sums[:-mini]) * down[: len(own) - mini + 1])
+        part = least = mix((sums[mini:] - sums[:-mini]) * down[: len(own) - mini + 1])
         width, wanted = 1, words - mini + 1
         while 2 * width <= wanted:
             least = np.minimum(least[:-width], least[width:])
@@ -74,7 +74,9 @@ def find_chunks(counts: np.ndarray, hashes: np.ndarray, words: int, mini: int):
         if not len(at):
             continue
         value, text = least[at], text[at]
-        cuts = np.flatnonzero(np.r_[True, (value[1:] != value[:-1]) | (text[1:] != text[:-1])])
+        # After a window that begins with its minimizer, the next has another one, if only by its place.
+        passed = value == part[at]
+        cuts = np.flatnonzero(np.r_[True, (value[1:] != value[:-1]) | (text[1:] != text[:-1]) | passed[:-1]])
         n = np.diff(np.r_[cuts, len(at)])
         first, text = at[cuts], text[cuts]
         whole = mix((sums[first + n + words - 1] - sums[first]) * down[first] + mix(n.astype(np.uint64)))
@@ -171,7 +173,7 @@ def repeated_spans(docs: DataFrame, words: int = WORDS, id_column: str = "doc_id
     line = Window.partitionBy("m", "s").orderBy("j")
     steps = one.select("m", "s", "j", "e").join(known_edges, ["m", "e"])
     last = F.lag(F.struct("j", "count", "first")).over(line)
-    follows = (last["j"] + 1 == F.col("j")) & (last["count"] == F.col("count")) & (last["first.doc"] == F.col("first.doc")) & (last["first.at"] + 1 == F.col("first.at"))
+    follows = (last["j"] + 1 == F.col("j")) & (last["count"] == F.col("count")) & (last["first"]["doc"] == F.col("first.doc")) & (last["first"]["at"] + 1 == F.col("first.at"))
     steps = steps.withColumn("apart", ~F.coalesce(follows, F.lit(False))).withColumn("piece", F.max(F.when(F.col("apart"), F.col("j"))).over(line))
     cut = steps.groupBy("m", "s", "piece").agg(F.count(F.lit(1)).cast("int").alias("length"), F.min(F.struct("j", "count", "first")).alias("x"))
     cut = cut.select("m", "s", F.col("piece").alias("j"), "length", F.col("x.count").alias("count"), F.col("x.first.doc").alias("doc"), F.col("x.first.at").alias("at"))

@@ -113,7 +113,7 @@ def without_copies(texts: pa.Array, hashes: int = 8, alike: int = 5) -> pa.Array
 
 def choose_features(positive: pa.Array, unlabelled: pa.Array, prior: float) -> list[str]:
     """Features that occur in positives far more often than in unlabelled texts, the strongest first."""
-    support = max(LEAST_TEXTS, LEAST_SHARE * len(positive))
+    support = max(min(LEAST_TEXTS, len(positive)), LEAST_SHARE * len(positive))
     rows, words, index = words_of(positive)
     names, a, tried = [], [], 0
     for values in features_of(words):

@@ -228,7 +228,7 @@ def test_negatives_equal_brute_force(spark, monkeypatch, n, width, labels, sprea
     rows += [(n + i, 1, rows[7][2], False) for i in range(40)]  # many equal vectors
     monkeypatch.setattr(negatives, "ROWS", 64)
     monkeypatch.setattr(negatives, "CHUNK", 32)
-    df = spark.createDataFrame(rows, "vec_id long, label long, embedding array<double>, a boolean").repartition(4)
+    df = spark.createDataFrame([(i, label, [float(x) for x in v], a) for i, label, v, a in rows], "vec_id long, label long, embedding array<double>, a boolean").repartition(4)
     made = negatives.hard_negatives(df, F.col("a"))
     assert sorted(map(tuple, made.collect())) == brute_negatives(rows)
 
