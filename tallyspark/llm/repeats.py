@@ -207,30 +207,40 @@ def remove_repeats(docs: DataFrame, words: int = WORDS, id_column: str = "doc_id
     spark, kind = docs.sparkSession, source.schema["doc"].dataType.simpleString()
     sieve = spark.sparkContext.broadcast(bitmap(spans, "tag")[0])
 
-    def split(batches, wanted):
+    def some(batch, wanted):
+        return batch.filter(pa.array(in_bitmap(sieve.value, batch.column(1).to_numpy()) == wanted))
+
+    def split(batches):
         for batch in batches:
-            yield batch.filter(pa.array(in_bitmap(sieve.value, batch.column(1).to_numpy()) == wanted))
+            yield some(batch, True)
 
     def cut(batches):
+        """Kept words of rows (doc, text, spans), block by block."""
+        for batch in batches:
+            for a, b in blocks(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist(), BLOCK):
+                total, gone, kept = [], [], []
+                texts = pc.fill_null(batch.column(1).slice(a, b - a), "").cast(pa.binary())
+                for t, found in zip(texts, batch.column(2).slice(a, b - a).to_pylist(), strict=True):
+                    own = t.as_py().split()  # bytes are split at \x20 and \x09-\x0D
+                    total.append(len(own))
+                    if found:
+                        keep = np.ones(len(own), bool)
+                        for x in found:
+                            keep[x["start"] : x["start"] + x["windows"] + words - 1] = False
+                        own = [w for w, k in zip(own, keep.tolist(), strict=True) if k]
+                    gone.append(total[-1] - len(own))
+                    kept.append(b" ".join(own))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc", "n_words", "n_removed", "kept"])
+
+    def uncut(batches):
         for batch in batches:
-            total, gone, kept = [], [], []
-            texts = pc.fill_null(batch.column(1), "").cast(pa.binary()).to_pylist()
-            for t, found in zip(texts, batch.column(2).to_pylist(), strict=True):
-                own = t.split()  # bytes are split at \x20 and \x09-\x0D
-                total.append(len(own))
-                if found:
-                    keep = np.ones(len(own), bool)
-                    for x in found:
-                        keep[x["start"] : x["start"] + x["windows"] + words - 1] = False
-                    own = [w for w, k in zip(own, keep.tolist(), strict=True) if k]
-                gone.append(total[-1] - len(own))
-                kept.append(b" ".join(own))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc", "n_words", "n_removed", "kept"])
+            found = some(batch, False)
+            yield from cut([pa.RecordBatch.from_arrays([found.column(0), found.column(2), pa.nulls(len(found))], ["doc", "text", "spans"])])
 
     shape = f"doc {kind}, tag long, text string"
     kinds = f"doc {kind}, n_words long, n_removed long, kept string"
-    clean = source.mapInArrow(lambda b: split(b, False), shape).select("doc", "text", F.lit(None).cast("array<struct<start:int,windows:int>>").alias("spans"))
+    clean = source.mapInArrow(uncut, kinds)
     # Rows of a null id have no spans; rows that the bitmap lets through by chance have none either.
-    touched = source.mapInArrow(lambda b: split(b, True), shape).join(spans, ["doc", "tag"], "left").select("doc", "text", "spans")
-    made = clean.mapInArrow(cut, kinds).unionByName(touched.mapInArrow(cut, kinds))
+    touched = source.mapInArrow(split, shape).join(spans, ["doc", "tag"], "left").select("doc", "text", "spans")
+    made = clean.unionByName(touched.mapInArrow(cut, kinds))
     return made.select(F.col("doc").alias("doc_id"), "n_words", "n_removed", "kept")
