@@ -40,7 +40,7 @@ from .merges import _power_table, blocks, mix, word_codes
 #: Words of a window, and of the parts of which a window's minimizer is the least.
 WORDS, MINI = 20, 8
 #: Bytes of text whose chunks are found at a time, and words of a slice of them.
-BLOCK, SLICE = 4 << 20, 1 << 20
+BLOCK, SLICE = 1 << 20, 1 << 18
 _U = np.uint64
 
 _powers = lru_cache(maxsize=2)(lambda size: _power_table(size))
