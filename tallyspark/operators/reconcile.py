@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .purchases import latest
 
@@ -41,41 +43,73 @@ def latency_ms(start: str = "source_timestamp", end: str = "ingested_at") -> Col
     return F.unix_millis(end) - F.unix_millis(start)
 
 
+#: Size parameter of the quantile sketches; a quantile's rank is off by RANK_ERROR at most in 99 of 100 sketches.
+SKETCH, RANK_ERROR = 400, 0.0068
+
+
+def latency_sketches(bronze: DataFrame) -> DataFrame:
+    """Per topic and day of arrival the number of events and a mergeable sketch of their delays in ms."""
+    return bronze.groupBy("source_topic", F.to_date("ingested_at").alias("day")).agg(F.count(F.lit(1)).alias("events"), F.kll_sketch_agg_bigint(latency_ms(), SKETCH).alias("delays"))
+
+
+def merged_percentiles(sketches: DataFrame, shares: dict[str, float], by: list[str] | None = None) -> DataFrame:
+    """Percentiles of any union of topics and days from their sketches; no event is read again."""
+    merged = sketches.groupBy(*(by or [])).agg(F.sum("events").alias("events"), F.kll_merge_agg_bigint("delays", SKETCH).alias("delays"))
+    return merged.select(*(by or []), "events", *[F.kll_sketch_get_quantile_bigint("delays", F.lit(float(q))).cast("double").alias(n) for n, q in shares.items()])
+
+
 def ingest_latency(bronze: DataFrame, exact: bool = False) -> DataFrame:
-    """Median and 95th percentile of the delay from source to table, in ms; approximate unless asked exact."""
-    find = F.percentile if exact else F.percentile_approx
-    p = bronze.agg(find(latency_ms(), [0.5, 0.95]).alias("p"))
-    return p.select(F.col("p")[0].cast("double").alias("p50_ms"), F.col("p")[1].cast("double").alias("p95_ms"))
+    """Median and 95th percentile of the delay from source to table, in ms; of a sketch, unless asked exact (interpolated)."""
+    if not exact:
+        return merged_percentiles(latency_sketches(bronze), {"p50_ms": 0.5, "p95_ms": 0.95}).drop("events")
+    delays = bronze.select(latency_ms().alias("ms")).where("ms is not null")
+    n = delays.count()
+    # The value at share q lies between two places from 0: (n - 1) q rounded down and up.
+    places = {name: ((n - 1) * q, name) for name, q in (("p50_ms", 0.5), ("p95_ms", 0.95))}
+    wanted = {f"{name}_{side}": int(x) + (side == "high" and x > int(x)) for name, (x, _) in places.items() for side in ("low", "high")}
+    found = at_places(delays, "ms", wanted)
+    row = found.groupBy().agg(*[F.max(F.when(F.col("name") == k, F.col("value"))).alias(k) for k in wanted])
+    between = lambda name: F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low")) * F.lit(places[name][0] - int(places[name][0]))
+    return row.select(*[between(name).cast("double").alias(name) for name in places])
+
+
+def at_places(samples: DataFrame, value: str, places: dict[str, int], ranges: int = 64) -> DataFrame:
+    """(name, value): the values at given places, counted from 0 in rising order.
+
+    Values are counted first; of the counts, sums per range tell in which range a place lies, and only these ranges are
+    put in order, each apart. The cuts between ranges are approximate quantiles; the result is exact however good they are.
+    """
+    counts = samples.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n")).persist()
+    try:
+        cuts = counts.agg(F.percentile_approx("value", [i / ranges for i in range(1, ranges)], 10_000).alias("cuts")).first()["cuts"] or []
+        number = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("value"))) if cuts else F.lit(0)
+        placed = counts.withColumn("range", number)
+        held = {r["range"]: r["n"] for r in placed.groupBy("range").agg(F.sum("n").alias("n")).collect()}  # a row a range
+        starts, total = {}, 0
+        for r in sorted(held):
+            starts[r], total = total, total + held[r]
+        rows = [(name, r, place - starts[r]) for name, place in places.items() for r in starts if starts[r] <= place < starts[r] + held[r]]
+        asked = samples.sparkSession.createDataFrame(rows, "name string, range int, place long")
+        upto = F.sum("n").over(Window.partitionBy("range").orderBy("value"))
+        near = placed.where(F.col("range").isin(sorted({r for _, r, _ in rows}))).withColumn("upto", upto)
+        found = near.join(asked, "range").where("upto > place").groupBy("name").agg(F.min("value").alias("value")).collect()  # a row a name
+        return samples.sparkSession.createDataFrame([(r["name"], r["value"]) for r in found], StructType([StructField("name", StringType()), StructField("value", samples.schema[value].dataType)]))
+    finally:
+        counts.unpersist()
 
 
 def nearest_rank(samples: DataFrame, value: str, shares: list[float], ranges: int = 64) -> DataFrame:
-    """Percentiles of samples by nearest rank: the value at place ceil(share x count).
+    """Percentiles of samples by nearest rank: the value at place ceil(share x count), counted from 1."""
+    n = samples.where(F.col(value).isNotNull()).count()
+    found = at_places(samples, value, {str(q): max(1, ceil(q * n - 1e-9)) - 1 for q in shares} if n else {}, ranges)
+    return found.select(F.col("name").cast("double").alias("share"), "value")
 
-    Values are counted first. Approximate quantiles cut them into ranges, whose totals tell in which range a
-    place lies; only the values of such a range are ordered, each range apart. The result is exact however
-    good the cuts are.
-    """
-    counts = samples.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    cuts = samples.agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)]).alias("cuts"))
-    # One row of cuts, sent along with every value.
-    placed = counts.join(F.broadcast(cuts)).select("value", "n", F.size(F.filter("cuts", lambda x: x <= F.col("value"))).alias("range"))
-    totals = placed.groupBy("range").agg(F.sum("n").alias("held")).groupBy().agg(F.sort_array(F.collect_list(F.struct("range", "held"))).alias("ranges"))
-    zero = F.lit(0).cast("long")
-    total = F.aggregate("ranges", zero, lambda a, x: a + x["held"])
-    before = lambda r: F.aggregate(F.filter("ranges", lambda x: x["range"] < r["range"]), zero, lambda a, x: a + x["held"])
-    # At most ``ranges`` rows tell of each range the places that lie before and in it.
-    bounds = totals.select(total.alias("total"), F.explode(F.transform("ranges", lambda r: F.struct(r["range"].alias("range"), before(r).alias("before"), r["held"].alias("held")))).alias("r"))
-    wanted = bounds.select("total", "r.*", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"))
-    wanted = wanted.withColumn("place", F.greatest(F.ceil(F.col("share") * F.col("total")), F.lit(1))).where("place > before and place <= before + held")
-    near = placed.join(F.broadcast(wanted.select("range", "before", "share", "place")), "range")
-    upto = F.sum("n").over(Window.partitionBy("share", "range").orderBy("value")) + F.col("before")
-    return near.withColumn("upto", upto).where("upto >= place").groupBy("share").agg(F.min("value").alias("value"))
-
-
-def run_report(accepted: DataFrame, quarantined: DataFrame, expected: DataFrame, datasets: DataFrame, most_quarantined: float = 0.05) -> DataFrame:
+
+def run_report(accepted: DataFrame, quarantined: DataFrame, expected: DataFrame, datasets: DataFrame, most_quarantined: float = 0.05, sketches: DataFrame | None = None) -> DataFrame:
     """One row that says whether a run reconciles: all topics whole, all datasets as expected, quarantine rate bounded.
 
-    ``expected`` has source_topic and events; ``datasets`` is the result of dataset_counts.
+    ``expected`` has source_topic and events; ``datasets`` is the result of dataset_counts. With sketches of delays
+    (``latency_sketches``) the row has their median and 95th percentile too.
     """
     per_topic = accepted.select("source_topic").withColumn("q", F.lit(0)).unionByName(quarantined.select("source_topic").withColumn("q", F.lit(1)))
     got = per_topic.groupBy("source_topic").agg(F.count(F.lit(1)).alias("seen"), F.sum("q").alias("bad"))
@@ -88,7 +122,10 @@ def run_report(accepted: DataFrame, quarantined: DataFrame, expected: DataFrame,
     off = datasets.agg(F.count_if(F.col("row_count") != F.col("expected_rows")).alias("datasets_off"))
     rate = F.coalesce(F.col("quarantined") / F.when(F.col("events") > 0, F.col("events")), F.lit(0.0))
     passed = (F.col("topics_off") == 0) & (F.col("datasets_off") == 0) & (F.col("events") > 0) & (rate <= most_quarantined)
-    return facts.join(off).withColumns({"quarantine_rate": rate, "result": F.when(passed, "PASS").otherwise("FAIL")})
+    report = facts.join(off).withColumns({"quarantine_rate": rate, "result": F.when(passed, "PASS").otherwise("FAIL")})
+    if sketches is None:
+        return report
+    return report.join(merged_percentiles(sketches, {"p50_ms": 0.5, "p95_ms": 0.95}).drop("events"))  # one row each
 
 
 def evidence_findings(acknowledged: DataFrame, bronze: DataFrame) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date, timedelta
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .marts import retention_matrix
+from .marts import SUMMED, retention_matrix
 
 PAGE = 50
 DETAIL_DAYS = 366
@@ -44,13 +45,45 @@ def summary(profiles: DataFrame, currency: str) -> DataFrame:
     )
 
 
-def per_customer(daily: DataFrame, first, last, currency: str) -> DataFrame:
-    return _within(daily, first, last, currency).groupBy("customer_key").agg(F.sum("orders").alias("orders"), F.sum("net_amount").cast("decimal(38,2)").alias("net_amount"))
-
-
-def window_summary(daily: DataFrame, first, last, currency: str) -> DataFrame:
-    """The same figures over a window of days: first by customer, then over all."""
-    each = per_customer(daily, first, last, currency)
+def whole_months(first: date, last: date) -> tuple[date, date] | None:
+    """First days of the first and last calendar month that lie wholly within the window, if any does."""
+    begin = first if first.day == 1 else (first.replace(day=1) + timedelta(days=32)).replace(day=1)
+    beyond = (last + timedelta(days=1)).replace(day=1)
+    return (begin, (beyond - timedelta(days=1)).replace(day=1)) if begin < beyond else None
+
+
+def window_facts(daily: DataFrame, months: DataFrame | None, key: str, first: date, last: date, currency: str) -> DataFrame:
+    """Rows that add up to a window: the monthly sums of whole months, and the daily facts of the days at its edges.
+
+    Without ``months`` all are daily. Both tables may be laid out by a column ``month`` (yyyy-MM), which is filtered
+    too, so that other months are not read. The columns are the key and the measures that both have.
+    """
+    inner = whole_months(first, last) if months is not None else None
+    keep = [key, *[c for c in SUMMED if c in daily.columns]]
+    days = _within(daily, first, last, currency)
+    if inner:
+        after = (inner[1] + timedelta(days=32)).replace(day=1)
+        days = days.where((F.col("metric_date") < F.lit(inner[0])) | (F.col("metric_date") >= F.lit(after)))
+    if "month" in daily.columns:
+        edges = {f"{d:%Y-%m}" for d in (first, last)} if inner else None
+        days = days.where(F.col("month").isin(sorted(edges)) if edges else F.col("month").between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
+    if not inner:
+        return days.select(*keep)
+    rows = months.where((F.col("currency") == currency) & F.col("first_day").between(F.lit(inner[0]), F.lit(inner[1])))
+    if "month" in months.columns:
+        rows = rows.where(F.col("month").between(f"{inner[0]:%Y-%m}", f"{inner[1]:%Y-%m}"))
+    rows = rows.select(*keep)
+    # Where no day lies at an edge, the daily table is not looked at.
+    return rows if inner[0] == first and after == last + timedelta(days=1) else rows.unionByName(days.select(*keep))
+
+
+def _per_customer(facts: DataFrame) -> DataFrame:
+    return facts.groupBy("customer_key").agg(F.sum("orders").alias("orders"), F.sum("net_amount").cast("decimal(38,2)").alias("net_amount"))
+
+
+def window_summary(daily: DataFrame, first, last, currency: str, months: DataFrame | None = None) -> DataFrame:
+    """The same figures over a window of days: first by customer, then over all. ``months`` are the monthly sums, if any."""
+    each = _per_customer(window_facts(daily, months, "customer_key", first, last, currency))
     return each.agg(
         F.count(F.lit(1)).alias("customers"),
         F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"),
@@ -82,30 +115,30 @@ def customer_page(profiles: DataFrame, currency: str, after: str | None = None,
     return page(rows, "customer_key", after)
 
 
-def customer_page_window(profiles: DataFrame, daily: DataFrame, first, last, currency: str, after: str | None = None) -> DataFrame:
+def customer_page_window(profiles: DataFrame, daily: DataFrame, first, last, currency: str, after: str | None = None, months: DataFrame | None = None) -> DataFrame:
     """A page of customers with their figures of a window; filters reach both sides before the join."""
     keyed = profiles.where(F.col("currency") == currency).select("customer_key", "segment", "last_purchase")
-    rows = _within(daily, first, last, currency)
+    rows = window_facts(daily, months, "customer_key", first, last, currency)
     if after is not None:
         keyed, rows = (df.where(F.col("customer_key") > after) for df in (keyed, rows))
-    sums = rows.groupBy("customer_key").agg(F.sum("orders").alias("orders"), F.sum("net_amount").cast("decimal(38,2)").alias("net_amount"))
-    return page(keyed.join(sums, "customer_key"), "customer_key")
+    return page(keyed.join(_per_customer(rows), "customer_key"), "customer_key")
 
 
-def product_totals(products: DataFrame, first, last, currency: str) -> DataFrame:
+def product_totals(products: DataFrame, first, last, currency: str, months: DataFrame | None = None) -> DataFrame:
     sums = {c: F.sum(c) for c in ("orders", "units", "returned_units")} | {c: F.sum(c).cast("decimal(38,2)") for c in ("gross_amount", "net_amount")}
-    return _within(products, first, last, currency).groupBy("product_key").agg(*[s.alias(c) for c, s in sums.items()])
+    return window_facts(products, months, "product_key", first, last, currency).groupBy("product_key").agg(*[s.alias(c) for c, s in sums.items()])
 
 
-def product_page(products: DataFrame, first, last, currency: str, after: str | None = None) -> DataFrame:
+def product_page(products: DataFrame, first, last, currency: str, after: str | None = None, months: DataFrame | None = None) -> DataFrame:
     if after is not None:
         products = products.where(F.col("product_key") > after)
-    return page(product_totals(products, first, last, currency), "product_key")
+        months = None if months is None else months.where(F.col("product_key") > after)
+    return page(product_totals(products, first, last, currency, months), "product_key")
 
 
 def entity_detail(daily: DataFrame, key: str, value: str, first, last, currency: str) -> DataFrame:
     """An entity's newest daily rows of a window."""
-    rows = _within(daily, first, last, currency).where(F.col(key) == value)
+    rows = _within(daily, first, last, currency).where(F.col(key) == value).drop("month")
     return rows.orderBy(F.col("metric_date").desc()).limit(DETAIL_DAYS)
 
 
@@ -140,20 +173,21 @@ def certified_kpis(kpis: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def newest_rejections(rejected: DataFrame, limit: int = 50) -> DataFrame:
-    return rejected.orderBy(F.col("known_at").desc(), "rejection_id").limit(limit)
+    """A report of the newest rejections; of equal times in order of key."""
+    return rejected.orderBy(F.col("known_at").desc(), "order_key", "version", "country", "rejection_id").limit(limit)
 
 
-def dashboard(frames: dict[str, DataFrame], as_of: date, currency: str, first: date | None = None, last: date | None = None, after: str | None = None) -> dict[str, DataFrame]:
-    """All frames of the dashboard for one publication (customer_daily, customer_profiles, product_daily, customer_cohorts)."""
+def dashboard(frames: Mapping[str, DataFrame], as_of: date, currency: str, first: date | None = None, last: date | None = None, after: str | None = None) -> dict[str, DataFrame]:
+    """All frames of the dashboard for one publication (customer_daily, customer_profiles, product_daily, customer_cohorts, and the monthly sums if there are any)."""
     custom = first is not None or last is not None
     begin, end = observation_window(as_of, first, last)
     profiles, daily = frames["customer_profiles"], frames["customer_daily"]
     cohorts = latest_cohorts(frames["customer_cohorts"], as_of, currency)
     return {
-        "summary": window_summary(daily, begin, end, currency) if custom else summary(profiles, currency),
+        "summary": window_summary(daily, begin, end, currency, frames.get("customer_monthly")) if custom else summary(profiles, currency),
         "segments": segment_sizes(profiles, currency),
-        "customers": customer_page_window(profiles, daily, begin, end, currency, after) if custom else customer_page(profiles, currency, after),
-        "products": product_page(frames["product_daily"], begin, end, currency),
+        "customers": customer_page_window(profiles, daily, begin, end, currency, after, frames.get("customer_monthly")) if custom else customer_page(profiles, currency, after),
+        "products": product_page(frames["product_daily"], begin, end, currency, months=frames.get("product_monthly")),
         "cohorts": cohorts,
         "retention": retention_matrix(cohorts),
     }

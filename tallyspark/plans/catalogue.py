@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import conform, history, marts, purchases, quality, reconcile, retail, serving
@@ -15,11 +16,12 @@ from ..sources import events, fixtures, versions
 from ..sources.versions import Store
 from ..streaming import ingest
 from . import jobs
-from .publication import Publications
+from .publication import Publications, audits
 
 #: The last order date at all scales.
 AS_OF = date(2001, 8, 1)
 WINDOW = (date(2001, 1, 1), date(2001, 6, 30))
+LONG_WINDOW = (date(1996, 3, 15), date(2001, 3, 14))
 CURRENCY = "EUR"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,7 +57,8 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+#: What is written once per session and tables: paths, or what names the tables.
+_WRITTEN: dict[tuple[str, str, str], object] = {}
 
 
 def bronze(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -76,14 +79,21 @@ def published(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, sf, "marts")
     if key not in _WRITTEN:
         root = workspace(spark, "marts")
-        jobs.publish_marts(Store(spark, root), orders(spark, sf), AS_OF, 3)
-        _WRITTEN[key] = root
-    publications = Publications(Store(spark, _WRITTEN[key]))
-    return publications.frames(publications.head(jobs.PIPELINE))
+        found = changes(spark, sf)
+        jobs.publish_marts(Store(spark, root), orders(spark, sf), AS_OF, 3, rejections=purchases.rejected_purchases(found))
+        publications = Publications(Store(spark, root))
+        _WRITTEN[key] = (publications, publications.head(jobs.PIPELINE))
+    return jobs.frames_of(*_WRITTEN[key])
 
 
 def changes(spark, sf):
-    return purchases.purchase_changes(bronze(spark, sf, "purchase_bronze"))
+    """The typed changes, written once per session and tables, so that JSON is read once however often they are used."""
+    key = (spark.sparkContext.applicationId, sf, "changes")
+    if key not in _WRITTEN:
+        path = workspace(spark, "changes")
+        purchases.purchase_changes(bronze(spark, sf, "purchase_bronze")).write.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
 
 
 def orders(spark, sf):
@@ -157,9 +167,8 @@ def rejection_evidence(spark, sf):
 
 @query
 def newest_rejections(spark, sf):
-    rows = purchases.rejection_evidence(purchases.rejected_purchases(changes(spark, sf)), "3")
-    # A report of fifty rows; the order key settles ties here, for the ids are digests.
-    return rows.orderBy(F.col("known_at").desc(), "order_key", "version", "country").limit(50).select("order_key", "version", "country", "reason", "known_at")
+    rows = published(spark, sf)["purchase_rejections"]
+    return serving.newest_rejections(rows).select("order_key", "version", "country", "reason", "known_at")
 
 
 @query
@@ -218,7 +227,21 @@ def summary_90d(spark, sf):
 
 @query
 def summary_window(spark, sf):
-    return serving.window_summary(published(spark, sf)["customer_daily"], *WINDOW, CURRENCY)
+    frames = published(spark, sf)
+    return serving.window_summary(frames["customer_daily"], *WINDOW, CURRENCY, frames["customer_monthly"])
+
+
+@query
+def summary_five_years(spark, sf):
+    """Five years that begin and end within a month: monthly sums between, days at both edges."""
+    frames = published(spark, sf)
+    return serving.window_summary(frames["customer_daily"], *LONG_WINDOW, CURRENCY, frames["customer_monthly"])
+
+
+@query
+def product_totals_five_years(spark, sf):
+    frames = published(spark, sf)
+    return serving.product_totals(frames["product_daily"], *LONG_WINDOW, CURRENCY, frames["product_monthly"])
 
 
 @query
@@ -229,17 +252,19 @@ def customer_page(spark, sf):
 @query
 def customer_page_window(spark, sf):
     frames = published(spark, sf)
-    return serving.customer_page_window(frames["customer_profiles"], frames["customer_daily"], *WINDOW, CURRENCY, after="shop:2")
+    return serving.customer_page_window(frames["customer_profiles"], frames["customer_daily"], *WINDOW, CURRENCY, after="shop:2", months=frames["customer_monthly"])
 
 
 @query
 def product_page(spark, sf):
-    return serving.product_page(published(spark, sf)["product_daily"], *WINDOW, CURRENCY, after="shop:1")
+    frames = published(spark, sf)
+    return serving.product_page(frames["product_daily"], *WINDOW, CURRENCY, after="shop:1", months=frames["product_monthly"])
 
 
 @query
 def product_totals(spark, sf):
-    return serving.product_totals(published(spark, sf)["product_daily"], *WINDOW, CURRENCY)
+    frames = published(spark, sf)
+    return serving.product_totals(frames["product_daily"], *WINDOW, CURRENCY, frames["product_monthly"])
 
 
 @query
@@ -494,7 +519,8 @@ def dataset_reconciliation(spark, sf):
     rows = bronze(spark, sf, "order_events")
     made = rows.where("event_type = 'order.created'")
     return reconcile.dataset_counts({
-        "orders": (conform.conform_orders(rows), made), "order_lines": (conform.order_lines(rows), made), "history": (conform.order_status_history(rows), rows),
+        "orders": (conform.conform_orders(rows), made.select("partition_key").distinct()),
+        "order_lines": (conform.order_lines(rows), made.where(F.col("payload")["sku"].isNotNull())), "history": (conform.order_status_history(rows), rows),
     })
 
 
@@ -518,6 +544,89 @@ def run_reconciliation(spark, sf):
     return reconcile.run_report(routed.accepted, routed.quarantined, expected, counts)
 
 
+@query
+def run_report_with_latency(spark, sf):
+    """The report of a run over snapshots with percentiles of a month's delays from daily sketches: whether they lie within the error of rank."""
+    rows = bronze(spark, sf, "purchase_bronze")
+    expected = rows.groupBy("source_topic").agg(F.count(F.lit(1)).alias("events"))
+    counts = reconcile.dataset_counts({"events": (rows, rows)})
+    report = reconcile.run_report(rows, rows.limit(0), expected, counts, sketches=reconcile.latency_sketches(rows))
+    ranks = rows.select(reconcile.latency_ms().alias("ms")).join(F.broadcast(report)).groupBy("events", "quarantined", "topics_off", "result").agg(
+        *[f((F.col("ms") <= F.col(c)).cast("int") if f is F.avg and side == "upto" else (F.col("ms") < F.col(c)).cast("int")).alias(f"{c}_{side}") for c in ("p50_ms", "p95_ms") for f, side in ((F.avg, "below"), (F.avg, "upto"))]
+    )
+    near = lambda c, q: ((F.col(f"{c}_below") <= q + reconcile.RANK_ERROR) & (F.col(f"{c}_upto") >= q - reconcile.RANK_ERROR)).alias(c)
+    return ranks.select("events", "quarantined", "topics_off", "result", near("p50_ms", 0.5), near("p95_ms", 0.95))
+
+
+@query
+def purchase_lines(spark, sf):
+    """Orders as JSON lines, files of 20,000 keys in order of key, with blank and broken lines: bad lines by file and line number."""
+    path = workspace(spark, "lines")
+    found = orders(spark, sf).select(F.substring_index("order_key", ":", -1).cast("long").alias("k"), F.to_json(F.struct("source", F.substring_index("order_key", ":", -1).alias("order_id"), "version", "items")).alias("value"))
+    broken = F.when(F.col("k") % 97 == 1, F.concat(F.lit("{broken "), F.col("k"))).otherwise(F.col("value"))
+    each = found.withColumn("value", broken).withColumn("piece", F.floor(F.col("k") / 20_000))
+    each = each.withColumn("value", F.explode(F.when(F.col("k") % 50 == 0, F.array(F.lit("  "), "value")).otherwise(F.array("value"))))
+    each.repartition("piece").sortWithinPartitions("piece", "k", "value").select("value", "piece").write.partitionBy("piece").text(path)
+    _, bad = events.read_purchases(spark, path)
+    return bad.select(F.regexp_extract("file", "piece=([0-9]+)", 1).cast("long").alias("piece"), "line_number", "raw_value")
+
+
+@query
+def over_returns(spark, sf):
+    """Orders of which every 89th sends back more than was bought: rejected, with the reason."""
+    found = changes(spark, sf)
+    k = F.substring_index("order_key", ":", -1).cast("long")
+    many = F.transform("returns", lambda r: r.withField("quantity", r["quantity"] + 1000))
+    found = found.withColumn("returns", F.when(k % 89 == 0, many).otherwise(F.col("returns")))
+    return purchases.rejection_reasons(found)
+
+
+@query
+def range_reads(spark, sf):
+    """Orders read by ranges of batches with open bounds, and the words by which a run records the range."""
+    rows = bronze(spark, sf, "purchase_bronze").withColumn("batch_id", F.col("batch_id").cast("long"))
+    manifest = rows.select("batch_id").distinct().withColumn("op", F.lit("append"))
+    out = None
+    for start, end in ((None, None), (1, None), (None, 2), (1, 2)):
+        found, words = versions.read_range(rows, manifest, start, end)
+        one = found.select(F.lit(words).alias("evidence"), "event_id", "source_offset")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def upsert_plain(spark, sf):
+    """Order states of even keys, into which the states of keys divisible by three are put with another status."""
+    state = conform.conform_orders(bronze(spark, sf, "order_events")).select("order_id", "status", "currency")
+    k = F.col("order_id").cast("long")
+    return versions.upsert(state.where(k % 2 == 0), state.where(k % 3 == 0).withColumn("status", F.lit("PUT")), ["order_id"])
+
+
+@query
+def capped_customers(spark, sf):
+    """The first 500 daily rows of the greatest orders, and whether there are more. A capped report."""
+    rows = daily(spark, sf).orderBy(F.desc("gross_amount"), "customer_key", "metric_date", "currency").select("customer_key", "metric_date", "currency", "gross_amount")
+    found = serving.capped(rows)
+    return found.rows.withColumn("truncated", F.lit(found.truncated))
+
+
+@query
+def gate_outcomes(spark, sf):
+    """Counts and sums of orders reconciled with themselves and with a set that lacks every 79th; which write a failed gate stops."""
+    state = conform.conform_orders(bronze(spark, sf, "order_events"))
+    lacking = state.where(F.col("order_id").cast("long") % 79 != 0)
+    rows = []
+    for name, other in (("same", state), ("lacking", lacking)):
+        check = quality.reconcile("orders", state, other, "gross_amount")
+        try:
+            quality.enforce("orders", [check])
+            stopped = False
+        except quality.GateError:
+            stopped = True
+        rows.append((name, check.passed, stopped))
+    return spark.createDataFrame(rows, "input string, passed boolean, stopped boolean")
+
+
 @query
 def evidence_check(spark, sf):
     """Acknowledged sends against a table that lost, repeated, changed and moved some of them."""
@@ -605,24 +714,84 @@ def pipeline_health(spark, sf):
     return reconcile.pipeline_health(runs, F.lit("2024-01-30 23:59:00").cast("timestamp"))
 
 
+def incremental(spark, sf) -> jobs.PurchaseAnalytics:
+    """Runs over three batches, with one without news and two that only move the observation date on; once per session and tables."""
+    key = (spark.sparkContext.applicationId, sf, "incremental")
+    if key not in _WRITTEN:
+        store = Store(spark, workspace(spark, "incremental"))
+        rows = store.write(bronze(spark, sf, "purchase_bronze").withColumn("batch_id", F.col("batch_id").cast("long")), "purchase_events", 1)
+        manifest = rows.select("batch_id").distinct().withColumn("op", F.lit("append"))
+        work = jobs.PurchaseAnalytics(store, rows, manifest)
+        for as_of, bound in ((date(2001, 6, 20), 1), (date(2001, 6, 20), 1), (date(2001, 6, 20), 2), (date(2001, 6, 21), 2), (date(2001, 7, 20), 3), (AS_OF, 3)):
+            work.build(as_of, bound)
+        _WRITTEN[key] = work
+    return _WRITTEN[key]
+
+
+@query
+def profiles_by_calendar(spark, sf):
+    """Profiles after incremental runs of which some only recomputed those that the calendar named."""
+    return incremental(spark, sf).frames()["customer_profiles"]
+
+
+@query
+def cohorts_by_bitmaps(spark, sf):
+    """Cohorts after incremental runs, from the bitmaps of months."""
+    return incremental(spark, sf).frames()["customer_cohorts"]
+
+
+@query
+def facts_by_months(spark, sf):
+    """Daily facts of customers after incremental runs that wrote the months that they touched."""
+    return incremental(spark, sf).frames()["customer_daily"].drop(jobs.MONTH)
+
+
+@query
+def run_audit(spark, sf):
+    """Audit rows of the incremental runs: figures that were counted while tables were written."""
+    rows = audits(incremental(spark, sf).store)
+    return rows.select("pipeline", "dataset", "status", "input_rows", "rejected_rows", "input_bound", "output_version", (F.col("output_rows") > 0).alias("wrote"))
+
+
+@query
+def run_health(spark, sf):
+    """Health of the pipeline by its audit rows, half an hour after its last run."""
+    rows = audits(incremental(spark, sf).store)
+    last = rows.agg(F.max("ended_at")).first()[0]
+    found = reconcile.pipeline_health(rows, F.lit(last) + F.expr("interval 29 minutes"))
+    return found.select("pipeline", F.col("last_failure").isNull().alias("no_failure"), "rejected_rows", "alerts")
+
+
+@query
+def retention_with_parts(spark, sf):
+    """Which folders may go when every order date is a publication of a table in twelve parts, one of which each date writes.
+
+    A version keeps the other parts in the folders of earlier ones, so these stay as long as it does.
+    """
+    n = F.datediff("o_orderdate", F.lit("1995-01-01").cast("date")).cast("long")
+    days = fixtures.table(spark, sf, "orders").select(n.alias("n"), F.date_trunc("day", "o_orderdate").alias("published_at")).distinct()
+    named = days.select(F.lit("p").alias("pipeline"), F.col("n").alias("sequence"), "published_at", F.lit("facts").alias("table"), F.col("n").cast("string").alias("version"))
+    # Of each part the latest date up to a version: dates of the part in order, with the next one.
+    written = days.select("n", (F.col("n") % 12).alias("part"))
+    spans = written.withColumn("next", F.lead("n").over(Window.partitionBy("part").orderBy("n")))
+    parts = days.select(F.col("n").alias("v")).join(spans, (F.col("v") >= F.col("n")) & (F.col("next").isNull() | (F.col("v") < F.col("next"))))
+    parts = parts.select(F.lit("facts").alias("table"), F.col("v").cast("string").alias("version"), F.col("n").cast("string").alias("held"))
+    every = named.select("table", "version").distinct()
+    return versions.droppable_versions(every, named, F.lit(AS_OF).cast("timestamp"), last=5, days=60, parts=parts)
+
+
 @query
 def incremental_equals_full(spark, sf):
-    """Three incremental runs, one of them without news, against a full recompute: differing rows by table.
+    """The incremental runs against a full recompute: differing rows by table.
 
     A fault withholds an order for the range in which it arrives only; the recompute follows that rule.
     """
-    store = Store(spark, workspace(spark, "incremental"))
-    rows = store.write(bronze(spark, sf, "purchase_bronze").withColumn("batch_id", F.col("batch_id").cast("long")), "purchase_events", 1)
-    manifest = rows.select("batch_id").distinct().withColumn("op", F.lit("append"))
-    work = jobs.PurchaseAnalytics(store, rows, manifest)
-    work.build(date(2001, 7, 1), 1)
-    work.build(date(2001, 7, 1), 1)
-    work.build(date(2001, 7, 1), 2)
-    work.build(AS_OF, 3)
+    work = incremental(spark, sf)
+    store, rows = work.store, work.bronze
     orders = store.write(jobs.accepted_by_range(rows, [1, 2, 3]), "full_orders", 1)
     published, full = work.frames(), jobs.written_marts(store, orders, AS_OF, "full")
     out = None
-    for name in ("purchase_items", "customer_daily", "customer_profiles", "product_daily", "customer_cohorts"):
+    for name in jobs.MARTS:
         one = versions.difference_count(full[name], published[name]).withColumn("table", F.lit(name))
         out = one if out is None else out.unionByName(one)
     return out.join(work.publications.all().agg(F.count(F.lit(1)).alias("publications")))
@@ -717,32 +886,102 @@ def compaction(spark, sf):
     return counts[0].unionByName(counts[1])
 
 
-def _stream(spark, sf, name: str, delay: str | None) -> tuple[str, list]:
+def _stream(spark, sf, name: str, delay: str | None, by_days: bool = False) -> str:
+    """Ingest the raw records as a stream; the folder of its tables.
+
+    ``by_days``: a batch for each five days of arrival, in order; every 53rd event of the first ten days comes with the fifth batch.
+    """
     root = workspace(spark, name)
-    # Files in order of time, so that the watermark sees time go on.
-    bronze(spark, sf, "raw_event_stream").repartitionByRange(6, "timestamp").sortWithinPartitions("timestamp").write.parquet(f"{root}/records")
-    started = ingest.ingest(events.event_stream(spark, f"{root}/records", per_trigger=2), root, "run", delay)
-    ingest.drain(started)
-    return root, started
+    records = bronze(spark, sf, "raw_event_stream")
+    if by_days:
+        day = F.datediff("timestamp", F.lit("2024-01-01").cast("date"))
+        batch = F.when((F.floor(F.col("offset") / 2) % 53 == 0) & (day < 10), 4).otherwise(F.least(F.floor(day / 5), F.lit(5)))
+        for i in range(6):  # one after the other, for the source takes files in order of time
+            records.where(batch == i).coalesce(1).write.mode("append").parquet(f"{root}/records")
+    else:
+        # Files in order of time, so that the watermark sees time go on.
+        records.repartitionByRange(6, "timestamp").sortWithinPartitions("timestamp").write.parquet(f"{root}/records")
+    stream = events.event_stream(spark, f"{root}/records", per_trigger=1 if by_days else 2)
+    ingest.run_logged(spark, root, lambda: ingest.ingest(stream, root, "run", delay))
+    return root
 
 
 @query
 def stream_append(spark, sf):
     """Append-only ingestion run twice from its checkpoint: nothing is taken in again, repeats are kept."""
-    root, _ = _stream(spark, sf, "append", None)
+    root = _stream(spark, sf, "append", None)
     ingest.drain(ingest.ingest(events.event_stream(spark, f"{root}/records"), root, "run", None))
     return spark.read.parquet(f"{root}/accepted").groupBy("source_topic").agg(F.count(F.lit(1)).alias("events"))
 
 
 @query
 def stream_quarantine(spark, sf):
-    """Quarantined records by code, each position once."""
-    root, _ = _stream(spark, sf, "quarantine", None)
-    return spark.read.parquet(f"{root}/quarantined").groupBy("error_code").agg(F.count(F.lit(1)).alias("records"), F.countDistinct("source_topic", "source_partition", "source_offset").alias("positions"))
+    """Quarantined records, each position once."""
+    root = _stream(spark, sf, "quarantine", None)
+    rows = ingest.quarantine_table(spark, root).rows()
+    return rows.select("source_topic", "source_partition", "source_offset", "error_code", "error_details", "remediation_status")
 
 
 @query
 def stream_dedupe(spark, sf):
     """Each event id once within a watermark of 60 days, which no record passes."""
-    root, _ = _stream(spark, sf, "dedupe", "60 days")
-    return spark.read.parquet(f"{root}/accepted").groupBy("source_topic").agg(F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids"))
+    root = _stream(spark, sf, "dedupe", "60 days")
+    table = ingest.accepted_table(spark, root)
+    table.settle(1)
+    return table.rows().select("source_topic", "event_id", "occurred_at", "trace_id")
+
+
+@query
+def stream_late(spark, sf):
+    """A stream in six batches, one of each five days of arrival, with a watermark of a day: per batch the rows taken in and the late ones.
+
+    A row is late if it occurred before the greatest time of all batches but the last one, less a day.
+    """
+    root = _stream(spark, sf, "late", "24 hours", True)
+    progress = spark.read.parquet(f"{root}/progress").where("input_rows > 0 and watermark is not null")
+    return progress.groupBy("batch_id").agg(F.sum("input_rows").alias("records"), F.sum("late_rows").alias("late"))
+
+
+@query
+def stream_upserts(spark, sf):
+    """Ids delivered again in a later batch with other contents: the last delivery counts, read beside a settled part."""
+    path = workspace(spark, "upserts")
+    table = ingest.KeyedTable(spark, path, ingest.EVENT_KEY)
+    base = conform.route(conform.decode_json(bronze(spark, sf, "raw_event_stream")), "run").accepted
+    n = F.col("producer_sequence")
+    table.write(base, 0)
+    table.write(base.where(n % 7 == 0).withColumn("producer", F.lit("second")), 1)
+    table.settle(1)
+    table.write(base.where(n % 14 == 0).withColumn("producer", F.lit("third")), 2)
+    table.write(base.where(n % 14 == 0).withColumn("producer", F.lit("third")), 2)  # a replay
+    return table.rows().select("event_id", "source_topic", "producer")
+
+
+@query
+def batch_metrics(spark, sf):
+    """Rows and newest source time of each batch of a stream, as its sink noted them, and whether a lag was."""
+    root = _stream(spark, sf, "metrics", "60 days", True)
+    rows = spark.read.parquet(f"{root}/metrics").where("rows > 0")
+    return rows.select("batch", "rows", "max_source_timestamp", (F.col("lag_seconds") > 0).alias("lagged"))
+
+
+@query
+def stream_interval(spark, sf):
+    """A stream with an interval trigger, stopped once it has taken in all records."""
+    root = workspace(spark, "interval")
+    records = bronze(spark, sf, "raw_event_stream")
+    records.repartition(3).write.parquet(f"{root}/records")
+    total = records.count()
+    log = ingest.ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        started = ingest.ingest(events.event_stream(spark, f"{root}/records", per_trigger=1), root, "run", "60 days", "200 milliseconds")
+        for q in started:
+            while sum(p["numInputRows"] for p in q.recentProgress) < total and not q.exception():
+                time.sleep(0.2)
+            q.processAllAvailable()
+            q.stop()
+        log.wait(started)
+    finally:
+        spark.streams.removeListener(log)
+    return ingest.accepted_table(spark, root).rows().groupBy("source_topic").agg(F.count(F.lit(1)).alias("events"))

@@ -2,29 +2,46 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from ..operators import conform, history, marts, purchases, quality
-from ..sources.versions import Store, batch_range, date_range, replace_groups, upsert_newer
-from .publication import Publications, write_audit_publish
+from ..sources.versions import Store, batch_range, date_range, numbered, replace_groups, upsert_newer
+from .publication import Frames, Publications, audited, write_audit_publish
 
 PIPELINE = "customer_analytics_v1"
-STATE = ("purchase_orders", "purchase_items", "customer_daily", "customer_profiles", "product_daily", "customer_cohorts", "purchase_rejections")
-
-
+#: Tables of a publication. Facts lie by month of purchase, monthly sums and bitmaps by their month, the rest by run.
+STATE = (
+    "purchase_orders", "purchase_items", "customer_daily", "product_daily", "customer_monthly", "product_monthly",
+    "customer_numbers", "activity_bitmaps", "profile_states", "customer_cohorts", "purchase_rejections",
+)
+#: The marts that readers get from a publication.
+MARTS = ("purchase_items", "customer_daily", "customer_profiles", "product_daily", "customer_cohorts")
+
+# How generated sources begin, and the public source.
+GENERATED, PUBLIC = "generated-", "uci-online-retail-ii"
 #: Kinds of published orders, the later one stronger.
 KINDS = ("generated", "public dataset", "source")
 #: The partition column of facts: the month of the purchase.
 MONTH = "month"
+#: Share of the oldest profile states from which later ones are merged into them.
+MERGE = 0.2
+
 
+def publication_kind(orders: DataFrame) -> str:
+    """The kind of a set of orders: all generated, all of the public dataset, or else source data. One aggregated row."""
+    is_public, is_made = F.col("source") == PUBLIC, F.col("source").startswith(GENERATED)
+    facts = orders.agg(F.bool_and(is_public).alias("public"), F.bool_and(is_made).alias("made")).first()
+    return "public dataset" if facts["public"] else "source" if facts["made"] is False else "generated"
 
-def publication_kind(orders: DataFrame, generated: str = "generated", public: str = "uci-retail") -> str:
-    """Whether the orders are generated, a public dataset, or source data. One aggregated row."""
-    place = F.when(F.col("source") == public, 1).when(F.col("source").startswith(generated), 0).otherwise(2)
-    return KINDS[orders.agg(F.max(place)).first()[0] or 0]
+
+def joined_kind(kinds: list[str]) -> str:
+    """The kind of orders of several kinds together: a mix is source data."""
+    return kinds[0] if len(set(kinds)) == 1 else "source"
 
 
 def in_month(day: str) -> Column:
@@ -42,11 +59,134 @@ def compare_with_published(latest: DataFrame, published: DataFrame) -> DataFrame
     return latest.join(old, "order_key", "left").withColumn("change", F.when(newer, "update").when(clash, "conflict").otherwise("known")).drop("_version", "_hash")
 
 
+def latest_states(store: Store, version: str) -> DataFrame:
+    """Of each customer the profile states of the last run that wrote any.
+
+    The first run kept has most customers and loses those that later runs wrote; these are few and are compared among
+    themselves. Later runs are merged before they are many (MERGE).
+    """
+    states = store.read("profile_states", version)
+    runs = sorted({r["part"] for r in store.held("profile_states", version) if r["part"] is not None}, key=int)
+    if len(runs) < 2:
+        return states
+    later = states.where(F.col("run").isin(runs[1:]))
+    last = later.groupBy("customer_key").agg(F.max(F.col("run").cast("long")).alias("_last"))
+    kept = later.join(last, "customer_key").where(F.col("run").cast("long") == F.col("_last")).drop("_last")
+    return states.where(F.col("run") == runs[0]).join(last, "customer_key", "left_anti").unionByName(kept)
+
+
+def together(*works: Callable[[], object]) -> list:
+    """Run independent jobs at once; the first failure is raised when all have ended."""
+    with ThreadPoolExecutor(len(works)) as pool:
+        return [f.result() for f in [pool.submit(w) for w in works]]
+
+
+class Run:
+    """One attempt at the next publication: its sequence, the published tables, and the versions that it names."""
+
+    def __init__(self, store: Store, head: Row | None):
+        self.store, self.head = store, head
+        self.sequence = head["sequence"] + 1 if head else 1
+        self.versions = dict(head["versions"]) if head else {}
+
+    def old(self, table: str) -> DataFrame | None:
+        return self.store.read(table, self.head["versions"][table]) if self.head else None
+
+    def now(self, table: str) -> DataFrame:
+        return self.store.read(table, self.versions[table])
+
+    def parts(self, table: str, rows: DataFrame, by: str, touched: list[str]) -> DataFrame:
+        """Write the touched parts of a table; the others stay where the published version has them."""
+        before = self.head["versions"][table].split("@")[0] if self.head else None
+        self.versions[table] = f"{self.sequence}@{by}"
+        return self.store.write_parts(rows, table, self.sequence, by, before, touched)
+
+    def added(self, table: str, rows: DataFrame, dropped: list[str] | None = None) -> DataFrame:
+        """Add rows as the part of this run, in place of the runs ``dropped``."""
+        return self.parts(table, rows.withColumn("run", F.lit(str(self.sequence))), "run", [*(dropped or []), str(self.sequence)])
+
+    def whole(self, table: str, rows: DataFrame) -> DataFrame:
+        self.versions[table] = str(self.sequence)
+        return self.store.write(rows, table, self.sequence)
+
+    def facts(self, table: str, new: DataFrame, gone: DataFrame, key: str, day: str, months: list[str]) -> DataFrame:
+        """The touched months of a table of facts: without the rows of ``gone``, with the new ones."""
+        new = new.withColumn(MONTH, in_month(day))
+        if self.head:
+            new = replace_groups(self.old(table).where(F.col(MONTH).isin(months)), new, gone, [key])
+        return self.parts(table, new, MONTH, months).where(F.col(MONTH).isin(months))
+
+
+def laid_out(daily: DataFrame, key: str) -> DataFrame:
+    """Facts in order within their files, so that a served query's filters skip most row groups."""
+    return daily.sortWithinPartitions("currency", key, "metric_date") if "metric_date" in daily.columns else daily.sortWithinPartitions("currency", key)
+
+
+def refresh_customers(run: Run, items: DataFrame, customers: DataFrame, months: list[str], as_of: date) -> None:
+    """Daily facts, monthly sums and bitmaps of the touched months, and profile states of the touched customers."""
+    facts = marts.customer_daily(items.join(customers, "customer_key", "left_semi"))
+    daily = run.facts("customer_daily", facts, customers, "customer_key", "metric_date", months).drop(MONTH)
+    known = run.old("customer_numbers")
+    new = customers if known is None else customers.join(known, "customer_key", "left_anti")
+    start = known.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0] if known is not None else 0
+
+    def bitmaps():
+        run.added("customer_numbers", numbered(new, run.store, "new_customers", run.sequence, start))
+        refresh_bitmaps(run, daily, months, as_of)
+
+    sums = lambda: run.parts("customer_monthly", marts.monthly(daily, "customer_key").withColumn(MONTH, in_month("first_day")), MONTH, months)
+    together(sums, bitmaps)
+
+
+def refresh_bitmaps(run: Run, daily: DataFrame, months: list[str], as_of: date) -> None:
+    rows = marts.activity_bitmaps(daily, run.now("customer_numbers"), as_of).withColumn(MONTH, in_month("activity_month"))
+    run.parts("activity_bitmaps", rows, MONTH, months)
+
+
+def refresh_profiles(run: Run, customers: DataFrame | None, as_of: date) -> None:
+    """New profile states of customers with changes, and of those in the calendar whose states end by ``as_of``.
+
+    The calendar is the column ``due`` of the states: a run reads it, and the facts of the customers that it names.
+    Other states stay as they are. A customer without facts any more gets a state of zeros.
+    """
+    daily = run.now("customer_daily").drop(MONTH)
+    if not run.head:
+        run.added("profile_states", laid_out(marts.profile_states(daily, as_of), "customer_key"))
+        return
+    states = run.old("profile_states")
+    current = latest_states(run.store, run.head["versions"]["profile_states"])
+    named = current.where(F.col("due") <= F.lit(as_of)).select("customer_key")
+    if customers is not None:
+        named = named.unionByName(customers)
+    named = named.distinct().persist()
+    try:
+        fresh = marts.profile_states(daily.join(named, "customer_key", "left_semi"), as_of)
+        gone = current.join(named, "customer_key", "left_semi").select("customer_key", "currency").join(fresh.select("customer_key", "currency"), ["customer_key", "currency"], "left_anti")
+        zeros = {name: F.lit(0).cast(kind).alias(name) for name, (_, kind, _) in marts.FIGURES.items()}
+        empty = gone.select("customer_key", "currency", *[zeros.get(c, F.lit(None).cast("date").alias(c)) for c in fresh.columns[2:]])
+        new = fresh.unionByName(empty)
+        sizes = {r["run"]: r["n"] for r in states.groupBy("run").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a run
+        base = min(sizes, key=int, default=None)
+        if base and sum(sizes.values()) - sizes[base] > MERGE * sizes[base]:
+            # Later states have become many: all that hold are written as one part.
+            kept = current.drop("run").join(named, "customer_key", "left_anti").where("lifetime_orders > 0 or due is not null")
+            run.added("profile_states", laid_out(kept.unionByName(new), "customer_key"), list(sizes))
+        else:
+            run.added("profile_states", laid_out(new, "customer_key"))
+    finally:
+        named.unpersist()
+
+
+def months_between(first: date, last: date) -> list[str]:
+    """All months from that of the first day to that of the last."""
+    return [f"{n // 12:04d}-{n % 12 + 1:02d}" for n in range(first.year * 12 + first.month - 1, last.year * 12 + last.month)]
+
+
 class PurchaseAnalytics:
     """Incremental purchase marts over appended batches of snapshot events.
 
-    Orders, lines and daily facts are kept by month of purchase; a run writes the months that its changes touch
-    and names the other months where they lie.
+    A run writes the months that its changes touch, the profile states that its changes or the calendar end, and
+    names everything else where it lies.
     """
 
     def __init__(self, store: Store, bronze: DataFrame, manifest: DataFrame):
@@ -56,7 +196,8 @@ class PurchaseAnalytics:
     def build(self, as_of: date, bound: int, visibility: str = "private", publish: bool = True) -> Row | None:
         """Bring the marts up to batch ``bound`` and observation date ``as_of``; only affected groups are recomputed.
 
-        Nothing is written when nothing changed. Every attempt starts from the published versions.
+        Nothing is written when nothing changed. Every attempt starts from the published versions. Each run that
+        does any work leaves an audit row.
         """
         head = self.publications.head(PIPELINE)
         if head:
@@ -64,69 +205,115 @@ class PurchaseAnalytics:
                 raise ValueError(f"the observation date {as_of} is before the published {head['as_of']}")
             if (as_of, bound, visibility) == (head["as_of"], head["bound"], head["visibility"]):
                 return head
-        sequence = head["sequence"] + 1 if head else 1
-        write = lambda df, name: self.store.write(df, name, sequence)
-        rows = batch_range(self.bronze, self.manifest, head["bound"] if head else None, bound)
-        changes = write(purchases.purchase_changes(rows), "work_changes")
-        reasons = write(purchases.rejection_reasons(changes), "work_reasons")
-        newest = purchases.latest_purchases(purchases.accepted_purchases(changes, reasons))
-        old = self.publications.frames(head) if head else {}
-
-        orders_before = old.get("purchase_orders", newest.limit(0).withColumn(MONTH, F.lit("")))
-        compared = write(compare_with_published(newest, orders_before), "work_compared")
-        updates = compared.where("change = 'update'").drop("change")
-        conflicts = compared.where("change = 'conflict'").drop("change").withColumn("reason", F.lit(purchases.CONFLICT))
-        rejected = purchases.rejected_purchases(changes, reasons).unionByName(conflicts)
-        evidence = purchases.rejection_evidence(rejected, str(bound))
-        if old:
-            evidence = evidence.join(old["purchase_rejections"].select("rejection_id"), "rejection_id", "left_anti")
-
-        # What the updates replace, and the months of both: no row of another month changes.
-        keys = updates.select("order_key")
-        replaced = write(orders_before.drop(MONTH).join(keys, "order_key", "left_semi"), "work_replaced")
-        both = updates.unionByName(replaced)
-        fresh = purchases.purchase_items(updates)
-        months = [r[0] for r in both.select(in_month("purchased_at")).distinct().collect()]  # bounded by the calendar
-        customers = write(both.select("customer_key").where("customer_key is not null").distinct(), "work_customers")
-        products = write(fresh.select("product_key").unionByName(purchases.purchase_items(replaced).select("product_key")).distinct(), "work_products")
-        versions = {t: str(sequence) for t in STATE}
-
-        def refresh(name: str, new: DataFrame, gone: DataFrame, key: str, day: str) -> DataFrame:
-            """The touched months of a table, without the rows of ``gone`` and with the new ones."""
-            new = new.withColumn(MONTH, in_month(day))
-            if old:
-                new = replace_groups(old[name].where(F.col(MONTH).isin(months)), new, gone, [key])
-            versions[name] = f"{sequence}@{MONTH}"
-            return self.store.write_parts(new, name, sequence, MONTH, head["sequence"] if head else None, months)
-
-        refresh("purchase_orders", updates, keys, "order_key", "purchased_at")
-        items = refresh("purchase_items", fresh, keys, "order_key", "purchased_at").where(F.col(MONTH).isin(months))
-        daily = marts.customer_daily(items.join(customers, "customer_key", "left_semi"))
-        daily = refresh("customer_daily", daily, customers, "customer_key", "metric_date").drop(MONTH)
-        refresh("product_daily", marts.product_daily(items.join(products, "product_key", "left_semi")), products, "product_key", "metric_date")
-        # Rejections are only added: those of a run are a partition of their own.
-        run = str(sequence)
-        self.store.write_parts(evidence.withColumn("run", F.lit(run)), "purchase_rejections", sequence, "run", head["sequence"] if head else None, [run])
-        versions["purchase_rejections"] = f"{sequence}@run"
-
-        if head is None or as_of > head["as_of"]:  # windows moved: every profile is another one
-            profiles = marts.customer_profiles(daily, as_of)
-        else:
-            some = marts.customer_profiles(daily.join(customers, "customer_key", "left_semi"), as_of)
-            profiles = replace_groups(old["customer_profiles"], some, customers, ["customer_key"])
-        write(profiles, "customer_profiles")
-        write(marts.customer_cohorts(daily, as_of), "customer_cohorts")
-        if not publish:
-            return head
-        # Orders are never taken out, so a kind that was published holds on unless a stronger one comes.
-        kind = publication_kind(updates)
-        if head:
-            kind = max(kind, head["created_by"], key=KINDS.index)
-        self.publications.publish(PIPELINE, sequence, as_of, bound, visibility, versions, kind)
-        return self.publications.head(PIPELINE)
-
-    def frames(self) -> dict[str, DataFrame]:
-        return self.publications.frames(self.publications.head(PIPELINE))
+        run = Run(self.store, head)
+
+        def work(facts: dict) -> Row | None:
+            facts |= {"input_bound": f"({head['bound'] if head else 0}, {bound}]", "input_rows": 0, "rejected_rows": 0}
+            kinds = [head["created_by"]] if head else []
+            rows = batch_range(self.bronze, self.manifest, head["bound"] if head else None, bound)
+            if head is None or bound > head["bound"]:
+                kinds += self._apply(run, rows, as_of, bound, facts)
+            else:
+                self._age(run, as_of)
+            if not publish:
+                return head
+            facts["output_version"] = str(run.sequence)
+            self.publications.publish(PIPELINE, run.sequence, as_of, bound, visibility, run.versions, joined_kind(kinds))
+            return self.publications.head(PIPELINE)
+
+        return audited(self.store, PIPELINE, "purchases", f"{PIPELINE}-{run.sequence}", work)
+
+    def _apply(self, run: Run, rows: DataFrame, as_of: date, bound: int, facts: dict) -> list[str]:
+        """Apply the changes of a range; the kinds of the orders that it updates."""
+        seen = Observation()
+        changes = purchases.purchase_changes(rows).observe(seen, F.count(F.lit(1)).alias("rows")).persist()
+        kept = [changes]
+
+        def hold(df: DataFrame) -> DataFrame:
+            kept.append(df.persist())
+            return df
+
+        try:
+            reasons = hold(purchases.rejection_reasons(changes))
+            newest = purchases.latest_purchases(purchases.accepted_purchases(changes, reasons))
+            before = run.old("purchase_orders")
+            before = newest.limit(0).withColumn(MONTH, F.lit("")) if before is None else before
+            compared = hold(compare_with_published(newest, before))
+            updates = compared.where("change = 'update'").drop("change")
+            conflicts = compared.where("change = 'conflict'").drop("change").withColumn("reason", F.lit(purchases.CONFLICT))
+            evidence = purchases.rejection_evidence(purchases.rejected_purchases(changes, reasons).unionByName(conflicts), str(bound))
+            if run.head:
+                evidence = evidence.join(run.old("purchase_rejections").select("rejection_id"), "rejection_id", "left_anti")
+
+            # What the updates replace, and the months of both: no row of another month changes.
+            keys = updates.select("order_key")
+            replaced = hold(before.drop(MONTH).join(keys, "order_key", "left_semi"))
+            both = updates.unionByName(replaced)
+            months = [r[0] for r in both.select(in_month("purchased_at")).distinct().collect()]  # bounded by the calendar
+            fresh = purchases.purchase_items(updates)
+            customers = hold(both.select("customer_key").where("customer_key is not null").distinct())
+            products = fresh.select("product_key").unionByName(purchases.purchase_items(replaced).select("product_key")).distinct()
+            if run.head and as_of > run.head["as_of"]:  # later facts of these months have been reached
+                reached = months_between(run.head["as_of"], as_of)
+            else:
+                reached = []
+
+            def of_items() -> None:
+                items = run.facts("purchase_items", fresh, keys, "order_key", "purchased_at", months)
+                product = lambda: run.facts("product_daily", marts.product_daily(items.join(products, "product_key", "left_semi")), products, "product_key", "metric_date", months)
+
+                def of_products() -> None:
+                    run.parts("product_monthly", marts.monthly(product().drop(MONTH), "product_key").withColumn(MONTH, in_month("first_day")), MONTH, months)
+
+                def of_customers() -> None:
+                    refresh_customers(run, items, customers, months, as_of)
+                    more = [m for m in reached if m not in months]
+                    if more:
+                        self._reach(run, more, as_of)
+                    together(lambda: refresh_profiles(run, customers, as_of), lambda: run.whole("customer_cohorts", marts.cohorts_of_bitmaps(run.now("activity_bitmaps"), as_of).coalesce(1)))
+
+                together(of_products, of_customers)
+
+            # Rejections are only added: those of a run are a part of their own.
+            together(lambda: run.facts("purchase_orders", updates, keys, "order_key", "purchased_at", months), lambda: run.added("purchase_rejections", evidence), of_items)
+            facts |= {"input_rows": seen.get["rows"], "rejected_rows": self.store.rows["purchase_rejections"]}
+            return [publication_kind(updates)] if self.store.rows["purchase_orders"] else []
+        finally:
+            for df in kept:
+                df.unpersist()
+
+    def _reach(self, run: Run, months: list[str], as_of: date) -> None:
+        """Bitmaps of months of which more days have been reached; parts written by this run stay."""
+        daily = run.now("customer_daily").where(F.col(MONTH).isin(months)).drop(MONTH)
+        rows = marts.activity_bitmaps(daily, run.now("customer_numbers"), as_of).withColumn(MONTH, in_month("activity_month"))
+        self.store.write(rows, "reached_bitmaps", run.sequence)
+        written = run.now("activity_bitmaps").where(F.col(MONTH).isin([m for m in self._written(run)]))
+        both = written.unionByName(self.store.read("reached_bitmaps", run.sequence))
+        self.store.write(both, "joined_bitmaps", run.sequence)
+        run.parts("activity_bitmaps", self.store.read("joined_bitmaps", run.sequence), MONTH, [*months, *self._written(run)])
+
+    def _written(self, run: Run) -> list[str]:
+        return [r["part"] for r in self.store.held("activity_bitmaps", run.versions["activity_bitmaps"]) if r["version"] == str(run.sequence)]
+
+    def _age(self, run: Run, as_of: date) -> None:
+        """A later observation date without changes: the profiles that are due, and the months whose days were reached."""
+        months = months_between(run.head["as_of"], as_of)
+
+        def cohorts() -> None:
+            daily = run.now("customer_daily").where(F.col(MONTH).isin(months)).drop(MONTH)
+            refresh_bitmaps(run, daily, months, as_of)
+            run.whole("customer_cohorts", marts.cohorts_of_bitmaps(run.now("activity_bitmaps"), as_of).coalesce(1))
+
+        together(lambda: refresh_profiles(run, None, as_of), cohorts)
+
+    def frames(self) -> Frames:
+        return frames_of(self.publications, self.publications.head(PIPELINE))
+
+
+def frames_of(publications: Publications, head: Row) -> Frames:
+    """The tables of a publication, with the profiles that its states give at its observation date."""
+    states = lambda: latest_states(publications.store, head["versions"]["profile_states"]).drop("run", "due")
+    return publications.frames(head).also(customer_profiles=lambda: marts.profiles_at(states(), head["as_of"]))
 
 
 def accepted_by_range(bronze: DataFrame, bounds: list[int]) -> DataFrame:
@@ -175,21 +362,31 @@ def written_marts(store: Store, orders: DataFrame, as_of: date, prefix: str) ->
     }
 
 
-def publish_marts(store: Store, orders: DataFrame, as_of: date, bound: int, visibility: str = "private") -> None:
-    """Write all marts of the accepted orders as version 1 and publish them.
-
-    Each mart is made from the written table that it follows from; facts are sorted by currency and key, so
-    that a served query's filters skip most row groups.
-    """
-    laid = lambda df, *by: df.repartitionByRange(*by).sortWithinPartitions(*by)
-    write = lambda df, name: store.write(df, name, 1)
-    kept = write(orders, "purchase_orders")
-    items = write(purchases.purchase_items(kept), "purchase_items")
-    daily = write(laid(marts.customer_daily(items), "currency", "customer_key", "metric_date"), "customer_daily")
-    write(laid(marts.customer_profiles(daily, as_of), "currency", "customer_key"), "customer_profiles")
-    write(laid(marts.product_daily(items), "currency", "product_key", "metric_date"), "product_daily")
-    write(marts.customer_cohorts(daily, as_of).coalesce(1), "customer_cohorts")
-    Publications(store).publish(PIPELINE, 1, as_of, bound, visibility, {t: "1" for t in STATE if t != "purchase_rejections"}, "full build")
+def publish_marts(store: Store, orders: DataFrame, as_of: date, bound: int, visibility: str = "private", rejections: DataFrame | None = None) -> Row:
+    """A full build: all marts of the accepted orders, published as the first run of the pipeline, which later runs continue."""
+    run = Run(store, None)
+    kept = run.parts("purchase_orders", orders.withColumn(MONTH, in_month("purchased_at")), MONTH, []).drop(MONTH)
+    none = orders.limit(0).withColumn("reason", F.lit("")) if rejections is None else rejections
+    items = run.parts("purchase_items", purchases.purchase_items(kept).withColumn(MONTH, in_month("purchased_at")), MONTH, [])
+
+    def of_customers() -> None:
+        daily = run.parts("customer_daily", laid_out(marts.customer_daily(items.drop(MONTH)).withColumn(MONTH, in_month("metric_date")), "customer_key"), MONTH, []).drop(MONTH)
+        run.added("customer_numbers", numbered(daily.select("customer_key").distinct(), store, "new_customers", 1, 0))
+        together(
+            lambda: run.parts("customer_monthly", laid_out(marts.monthly(daily, "customer_key").withColumn(MONTH, in_month("first_day")), "customer_key"), MONTH, []),
+            lambda: refresh_bitmaps(run, daily, [], as_of),
+            lambda: refresh_profiles(run, None, as_of),
+        )
+        run.whole("customer_cohorts", marts.cohorts_of_bitmaps(run.now("activity_bitmaps"), as_of).coalesce(1))
+
+    def of_products() -> None:
+        daily = run.parts("product_daily", laid_out(marts.product_daily(items.drop(MONTH)).withColumn(MONTH, in_month("metric_date")), "product_key"), MONTH, []).drop(MONTH)
+        run.parts("product_monthly", laid_out(marts.monthly(daily, "product_key").withColumn(MONTH, in_month("first_day")), "product_key"), MONTH, [])
+
+    together(of_customers, of_products, lambda: run.added("purchase_rejections", purchases.rejection_evidence(none, str(bound))))
+    publications = Publications(store)
+    publications.publish(PIPELINE, 1, as_of, bound, visibility, run.versions, publication_kind(kept))
+    return publications.head(PIPELINE)
 
 
 def conform_all(bronze: DataFrame) -> dict[str, DataFrame]:

@@ -84,13 +84,17 @@ so AS (SELECT CAST(k AS VARCHAR) AS order_id, CAST(seller AS VARCHAR) AS seller_
     coalesce(total, 0)::DECIMAL(20,2) AS gross_amount, CASE WHEN flag = 'P' THEN 'REFUNDED' WHEN k % 29 = 0 THEN 'CANCELLED' ELSE 'CONFIRMED' END AS status,
     placed AS created_at, placed + CASE WHEN flag = 'P' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS updated_at, CASE WHEN flag = 'P' THEN 3 ELSE 2 END AS producer_sequence
   FROM po LEFT JOIN tt ON l_orderkey = k)"""
-_STEPS = f"""WITH {_ORDERS}, st AS (
-  SELECT k, placed, 1 AS n, 'CREATED' AS status FROM po
-  UNION ALL SELECT k, placed, 2, CASE WHEN k % 29 = 0 THEN 'CANCELLED' ELSE 'CONFIRMED' END FROM po
-  UNION ALL SELECT k, placed, 3, 'REFUNDED' FROM po WHERE flag = 'P')"""
+#: Lines of an order, as events see them: one at least.
+_CREATED = "ct AS (SELECT l_orderkey, count(*) AS m FROM lineitem GROUP BY 1)"
+#: Events of the orders that a condition keeps, all together.
+_EVENTS_OF = "(SELECT CAST(sum(greatest(coalesce(m, 0), 1) + 1 + CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS BIGINT) FROM orders LEFT JOIN ct ON l_orderkey = o_orderkey WHERE {})"
+_STEPS = f"""WITH {_ORDERS}, {_CREATED}, st AS (
+  SELECT k, placed, 1 AS n, 'CREATED' AS status, unnest(generate_series(1, greatest(m, 1))) AS line FROM po LEFT JOIN ct ON l_orderkey = k
+  UNION ALL SELECT k, placed, 2, CASE WHEN k % 29 = 0 THEN 'CANCELLED' ELSE 'CONFIRMED' END, 1 FROM po
+  UNION ALL SELECT k, placed, 3, 'REFUNDED', 1 FROM po WHERE flag = 'P')"""
 _OLINES = f"""WITH {_LINES}, {_ORDERS},
-ol AS (SELECT 'order-' || k || '-1' AS event_id, CAST(k AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS sku, CAST(l_suppkey % 5 AS VARCHAR) AS location_id,
-    qty AS quantity, placed AS created_at FROM po JOIN ln ON l_orderkey = k WHERE line_id = 1)"""
+ol AS (SELECT 'order-' || k || '-1' || CASE WHEN line_id > 1 THEN '-' || line_id ELSE '' END AS event_id, CAST(k AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS sku, CAST(l_suppkey % 5 AS VARCHAR) AS location_id,
+    qty AS quantity, placed AS created_at FROM po JOIN ln ON l_orderkey = k)"""
 _STOCK = f"""{_OLINES},
 mv AS (SELECT l_partkey AS sku, l_suppkey % 5 AS location_id, CAST(l_shipdate AS DATE) AS date, CASE WHEN l_returnflag = 'R' THEN 0 ELSE -qty END AS d FROM ln
   UNION ALL SELECT l_partkey, l_suppkey % 5, CAST(min(l_shipdate) AS DATE), 100 FROM ln GROUP BY 1, 2),
@@ -155,7 +159,7 @@ ORACLE_SQL: dict[str, str] = {
     "latest_cohorts": f"{_COHORTS} SELECT {_text('cohort_month', 'activity_month')}, currency, cohort_size, active_customers, month_number, retention FROM co "
     f"WHERE currency = 'EUR' AND co.cohort_month >= date_trunc('month', {AS_OF}) - INTERVAL 23 MONTH AND month_number <= 12 ORDER BY co.cohort_month, month_number LIMIT 313",
     "conform_orders": f"{_STATE} SELECT order_id, seller_id, customer_token, market, currency, {_double('gross_amount')}, status, {_time('created_at', 'created_at')}, {_time('updated_at', 'updated_at')}, {_long('producer_sequence')} FROM so",
-    "order_status_history": f"{_STEPS} SELECT 'order-' || k || '-' || n AS event_id, CAST(k AS VARCHAR) AS order_id, status, strftime(placed + (n - 1) * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS occurred_at FROM st",
+    "order_status_history": f"{_STEPS} SELECT 'order-' || k || '-' || n || CASE WHEN line > 1 THEN '-' || line ELSE '' END AS event_id, CAST(k AS VARCHAR) AS order_id, status, strftime(placed + (n - 1) * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS occurred_at FROM st",
     "order_lines": f"{_OLINES} SELECT event_id, order_id, sku, location_id, quantity, {_time('created_at', 'created_at')} FROM ol",
     "conform_payments": f"WITH {_LINES}, {_ORDERS}, {_TOTALS} SELECT 'p' || k AS payment_id, CAST(k AS VARCHAR) AS order_id, CASE WHEN k % 47 = 0 THEN 'GBP' ELSE currency END AS currency, "
     "CAST(coalesce(total, 0) + CASE WHEN k % 41 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS amount, CASE WHEN flag = 'P' THEN 'REVERSED' WHEN k % 43 = 0 THEN 'AUTHORIZED' WHEN flag = 'O' THEN 'FAILED' ELSE 'CAPTURED' END AS status, "
@@ -172,7 +176,7 @@ ORACLE_SQL: dict[str, str] = {
     "count(*) FILTER (status = 'CANCELLED') AS cancelled_orders, CAST(CAST(count(*) FILTER (status = 'CANCELLED') / count(*) AS DECIMAL(12,6)) AS DOUBLE) AS cancellation_rate "
     "FROM so LEFT JOIN supplier ON CAST(s_suppkey AS VARCHAR) = seller_id GROUP BY 1, 2, 3, 4",
     "market_overview": f"{_STATE} SELECT market, currency, count(*) AS orders, CAST(sum(gross_amount) AS DOUBLE) AS gmv FROM so GROUP BY 1, 2",
-    "layer_counts": f"{_STATE} SELECT (SELECT count(*) * 2 + count(*) FILTER (o_orderstatus = 'P') FROM orders) AS bronze, (SELECT count(*) FROM so) AS silver, "
+    "layer_counts": f"{_STATE}, {_CREATED} SELECT {_EVENTS_OF.format('true')} AS bronze, (SELECT count(*) FROM so) AS silver, "
     "(SELECT count(*) FROM (SELECT DISTINCT CAST(created_at AS DATE), market, currency FROM so)) AS gold",
     "demand_features": f"{_STOCK}, dm AS (SELECT sku, location_id, CAST(created_at AS DATE) AS date, CAST(sum(quantity) AS BIGINT) AS demand_units FROM ol GROUP BY ALL), "
     "fe AS (SELECT *, lag(demand_units, 1) OVER w AS demand_lag_1, lag(demand_units, 7) OVER w AS demand_lag_7, avg(demand_units) OVER (PARTITION BY sku, location_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS demand_avg_7, "
@@ -212,9 +216,9 @@ ORACLE_SQL: dict[str, str] = {
     "events_per_topic": f"{_RAW} SELECT t AS source_topic, count(*) AS events FROM jd WHERE err IS NULL GROUP BY 1",
     "ingest_latency": f"{_BASE}, d AS (SELECT 172800000 + CASE WHEN k % 14 = 0 AND version = 2 THEN -3600000 ELSE version * 3600000 END + (delivery - 1) * 3600000 AS ms FROM dl) SELECT quantile_cont(ms, 0.5)::DOUBLE AS p50_ms, quantile_cont(ms, 0.95)::DOUBLE AS p95_ms FROM d",
     "nearest_rank": "SELECT unnest([0.5, 0.95, 0.99])::DOUBLE AS share, unnest([quantile_disc(value, 0.5), quantile_disc(value, 0.95), quantile_disc(value, 0.99)]) AS value FROM events",
-    "dataset_reconciliation": "SELECT 'orders' AS dataset, count(*) AS row_count, count(*) AS expected_rows FROM orders UNION ALL "
-    "SELECT 'order_lines', (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON o_orderkey = l_orderkey), count(*) FROM orders UNION ALL "
-    "SELECT 'history', count(*) * 2 + count(*) FILTER (o_orderstatus = 'P'), count(*) * 2 + count(*) FILTER (o_orderstatus = 'P') FROM orders",
+    "dataset_reconciliation": f"WITH {_CREATED} SELECT 'orders' AS dataset, count(*) AS row_count, count(*) AS expected_rows FROM orders UNION ALL "
+    "SELECT 'order_lines', (SELECT count(*) FROM lineitem JOIN orders ON o_orderkey = l_orderkey), CAST(sum(coalesce(m, 0)) AS BIGINT) FROM orders LEFT JOIN ct ON l_orderkey = o_orderkey UNION ALL "
+    f"SELECT 'history', {_EVENTS_OF.format('true')}, {_EVENTS_OF.format('true')}",
     "matching_stock": f"{_STOCK} SELECT count(*) AS matching, count(*) AS matching_using FROM sk",
     "run_reconciliation": f"{_RAW} SELECT count(*) AS events, count(err) AS quarantined, 0::BIGINT AS topics_off, 0::BIGINT AS datasets_off, count(err) / count(*) AS quarantine_rate, CASE WHEN count(err) / count(*) <= 0.05 THEN 'PASS' ELSE 'FAIL' END AS result FROM jd",
     "evidence_check": "SELECT event_id, finding FROM (SELECT event_id, unnest(list_filter([CASE WHEN event_id % 101 = 0 AND event_id % 113 <> 0 THEN 'MISSING' END, CASE WHEN event_id % 101 <> 0 AND event_id % 113 = 0 THEN 'UNEXPECTED' END, "
@@ -229,10 +233,10 @@ ORACLE_SQL: dict[str, str] = {
     "UNION ALL SELECT 'lines_published', CAST(coalesce(sum(lines), 0) AS BIGINT) FROM iv WHERE heads = 1",
     "skew_join": "SELECT p_brand AS brand, count(*) AS rows, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total FROM lineitem JOIN part ON p_partkey = CASE WHEN (l_orderkey * 7 + l_linenumber) % 5 > 0 THEN 1 ELSE l_partkey END GROUP BY 1",
     "backfill_range": f"{_STATE} SELECT CASE WHEN updated_at::DATE BETWEEN DATE '2000-03-01' AND DATE '2000-03-31' THEN status ELSE 'CREATED' END AS status, count(*) AS orders FROM so GROUP BY 1",
-    "incremental_equals_full": "SELECT unnest(['purchase_items', 'customer_daily', 'customer_profiles', 'product_daily', 'customer_cohorts']) AS \"table\", 0::BIGINT AS differences, 3::BIGINT AS publications",
-    "payload_violations": "SELECT rule, CAST(n AS BIGINT) AS events FROM (SELECT 'ORDER_CURRENCY' AS rule, (SELECT count(*) * 2 + count(*) FILTER (o_orderstatus = 'P') FROM orders WHERE o_orderkey % 97 = 0) AS n "
-    "UNION ALL SELECT 'ORDER_REQUIRED', (SELECT count(*) * 2 + count(*) FILTER (o_orderstatus = 'P') FROM orders WHERE o_orderkey % 89 = 0) "
-    "UNION ALL SELECT 'ORDER_AMOUNT', (SELECT count(*) * 2 + count(*) FILTER (o_orderstatus = 'P') FROM orders WHERE o_orderkey % 89 = 0) "
+    "incremental_equals_full": "SELECT unnest(['purchase_items', 'customer_daily', 'customer_profiles', 'product_daily', 'customer_cohorts']) AS \"table\", 0::BIGINT AS differences, 5::BIGINT AS publications",
+    "payload_violations": f"WITH {_CREATED} SELECT rule, CAST(n AS BIGINT) AS events FROM (SELECT 'ORDER_CURRENCY' AS rule, {_EVENTS_OF.format('o_orderkey % 97 = 0')} AS n "
+    f"UNION ALL SELECT 'ORDER_REQUIRED', {_EVENTS_OF.format('o_orderkey % 89 = 0')} "
+    f"UNION ALL SELECT 'ORDER_AMOUNT', {_EVENTS_OF.format('o_orderkey % 89 = 0')} "
     "UNION ALL SELECT 'CUSTOMER_EXTRA_KEYS', (SELECT count(*) FROM events WHERE event_id % 83 = 0))",
     "compaction": "SELECT unnest([1, 2])::BIGINT AS version, unnest([(SELECT count(*) FROM orders), (SELECT count(*) FROM orders)])::BIGINT AS records",
     "certified_kpis": f"{_STATE} SELECT CAST(CAST(created_at AS DATE) AS VARCHAR) AS metric_date, market, 'UNCLASSIFIED' AS seller_tier, currency, count(*) AS order_count, CAST(sum(gross_amount) AS DOUBLE) AS gmv, "
@@ -249,19 +253,58 @@ ORACLE_SQL: dict[str, str] = {
     "SELECT pipeline, strftime(s, '%Y-%m-%d %H:%M:%S') AS last_success, strftime(l, '%Y-%m-%d %H:%M:%S') AS last_failure, strftime(g, '%Y-%m-%d %H:%M:%S') AS last_gate_failure, rejected_rows, "
     "array_to_string(list_filter([CASE WHEN s IS NULL OR s < t THEN 'STALE' END, CASE WHEN l > coalesce(s, TIMESTAMP '1970-01-01') THEN 'FAILING' END, CASE WHEN g >= t THEN 'GATE_FAILED' END, CASE WHEN rejected_rows > 0 THEN 'REJECTED_ROWS' END], lambda v: v IS NOT NULL), ',') AS alerts FROM x, n",
     "stream_append": f"{_RAW} SELECT t AS source_topic, count(*) AS events FROM jd WHERE err IS NULL GROUP BY 1",
-    "stream_quarantine": f"{_RAW} SELECT err AS error_code, count(*) AS records, count(*) AS positions FROM jd WHERE err IS NOT NULL GROUP BY 1",
-    "stream_dedupe": f"{_RAW} SELECT t AS source_topic, count(DISTINCT e) AS events, count(DISTINCT e) AS ids FROM jd WHERE err IS NULL GROUP BY 1",
+    "stream_dedupe": f"{_RAW} SELECT DISTINCT t AS source_topic, 'event-' || lpad(CAST(e AS VARCHAR), 8, '0') AS event_id, strftime(CASE WHEN e % 53 = 0 THEN ts - INTERVAL 30 HOUR ELSE ts END, '%Y-%m-%d %H:%M:%S') AS occurred_at, "
+    "'trace-' || lpad(CAST(e AS VARCHAR), 8, '0') AS trace_id FROM jd WHERE err IS NULL",
+    "stream_late": f"{_RAW}, b AS (SELECT *, CASE WHEN e % 53 = 0 AND date_diff('day', DATE '2024-01-01', ts::DATE) < 10 THEN 4 ELSE least(date_diff('day', DATE '2024-01-01', ts::DATE) // 5, 5) END AS batch_id, CASE WHEN e % 53 = 0 THEN ts - INTERVAL 30 HOUR ELSE ts END AS occ FROM jd), "
+    "h AS (SELECT batch_id, max(occ) FILTER (err IS NULL) AS top FROM b GROUP BY 1), "
+    "w AS (SELECT batch_id, (SELECT max(top) FROM h p WHERE p.batch_id < h.batch_id - 1) - INTERVAL 24 HOUR AS mark FROM h) "
+    "SELECT batch_id, count(*) AS records, count(*) FILTER (err IS NULL AND mark IS NOT NULL AND date_trunc('millisecond', occ) <= date_trunc('millisecond', mark)) AS late FROM b JOIN w USING (batch_id) GROUP BY 1",
+    "stream_upserts": f"{_RAW} SELECT DISTINCT 'event-' || lpad(CAST(e AS VARCHAR), 8, '0') AS event_id, t AS source_topic, CASE WHEN e % 14 = 0 THEN 'third' WHEN e % 7 = 0 THEN 'second' ELSE 'site' END AS producer FROM jd WHERE err IS NULL",
+    "batch_metrics": f"{_RAW}, b AS (SELECT *, CASE WHEN e % 53 = 0 AND date_diff('day', DATE '2024-01-01', ts::DATE) < 10 THEN 4 ELSE least(date_diff('day', DATE '2024-01-01', ts::DATE) // 5, 5) END AS batch FROM jd WHERE err IS NULL), "
+    "f AS (SELECT e, min(batch) AS batch, min(ts) AS ts FROM b GROUP BY 1) SELECT batch, count(*) AS rows, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS max_source_timestamp, true AS lagged FROM f GROUP BY 1",
+    "stream_interval": f"{_RAW} SELECT t AS source_topic, count(DISTINCT e) AS events FROM jd WHERE err IS NULL GROUP BY 1",
+    "run_report_with_latency": f"{_BASE} SELECT count(*) AS events, 0::BIGINT AS quarantined, 0::BIGINT AS topics_off, 'PASS' AS result, true AS p50_ms, true AS p95_ms FROM dl",
+    "purchase_lines": f"{_BASE}, ok AS (SELECT k, k // 20000 AS piece FROM po WHERE k NOT IN (SELECT k FROM rj)), nb AS (SELECT k, piece, row_number() OVER w + sum(CASE WHEN k % 50 = 0 THEN 1 ELSE 0 END) OVER w AS line FROM ok WINDOW w AS (PARTITION BY piece ORDER BY k)) "
+    "SELECT piece, CAST(line AS BIGINT) AS line_number, '{broken ' || k AS raw_value FROM nb WHERE k % 97 = 1",
+    "over_returns": f"{_BASE}, ex AS (SELECT DISTINCT k FROM po JOIN ln ON l_orderkey = k WHERE k % 89 = 0 AND l_returnflag = 'R'), "
+    "f AS (SELECT order_key, k % 97 = 0 OR (k % 101 = 0 AND k IN (SELECT l_orderkey FROM has)) AS bad, k % 103 = 0 AS clash, k IN (SELECT k FROM ex) AS excess FROM po) "
+    "SELECT order_key, array_to_string(list_filter([CASE WHEN clash THEN 'conflicting payloads for the same order version' END, CASE WHEN bad THEN 'invalid purchase snapshot' END, CASE WHEN excess THEN 'returns exceed purchased quantity or amount' END], lambda x: x IS NOT NULL), '; ') AS reason "
+    "FROM f WHERE bad OR clash OR excess",
+    "range_reads": f"{_BASE}, ev AS (SELECT sha256('shop:' || k || ':' || version || CASE WHEN variant > 0 THEN ':other' ELSE '' END) AS event_id, k * 8 + version * 2 + variant + (delivery - 1) * 4000000000 AS source_offset, CASE WHEN version = 2 THEN 3 WHEN k % 10 = 9 THEN 2 ELSE 1 END AS b FROM dl) "
+    "SELECT unnest(list_filter(['full-current-snapshot', CASE WHEN b > 1 THEN 'start=1' END, CASE WHEN b <= 2 THEN 'end=2' END, CASE WHEN b = 2 THEN 'start=1,end=2' END], lambda x: x IS NOT NULL)) AS evidence, event_id, CAST(source_offset AS BIGINT) AS source_offset FROM ev",
+    "upsert_plain": f"{_STATE} SELECT order_id, CASE WHEN order_id::BIGINT % 3 = 0 THEN 'PUT' ELSE status END AS status, currency FROM so WHERE order_id::BIGINT % 2 = 0 OR order_id::BIGINT % 3 = 0",
+    "capped_customers": f"{_DAILY} SELECT customer_key, {_text('metric_date')}, currency, CAST(gross_amount AS DOUBLE) AS gross_amount, (SELECT count(*) > 500 FROM cd) AS truncated FROM cd ORDER BY cd.gross_amount DESC, customer_key, cd.metric_date, currency LIMIT 500",
+    "gate_outcomes": "SELECT 'same' AS input, true AS passed, false AS stopped UNION ALL SELECT 'lacking', count(*) = 0, count(*) > 0 FROM orders WHERE o_orderkey % 79 = 0",
     "retention_plan": f"WITH d AS (SELECT o_orderpriority AS pl, o_orderkey AS s, o_orderdate AS placed FROM orders), kp AS (SELECT s FROM d QUALIFY row_number() OVER (PARTITION BY pl ORDER BY s DESC) <= 5 UNION SELECT s FROM d WHERE placed >= {AS_OF} - INTERVAL 365 DAY), "
     "v AS (SELECT 'a' AS t, s AS version, s FROM d UNION ALL SELECT 'b', s // 600, s FROM d), ke AS (SELECT DISTINCT t, version FROM v WHERE s IN (SELECT s FROM kp)) SELECT DISTINCT t AS \"table\", version FROM v ANTI JOIN ke USING (t, version)",
     "partitions_replaced": "SELECT o_orderstatus AS status, count(*) AS orders, CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE CAST(o_totalprice AS DECIMAL(20,2)) END) AS DOUBLE) AS total FROM orders GROUP BY 1",
     "batch_written_twice": "SELECT o_orderkey % 3 + 1 AS batch_id, count(*) AS orders, count(*) FILTER (o_orderkey % 3 <> 0) AS with_status FROM orders GROUP BY 1",
     "physical_evidence": "SELECT 'orders' AS \"table\", count(*) AS records, 4::BIGINT AS files, true AS sized, 'UTC' AS zone FROM orders UNION ALL SELECT 'customer', count(*), 4, true, 'UTC' FROM customer",
-    "conformed_twice": f"{_STOCK} SELECT unnest(['inventory_daily', 'order_lines', 'order_status_history', 'orders', 'payments', 'shipments']) AS \"table\", unnest([(SELECT count(*) FROM sk), (SELECT count(*) FROM ol), "
-    "(SELECT count(*) * 2 + count(*) FILTER (o_orderstatus = 'P') FROM orders), (SELECT count(*) FROM orders), (SELECT count(*) FROM orders), (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON o_orderkey = l_orderkey)])::BIGINT AS rows",
+    "conformed_twice": f"{_STOCK}, {_CREATED} SELECT unnest(['inventory_daily', 'order_lines', 'order_status_history', 'orders', 'payments', 'shipments']) AS \"table\", unnest([(SELECT count(*) FROM sk), (SELECT count(*) FROM ol), "
+    f"{_EVENTS_OF.format('true')}, (SELECT count(*) FROM orders), (SELECT count(*) FROM orders), (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON o_orderkey = l_orderkey)])::BIGINT AS rows",
 }
 _LATEST = f"lc AS (SELECT * FROM co WHERE currency = 'EUR' AND co.cohort_month >= date_trunc('month', {AS_OF}) - INTERVAL 23 MONTH AND month_number <= 12)"
 _OF_WINDOW = f"WHERE currency = 'EUR' AND metric_date BETWEEN {FIRST} AND {LAST} GROUP BY 1"
+_LONG = "WHERE currency = 'EUR' AND metric_date BETWEEN DATE '1996-03-15' AND DATE '2001-03-14' GROUP BY 1"
+#: Judged range by range, the second version of a clashing first one is accepted, as it comes in a later range.
+_BY_RANGE = ("k % 103 = 0 AS clash FROM po)", "k % 103 = 0 AND k % 7 <> 0 AS clash FROM po)")
 ORACLE_SQL |= {
+    "profiles_by_calendar": ORACLE_SQL["customer_profiles"].replace(*_BY_RANGE),
+    "cohorts_by_bitmaps": ORACLE_SQL["customer_cohorts"].replace(*_BY_RANGE),
+    "facts_by_months": ORACLE_SQL["customer_daily"].replace(*_BY_RANGE),
+    "run_audit": f"{_BASE}, ev AS (SELECT k, version, variant, country_sent, delivery, CASE WHEN version = 2 THEN 3 WHEN k % 10 = 9 THEN 2 ELSE 1 END AS b, k % 97 = 0 OR (k % 103 = 0 AND version = 1) "
+    "OR (k % 101 = 0 AND EXISTS (SELECT 1 FROM ln WHERE l_orderkey = k AND NOT (version = 2 AND l_linenumber = 1))) AS bad FROM dl), "
+    "f AS (SELECT b, count(*) AS n, count(DISTINCT CASE WHEN bad THEN k || ':' || version || ':' || variant END) AS r FROM ev GROUP BY 1), "
+    "runs(b, bound, v, news) AS (VALUES (1, '(0, 1]', '1', true), (2, '(1, 2]', '2', true), (2, '(2, 2]', '3', false), (3, '(2, 3]', '4', true), (3, '(3, 3]', '5', false)) "
+    "SELECT 'customer_analytics_v1' AS pipeline, 'purchases' AS dataset, 'SUCCEEDED' AS status, CASE WHEN news THEN n ELSE 0 END::BIGINT AS input_rows, CASE WHEN news THEN r ELSE 0 END::BIGINT AS rejected_rows, bound AS input_bound, v AS output_version, true AS wrote FROM runs JOIN f USING (b)",
+    "run_health": "SELECT 'customer_analytics_v1' AS pipeline, true AS no_failure, 0::BIGINT AS rejected_rows, '' AS alerts",
+    "retention_with_parts": f"WITH d AS (SELECT DISTINCT date_diff('day', DATE '1995-01-01', o_orderdate::DATE) AS n, date_trunc('day', o_orderdate) AS at_day FROM orders), "
+    f"kp AS (SELECT n FROM d QUALIFY row_number() OVER (ORDER BY n DESC) <= 5 UNION SELECT n FROM d WHERE at_day >= {AS_OF} - INTERVAL 60 DAY), "
+    "hold AS (SELECT n FROM kp UNION SELECT (SELECT max(d.n) FROM d WHERE d.n <= kp.n AND d.n % 12 = p) FROM kp, (SELECT unnest(range(12)) AS p)) "
+    "SELECT 'facts' AS \"table\", CAST(n AS VARCHAR) AS version FROM d WHERE n NOT IN (SELECT n FROM hold WHERE n IS NOT NULL)",
+    "stream_quarantine": ORACLE_SQL["quarantined_events"],
+    "summary_five_years": f"{_DAILY} SELECT count(*) AS customers, CAST(sum(o) AS BIGINT) AS orders, CAST(sum(n) AS DOUBLE) AS net_amount, count(*) FILTER (o >= 2) AS repeat_customers FROM (SELECT customer_key, sum(orders) AS o, sum(net_amount) AS n FROM cd {_LONG})",
+    "product_totals_five_years": f"{_DAILY} SELECT product_key, CAST(sum(orders) AS BIGINT) AS orders, CAST(sum(units) AS BIGINT) AS units, CAST(sum(returned_units) AS BIGINT) AS returned_units, CAST(sum(gross_amount) AS DOUBLE) AS gross_amount, CAST(sum(net_amount) AS DOUBLE) AS net_amount FROM pd {_LONG}",
     "customers_rebuilt": ORACLE_SQL["customer_history"],
     "kpis_published": ORACLE_SQL["daily_kpis"],
     "demand_published": ORACLE_SQL["demand_features"],

@@ -6,18 +6,41 @@ it was. Readers take one head and read nothing but the versions it names.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
+from functools import partial
+from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from ..operators.quality import GATES, enforce, run_gates
+from ..operators.quality import GATES, GateError, enforce, run_gates
 from ..schemas import AUDIT, PUBLICATION
 from ..sources.versions import Store
 
 
+class Frames(Mapping):
+    """Frames by name, each made at its first use."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+    def also(self, **makers: Callable[[], DataFrame]) -> Frames:
+        return Frames(self._makers | makers)
+
+
 class Publications:
     def __init__(self, store: Store):
         self.store, self.path = store, f"{store.root}/publications"
@@ -37,9 +60,9 @@ class Publications:
         row = [(pipeline, sequence, as_of, bound, visibility, versions, created_by)]
         self.store.spark.createDataFrame(row, PUBLICATION).coalesce(1).write.mode("append").parquet(self.path)
 
-    def frames(self, document: Row) -> dict[str, DataFrame]:
-        """The tables of a publication at their pinned versions."""
-        return {t: self.store.read(t, v) for t, v in document["versions"].items()}
+    def frames(self, document: Row) -> Frames:
+        """The tables of a publication at their pinned versions, each opened when it is asked for."""
+        return Frames({t: partial(self.store.read, t, v) for t, v in document["versions"].items()})
 
 
 def append_audit(store: Store, **facts) -> None:
@@ -48,21 +71,40 @@ def append_audit(store: Store, **facts) -> None:
     store.spark.createDataFrame([tuple(facts.get(n) for n in names)], AUDIT).coalesce(1).write.mode("append").parquet(f"{store.root}/pipeline_runs")
 
 
-def audited(store: Store, pipeline: str, dataset: str, run_id: str, work: Callable[[], DataFrame]) -> DataFrame:
-    """Run work and record how it went, also when it fails."""
-    started = datetime.now(timezone.utc)
-    facts = {"run_id": run_id, "pipeline": pipeline, "dataset": dataset, "started_at": started}
+T = TypeVar("T")
+
+
+def audited(store: Store, pipeline: str, dataset: str, run_id: str, work: Callable[[dict], T]) -> T:
+    """Run work and record how it went, also when it fails.
+
+    ``work`` may put further facts of the audit row into the mapping that it is given. The rows put out are those
+    that the store counted while it wrote them, so nothing is read again.
+    """
+    facts = {"run_id": run_id, "pipeline": pipeline, "dataset": dataset, "started_at": datetime.now(timezone.utc)}
+    store.rows.clear()
     try:
-        out = work()
+        out = work(facts)
     except Exception as e:
-        append_audit(store, **facts, ended_at=datetime.now(timezone.utc), status="FAILED", failure=str(e)[:500])
+        kind = "gate" if isinstance(e, GateError) else type(e).__name__
+        append_audit(store, **facts, ended_at=datetime.now(timezone.utc), status="FAILED", failure=f"{kind}: {e}"[:500])
         raise
-    append_audit(store, **facts, ended_at=datetime.now(timezone.utc), status="SUCCEEDED", output_rows=out.count())
+    append_audit(store, **({"output_rows": sum(store.rows.values())} | facts), ended_at=datetime.now(timezone.utc), status="SUCCEEDED")
     return out
 
 
+def audits(store: Store) -> DataFrame:
+    """The audit rows of all runs."""
+    return store.spark.read.schema(AUDIT).parquet(f"{store.root}/pipeline_runs")
+
+
 def write_audit_publish(store: Store, df: DataFrame, table: str, version: int | str, publish: Callable[[str], None] | None = None, gates: dict | None = None) -> DataFrame:
-    """Write a candidate, run the table's gates on what was written, and publish it; without ``publish`` it stays hidden."""
+    """Write a candidate, run the table's gates on what was written, and publish it; without ``publish`` it stays hidden.
+
+    A candidate is a whole new state of the table that readers see under its name alone; the published name is that of no
+    candidate before, so a version can be published once only.
+    """
+    if not str(version).replace("-", "").replace("_", "").isalnum() or str(version) == "main":
+        raise ValueError(f"a candidate can't be named {version!r}")
     candidate = store.write(df, table, f"candidate-{version}")
     enforce(table, run_gates(candidate, gates if gates is not None else GATES[table]))
     if publish:

@@ -17,16 +17,21 @@ def event_stream(spark: SparkSession, path: str | None = None, per_trigger: int
 
 
 def read_purchases(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Full-state purchases from JSON lines: (good rows, bad rows with text, file and position in the file).
+    """Full-state purchases from JSON lines: (good rows, bad rows with text, file and line number).
 
-    Blank lines are skipped. A bad line does not stop the job; its evidence is returned instead.
+    Blank lines are skipped. A bad line does not stop the job; its evidence is returned instead. A file is read in
+    splits; a line's number is its place in its split and the lines of the splits before, of which there is one small row each.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("file", "block", "first", F.coalesce(before, F.lit(0)).alias("before"))
     lines = lines.where(F.length(F.trim("value")) > 0)
     parsed = lines.withColumn("p", F.from_json("value", SNAPSHOT + ", _bad string", {"columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("p").isNull() | F.col("p._bad").isNotNull()
     good = parsed.where(~bad).select("p.*").drop("_bad")
-    return good, parsed.where(bad).select(F.col("value").alias("raw_value"), "file", "block")
+    number = (F.col("before") + F.col("place") - F.col("first") + 1).alias("line_number")
+    return good, parsed.where(bad).join(splits, ["file", "block"]).select(F.col("value").alias("raw_value"), "file", number)
 
 
 def retained_messages(records: DataFrame) -> DataFrame:

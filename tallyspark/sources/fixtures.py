@@ -154,17 +154,18 @@ def _bronze(rows: DataFrame, topic: str, at: Column, key: Column, sequence: Colu
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Created, then confirmed or cancelled, and refunded order events."""
+    """A created event for each line of an order (one where it has none), then confirmed or cancelled, and refunded events."""
     base = orders_with_lines(spark, sf_dir)
-    k, first = F.col("k"), F.get("lines", F.lit(0))
+    k = F.col("k")
     total = F.aggregate("lines", F.lit(0).cast("decimal(20,2)"), lambda a, x: (a + x["l_extendedprice"].cast("decimal(20,2)")).cast("decimal(20,2)"))
-    steps = F.array(
-        F.struct(F.lit(1).alias("n"), F.lit("order.created").alias("type")),
-        F.struct(F.lit(2).alias("n"), F.when(k % 29 == 0, "order.cancelled").otherwise("order.confirmed").alias("type")),
-        F.when(F.col("flag") == "P", F.struct(F.lit(3).alias("n"), F.lit("order.refunded").alias("type"))),
+    step = lambda n, kind, line: F.struct(F.lit(n).alias("n"), kind.alias("type"), line.cast("int").alias("line"))
+    created = F.transform(F.sequence(F.lit(1), F.greatest(F.size("lines"), F.lit(1))), lambda i: step(1, F.lit("order.created"), i))
+    later = F.array(
+        step(2, F.when(k % 29 == 0, "order.cancelled").otherwise("order.confirmed"), F.lit(1)),
+        F.when(F.col("flag") == "P", step(3, F.lit("order.refunded"), F.lit(1))),
     )
-    rows = base.withColumn("step", F.explode(F.filter(steps, lambda x: x.isNotNull())))
-    n = F.col("step.n")
+    rows = base.withColumn("step", F.explode(F.filter(F.concat(created, later), lambda x: x.isNotNull())))
+    n, line = F.col("step.n"), F.get("lines", F.col("step.line") - 1)
     return _bronze(
         rows, "orders", F.col("at") + F.make_dt_interval(hours=n - 1), k, n, F.col("step.type"),
         {
@@ -175,11 +176,12 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             "currency": F.col("currency"),
             "gross_amount": total,
             "created_at": F.date_format("at", "yyyy-MM-dd HH:mm:ss"),
-            "sku": first["l_partkey"],
-            "location_id": first["l_suppkey"] % 5,
-            "quantity": first["l_quantity"].cast("long"),
+            "sku": line["l_partkey"],
+            "location_id": line["l_suppkey"] % 5,
+            "quantity": line["l_quantity"].cast("long"),
         },
-        F.concat_ws("-", F.lit("order"), k.cast("string"), n.cast("string")), k % 3, k * 4 + n,
+        # A line's event after the first has the line in its id.
+        F.concat_ws("-", F.lit("order"), k.cast("string"), n.cast("string"), F.when(F.col("step.line") > 1, F.col("step.line").cast("string"))), k % 3, k * 64 + n * 16 + F.col("step.line"),
     )
 
 

@@ -10,52 +10,77 @@ import json
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
 class Store:
-    """A folder of versioned tables."""
+    """A folder of versioned tables. ``rows`` tells how many rows each table got when it was last written."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self.rows: dict[str, int] = {}
+        self._held: dict[tuple[str, str], list] = {}  # parts of versions; these do not change
+
+    def _write(self, df: DataFrame, table: str, version: int | str, partition_by: list[str]) -> None:
+        """Write a version's folder; its rows are counted on the way."""
+        seen = Observation()
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(self.path(table, version))
+        self.rows[table] = seen.get["rows"]
 
     def path(self, table: str, version: int | str) -> str:
         return f"{self.root}/{table}/v={version}"
 
     def write(self, df: DataFrame, table: str, version: int | str, partition_by: list[str] | None = None) -> DataFrame:
         """Write (or write again) a version and read it back; partitions are derived columns of the frame."""
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(table, version))
+        self._write(df, table, version, partition_by or [])
         return self.read(table, version, df.schema)
 
     def write_parts(self, df: DataFrame, table: str, version: int | str, by: str, before: int | str | None = None, touched: list[str] | None = None) -> DataFrame:
         """Write the partitions of a table that change, by the text column ``by``, and read the new version.
 
-        ``df`` has all rows of the partitions ``touched``, or of the whole table if there is no version before.
+        ``df`` has all rows of the partitions ``touched`` and any new ones, or the whole table if there is no version before.
         The other partitions stay in the folders of earlier versions; a row per partition in ``<table>.parts``
         says in which, so a version's folder may go only when no version that is kept names it. Adaptive
         execution splits a large partition over tasks and puts small ones together.
         """
-        df.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(by).parquet(self.path(table, version))
+        self._write(df.hint("rebalance", F.col(by)), table, version, [by])
         named = self.spark.read.schema(df.schema).parquet(self.path(table, version)).select(F.col(by).alias("part")).distinct().withColumn("version", F.lit(str(version)))
         if before is not None:
             named = named.unionByName(self.parts(table, before).where(~F.col("part").isin(touched)).select("part", "version"))
         # A row without a partition keeps the types of a table that has no rows.
         types = self.spark.createDataFrame([(None, None)], "part string, version string").unionByName(named).withColumn("schema", F.lit(df.schema.json()))
         types.coalesce(1).write.mode("overwrite").parquet(self.path(f"{table}.parts", version))
+        self._held.pop((table, str(version)), None)
         return self.read(table, f"{version}@{by}")
 
     def parts(self, table: str, version: int | str) -> DataFrame:
         """The partitions of a version and the versions whose folders hold them."""
         return self.spark.read.schema("part string, version string, schema string").parquet(self.path(f"{table}.parts", str(version).split("@")[0]))
 
+    def held(self, table: str, version: int | str) -> list:
+        """The rows of ``parts``, one a partition, read once."""
+        key = (table, str(version).split("@")[0])
+        if key not in self._held:
+            self._held[key] = self.parts(*key).collect()
+        return self._held[key]
+
+    def part_folders(self, tables: list[str]) -> DataFrame:
+        """(table, version, held): the versions in whose folders the parts of each version lie, for tables kept in parts."""
+        found = []
+        for table in tables:
+            path = f"{self.root}/{table}.parts"
+            rows = self.spark.read.schema("version string, v string").option("basePath", path).parquet(path).where("version is not null")
+            found.append(rows.select(F.lit(table).alias("table"), F.col("v").alias("version"), F.col("version").alias("held")).distinct())
+        return reduce(DataFrame.unionByName, found)
+
     def _read_parts(self, table: str, version: str, by: str) -> DataFrame:
         """A version in parts: the folders it names, filtered by partition columns, which the scan prunes."""
-        named = self.parts(table, version).collect()  # a row per partition
+        named = self.held(table, version)
         schema = StructType.fromJson(json.loads(named[0]["schema"]))
         folders: dict[str, list[str]] = {}
         for row in named:
@@ -160,6 +185,19 @@ def batch_range(bronze: DataFrame, manifest: DataFrame, start: int | None, end:
     return bronze.where((F.col("batch_id") > low) & (F.col("batch_id") <= end))
 
 
+def read_range(bronze: DataFrame, manifest: DataFrame, start: int | None = None, end: int | None = None) -> tuple[DataFrame, str]:
+    """Rows of a range of batches whose bounds may be left open, and the words by which a run records it.
+
+    Without any bound it is the table as it is; an open end reaches to the last batch at hand.
+    """
+    if start is None and end is None:
+        return bronze, "full-current-snapshot"
+    words = ",".join(f"{name}={value}" for name, value in (("start", start), ("end", end)) if value is not None)
+    if end is None:
+        end = manifest.agg(F.max("batch_id")).first()[0] or start
+    return batch_range(bronze, manifest, start, end), words
+
+
 def date_range(events: DataFrame, first, last, column: str = "occurred_at", most_days: int = 31) -> DataFrame:
     """Events of the dates first to last, both included; at most ``most_days`` wide."""
     days = (last - first).days
@@ -197,10 +235,11 @@ def difference_count(a: DataFrame, b: DataFrame) -> DataFrame:
     return found.where("_low = _high").agg(F.count(F.lit(1)).alias("differences"))
 
 
-def droppable_versions(versions: DataFrame, publications: DataFrame, now: Column, last: int = 10, days: int = 30) -> DataFrame:
-    """Versions (table, version) that no protected publication names.
+def droppable_versions(versions: DataFrame, publications: DataFrame, now: Column, last: int = 10, days: int = 30, parts: DataFrame | None = None) -> DataFrame:
+    """Versions (table, version) that no protected publication names, and in whose folders no part of a named version lies.
 
     Protected are, per pipeline, the head, the last ``last`` publications and those of the last ``days`` days.
+    ``parts`` has table, version and held: the version whose folder holds a part of it (``Store.part_folders``).
     ``publications`` has pipeline, sequence, published_at, table and version. Ranks are a filter of their own,
     so that each task sends only its last publications of a pipeline (up to the session's
     windowGroupLimitThreshold of 1,000), however many the pipeline has.
@@ -210,4 +249,23 @@ def droppable_versions(versions: DataFrame, publications: DataFrame, now: Column
     recent = documents.withColumn("_place", place).where(F.col("_place") <= last).drop("_place")
     kept = recent.unionByName(documents.where(F.col("published_at") >= now - F.make_dt_interval(days=F.lit(days))))
     named = publications.join(kept.select("pipeline", "sequence"), ["pipeline", "sequence"], "left_semi").select("table", "version").distinct()
+    if parts is not None:
+        held = parts.join(named, ["table", "version"], "left_semi").select("table", F.col("held").alias("version"))
+        named = named.unionByName(held).distinct()
     return versions.join(named, ["table", "version"], "left_anti")
+
+
+def numbered(df: DataFrame, store: Store, table: str, version: int | str, start: int, name: str = "number") -> DataFrame:
+    """Rows written as a version, numbered from ``start`` without gaps.
+
+    Each task counts its own rows while it writes; a task's first number is the sum of the tasks before it, of
+    which there is one small row each. No row is moved.
+    """
+    placed = store.write(df.withColumn("_place", F.monotonically_increasing_id()), table, version)
+    task = F.shiftright("_place", 33)
+    counts = placed.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    first = placed.groupBy(task.alias("_task")).agg(F.min("_place").alias("_first"))
+    rows = placed.withColumn("_task", task).join(starts.join(first, "_task"), "_task")
+    return rows.withColumn(name, F.col("_start") + F.col("_place") - F.col("_first") + start).drop("_place", "_task", "_start", "_first")

@@ -288,11 +288,13 @@ def test_stream_restart_adds_nothing(spark, tmp_path):
             assert spark.read.parquet(f"{out}/accepted").count() == n and spark.read.parquet(f"{out}/quarantined").count() == 1
 
 
-def test_droppable_versions_of_every_order(spark):
+def test_droppable_versions_of_every_order(spark, tmp_path):
     """Every order a publication of one of three pipelines, one of which has most; each task sends few rows of a pipeline."""
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_orderdate", F.when(F.col("o_orderkey") % 10 > 1, "p2").otherwise(F.concat(F.lit("p"), F.col("o_orderkey") % 2)).alias("pipeline"))
     named = orders.select("pipeline", F.col("o_orderkey").alias("sequence"), F.col("o_orderdate").cast("timestamp").alias("published_at"), F.explode(F.array(F.lit("a"), F.lit("b"))).alias("table"))
-    named = named.withColumn("version", F.when(F.col("table") == "a", F.col("sequence")).otherwise(F.floor(F.col("sequence") / 20))).localCheckpoint()
+    named = named.withColumn("version", F.when(F.col("table") == "a", F.col("sequence")).otherwise(F.floor(F.col("sequence") / 20)))
+    named.write.parquet(str(tmp_path / "named"))
+    named = spark.read.parquet(str(tmp_path / "named"))
     rows = [(r["pipeline"], r["sequence"], r["published_at"], (r["table"], r["version"])) for r in named.collect()]
     since = datetime(2001, 7, 1)
     got = versions.droppable_versions(named.select("table", "version").distinct(), named, F.lit(datetime(2001, 7, 11)), last=5, days=10)
