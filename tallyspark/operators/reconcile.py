@@ -156,14 +156,25 @@ def evidence_findings(acknowledged: DataFrame, bronze: DataFrame) -> DataFrame:
 MISSED_AFTER, URGENT_AFTER, URGENT_AMOUNT = 30, 120, 100
 
 
+def unclashed(events: DataFrame, content: list[str], event_id: str = "last_event_id") -> DataFrame:
+    """Events of which all copies agree in ``content``, each once; of an id with differing copies none is trusted."""
+    row = F.struct(*[F.col(c) for c in content])
+    each = events.groupBy(event_id).agg(F.min(row).alias("_low"), F.max(row).alias("_high"), F.min(F.struct(*[c for c in events.columns if c != event_id])).alias("_row"))
+    return each.where(F.col("_low").eqNullSafe(F.col("_high"))).select(event_id, "_row.*")
+
+
 def payment_findings(orders: DataFrame, payments: DataFrame, cutoff: Column) -> DataFrame:
     """At most one finding per confirmed order, as of ``cutoff``: currency mismatch, then missing capture, then amount mismatch.
 
-    ``orders`` are current states, ``payments`` the events of payments (entity_events). Events after the cutoff
-    are not looked at. Of each payment the latest capture or reversal counts, whatever authorisations follow;
+    ``orders`` are current states, ``payments`` the events of payments (entity_events), with ``received_at`` if
+    their receipt is known. Events that occurred or were received after the cutoff are not looked at, and neither are
+    events that come in differing copies (``unclashed``). Of each payment the latest capture or reversal counts, whatever authorisations follow;
     active captures are summed by currency. An order without amount needs no capture.
     """
-    moved = payments.where(F.col("status").isin("CAPTURED", "REVERSED") & (F.col("updated_at") <= cutoff))
+    seen = F.col("updated_at") <= cutoff
+    if "received_at" in payments.columns:
+        seen = seen & (F.col("received_at") <= cutoff)
+    moved = payments.where(F.col("status").isin("CAPTURED", "REVERSED") & seen)
     last = latest(moved.select("payment_id", "order_id", "currency", "amount", "status", "updated_at", "source_offset", "last_event_id"), ["payment_id"], [F.col(c) for c in ("updated_at", "source_offset", "last_event_id")])
     sums = last.where("status = 'CAPTURED'").groupBy("order_id", "currency").agg(F.sum("amount").cast("decimal(38,2)").alias("paid"))
     of_order = sums.groupBy("order_id").agg(F.map_from_entries(F.collect_list(F.struct("currency", "paid"))).alias("paid"))

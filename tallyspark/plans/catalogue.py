@@ -470,6 +470,41 @@ def payment_state_mismatches(spark, sf):
     return reconcile.event_state_mismatches(rows, held, "payment_id", [F.col(c) for c in conform.ENTITIES["payments"].rank])
 
 
+@query
+def payment_evidence(spark, sf):
+    """Findings where some captures came twice alike, some in differing copies, and some were received after the cutoff."""
+    state = conform.conform_orders(bronze(spark, sf, "order_events"))
+    rows = conform.entity_events(bronze(spark, sf, "payment_events"), "payments")
+    k = F.col("order_id").cast("long")
+    cutoff = F.lit("2001-08-01 01:20:00").cast("timestamp")
+    late = rows.withColumn("received_at", F.when(k % 67 == 0, F.lit("2001-08-02").cast("timestamp")).otherwise(F.col("updated_at")))
+    copies = late.where(k % 19 == 0).withColumn("source_offset", F.col("source_offset") + 2)
+    clashing = late.where((k % 61 == 0) & (F.col("status") == "CAPTURED")).withColumn("amount", (F.col("amount") + 5).cast("decimal(20,2)"))
+    trusted = reconcile.unclashed(late.unionByName(copies).unionByName(clashing), ["payment_id", "order_id", "currency", "amount", "status", "updated_at"])
+    return reconcile.payment_findings(state, trusted, cutoff)
+
+
+@query
+def order_state_mismatches(spark, sf):
+    """Orders whose conformed state is not that of their last event, after every 53rd state was lost and every 59th changed."""
+    rows = conform.entity_events(bronze(spark, sf, "order_events"), "orders")
+    k = F.col("order_id").cast("long")
+    held = conform.conform_orders(bronze(spark, sf, "order_events")).where(k % 53 != 0).withColumn("status", F.when(k % 59 == 0, "LOST").otherwise(F.col("status")))
+    return reconcile.event_state_mismatches(rows, held, "order_id", [F.col(c) for c in conform.ENTITIES["orders"].rank])
+
+
+@query
+def differing_orders(spark, sf):
+    """Keys of orders that two versions of a table do not hold alike, by digests of buckets kept beside the versions."""
+    store = Store(spark, workspace(spark, "digests"))
+    rows = fixtures.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(20,2)").alias("price"))
+    k = F.col("o_orderkey")
+    store.write(rows, "orders", 1)
+    store.write(rows.where(k % 997 != 0).withColumn("price", F.when(k % 991 == 0, F.lit(1).cast("decimal(20,2)")).otherwise(F.col("price"))), "orders", 2)
+    kept = tuple(versions.kept_digests(store, "orders", v, ["o_orderkey"], rows.columns, 4096) for v in (1, 2))
+    return versions.differing_keys(store.read("orders", 1), store.read("orders", 2), ["o_orderkey"], kept, 4096)
+
+
 @query
 def topic_positions(spark, sf):
     return events.retained_messages(bronze(spark, sf, "raw_event_stream"))

@@ -212,6 +212,15 @@ ORACLE_SQL: dict[str, str] = {
     "CASE WHEN k % 53 <> 0 THEN 'LOST' END AS status FROM po WHERE k % 53 = 0 OR k % 59 = 0",
     "newest_errors": f"{_RAW} SELECT t AS topic, p AS partition, o AS \"offset\", strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, CASE WHEN e % 41 = 0 THEN 20 ELSE 25 END::BIGINT AS bytes, e % 41 <> 0 AS truncated FROM rw WHERE t = 'error' ORDER BY ts DESC, o DESC, p LIMIT 50",
     "ingest_latency_approximate": "SELECT true AS p50_ms, true AS p95_ms",
+    "payment_evidence": f"WITH {_LINES}, {_ORDERS}, {_TOTALS}, ct AS (SELECT TIMESTAMP '2001-08-01 01:20:00' AS cut), "
+    "c AS (SELECT k, currency, coalesce(total, 0)::DECIMAL(20,2) AS total, date_diff('minute', placed + INTERVAL 1 HOUR, cut) AS age, k % 43 <> 0 AND flag <> 'O' AND placed + INTERVAL 2 HOUR <= cut AND k % 61 <> 0 AND k % 67 <> 0 AS cap, "
+    "CASE WHEN k % 47 = 0 THEN 'GBP' ELSE currency END AS pc FROM po CROSS JOIN ct LEFT JOIN tt ON l_orderkey = k WHERE flag <> 'P' AND k % 29 <> 0 AND placed + INTERVAL 1 HOUR <= cut), "
+    "h AS (SELECT *, CASE WHEN cap AND pc = currency THEN total + CASE WHEN k % 41 = 0 THEN 1 ELSE 0 END END AS paid FROM c), "
+    "f AS (SELECT *, CASE WHEN cap AND pc <> currency THEN 'CURRENCY_MISMATCH' WHEN NOT cap AND total > 0 AND age >= 30 THEN 'MISSING_CAPTURE' WHEN paid <> total THEN 'AMOUNT_MISMATCH' END AS finding FROM h) "
+    "SELECT CAST(k AS VARCHAR) AS order_id, currency, CAST(total AS DOUBLE) AS gross_amount, CAST(paid AS DOUBLE) AS paid_amount, finding, "
+    "CASE WHEN finding = 'CURRENCY_MISMATCH' OR (finding = 'MISSING_CAPTURE' AND age >= 120) OR (finding = 'AMOUNT_MISMATCH' AND abs(paid - total) >= 100) THEN 'HIGH' ELSE 'NORMAL' END AS priority FROM f WHERE finding IS NOT NULL",
+    "order_state_mismatches": f"{_STATE} SELECT order_id, status AS event_status, CASE WHEN order_id::BIGINT % 53 <> 0 THEN 'LOST' END AS status FROM so WHERE order_id::BIGINT % 53 = 0 OR order_id::BIGINT % 59 = 0",
+    "differing_orders": "SELECT o_orderkey FROM orders WHERE o_orderkey % 997 = 0 OR (o_orderkey % 991 = 0 AND CAST(o_totalprice AS DECIMAL(20,2)) <> 1)",
     "topic_positions": f"{_RAW} SELECT t AS topic, count(*) AS partitions, CAST(sum(h - l) AS BIGINT) AS messages FROM (SELECT t, p, min(o) AS l, max(o) + 1 AS h FROM rw GROUP BY 1, 2) GROUP BY 1",
     "events_per_topic": f"{_RAW} SELECT t AS source_topic, count(*) AS events FROM jd WHERE err IS NULL GROUP BY 1",
     "ingest_latency": f"{_BASE}, d AS (SELECT 172800000 + CASE WHEN k % 14 = 0 AND version = 2 THEN -3600000 ELSE version * 3600000 END + (delivery - 1) * 3600000 AS ms FROM dl) SELECT quantile_cont(ms, 0.5)::DOUBLE AS p50_ms, quantile_cont(ms, 0.95)::DOUBLE AS p95_ms FROM d",

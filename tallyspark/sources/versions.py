@@ -10,6 +10,7 @@ import json
 from functools import reduce
 from math import ceil
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -218,7 +219,7 @@ def compact(store: Store, table: str, version: int | str, new_version: int | str
 
 def row_digest(df: DataFrame, columns: list[str]) -> tuple:
     """Number of rows, and two sums of row hashes, which don't depend on the order of rows. One pass, one row."""
-    cells = [F.to_json(F.struct(F.col(f"`{c}`"))) if t.startswith("map") else F.col(f"`{c}`") for c, t in df.select(*[f"`{c}`" for c in columns]).dtypes]
+    cells = _cells(df, columns)
     h = lambda seed: F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)"))
     return tuple(df.agg(F.count(F.lit(1)), h(1), h(2)).first())
 
@@ -235,6 +236,54 @@ def difference_count(a: DataFrame, b: DataFrame) -> DataFrame:
     return found.where("_low = _high").agg(F.count(F.lit(1)).alias("differences"))
 
 
+#: Buckets of keys of which each has a digest.
+BUCKETS = 256
+
+
+def _cells(df: DataFrame, columns: list[str]) -> list[Column]:
+    return [F.to_json(F.struct(F.col(f"`{c}`"))) if t.startswith("map") else F.col(f"`{c}`") for c, t in df.select(*[f"`{c}`" for c in columns]).dtypes]
+
+
+def _hashed(df: DataFrame, keys: list[str], columns: list[str], buckets: int) -> DataFrame:
+    """The keys of each row with their bucket and two hashes of the row."""
+    cells = _cells(df, columns)
+    return df.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket"), F.xxhash64(F.lit(1), *cells).alias("h1"), F.xxhash64(F.lit(2), *cells).alias("h2"))
+
+
+def bucket_digests(df: DataFrame, keys: list[str], columns: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """Per bucket of keys the number of rows and sums of row hashes, whatever the order of rows."""
+    total = lambda c: F.sum(F.col(c).cast("decimal(38,0)")).alias(c)
+    return _hashed(df, keys, columns, buckets).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), total("h1"), total("h2"))
+
+
+def kept_digests(store: Store, table: str, version: int | str, keys: list[str], columns: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """The digests of a table version, computed when first asked for and kept beside it."""
+    path = store.path(f"{table}.digests", f"{version}-{buckets}-{'-'.join(keys)}")
+    schema = "bucket int, n long, h1 decimal(38,0), h2 decimal(38,0)"
+    try:
+        found = store.spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        bucket_digests(store.read(table, version), keys, columns, buckets).coalesce(1).write.mode("overwrite").parquet(path)
+        found = store.spark.read.schema(schema).parquet(path)
+    return found
+
+
+def differing_keys(a: DataFrame, b: DataFrame, keys: list[str], digests: tuple[DataFrame, DataFrame] | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Keys under which two frames do not hold the same rows as often; rows of buckets with equal digests are not compared.
+
+    ``digests`` are those of both frames, if they are at hand (kept_digests); then no row of an equal bucket is read either.
+    """
+    columns = a.columns
+    one, two = digests or (bucket_digests(a, keys, columns, buckets), bucket_digests(b, keys, columns, buckets))
+    sides = one.withColumn("_s", F.lit(1)).unionByName(two.withColumn("_s", F.lit(2)))
+    off = sides.groupBy("bucket", "n", "h1", "h2").agg(F.count(F.lit(1)).alias("c")).where("c < 2").select("bucket").distinct()
+    numbers = [r["bucket"] for r in off.collect()]  # as many as there are buckets
+    rows = [_hashed(df, keys, columns, buckets).where(F.col("bucket").isin(numbers)).withColumn("_s", F.lit(s)) for df, s in ((a, 1), (b, -1))]
+    sign = lambda c: F.sum(F.col("_s") * F.col(c).cast("decimal(38,0)")) != 0
+    met = rows[0].unionByName(rows[1]).groupBy(*keys).agg(F.sum("_s").alias("n"), sign("h1").alias("x"), sign("h2").alias("y"))
+    return met.where("n <> 0 or x or y").select(*keys)
+
+
 def droppable_versions(versions: DataFrame, publications: DataFrame, now: Column, last: int = 10, days: int = 30, parts: DataFrame | None = None) -> DataFrame:
     """Versions (table, version) that no protected publication names, and in whose folders no part of a named version lies.
 
