@@ -37,16 +37,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     of their own. Rows that agree in every column are one document if their text has words; without words they
     belong to no group and all stay.
     """
-    named = docs.withColumn("_row", F.struct("doc_id", F.xxhash64(*docs.columns).alias("hash")))
-    found = table(minhash.near_duplicates(named.select("_row", "text"), words=5, percent=80, id_column="_row"), "near")
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    named = docs.withColumn(row, F.struct("doc_id", F.xxhash64(*docs.columns).alias("hash")))
+    found = table(minhash.near_duplicates(named.select(row, "text"), words=5, percent=80, id_column=row), "near")
     gone = found.where("not kept").select(F.col("doc_id.doc_id").alias("id"), F.col("doc_id.hash").alias("hash")).distinct()
     again = found.where("kept and n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id.doc_id").alias("id"), F.col("doc_id.hash").alias("hash"))
-    same = lambda x: named["_row.doc_id"].eqNullSafe(x["id"]) & (named["_row.hash"] == x["hash"])
+    same = lambda x: named[row]["doc_id"].eqNullSafe(x["id"]) & (named[row]["hash"] == x["hash"])
     kept = named.join(gone, same(gone), "left_anti")
     again = table(again, "repeated-rows")
     if again.isEmpty():
         return kept.select(docs.columns)
-    once = kept.join(again, same(again), "left_semi").groupBy("_row").agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    once = kept.join(again, same(again), "left_semi").groupBy(row).agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in docs.columns])
     return kept.join(again, same(again), "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
 
 
