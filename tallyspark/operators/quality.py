@@ -77,10 +77,6 @@ def unique(frame: DataFrame, columns: list[str]) -> Check:
     return run_gates(frame, {"unique": columns})[0]
 
 
-def accepted_values(frame: DataFrame, column: str, values) -> Check:
-    return run_gates(frame, {"values": {column: sorted(values)}})[0]
-
-
 def non_negative(frame: DataFrame, column: str) -> Check:
     return run_gates(frame, {"non_negative": [column]})[0]
 

@@ -359,9 +359,8 @@ def history_overlaps(spark, sf):
 @query
 def event_routing(spark, sf):
     routed = conform.route(conform.decode_json(bronze(spark, sf, "raw_event_stream")), "run")
-    good = routed.accepted.select("source_topic", F.lit("ACCEPTED").alias("code"))
-    bad = routed.quarantined.select("source_topic", F.col("error_code").alias("code"))
-    return good.unionByName(bad).groupBy("source_topic", "code").agg(F.count(F.lit(1)).alias("events"))
+    place = ["source_topic", "source_partition", "source_offset"]
+    return routed.accepted.select(*place, F.lit("ACCEPTED").alias("code")).unionByName(routed.quarantined.select(*place, F.col("error_code").alias("code")))
 
 
 @query
@@ -382,7 +381,7 @@ def framed_events(spark, sf):
     records = bronze(spark, sf, "raw_event_stream")
     framed = F.concat(F.unhex(F.lit("00")), F.unhex(F.lpad(F.hex((F.col("offset") % 3 + 1).cast("int")), 8, "0")), F.col("value"))
     split = conform.split_frame(records.withColumn("value", F.when(F.col("offset") % 13 == 0, F.col("value")).otherwise(framed)))
-    return split.groupBy("topic", "framed", "schema_id").agg(F.count(F.lit(1)).alias("events"))
+    return split.select("topic", "offset", "framed", "schema_id")
 
 
 @query
@@ -407,13 +406,13 @@ def quality_report(spark, sf):
 
 @query
 def upsert_guarded(spark, sf):
-    """Orders by status: created states first, then all events upserted under the version guard, then late ones again."""
+    """Order states: created ones first, then all events upserted under the version guard, then late ones again."""
     rows = bronze(spark, sf, "order_events")
     keys, guard = jobs.ENTITIES["orders"]
     first = conform.conform_orders(rows.where("producer_sequence = 1"))
     rest = conform.conform_orders(rows.where("producer_sequence > 1"))
     state = versions.upsert_newer(versions.upsert_newer(first, rest, keys, guard), conform.conform_orders(rows.where("producer_sequence = 2")), keys, guard)
-    return state.groupBy("status", "currency").agg(F.count(F.lit(1)).alias("orders"), F.sum("gross_amount").cast("decimal(38,2)").alias("gross_amount"))
+    return state.select("order_id", "status", "currency", "gross_amount", "updated_at")
 
 
 @query
@@ -421,7 +420,7 @@ def insert_absent(spark, sf):
     """Orders of even keys, then all orders inserted where absent with another status."""
     state = conform.conform_orders(bronze(spark, sf, "order_events")).select("order_id", "status", "currency")
     even = state.where(F.col("order_id").cast("long") % 2 == 0)
-    return versions.insert_absent(even, state.withColumn("status", F.lit("ADDED")), ["order_id"]).groupBy("status").agg(F.count(F.lit(1)).alias("orders"))
+    return versions.insert_absent(even, state.withColumn("status", F.lit("ADDED")), ["order_id"])
 
 
 @query
@@ -432,7 +431,7 @@ def replace_groups(spark, sf):
     before = purchases.purchase_items(purchases.latest_purchases(good.where("version = 1")))
     second = good.where("version = 2")
     after = versions.replace_groups(before, purchases.purchase_items(purchases.latest_purchases(second)), second.select("order_key"), ["order_key"])
-    return after.groupBy("currency", "version").agg(F.count(F.lit(1)).alias("lines"), F.countDistinct("order_key").alias("orders"), F.sum("gross_amount").cast("decimal(38,2)").alias("gross_amount"))
+    return after.select("order_key", "version", "line_id", "product_key", "quantity", "gross_amount", "net_amount")
 
 
 @query
@@ -442,7 +441,7 @@ def group_changes(spark, sf):
     before = purchases.purchase_items(purchases.latest_purchases(good.where("version = 1")))
     second = good.where("version = 2")
     change = versions.group_changes(before, purchases.purchase_items(purchases.latest_purchases(second)), second.select("order_key"), ["order_key"], ["order_key", "line_id"])
-    return change.groupBy(F.col("_remove").cast("int").alias("removed")).agg(F.count(F.lit(1)).alias("lines"))
+    return change.select("order_key", "line_id", F.col("_remove").alias("removed"))
 
 
 @query
@@ -678,7 +677,7 @@ def evidence_check(spark, sf):
 
 @query
 def retail_lines(spark, sf):
-    return retail.classify(bronze(spark, sf, "retail_lines")).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+    return retail.classify(bronze(spark, sf, "retail_lines")).select("row_id", "reason")
 
 
 @query
@@ -837,8 +836,9 @@ def backfill_range(spark, sf):
     """Orders of one month conformed again into a candidate that passes its gates."""
     rows = bronze(spark, sf, "order_events")
     store = Store(spark, workspace(spark, "backfill"))
-    out = jobs.backfill(store, rows, conform.conform_orders(rows.where("producer_sequence = 1")), date(2000, 3, 1), date(2000, 3, 31), 1)
-    return out.groupBy("status").agg(F.count(F.lit(1)).alias("orders"))
+    before = store.write(conform.conform_orders(rows.where("producer_sequence = 1")), "orders", "published")
+    out = jobs.backfill(store, rows, before, date(2000, 3, 1), date(2000, 3, 31), 1)
+    return out.select("order_id", "status", "gross_amount")
 
 
 @query

@@ -131,7 +131,9 @@ def refresh_customers(run: Run, items: DataFrame, customers: DataFrame, months:
     start = known.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0] if known is not None else 0
 
     def bitmaps():
-        run.added("customer_numbers", numbered(new, run.store, "new_customers", run.sequence, start))
+        rows = numbered(new, run.store, "new_customers", run.sequence, start)
+        if run.head is None or run.store.rows["new_customers"]:
+            run.added("customer_numbers", rows)
         refresh_bitmaps(run, daily, months, as_of)
 
     sums = lambda: run.parts("customer_monthly", marts.monthly(daily, "customer_key").withColumn(MONTH, in_month("first_day")), MONTH, months)
@@ -329,11 +331,6 @@ def accepted_by_range(bronze: DataFrame, bounds: list[int]) -> DataFrame:
     return purchases.latest(found, ["order_key"], [F.col("version"), -F.col("_range")]).drop("_range")
 
 
-def full_marts(bronze: DataFrame, as_of: date) -> dict[str, DataFrame]:
-    """The marts recomputed from all snapshot events."""
-    return marts_of(purchases.latest_purchases(purchases.accepted_purchases(purchases.purchase_changes(bronze))), as_of)
-
-
 def marts_of(orders: DataFrame, as_of: date) -> dict[str, DataFrame]:
     """The marts of the accepted state of all orders."""
     items = purchases.purchase_items(orders)

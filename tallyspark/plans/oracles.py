@@ -185,7 +185,7 @@ ORACLE_SQL: dict[str, str] = {
     "customer_history": f"{_HISTORY} SELECT customer_id, email_token, country, customer_tier, is_deleted, {_time('valid_from', 'valid_from')}, source_event_id, source_lsn, {_time('valid_to', 'valid_to')}, valid_to IS NULL AS is_current FROM hi",
     "history_overlaps": f"{_HISTORY}, mo AS (SELECT * REPLACE (CASE WHEN source_lsn % 5 = 0 THEN valid_to + INTERVAL 2 DAY ELSE valid_to END AS valid_to) FROM hi) "
     "SELECT r.customer_id, strftime(r.valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from, r.source_event_id FROM mo r WHERE EXISTS (SELECT 1 FROM mo l WHERE l.customer_id = r.customer_id AND l.valid_from < r.valid_from AND (l.valid_to IS NULL OR r.valid_from < l.valid_to))",
-    "event_routing": f"{_RAW} SELECT t AS source_topic, coalesce(err, 'ACCEPTED') AS code, count(*) AS events FROM jd GROUP BY 1, 2",
+    "event_routing": f"{_RAW} SELECT t AS source_topic, p AS source_partition, o AS source_offset, coalesce(err, 'ACCEPTED') AS code FROM jd",
     "quarantined_events": f"{_RAW} SELECT t AS source_topic, p AS source_partition, o AS source_offset, err AS error_code, CASE WHEN e % 41 = 0 THEN "
     "'DESERIALIZATION_FAILED,EVENT_ID_MISSING,EVENT_TYPE_MISSING,OCCURRED_AT_INVALID,PARTITION_KEY_MISSING,PAYLOAD_MISSING' ELSE 'OCCURRED_AT_INVALID' END AS error_details, 'PENDING' AS remediation_status FROM jd WHERE err IS NOT NULL",
     "quality_flags": f"{_RAW} SELECT 'event-' || lpad(CAST(e AS VARCHAR), 8, '0') AS event_id, o AS source_offset, unnest(list_filter([CASE WHEN e % 67 = 0 THEN 'INVALID_CURRENCY' END, CASE WHEN e % 59 = 0 THEN 'PRODUCED_BEFORE_OCCURRED' END, "
@@ -194,10 +194,10 @@ ORACLE_SQL: dict[str, str] = {
     + ", ".join(f"(SELECT sum(CASE WHEN order_id::BIGINT % 73 = 0 THEN 2 ELSE 1 END) FROM so WHERE order_id::BIGINT % {m} = 0)" for m in (83, 89, 79))
     + ", (SELECT count(*) FROM so WHERE order_id::BIGINT % 73 = 0)]) AS n) UNION ALL SELECT 'shipments', unnest(['shipment_id_not_null', 'order_id_not_null', 'status_domain', 'shipment_id_unique']), 0 "
     "UNION ALL SELECT 'customers', unnest(['customer_id_not_null', 'valid_from_not_null', 'customer_id_valid_from_unique', 'exactly_one_current_row', 'non_overlapping_intervals']), 0",
-    "upsert_guarded": f"{_STATE} SELECT status, currency, count(*) AS orders, CAST(sum(gross_amount) AS DOUBLE) AS gross_amount FROM so GROUP BY 1, 2",
-    "insert_absent": f"{_STATE} SELECT CASE WHEN order_id::BIGINT % 2 = 0 THEN status ELSE 'ADDED' END AS status, count(*) AS orders FROM so GROUP BY 1",
-    "replace_groups": f"{_BASE} SELECT currency, {_long('version')}, count(*) AS lines, count(DISTINCT order_key) AS orders, CAST(sum(gross_amount) AS DOUBLE) AS gross_amount FROM im GROUP BY ALL",
-    "group_changes": f"{_BASE} SELECT CAST(l_linenumber = 1 AS BIGINT) AS removed, count(*) AS lines FROM po JOIN ln ON l_orderkey = k WHERE k % 7 = 0 AND status IN ('CONFIRMED', 'REFUNDED') AND k NOT IN (SELECT k FROM rj) GROUP BY 1",
+    "upsert_guarded": f"{_STATE} SELECT order_id, status, currency, {_double('gross_amount')}, {_time('updated_at', 'updated_at')} FROM so",
+    "insert_absent": f"{_STATE} SELECT order_id, CASE WHEN order_id::BIGINT % 2 = 0 THEN status ELSE 'ADDED' END AS status, currency FROM so",
+    "replace_groups": f"{_BASE} SELECT order_key, {_long('version')}, line_id, product_key, quantity, {_double('gross_amount', 'net_amount')} FROM im",
+    "group_changes": f"{_BASE} SELECT order_key, CAST(line_id AS VARCHAR) AS line_id, l_linenumber = 1 AS removed FROM po JOIN ln ON l_orderkey = k WHERE k % 7 = 0 AND status IN ('CONFIRMED', 'REFUNDED') AND k NOT IN (SELECT k FROM rj)",
     "payment_findings": f"WITH {_LINES}, {_ORDERS}, {_TOTALS}, ct AS (SELECT TIMESTAMP '2001-08-01 01:20:00' AS cut), "
     "c AS (SELECT k, currency, placed, cut, coalesce(total, 0)::DECIMAL(20,2) AS total, k % 43 <> 0 AND flag <> 'O' AND placed + INTERVAL 2 HOUR <= cut AS cap, CASE WHEN k % 47 = 0 THEN 'GBP' ELSE currency END AS pc "
     "FROM po CROSS JOIN ct LEFT JOIN tt ON l_orderkey = k WHERE flag <> 'P' AND k % 29 <> 0 AND placed + INTERVAL 1 HOUR <= cut), "
@@ -233,7 +233,7 @@ ORACLE_SQL: dict[str, str] = {
     "evidence_check": "SELECT event_id, finding FROM (SELECT event_id, unnest(list_filter([CASE WHEN event_id % 101 = 0 AND event_id % 113 <> 0 THEN 'MISSING' END, CASE WHEN event_id % 101 <> 0 AND event_id % 113 = 0 THEN 'UNEXPECTED' END, "
     "CASE WHEN ok AND event_id % 109 = 0 THEN 'REPEATED' END, CASE WHEN ok AND event_id % 103 = 0 THEN 'CHANGED' END, CASE WHEN ok AND event_id % 107 = 0 AND event_id <> 0 THEN 'POSITION_UNKNOWN' END], lambda x: x IS NOT NULL)) AS finding "
     "FROM (SELECT event_id, event_id % 101 <> 0 AND event_id % 113 <> 0 AS ok FROM events))",
-    "retail_lines": f"{_RETAIL} SELECT reason, count(*) AS lines FROM rl GROUP BY 1",
+    "retail_lines": f"{_RETAIL} SELECT k || '-' || line_id AS row_id, reason FROM rl",
     "retail_orders": f"{_RETAIL} SELECT lpad(CAST(k AS VARCHAR), 6, '0') AS order_id, CASE WHEN customer % 50 <> 0 THEN substr(sha256(CAST(customer AS VARCHAR)), 1, 20) END AS customer_id, country, "
     "strftime(placed - CASE WHEN placed >= s AND placed < e THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END, '%Y-%m-%d %H:%M:%S') AS purchased_at, lines, CAST(amount AS DOUBLE) AS amount FROM ("
     "SELECT *, (date_trunc('month', make_date(year(placed), 3, 31)) + INTERVAL 30 DAY - ((dayofweek(make_date(year(placed), 3, 31))) * INTERVAL 1 DAY) + INTERVAL 1 HOUR) AS s, "
@@ -241,7 +241,7 @@ ORACLE_SQL: dict[str, str] = {
     "retail_report": f"{_RETAIL} SELECT 'lines_' || reason AS measure, count(*) AS n FROM rl GROUP BY 1 UNION ALL SELECT CASE WHEN heads > 1 THEN 'invoices_conflicting_headers' ELSE 'invoices_published' END, count(*) FROM iv GROUP BY 1 "
     "UNION ALL SELECT 'lines_published', CAST(coalesce(sum(lines), 0) AS BIGINT) FROM iv WHERE heads = 1",
     "skew_join": "SELECT p_brand AS brand, count(*) AS rows, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total FROM lineitem JOIN part ON p_partkey = CASE WHEN (l_orderkey * 7 + l_linenumber) % 5 > 0 THEN 1 ELSE l_partkey END GROUP BY 1",
-    "backfill_range": f"{_STATE} SELECT CASE WHEN updated_at::DATE BETWEEN DATE '2000-03-01' AND DATE '2000-03-31' THEN status ELSE 'CREATED' END AS status, count(*) AS orders FROM so GROUP BY 1",
+    "backfill_range": f"{_STATE} SELECT order_id, CASE WHEN updated_at::DATE BETWEEN DATE '2000-03-01' AND DATE '2000-03-31' THEN status ELSE 'CREATED' END AS status, {_double('gross_amount')} FROM so",
     "incremental_equals_full": "SELECT unnest(['purchase_items', 'customer_daily', 'customer_profiles', 'product_daily', 'customer_cohorts']) AS \"table\", 0::BIGINT AS differences, 5::BIGINT AS publications",
     "payload_violations": f"WITH {_CREATED} SELECT rule, CAST(n AS BIGINT) AS events FROM (SELECT 'ORDER_CURRENCY' AS rule, {_EVENTS_OF.format('o_orderkey % 97 = 0')} AS n "
     f"UNION ALL SELECT 'ORDER_REQUIRED', {_EVENTS_OF.format('o_orderkey % 89 = 0')} "
@@ -253,8 +253,8 @@ ORACLE_SQL: dict[str, str] = {
     "CAST(CAST(count(*) FILTER (status = 'CANCELLED') / count(*) AS DECIMAL(12,6)) AS DOUBLE) AS cancellation_rate FROM so GROUP BY 1, 2, 3, 4 ORDER BY 1 DESC, 2, 3, 4 LIMIT 100",
     "product_page": f"{_DAILY} SELECT product_key, CAST(sum(orders) AS BIGINT) AS orders, CAST(sum(units) AS BIGINT) AS units, CAST(sum(returned_units) AS BIGINT) AS returned_units, CAST(sum(gross_amount) AS DOUBLE) AS gross_amount, CAST(sum(net_amount) AS DOUBLE) AS net_amount "
     f"FROM pd WHERE currency = 'EUR' AND product_key > 'shop:1' AND metric_date BETWEEN {FIRST} AND {LAST} GROUP BY 1 ORDER BY 1 LIMIT 51",
-    "framed_events": "SELECT topic, framed, schema_id, events FROM (SELECT event_type AS topic, o % 13 <> 0 AS framed, CASE WHEN o % 13 <> 0 THEN o % 3 + 1 END AS schema_id, count(*) AS events FROM ("
-    "SELECT event_type, event_id * 2 AS o FROM events UNION ALL SELECT event_type, event_id * 2 + 1 FROM events WHERE event_id % 17 = 0) GROUP BY 1, 2, 3)",
+    "framed_events": "SELECT event_type AS topic, o AS \"offset\", o % 13 <> 0 AS framed, CASE WHEN o % 13 <> 0 THEN o % 3 + 1 END AS schema_id FROM ("
+    "SELECT event_type, event_id * 2 AS o FROM events UNION ALL SELECT event_type, event_id * 2 + 1 FROM events WHERE event_id % 17 = 0)",
     "recent_events": "SELECT topic, partition, \"offset\", place FROM (SELECT event_type AS topic, user_id % 3 AS partition, o AS \"offset\", row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, o DESC, user_id % 3) AS place FROM ("
     "SELECT *, event_id * 2 AS o FROM events UNION ALL SELECT *, event_id * 2 + 1 FROM events WHERE event_id % 17 = 0)) WHERE place <= 20",
     "pipeline_health": "WITH r AS (SELECT 'pipeline-' || user_id % 5 AS pipeline, ts, event_type = 'error' AS f, event_type = 'error' AND event_id % 2 = 0 AS g, event_id % 3 AS j FROM events), "

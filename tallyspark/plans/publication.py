@@ -6,17 +6,18 @@ it was. Readers take one head and read nothing but the versions it names.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 from functools import partial
 from typing import TypeVar
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..operators.quality import GATES, GateError, enforce, run_gates
 from ..schemas import AUDIT, PUBLICATION
+from ..session import path_exists
 from ..sources.versions import Store
 
 
@@ -46,10 +47,9 @@ class Publications:
         self.store, self.path = store, f"{store.root}/publications"
 
     def all(self) -> DataFrame:
-        try:
-            return self.store.spark.read.schema(PUBLICATION).parquet(self.path)
-        except AnalysisException:
+        if not path_exists(self.store.spark, self.path):
             return self.store.spark.createDataFrame([], PUBLICATION)
+        return self.store.spark.read.schema(PUBLICATION).parquet(self.path)
 
     def head(self, pipeline: str) -> Row | None:
         """The latest document of a pipeline: one bounded control row."""
@@ -100,11 +100,13 @@ def audits(store: Store) -> DataFrame:
 def write_audit_publish(store: Store, df: DataFrame, table: str, version: int | str, publish: Callable[[str], None] | None = None, gates: dict | None = None) -> DataFrame:
     """Write a candidate, run the table's gates on what was written, and publish it; without ``publish`` it stays hidden.
 
-    A candidate is a whole new state of the table that readers see under its name alone; the published name is that of no
-    candidate before, so a version can be published once only.
+    A hidden candidate stands beside what is published, so the first write of a table must be published. A name has
+    letters, digits, dashes and underscores, and is not that of the published state.
     """
-    if not str(version).replace("-", "").replace("_", "").isalnum() or str(version) == "main":
+    if not re.fullmatch("[A-Za-z0-9_-]+", str(version)) or str(version) == "main":
         raise ValueError(f"a candidate can't be named {version!r}")
+    if publish is None and not path_exists(store.spark, f"{store.root}/{table}"):
+        raise ValueError(f"the first write of {table} must be published")
     candidate = store.write(df, table, f"candidate-{version}")
     enforce(table, run_gates(candidate, gates if gates is not None else GATES[table]))
     if publish:

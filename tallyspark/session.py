@@ -43,6 +43,20 @@ def local_session(cores: int | None = None, **conf: str) -> SparkSession:
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store its path names."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    if not path_exists(spark, folder):
+        return []
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return [f.getPath().getName() for f in found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(found)]
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder for a job's tables, in the folder that spark.checkpoint.dir names (all machines share it).
 

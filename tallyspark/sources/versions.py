@@ -10,11 +10,15 @@ import json
 from functools import reduce
 from math import ceil
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..session import names_in, path_exists
+
+
+PARTS = "part string, version string, schema string"
+
 
 class Store:
     """A folder of versioned tables. ``rows`` tells how many rows each table got when it was last written."""
@@ -50,18 +54,17 @@ class Store:
         execution splits a large partition over tasks and puts small ones together.
         """
         self._write(df.hint("rebalance", F.col(by)), table, version, [by])
-        named = self.spark.read.schema(df.schema).parquet(self.path(table, version)).select(F.col(by).alias("part")).distinct().withColumn("version", F.lit(str(version)))
-        if before is not None:
-            named = named.unionByName(self.parts(table, before).where(~F.col("part").isin(touched)).select("part", "version"))
-        # A row without a partition keeps the types of a table that has no rows.
-        types = self.spark.createDataFrame([(None, None)], "part string, version string").unionByName(named).withColumn("schema", F.lit(df.schema.json()))
-        types.coalesce(1).write.mode("overwrite").parquet(self.path(f"{table}.parts", version))
-        self._held.pop((table, str(version)), None)
+        # The folder names tell which partitions there are; a row without a partition keeps the types of a table without rows.
+        written = [n.split("=", 1)[1] for n in names_in(self.spark, self.path(table, version)) if n.startswith(f"{by}=")]
+        kept = [] if before is None else [(r["part"], r["version"]) for r in self.held(table, before) if r["part"] is not None and r["part"] not in touched]
+        rows = [(part, held, df.schema.json()) for part, held in [(None, None), *((p, str(version)) for p in written), *kept]]
+        self.spark.createDataFrame(rows, PARTS).coalesce(1).write.mode("overwrite").parquet(self.path(f"{table}.parts", version))
+        self._held[table, str(version)] = [Row(part=p, version=v, schema=s) for p, v, s in rows]
         return self.read(table, f"{version}@{by}")
 
     def parts(self, table: str, version: int | str) -> DataFrame:
         """The partitions of a version and the versions whose folders hold them."""
-        return self.spark.read.schema("part string, version string, schema string").parquet(self.path(f"{table}.parts", str(version).split("@")[0]))
+        return self.spark.read.schema(PARTS).parquet(self.path(f"{table}.parts", str(version).split("@")[0]))
 
     def held(self, table: str, version: int | str) -> list:
         """The rows of ``parts``, one a partition, read once."""
@@ -259,13 +262,9 @@ def bucket_digests(df: DataFrame, keys: list[str], columns: list[str], buckets:
 def kept_digests(store: Store, table: str, version: int | str, keys: list[str], columns: list[str], buckets: int = BUCKETS) -> DataFrame:
     """The digests of a table version, computed when first asked for and kept beside it."""
     path = store.path(f"{table}.digests", f"{version}-{buckets}-{'-'.join(keys)}")
-    schema = "bucket int, n long, h1 decimal(38,0), h2 decimal(38,0)"
-    try:
-        found = store.spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    if not path_exists(store.spark, f"{path}/_SUCCESS"):
         bucket_digests(store.read(table, version), keys, columns, buckets).coalesce(1).write.mode("overwrite").parquet(path)
-        found = store.spark.read.schema(schema).parquet(path)
-    return found
+    return store.spark.read.schema("bucket int, n long, h1 decimal(38,0), h2 decimal(38,0)").parquet(path)
 
 
 def differing_keys(a: DataFrame, b: DataFrame, keys: list[str], digests: tuple[DataFrame, DataFrame] | None = None, buckets: int = BUCKETS) -> DataFrame:

@@ -6,15 +6,14 @@ import json
 import threading
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
-from pyspark.sql.types import StructType
 
 from ..operators.conform import decode_json, route
 from ..operators.purchases import latest
+from ..session import path_exists
 
 WATERMARK = "24 hours"
 #: Keys of the two keyed tables.
@@ -54,17 +53,13 @@ class KeyedTable:
         place = [F.col(c) for c in ("source_timestamp", "source_offset", "source_partition") if c in batch.columns]
         latest(batch, self.keys, place if self.last else [-F.col("source_offset")]).write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch_id}")
 
-    def _folder(self, name: str, schema: StructType | None) -> DataFrame | None:
-        try:
-            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-            return reader.parquet(f"{self.path}/{name}")
-        except AnalysisException:
-            return None
+    def _folder(self, name: str) -> DataFrame | None:
+        path = f"{self.path}/{name}"
+        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
 
     def _parts(self) -> tuple[DataFrame | None, DataFrame | None]:
         """What is settled, and the later batches."""
-        batches = self._folder("batches", None)
-        settled = self._folder("settled", None)
+        batches, settled = self._folder("batches"), self._folder("settled")
         if settled is None or batches is None:
             return None, batches
         upto = settled.agg(F.max("upto")).first()[0]

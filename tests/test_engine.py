@@ -156,7 +156,8 @@ def test_incremental_runs(spark, tmp_path):
     owners = {r["customer_key"]: r["lifetime_orders"] for r in frames["customer_profiles"].collect()}
     assert owners == {"shop:0": 1, "shop:1": 1, "shop:2": 2, "shop:9": 1}
     clean = bronze.where("event_id <> 'other' and event_id <> '7-1'")
-    full = jobs.full_marts(clean, date(2024, 1, 21))
+    orders = purchases.latest_purchases(purchases.accepted_purchases(purchases.purchase_changes(clean)))
+    full = jobs.marts_of(orders, date(2024, 1, 21))
     for name in ("purchase_items", "customer_daily", "customer_profiles", "product_daily", "customer_cohorts"):
         assert versions.same_rows(full[name], frames[name]), name
 
@@ -210,6 +211,9 @@ def test_write_audit_publish(spark, tmp_path):
     store, seen = Store(spark, str(tmp_path)), []
     good = spark.createDataFrame([("a", 1)], "id string, amount long")
     gates = {"not_null": ["id"], "non_negative": ["amount"]}
+    for name, publish in ((1, None), ("main", seen.append), ("a b", seen.append)):
+        with pytest.raises(ValueError):
+            write_audit_publish(store, good, "t", name, publish, gates)
     write_audit_publish(store, good, "t", 1, seen.append, gates)
     with pytest.raises(quality.GateError):
         write_audit_publish(store, good.withColumn("amount", F.lit(-1)), "t", 2, seen.append, gates)
