@@ -28,9 +28,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import table
 from .merges import blocks
 
 SAMPLE = 300
+#: Most languages that are sent to all tasks.
+FEW = 100_000
 LONGEST = 4000
 #: Bytes of each dictionary.
 DICTIONARY = 48 << 10
@@ -50,7 +53,9 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     rows = rows.where("text <> ''")
     # Distinct texts are counted, and the share of them that is wanted is taken by their hash, so copies count once.
-    counts = rows.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = table(rows.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    # Few languages are sent to where the texts lie; of very many values the texts go to them.
+    counts = F.broadcast(counts) if counts.count() <= FEW else counts
     share = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(1e6 * SAMPLE) / F.col("n")
     over = F.length("text") - LONGEST
     passage = F.when(over <= 0, F.col("text")).otherwise(F.substring("text", F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(over, F.lit(1))).cast("int") + 1, F.lit(LONGEST)))

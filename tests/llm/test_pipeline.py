@@ -92,3 +92,11 @@ def test_run_equals_its_stages(spark, docs, tmp_path):
         assert r["offset"] == at.get(r["sequence_id"], 0) and r["length"] <= 2048
         at[r["sequence_id"]] = r["offset"] + r["length"]
     assert max(at.values()) <= 2048 and np.mean(list(at.values())) > 1500
+
+
+def test_columns_with_any_name_are_kept(spark, docs):
+    """A column that has the name of the helper column keeps its values."""
+    given = docs.limit(120).withColumn("_row", docs["doc_id"]).withColumn("_row_", docs["text"])
+    out = corpus_pipeline.drop_near_duplicates(spark, given, SF)
+    assert out.columns == given.columns
+    assert all(r["_row"] == r["doc_id"] and r["_row_"] == r["text"] for r in out.collect())
