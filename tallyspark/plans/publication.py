@@ -57,6 +57,7 @@ class Publications:
         return rows[0] if rows else None
 
     def publish(self, pipeline: str, sequence: int, as_of, bound: int, visibility: str, versions: dict[str, str], created_by: str) -> None:
+        self.store.write_down()
         row = [(pipeline, sequence, as_of, bound, visibility, versions, created_by)]
         self.store.spark.createDataFrame(row, PUBLICATION).coalesce(1).write.mode("append").parquet(self.path)
 

@@ -7,6 +7,7 @@ One writer per table is assumed.
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from math import ceil
 
@@ -27,6 +28,7 @@ class Store:
         self.spark, self.root = spark, root.rstrip("/")
         self.rows: dict[str, int] = {}
         self._held: dict[tuple[str, str], list] = {}  # parts of versions; these do not change
+        self._unwritten: dict[str, list] = {}  # rows of parts by their path, until they are written
 
     def _write(self, df: DataFrame, table: str, version: int | str, partition_by: list[str]) -> None:
         """Write a version's folder; its rows are counted on the way."""
@@ -50,7 +52,7 @@ class Store:
 
         ``df`` has all rows of the partitions ``touched`` and any new ones, or the whole table if there is no version before.
         The other partitions stay in the folders of earlier versions; a row per partition in ``<table>.parts``
-        says in which, so a version's folder may go only when no version that is kept names it. Adaptive
+        says in which (``write_down``), so a version's folder may go only when no version that is kept names it. Adaptive
         execution splits a large partition over tasks and puts small ones together.
         """
         self._write(df.hint("rebalance", F.col(by)), table, version, [by])
@@ -58,10 +60,19 @@ class Store:
         written = [n.split("=", 1)[1] for n in names_in(self.spark, self.path(table, version)) if n.startswith(f"{by}=")]
         kept = [] if before is None else [(r["part"], r["version"]) for r in self.held(table, before) if r["part"] is not None and r["part"] not in touched]
         rows = [(part, held, df.schema.json()) for part, held in [(None, None), *((p, str(version)) for p in written), *kept]]
-        self.spark.createDataFrame(rows, PARTS).coalesce(1).write.mode("overwrite").parquet(self.path(f"{table}.parts", version))
+        self._unwritten[self.path(f"{table}.parts", version)] = rows
         self._held[table, str(version)] = [Row(part=p, version=v, schema=s) for p, v, s in rows]
         return self.read(table, f"{version}@{by}")
 
+    def write_down(self) -> None:
+        """Write the rows that say where parts lie; to be done before a publication names the versions. One small file a table."""
+        write = lambda path, rows: self.spark.createDataFrame(rows, PARTS).coalesce(1).write.mode("overwrite").parquet(path)
+        if self._unwritten:
+            with ThreadPoolExecutor(len(self._unwritten)) as pool:
+                for done in [pool.submit(write, *item) for item in self._unwritten.items()]:
+                    done.result()
+        self._unwritten = {}
+
     def parts(self, table: str, version: int | str) -> DataFrame:
         """The partitions of a version and the versions whose folders hold them."""
         return self.spark.read.schema(PARTS).parquet(self.path(f"{table}.parts", str(version).split("@")[0]))
