@@ -38,6 +38,8 @@ CELL, ITEMS = 512, 1_000_000
 FILTER_BITS, FILTER_LEAST, FILTER_MOST = 8, 1 << 20, 1 << 30
 #: Comparisons with one member that a task makes with one copy of its set.
 HUB = 20_000
+#: Most busy members that are sent to all tasks, of 12 bytes each.
+SENT = 1_000_000
 _U = np.uint64
 
 
@@ -161,7 +163,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (hub, other, with sizes nh, no) whose sets overlap enough; the set of a busy hub is dealt in copies."""
     busy = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("c")).select(F.col("hub"), F.ceil(F.col("c") / HUB).cast("int").alias("copies"))
     hubs = sets.join(busy, sets["rep"] == busy["hub"]).select("hub", F.col("items").alias("left"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    others = pairs.join(sets.select(F.col("rep").alias("other"), F.col("items").alias("right")), "other").join(busy.where("copies > 1"), "hub", "left")
+    many = busy.where("copies > 1")
+    many = F.broadcast(many) if many.count() <= SENT else many  # beyond that a join is left to the optimiser
+    others = pairs.join(sets.select(F.col("rep").alias("other"), F.col("items").alias("right")), "other").join(many, "hub", "left")
     others = others.withColumn("copy", F.pmod(F.xxhash64("other"), F.coalesce("copies", F.lit(1))).cast("int"))
     both = F.size(F.array_intersect("left", "right"))
     return others.join(hubs, ["hub", "copy"]).where(100 * both >= percent * (F.col("nh") + F.col("no") - both)).select("hub", "other")
