@@ -851,6 +851,16 @@ def customers_rebuilt(spark, sf):
     return jobs.customer_history_job(store, rows, 2, 1, changed).drop("attribute_hash")
 
 
+@query
+def customers_spliced(spark, sf):
+    """Customer history from three batches that mix all times, the last first, and a batch that comes again."""
+    store = Store(spark, workspace(spark, "spliced"))
+    rows = bronze(spark, sf, "customer_changes").withColumn("_batch", F.crc32("event_id") % 3)
+    for version, of in enumerate((2, 0, 1, 0), 1):
+        out = jobs.splice_customers(store, rows.where(F.col("_batch") == of).drop("_batch"), version, version - 1 or None)
+    return out.drop("attribute_hash")
+
+
 @query
 def kpis_published(spark, sf):
     """KPIs written as a candidate, gated, and read under the version that was published."""

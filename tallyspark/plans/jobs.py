@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from ..operators import conform, history, marts, purchases, quality
-from ..sources.versions import Store, batch_range, date_range, numbered, replace_groups, upsert_newer
+from ..sources.versions import Store, batch_range, date_range, numbered, replace_groups, upsert, upsert_newer
 from .publication import Frames, Publications, audited, write_audit_publish
 
 PIPELINE = "customer_analytics_v1"
@@ -436,6 +436,24 @@ def customer_history_job(store: Store, bronze: DataFrame, version: int, before:
     return written
 
 
+def splice_customers(store: Store, batch: DataFrame, version: int, before: int | None = None) -> DataFrame:
+    """Continue the customer history of an earlier version by a batch of change events, which may come late or again.
+
+    Instants lie by month; only the months with altered rows are written. The customers with altered rows pass the gates.
+    """
+    kept = None if before is None else store.read("customer_instants", f"{before}@{MONTH}")
+    altered = history.splice(None if kept is None else kept.drop(MONTH), history.customer_changes(batch), *history.CUSTOMERS)
+    altered = store.write(altered.withColumn(MONTH, in_month("valid_from")), "customer_splices", version)
+    months = [r[0] for r in altered.select(MONTH).distinct().collect()]  # bounded by the calendar
+    rows = altered if kept is None else upsert(kept.where(F.col(MONTH).isin(months)), altered, ["customer_id", "valid_from"])
+    written = store.write_parts(rows, "customer_instants", version, MONTH, before, months)
+    out = history.runs(written).drop(MONTH, "source_partition", "source_offset")
+    touched = altered.select(F.col("customer_id").alias("_touched")).distinct()
+    quality.enforce("customers", quality.run_gates(out.join(touched, F.col("customer_id").eqNullSafe(F.col("_touched")), "left_semi"), quality.GATES["customers"]))
+    store.write_down()
+    return out
+
+
 def kpi_job(store: Store, orders: DataFrame, version: int, sellers: DataFrame | None = None, publish=None) -> DataFrame:
     return write_audit_publish(store, marts.daily_kpis(orders, sellers), "daily_kpis", version, publish)
 

@@ -315,6 +315,7 @@ ORACLE_SQL |= {
     "summary_five_years": f"{_DAILY} SELECT count(*) AS customers, CAST(sum(o) AS BIGINT) AS orders, CAST(sum(n) AS DOUBLE) AS net_amount, count(*) FILTER (o >= 2) AS repeat_customers FROM (SELECT customer_key, sum(orders) AS o, sum(net_amount) AS n FROM cd {_LONG})",
     "product_totals_five_years": f"{_DAILY} SELECT product_key, CAST(sum(orders) AS BIGINT) AS orders, CAST(sum(units) AS BIGINT) AS units, CAST(sum(returned_units) AS BIGINT) AS returned_units, CAST(sum(gross_amount) AS DOUBLE) AS gross_amount, CAST(sum(net_amount) AS DOUBLE) AS net_amount FROM pd {_LONG}",
     "customers_rebuilt": ORACLE_SQL["customer_history"],
+    "customers_spliced": ORACLE_SQL["customer_history"],
     "kpis_published": ORACLE_SQL["daily_kpis"],
     "demand_published": ORACLE_SQL["demand_features"],
     "customer_page": ORACLE_SQL["customer_profiles"] + " WHERE currency = 'EUR' AND customer_key > 'shop:2' ORDER BY customer_key LIMIT 51",
