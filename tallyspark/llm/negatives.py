@@ -89,8 +89,8 @@ class Search:
         reach = norms * np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max(initial=0.0)) * (1 + 1e-9) + 1
         reach = np.clip(reach, 0, 2.0**62).astype(np.int64)[:, None]
         low, high = np.maximum(self.low[at], -reach), np.minimum(self.high[at], reach)
-        # A level lies between the ends of a window; the last is its low end itself.
-        begin = np.maximum(low, (low * (1 - level) + np.maximum(low, high) * level).astype(np.int64)) if level else low
+        # A level lies between the ends of a window; the last is its low end itself, also where it lies beyond reach.
+        begin = np.maximum(low, (low * (1 - level) + np.maximum(low, high) * level).astype(np.int64)) if level else self.low[at]
         full = self.found[at, :, -1] != _MAX
         begin = np.where(full, np.maximum(self.score[at, :, -1], self.low[at]), begin)
         asked = begin.min(axis=1)
@@ -98,8 +98,7 @@ class Search:
         scores = _exact(anchors, vectors[columns])
         fits = (self.labels[at][:, None] == labels[columns][None, :]) == self.same
         fits &= self.ids[at][:, None] != ids[columns][None, :]
-        # At the last level a window's low end itself is asked, also where it lies beyond reach.
-        settled = full | (begin <= low)
+        settled = full | (begin <= self.low[at])
         chosen = []
         for w in range(low.shape[1]):
             fit = fits & (scores >= begin[:, w][:, None]) & (scores <= self.high[at, w][:, None])
@@ -127,7 +126,8 @@ class Search:
         partial = a @ indexed.T
         rest = na[:, omitted] * nx[np.arange(len(x)), omitted][None, :]
         bound = partial + (rest + np.abs(partial) * 1e-9) * slack + na[:, -1:] * nx[:, -1][None, :] * 1e-9
-        return np.flatnonzero((bound >= asked[:, None]).any(axis=0))
+        # A bound beyond the range of doubles is no number and prunes nothing.
+        return np.flatnonzero((~(bound < asked[:, None])).any(axis=0))
 
     def _merge(self, at: np.ndarray, w: int, scores: np.ndarray, chosen: np.ndarray, ids: np.ndarray) -> None:
         row, column = np.nonzero(chosen)

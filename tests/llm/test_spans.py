@@ -258,3 +258,29 @@ def test_pruning_omits_dimensions_and_keeps_all_that_reach():
     kept = negatives.Search._candidates(anchors, rows, asked.astype(np.int64))
     assert set(np.flatnonzero((exact >= asked[:, None]).any(axis=0)).tolist()) <= set(kept.tolist())
     assert len(kept) < 300
+
+
+def test_search_of_extreme_magnitudes_equals_brute_force():
+    """Scores beyond a long are held at its ends, and norms beyond a double prune nothing."""
+    rng = np.random.default_rng(0)
+    least, most, keep = -(2**63), 2**63 - 1, 12
+    whole = np.vectorize(int, otypes=[object])
+    with np.errstate(over="ignore", invalid="ignore"):
+        assert negatives.Search._candidates(np.array([[1e200, 1e200]]), np.array([[2e200, -1e200]]), np.array([1])).tolist() == [0]
+    for _ in range(60):
+        n = 40
+        v = np.floor(rng.normal(size=(n, 3)) * 10.0 ** rng.choice([0, 5, 80, 160, 200], (n, 1)) * 9)
+        v[rng.random((n, 3)) < 0.2] = 0
+        v[rng.random(n) < 0.1] = 0
+        ids, labels = np.arange(n), rng.integers(0, 2, n)
+        full = np.clip(whole(v) @ whole(v).T, least, most)
+        lows = np.array([[least, -5], [1, 10], [10**9, 2**62]])[rng.integers(0, 3)]
+        low = rng.choice(lows, (n, 2))
+        search = negatives.Search(ids, labels, v, low, np.full((n, 2), most), keep, False)
+        with np.errstate(over="ignore", invalid="ignore"):
+            for c in range(0, n, 15):
+                search.meet(ids[c : c + 15], labels[c : c + 15], v[c : c + 15])
+        for a in range(n):
+            for w in range(2):
+                want = sorted((-int(full[a, j]), j) for j in range(n) if labels[j] != labels[a] and full[a, j] >= low[a, w])[:keep]
+                assert [(-int(s), int(i)) for s, i in zip(search.score[a, w], search.found[a, w], strict=True) if i != most] == want
