@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyspark.operators import conform, history, marts, purchases, quality, reconcile, retail, serving
 from tallyspark.plans import jobs
 from tallyspark.plans.publication import append_audit, write_audit_publish
-from tallyspark.sources import events, versions
+from tallyspark.sources import events, fixtures, versions
 from tallyspark.sources.versions import Store
 from tallyspark.streaming import ingest
 
@@ -330,3 +330,35 @@ def test_droppable_versions_of_every_order(spark, tmp_path):
     kept = {v for p, s, at, v in rows if s in last[p] or at >= since}
     assert {(r["table"], r["version"]) for r in got.collect()} == {r[3] for r in rows} - kept
     assert len(last) == 3 and "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_retail_invoices_beyond_six_digits(spark, tmp_path):
+    """Invoice and product numbers longer than their padding stay apart, in the queries and in their SQL."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    base = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").where("l_orderkey between 1 and 40").toPandas()
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").where("o_orderkey between 1 and 40").toPandas()
+    base["l_orderkey"] += 3_000_000
+    orders["o_orderkey"] += 3_000_000
+    base["l_partkey"] += 1_200_000
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet").toPandas()
+    part["p_partkey"] += 1_200_000
+    made = {"lineitem": base, "orders": orders, "part": part}
+    con = duckdb.connect()
+    for name in ("lineitem", "orders", "part", "customer", "nation", "region"):
+        if name in made:
+            spark.createDataFrame(made[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+            con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+        else:
+            spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+            con.execute(f"create view {name} as select * from '/root/testdata/sf0.001/{name}.parquet'")
+    for name in ("retail_orders", "retail_report"):
+        rows = entry.queries()[name](spark, str(tmp_path))
+        want = con.execute(f"select {', '.join(rows.columns)} from ({entry.oracle_sql()[name]})").fetchall()
+        assert sorted(map(tuple, rows.collect()), key=str) == sorted(want, key=str), name
+    found = entry.queries()["retail_orders"](spark, str(tmp_path)).collect()
+    assert len(found) > 20 and all(len(r["order_id"]) == 7 for r in found)
+    lines = fixtures.retail_lines(spark, str(tmp_path)).where("product <> 'POST'")
+    assert lines.select("product").distinct().count() == base["l_partkey"][base["l_partkey"] % 23 != 0].nunique()
