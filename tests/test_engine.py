@@ -378,3 +378,11 @@ def test_framed_bodies_come_back_whole(spark):
         body = sent[r["topic"], r["offset"]] if r["framed"] else None
         assert (r["body_bytes"], r["body_sha256"]) == ((len(body), hashlib.sha256(body).hexdigest()) if body is not None else (None, None))
         assert r["events"] == sum((x["topic"], x["framed"], x["schema_id"]) == (r["topic"], r["framed"], r["schema_id"]) for x in rows)
+
+
+def test_lines_are_gathered_once_for_all_deliveries(spark):
+    """Snapshots and order events read and gather the lines of an order once, and no event carries all of them."""
+    sf = "/root/testdata/sf0.001"
+    for made in (fixtures.purchase_bronze(spark, sf), fixtures.order_events(spark, sf)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Aggregate [l_orderkey") == 1, plan
