@@ -22,6 +22,7 @@ the names of the results are replaced.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from math import lgamma
 
@@ -46,7 +47,7 @@ LEAST_TEXTS, LEAST_SHARE, PURITY, CHANCE = 3, 0.015, 0.5, 0.01
 THRESHOLD = 0.7
 BLOCK = 4 << 20
 #: Texts whose words are held at a time.
-SLICE = 1000
+SLICE = 200
 
 
 @dataclass
@@ -75,20 +76,33 @@ def features_of(words: pa.Array) -> list[pa.Array]:
     return found
 
 
-def presence(texts: pa.Array, features: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature) pairs, each once, of the given features in the texts."""
-    pairs = [np.zeros(0, np.int64)]
+def presences(texts: pa.Array, features: pa.Array) -> Iterator[np.ndarray]:
+    """row * len(features) + feature of the given features in the texts, each once, a slice of texts at a time."""
     for start in range(0, len(texts), SLICE):
         rows, words, index = words_of(texts.slice(start, SLICE))
+        pairs = []
         for values in features_of(words):
             at = pc.fill_null(pc.index_in(values, features), -1).to_numpy(zero_copy_only=False)
             hit = at[index]
             keep = hit >= 0
             pairs.append(np.unique((rows[keep] + start) * len(features) + hit[keep]))
-    both = np.unique(np.concatenate(pairs))
+        yield np.unique(np.concatenate(pairs))
+
+
+def presence(texts: pa.Array, features: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature) pairs, each once, of the given features in the texts."""
+    both = np.concatenate([np.zeros(0, np.int64), *presences(texts, features)])
     return both // max(1, len(features)), both % max(1, len(features))
 
 
+def texts_with(texts: pa.Array, features: pa.Array) -> np.ndarray:
+    """How many of the texts have each feature; pairs are counted slice by slice, so that they are not all held at once."""
+    n = np.zeros(len(features), np.int64)
+    for pairs in presences(texts, features):
+        n += np.bincount(pairs % len(features), minlength=len(features))
+    return n
+
+
 def without_copies(texts: pa.Array, hashes: int = 8, alike: int = 5) -> pa.Array:
     """The texts of the sample without near copies of earlier ones, by minima of word hashes.
 
@@ -129,8 +143,7 @@ def choose_features(positive: pa.Array, unlabelled: pa.Array, prior: float) -> l
     a = np.array(a, float)
     if not names:
         return []
-    _, column = presence(unlabelled, pa.array(names, pa.string()))
-    expected = len(positive) * (np.bincount(column, minlength=len(names)) + 0.5) / max(1, len(unlabelled))
+    expected = len(positive) * (texts_with(unlabelled, pa.array(names, pa.string())) + 0.5) / max(1, len(unlabelled))
     # Chance of so many positives with the feature if it were as common there as among unlabelled texts.
     log_chance = _log_poisson_tail(a, expected)
     keep = (log_chance + np.log(max(1, tried)) < np.log(CHANCE)) & (a >= PURITY / prior * expected)
@@ -206,11 +219,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     over = F.length("text") - LONGEST
     passage = F.when(over <= 0, F.col("text")).otherwise(F.substring("text", F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(over, F.lit(1))).cast("int") + 1, F.lit(LONGEST)))
     texts = hashed.join(F.broadcast(chosen.select("h").distinct()), "h").select("h", passage.alias("text")).groupBy("h").agg(F.min("text").alias("text"))
-    of = {r["h"]: r["text"] for r in texts.collect()}
-    found: list[list[str]] = [[], []]
-    for r in chosen.orderBy("h").collect():
-        found[r["role"]].append(of[r["h"]])
-    positive, unlabelled = (pa.array(x, pa.string()) for x in found)
+    # The sample comes as Arrow, not as rows and strings of Python, which the driver would hold besides.
+    sample = texts.join(chosen, "h").select("role", "h", "text").orderBy("role", "h").toArrow()
+    positive, unlabelled = (pc.cast(sample.filter(pc.equal(sample["role"], role))["text"], pa.string()).combine_chunks() for role in (0, 1))
+    del sample
     if not len(positive) or not len(unlabelled):
         return Model([], np.zeros(0), -40.0, prior)
     return train(positive, unlabelled, prior)

@@ -3,10 +3,12 @@
 import hashlib
 import random
 import struct
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -548,3 +550,18 @@ def test_url_rules_of_the_contract(spark, tmp_path):
     spark.createDataFrame([(i, u) for i, (u, *_) in enumerate(cases)], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
     got = {r["page_id"]: (r["rule"], r["verdict"]) for r in queries.op7_url_filter(spark, str(tmp_path)).collect()}
     assert got == {i: tuple(c[1:]) for i, c in enumerate(cases)}
+
+
+def test_toxicity_features_are_counted_without_holding_all_pairs():
+    """3,000 texts with 400 words give 4.8 million pairs of text and feature (38 MB); the driver holds those of a slice only."""
+    letters = "abcdefghijklmnopqrst"
+    common = [f"{a}{b}vwxyz" for a in letters for b in letters]
+    positive, unlabelled = pa.array([" ".join(["signword", *common])] * 60), pa.array([" ".join(common)] * 3000)
+    tracemalloc.start()
+    try:
+        found = toxicity.choose_features(positive, unlabelled, 0.1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == ["4sign", "5signw", "6signwo", "=signword"]
+    assert peak < 40e6
