@@ -386,3 +386,21 @@ def test_lines_are_gathered_once_for_all_deliveries(spark):
     for made in (fixtures.purchase_bronze(spark, sf), fixtures.order_events(spark, sf)):
         plan = made._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Aggregate [l_orderkey") == 1, plan
+
+
+def test_states_of_orders_need_no_shuffle_of_whole_changes(spark):
+    """The changes lie in buckets by order: they are not shuffled again, and only the few reasons are where these can't be sent to all."""
+    from tallyspark.plans import catalogue
+
+    sf = "/root/testdata/sf0.001"
+    plain = purchases.purchase_changes(catalogue.bronze(spark, sf, "purchase_bronze"))
+    want = purchases.latest_purchases(purchases.accepted_purchases(plain))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit, shuffles in ((threshold, 0), ("-1", 1)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            got = catalogue.orders(spark, sf)
+            assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == shuffles
+            assert versions.same_rows(got, want.select(*got.columns))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
