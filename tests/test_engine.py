@@ -404,3 +404,11 @@ def test_states_of_orders_need_no_shuffle_of_whole_changes(spark):
             assert versions.same_rows(got, want.select(*got.columns))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_events_do_not_carry_the_lines_of_their_order(spark):
+    """What an order tells is worked out before its events are laid out, not again for each event."""
+    for make in (fixtures.order_events, fixtures.payment_events):
+        plan = make(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        above = plan.split("Generate explode")[0]
+        assert "Project" in above and "l_extendedprice" not in above and "l_suppkey" not in above
