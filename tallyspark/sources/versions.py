@@ -30,10 +30,11 @@ class Store:
         self._held: dict[tuple[str, str], list] = {}  # parts of versions; these do not change
         self._unwritten: dict[str, list] = {}  # rows of parts by their path, until they are written
 
-    def _write(self, df: DataFrame, table: str, version: int | str, partition_by: list[str]) -> None:
-        """Write a version's folder; its rows are counted on the way."""
+    def _write(self, df: DataFrame, table: str, version: int | str, partition_by: list[str], order: tuple[str, ...] = ()) -> None:
+        """Write a version's folder, with the rows of a file in ``order``; its rows are counted on the way."""
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        writer = (rows.sortWithinPartitions(*partition_by, *order) if order else rows).write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(table, version))
@@ -47,15 +48,16 @@ class Store:
         self._write(df, table, version, partition_by or [])
         return self.read(table, version, df.schema)
 
-    def write_parts(self, df: DataFrame, table: str, version: int | str, by: str, before: int | str | None = None, touched: list[str] | None = None) -> DataFrame:
+    def write_parts(self, df: DataFrame, table: str, version: int | str, by: str, before: int | str | None = None, touched: list[str] | None = None, order: tuple[str, ...] = (), laid: bool = False) -> DataFrame:
         """Write the partitions of a table that change, by the text column ``by``, and read the new version.
 
         ``df`` has all rows of the partitions ``touched`` and any new ones, or the whole table if there is no version before.
         The other partitions stay in the folders of earlier versions; a row per partition in ``<table>.parts``
         says in which (``write_down``), so a version's folder may go only when no version that is kept names it. Adaptive
-        execution splits a large partition over tasks and puts small ones together.
+        execution splits a large partition over tasks and puts small ones together; rows that are ``laid`` out by partition
+        already, as those read from such a table, are not moved. ``order`` is that of the rows in a file.
         """
-        self._write(df.hint("rebalance", F.col(by)), table, version, [by])
+        self._write(df if laid else df.hint("rebalance", F.col(by)), table, version, [by], order)
         # The folder names tell which partitions there are; a row without a partition keeps the types of a table without rows.
         written = [n.split("=", 1)[1] for n in names_in(self.spark, self.path(table, version)) if n.startswith(f"{by}=")]
         kept = [] if before is None else [(r["part"], r["version"]) for r in self.held(table, before) if r["part"] is not None and r["part"] not in touched]

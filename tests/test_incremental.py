@@ -1,5 +1,6 @@
 """Runs that continue a full build, the calendar of profiles, monthly sums, bitmaps, keyed tables, ranks and line numbers."""
 
+import json
 import random
 import shutil
 from collections import defaultdict
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyspark.operators import marts, purchases, reconcile, serving
 from tallyspark.plans import jobs
 from tallyspark.plans.publication import Publications, audits
+from tallyspark.session import partitions, size_partitions
 from tallyspark.sources import events, versions
 from tallyspark.sources.versions import Store
 from tallyspark.streaming import ingest
@@ -245,3 +247,49 @@ def test_open_ranges(spark):
     manifest = spark.createDataFrame([(1, "append"), (2, "append"), (3, "append")], "batch_id long, op string")
     read = lambda *b: (lambda df, words: ("".join(sorted(r["x"] for r in df.collect())), words))(*versions.read_range(rows, manifest, *b))
     assert read() == ("abc", "full-current-snapshot") and read(1) == ("bc", "start=1") and read(None, 2) == ("ab", "end=2") and read(1, 2) == ("b", "start=1,end=2")
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_facts_move_once(spark):
+    """Lines that count orders give the daily facts of those that do not, moved once; also where a product comes again in an order or has no id."""
+    line = lambda n, product: {"line_id": n, "category": "c", "quantity": 2, "amount": "10.00"} | ({"product_id": product} if product else {})
+    many = json.dumps([line("1", "a"), line("2", "b"), line("3", "a"), line("4", None), line("5", None), line("6", "b")])
+    rows = [snapshot(str(i), customer_id=str(i % 2), purchased_at=f"2023-0{i % 3 + 1}-05T10:00:00Z", items=many, returns=None) for i in range(8)]
+    orders = purchases.latest_purchases(purchases.purchase_changes(spark.createDataFrame(rows, BRONZE)))
+    plain = purchases.purchase_items(orders)
+    counted = purchases.purchase_items(orders, counted=True).withColumn("month", jobs.in_month("purchased_at")).localCheckpoint()
+    products = marts.product_daily(counted, "month", 3)
+    for got, want, shuffles in ((marts.customer_daily(counted), marts.customer_daily(plain), 1), (products, marts.product_daily(plain), 1)):
+        assert versions.same_rows(got, want.select(*got.columns))
+        assert _shuffles(got) == shuffles
+    assert {(r["product_key"], r["orders"]) for r in products.where("metric_date = '2023-01-05'").collect()} == {("shop:a", 3), ("shop:b", 3), ("shop", 3)}
+    daily = products.withColumn("month", jobs.in_month("metric_date")).localCheckpoint()
+    sums = marts.monthly(daily, "product_key", "month", 3)
+    assert _shuffles(sums) == 1
+    assert versions.same_rows(sums, marts.monthly(daily, "product_key").select(*sums.columns))
+
+
+def test_parts_that_are_laid_out_are_not_moved(spark, tmp_path):
+    """Rows that lie by their parts are written where they are, in order within their files."""
+    store = Store(spark, str(tmp_path))
+    store.write_parts(spark.range(1000).selectExpr("id", "cast(id % 4 as string) as part").repartition(8, "part"), "t", 1, "part", order=("id",), laid=True)
+    found = store.read("t", "1@part")
+    placed = found.select("part", "id", "_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place")).collect()
+    assert len({(r["part"], r["file_name"]) for r in placed}) == 4
+    for part in "0123":
+        ids = [r["id"] for r in sorted(placed, key=lambda r: r["place"]) if r["part"] == part]
+        assert ids == sorted(ids) and len(ids) == 250
+
+
+def test_tasks_follow_the_size_of_tables(spark):
+    names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.minPartitionNum")
+    try:
+        for rows, number in ((0, 4), (400, 4), (401, 5), (6000, 60)):
+            size_partitions(spark, rows, 100)
+            assert partitions(spark) == number
+    finally:
+        for name in names:
+            spark.conf.unset(name)
