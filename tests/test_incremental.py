@@ -3,6 +3,7 @@
 import json
 import random
 import shutil
+import time
 from collections import defaultdict
 from datetime import date, datetime, timedelta
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyspark.operators import marts, purchases, reconcile, serving
 from tallyspark.plans import jobs
 from tallyspark.plans.publication import Publications, audits
-from tallyspark.session import partitions, size_partitions
+from tallyspark.session import freed_shuffles, partitions, size_partitions
 from tallyspark.sources import events, versions
 from tallyspark.sources.versions import Store
 from tallyspark.streaming import ingest
@@ -237,6 +238,31 @@ def test_digests_name_what_differs(spark, tmp_path):
     assert versions.differing_keys(rows, rows.repartition(3), ["id"]).count() == 0
 
 
+def test_equal_rows_are_not_moved_to_be_counted(spark):
+    """Rows of buckets with equal digests are not compared; of others the distinct rows in one frame only are counted."""
+    rows = spark.range(3000).select("id", (F.col("id") % 7).alias("x"), F.when(F.col("id") % 5 > 0, F.lit("a")).alias("s"))
+    same = versions.difference_count(rows, rows.repartition(3))
+    assert same.collect()[0][0] == 0 and _shuffles(same) == 0
+    other = rows.where("id <> 5").withColumn("x", F.when(F.col("id") == 900, 99).otherwise(F.col("x"))).unionByName(rows.where("id = 33"))
+    assert versions.difference_count(rows, other).collect()[0][0] == versions.difference_count(other, rows, 1).collect()[0][0] == 3
+    assert versions.difference_count(rows, rows.where("id < 0")).collect()[0][0] == 3000
+
+
+def test_shuffle_files_go_with_their_job(spark, tmp_path):
+    def held():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {str(files.apply(i).getName()) for i in range(files.size()) if str(files.apply(i).getName()).startswith("shuffle_")}
+
+    moved, before = spark.range(2000).repartition(3, "id"), held()
+    with freed_shuffles(spark):
+        moved.write.parquet(f"{tmp_path}/a")
+    end = time.time() + 20
+    while held() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not held() - before and spark.read.parquet(f"{tmp_path}/a").count() == 2000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_clashing_copies_are_not_trusted(spark):
     rows = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("b", 1, 1), ("b", 2, 1), ("c", 3, 1)], "last_event_id string, amount long, source_offset long")
     assert sorted((r["last_event_id"], r["source_offset"]) for r in reconcile.unclashed(rows, ["amount"]).collect()) == [("a", 1), ("c", 1)]
