@@ -7,7 +7,7 @@ it was. Readers take one head and read nothing but the versions it names.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import partial
 from typing import TypeVar
@@ -16,32 +16,12 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..operators.quality import GATES, GateError, enforce, run_gates
+from ..operators.serving import Frames
 from ..schemas import AUDIT, PUBLICATION
 from ..session import path_exists
 from ..sources.versions import Store
 
 
-class Frames(Mapping):
-    """Frames by name, each made at its first use."""
-
-    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
-        self._makers, self._made = makers, {}
-
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._made:
-            self._made[name] = self._makers[name]()
-        return self._made[name]
-
-    def __iter__(self):
-        return iter(self._makers)
-
-    def __len__(self) -> int:
-        return len(self._makers)
-
-    def also(self, **makers: Callable[[], DataFrame]) -> Frames:
-        return Frames(self._makers | makers)
-
-
 class Publications:
     def __init__(self, store: Store):
         self.store, self.path = store, f"{store.root}/publications"
